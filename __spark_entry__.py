@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
+import oracles  # noqa: E402
 from webcorpus.functions import nodes as N  # noqa: E402
 from webcorpus.functions import text as T  # noqa: E402
 from webcorpus.functions.markdown import to_markdown  # noqa: E402
@@ -194,8 +195,8 @@ def pick_sitemap(spark, sf):
     files = F.explode(
         F.array(
             F.struct(F.lit("/sitemap.xml").alias("path"), F.lit("<urlset>").alias("xml")),
-            F.struct(F.lit("/post-sitemap.xml"), F.lit("<urlset/>")),
-            F.struct(F.lit("/news-sitemap.xml"), F.lit("<urlset></urlset>")),
+            F.struct(F.lit("/post-sitemap.xml").alias("path"), F.lit("<urlset/>").alias("xml")),
+            F.struct(F.lit("/news-sitemap.xml").alias("path"), F.lit("<urlset></urlset>").alias("xml")),
         )
     )
     bodies = www.select(site.alias("site"), files.alias("f")).select(
@@ -653,4 +654,5 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    """The same results in SQL, written against the raw tables and not along the Spark code."""
+    return oracles.sql()

@@ -65,6 +65,7 @@ def is_sitemap_link(url) -> Column:
 
 def iso_utc(ts) -> Column:
     """ISO-8601 in UTC whatever the session zone; a whole second has no fraction."""
+    ts = ts.cast("timestamp") if isinstance(ts, Column) else F.col(ts).cast("timestamp")
     utc = F.to_utc_timestamp(ts, F.current_timezone())
     whole = F.unix_micros(ts) % 1_000_000 == 0
     return F.concat(
