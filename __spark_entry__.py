@@ -18,7 +18,6 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 import oracles  # noqa: E402
 from webcorpus.functions import nodes as N  # noqa: E402
 from webcorpus.functions import text as T  # noqa: E402
-from webcorpus.functions.markdown import to_markdown  # noqa: E402
 from webcorpus.operators import articles as A  # noqa: E402
 from webcorpus.operators import extract as E  # noqa: E402
 from webcorpus.operators import frontier as R  # noqa: E402
@@ -462,7 +461,9 @@ def html_to_text(spark, sf):
 
 def markdown(spark, sf):
     article = N.first(F.col("nodes"), lambda n: n["tag"] == "article")
-    return nodes(spark, sf).select("page_id", to_markdown(F.col("nodes"), article).alias("markdown"))
+    return E.to_markdown(nodes(spark, sf).withColumn("article", article), "article").select(
+        "page_id", "markdown"
+    )
 
 
 def link_density(spark, sf):

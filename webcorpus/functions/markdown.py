@@ -1,217 +1,42 @@
-"""Markdown of a subtree as one Spark expression.
+"""Markdown of a subtree as one Spark SQL expression.
 
-Every node gives an opening and a closing piece, the pieces are put in document order and joined,
-and a few regular expressions settle the white space between them.  Pieces use control characters
-for what can only be settled next to its neighbours; they are removed from the text beforehand.
+Every node gives an opening and a closing piece; in document order they are joined to a short
+string of marks in which each text is a single placeholder.  Regular expressions settle the white
+space between marks on that short string, and the texts are put in last.
 """
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from webcorpus.functions.nodes import attr, below, inner_text
-from webcorpus.functions.text import strip_ws
+from webcorpus.functions.text import WHITESPACE, quoted, strip_ws
 
-BLANK, BR, LINE = "\x01", "\x02", "\x03"     # blank line, <br>, new line
+BLANK, BR, LINE = "\x01", "\x02", "\x03"         # blank line, <br>, new line
 PAD, QUOTE, RAW_LINE = "\x04", "\x05", "\x06"    # one column, one quote level, line in <pre>
-SPACE, NEWLINE = "\x07", "\x08"                   # white space at the edge of a text
+SPACE, NEWLINE = "\x07", "\x08"                  # white space at the edge of a text
 MARK_END, ITEM_END = "\x0e", "\x0f"              # end of '* ', '# ' ...; end of an item
-STRONG, EM, STRIKE, LINK, CODE = ("\x10", "\x11"), ("\x12", "\x13"), ("\x14", "\x15"), (
-    "\x16", "\x17"), ("\x18", "\x19")
-RESOLVED = {
+STRONG, EM, STRIKE = ("\x10", "\x11"), ("\x12", "\x13"), ("\x14", "\x15")
+LINK, CODE = ("\x16", "\x17"), ("\x18", "\x19")
+TEXT = "\x1a"                                    # placeholder of a text
+PLAIN = {
     "\x10": "**", "\x11": "**", "\x12": "*", "\x13": "*", "\x14": "~~", "\x15": "~~",
     "\x16": "[", "\x17": "]", "\x18": "`", "\x19": "`",
     BLANK: "\n\n", LINE: "\n", PAD: " ", QUOTE: "> ", BR: "  \n", RAW_LINE: "\n", SPACE: " ",
     NEWLINE: "\n",
 }
-INLINE = {
-    ("b", "strong"): STRONG, ("em", "i"): EM, ("del", "s"): STRIKE, ("code", "kbd", "samp"): CODE,
-}
 BLOCKS = (
-    "p", "div", "article", "section", "main", "figure", "figcaption", "caption", "address",
-    "details", "summary", "fieldset", "dl", "dt", "table", "body", "html", "head", "title",
+    "p div article section main figure figcaption caption address details summary fieldset dl dt "
+    "table body html head title"
+).split()
+INLINE = (
+    (("b", "strong"), STRONG), (("em", "i"), EM), (("del", "s"), STRIKE),
+    (("code", "kbd", "samp"), CODE),
 )
-HEADINGS = ("h1", "h2", "h3", "h4", "h5", "h6")
-
-
-def _break(kind, n, outer_quote=False):
-    quotes = n["quotes"] - 1 if outer_quote else n["quotes"]
-    return F.concat(F.lit(kind), F.repeat(F.lit(QUOTE), quotes), F.repeat(F.lit(PAD), n["indent"]))
-
-
-def escape(text) -> Column:
-    return F.regexp_replace(text, r"([*_])", r"\\$1")
-
-
-def _text_piece(n):
-    """A text with its white space narrowed; at its edges it becomes marks the last step settles."""
-    text = n["text"]
-    lines = F.regexp_replace(
-        F.regexp_replace(text, r"^[ \t]*[\r\n][ \t\r\n]*|[ \t]*[\r\n][ \t\r\n]*$", NEWLINE),
-        r"[ \t]*[\r\n][ \t\r\n]*", "\n",
-    )
-    lines = F.when(
-        n["oneline"], F.translate(lines, "\n" + NEWLINE, " " + SPACE)
-    ).otherwise(lines)
-    flat = F.when(F.contains(text, F.lit("\n")) | F.contains(text, F.lit("\r")), lines).otherwise(text)
-    flat = F.regexp_replace(F.regexp_replace(flat, r"^[ \t]+|[ \t]+$", SPACE), r"[ \t]{2,}|\t", " ")
-    return (
-        F.when(n["verbatim"] == 2, F.replace(text, F.lit("\n"), F.lit(RAW_LINE)))
-        .when(n["verbatim"] == 1, flat)
-        .otherwise(escape(flat))
-    )
-
-
-def _cells(nodes, n):
-    return F.filter(
-        below(nodes, n), lambda x: (x["parent_id"] == n["node_id"]) & x["tag"].isin("td", "th")
-    )
-
-
-def _rule(nodes, n):
-    return F.concat(F.lit("|"), F.repeat(F.lit(" --- |"), F.size(_cells(nodes, n))))
-
-
-def _is_head_row(nodes, n):
-    return (F.get(nodes, n["parent_id"])["tag"] == "thead") | ~F.exists(
-        _cells(nodes, n), lambda x: x["tag"] == "td"
-    )
-
-
-def _link_text(nodes, n):
-    return strip_ws(inner_text(nodes, n))
-
-
-def _is_link(nodes, n):
-    return (attr(n, "href") != "") & (_link_text(nodes, n) != "") & (n["verbatim"] == 0)
-
-
-def _is_autolink(nodes, n):
-    return (attr(n, "href") == _link_text(nodes, n)) & attr(n, "title").isNull()
-
-
-def _open(nodes, n):
-    tag = n["tag"]
-    piece = F.when(tag.isin(*BLOCKS), F.when(n["oneline"], F.lit(" ")).otherwise(_break(BLANK, n)))
-    piece = piece.when(
-        tag == "a",
-        F.when(
-            _is_link(nodes, n), F.when(_is_autolink(nodes, n), F.lit("<")).otherwise(F.lit(LINK[0]))
-        ),
-    )
-    piece = piece.when(
-        tag == "li",
-        F.concat(
-            _break(LINE, n),
-            F.when(n["item_no"] > 0, F.concat(n["item_no"].cast("string"), F.lit(". "))).otherwise(
-                F.lit("* ")
-            ),
-            F.lit(MARK_END),
-        ),
-    )
-    for tags, marks in INLINE.items():
-        piece = piece.when(tag.isin(*tags), F.when(n["verbatim"] != 2, F.lit(marks[0])))
-    piece = piece.when(tag == "br", F.when(n["oneline"], F.lit(" ")).otherwise(F.lit(BR)))
-    piece = piece.when(
-        tag.isin(*HEADINGS),
-        F.concat(
-            _break(BLANK, n), F.repeat(F.lit("#"), F.substring(tag, 2, 1).cast("int")),
-            F.lit(" " + MARK_END),
-        ),
-    )
-    piece = piece.when(
-        tag.isin("ul", "ol", "menu"),
-        F.when(n["indent"] > 0, _break(LINE, n)).otherwise(_break(BLANK, n)),
-    )
-    piece = piece.when(
-        tag == "blockquote", F.concat(_break(BLANK, n, outer_quote=True), _break(BLANK, n))
-    )
-    piece = piece.when(tag == "pre", F.concat(_break(BLANK, n), F.lit("```" + RAW_LINE)))
-    piece = piece.when(tag == "hr", F.concat(_break(BLANK, n), F.lit("---"), _break(BLANK, n)))
-    piece = piece.when(tag == "dd", F.concat(_break(LINE, n), F.lit(":   " + MARK_END)))
-    piece = piece.when(tag.isin("td", "th"), F.lit(" " + MARK_END))
-    piece = piece.when(
-        tag == "tr",
-        F.concat(
-            F.when(
-                (n["item_no"] == 1) & ~_is_head_row(nodes, n),
-                F.concat(
-                    _break(LINE, n), F.lit("|"), F.repeat(F.lit("  |"), F.size(_cells(nodes, n))),
-                    _break(LINE, n), _rule(nodes, n),
-                ),
-            ).otherwise(F.lit("")),
-            _break(LINE, n), F.lit("|"),
-        ),
-    )
-    return piece
-
-
-def _close(nodes, n):
-    tag = n["tag"]
-    piece = F.when(tag.isin(*BLOCKS), F.when(n["oneline"], F.lit(" ")).otherwise(_break(BLANK, n)))
-    target = F.concat(
-        F.lit(LINK[1] + "("), attr(n, "href"),
-        F.coalesce(
-            F.concat(F.lit(' "'), F.replace(attr(n, "title"), F.lit('"'), F.lit('\\"')), F.lit('"')),
-            F.lit(""),
-        ),
-        F.lit(")"),
-    )
-    piece = piece.when(
-        tag == "a",
-        F.when(_is_link(nodes, n), F.when(_is_autolink(nodes, n), F.lit(">")).otherwise(target)),
-    )
-    piece = piece.when(tag.isin("li", "dd"), F.lit(ITEM_END))
-    for tags, marks in INLINE.items():
-        piece = piece.when(tag.isin(*tags), F.when(n["verbatim"] != 2, F.lit(marks[1])))
-    piece = piece.when(tag.isin(*HEADINGS), F.concat(F.lit(ITEM_END), _break(BLANK, n)))
-    piece = piece.when(tag.isin("ul", "ol", "menu"), F.when(n["indent"] == 0, _break(BLANK, n)))
-    piece = piece.when(tag == "blockquote", _break(BLANK, n, outer_quote=True))
-    piece = piece.when(tag == "pre", F.concat(F.lit(RAW_LINE + "```"), _break(BLANK, n)))
-    piece = piece.when(tag.isin("td", "th"), F.lit(ITEM_END + " |"))
-    piece = piece.when(
-        tag == "tr",
-        F.when(
-            (n["item_no"] == 1) & _is_head_row(nodes, n),
-            F.concat(_break(LINE, n), _rule(nodes, n)),
-        ),
-    )
-    return piece
-
-
-def to_markdown(nodes, top) -> Column:
-    """Markdown of a subtree: ATX headings, '*' bullets, no media; ``top`` has node_id and end_id."""
-
-    def events(n):
-        opened = F.when(n["tag"] == "#text", _text_piece(n)).otherwise(_open(nodes, n))
-        return F.array(
-            F.struct(
-                n["node_id"].alias("at"), F.lit(0).alias("phase"), F.lit(0).alias("inner"),
-                opened.alias("piece"),
-            ),
-            F.struct(
-                n["end_id"].alias("at"), F.lit(1).alias("phase"), (-n["node_id"]).alias("inner"),
-                F.when(n["tag"] != "#text", _close(nodes, n)).alias("piece"),
-            ),
-        )
-
-    # The top element itself renders too; the stand-in for a whole page has no element.
-    subtree = F.slice(
-        nodes, F.greatest(top["node_id"] + 1, F.lit(1)), top["end_id"] - top["node_id"] + 1
-    )
-    live = F.filter(subtree, lambda n: ~n["killed"] & ~n["media"])
-    pieces = F.filter(F.flatten(F.transform(live, events)), lambda e: e["piece"].isNotNull())
-    joined = F.array_join(F.transform(F.array_sort(pieces), lambda e: e["piece"]), "")
-    return settle(joined)
-
 
 # Order matters: each step relies on the ones before it.
 SETTLE = (
     # white space moves out of inline marks; empty marks vanish
     (r"([\x10\x12\x14\x16\x18])(\x07?)[\x01-\x05\x07\x08]*", "$2$1"),
-    (
-        r"(?=[\x01-\x05\x07\x08\x11\x13\x15\x17\x19])[\x01-\x05\x07\x08]*?(\x07?)([\x11\x13\x15\x17\x19])",
-        "$2$1",
-    ),
+    (r"[\x01-\x05\x07\x08]*?(\x07?)([\x11\x13\x15\x17\x19])", "$1$2"),
     (r"[\x10\x12\x14\x18][\x11\x13\x15\x19]", ""),
     # nothing but text follows a mark or precedes the end of an item
     (r"\x0e[\x01-\x05\x07\x08]*", "\x0e"),
@@ -219,13 +44,13 @@ SETTLE = (
     (r"#{1,6} \x0e\x0f", ""),
     (r"[\x0e\x0f]", ""),
     # of several breaks in a row one stays: the strongest, with the last prefix
-    (r"(?=[\x01\x03\x07\x08])[\x07\x08]*([\x01\x03][\x04\x05]*)[\x07\x08]*", "$1"),
+    (r"[\x07\x08]*([\x01\x03][\x04\x05]*)[\x07\x08]*", "$1"),
     (r"\x03[\x04\x05]*(?=\x03)", ""),
     (r"\x03[\x04\x05]*(?=\x01)", ""),
     (r"\x01[\x04\x05]*(?=\x01)", ""),
     (r"\x01[\x04\x05]*\x03", "\x01"),
     (r"^[\x01\x03]|[\x01\x03][\x04\x05]*$", ""),
-    (r"(?=[\x07\x08])\x07*\x08[\x07\x08]*", "\x08"),
+    (r"\x07*\x08[\x07\x08]*", "\x08"),
     (r"\x01", "\n\n"),
     (r"\x03", "\n"),
     # blank lines inside a quote are quoted
@@ -234,15 +59,160 @@ SETTLE = (
 )
 
 
-def settle(joined) -> Column:
-    out = joined
+def _tags(*tags):
+    return f"n.tag IN ({', '.join(quoted(t) for t in tags)})"
+
+
+def _break(kind, quotes="n.quotes"):
+    return f"concat({quoted(kind)}, repeat({quoted(QUOTE)}, {quotes}), repeat({quoted(PAD)}, n.indent))"
+
+
+def _attr(name):
+    return f"try_element_at(n.attrs, {quoted(name)})"
+
+
+def _below(nodes):
+    return f"slice({nodes}, n.node_id + 2, n.end_id - n.node_id)"
+
+
+def _link_text(nodes):
+    text = f"array_join(transform({_below(nodes)}, x -> if(x.killed, NULL, x.text)), '')"
+    return f"trim(BOTH {quoted(WHITESPACE)} FROM {text})"
+
+
+def _is_autolink(nodes):
+    return f"({_attr('href')} = {_link_text(nodes)} AND {_attr('title')} IS NULL)"
+
+
+def _is_link(nodes):
+    return f"({_attr('href')} <> '' AND n.verbatim = 0 AND {_link_text(nodes)} <> '')"
+
+
+def _cells(nodes):
+    return f"filter({_below(nodes)}, x -> x.parent_id = n.node_id AND x.tag IN ('td', 'th'))"
+
+
+def _rule(nodes):
+    return f"concat('|', repeat(' --- |', size({_cells(nodes)})))"
+
+
+def _is_head_row(nodes):
+    return (
+        f"(coalesce(get({nodes}, n.parent_id).tag = 'thead', false) "
+        f"OR NOT exists({_cells(nodes)}, x -> x.tag = 'td'))"
+    )
+
+
+def _edge(text):
+    newline = f"NOT n.oneline AND {text} RLIKE '[\\\\r\\\\n]'"
+    return f"CASE WHEN {text} = '' THEN '' WHEN {newline} THEN {quoted(NEWLINE)} ELSE {quoted(SPACE)} END"
+
+
+def _text_piece():
+    blank = r"' \t\r\n'"
+    left = f"left(n.text, length(n.text) - length(ltrim({blank}, n.text)))"
+    right = f"substr(n.text, length(rtrim({blank}, n.text)) + 1)"
+    return f"""CASE
+        WHEN n.verbatim = 2 THEN {quoted(TEXT)}
+        WHEN ltrim({blank}, n.text) = '' THEN {_edge('n.text')}
+        ELSE concat({_edge(left)}, {quoted(TEXT)}, {_edge(right)}) END"""
+
+
+def _text_core():
+    """The text itself, white space narrowed, stars and underscores escaped outside code."""
+    core = r"trim(BOTH ' \t\r\n' FROM n.text)"
+    lines = f"regexp_replace({core}, '[ \\\\t]*[\\\\r\\\\n][ \\\\t\\\\r\\\\n]*', if(n.oneline, ' ', '\\n'))"
+    flat = f"if({core} RLIKE '[\\\\r\\\\n]', {lines}, {core})"
+    flat = f"regexp_replace({flat}, '[ \\\\t]{{2,}}|\\\\t', ' ')"
+    return f"""CASE
+        WHEN n.verbatim = 2 THEN n.text
+        WHEN ltrim(' \\t\\r\\n', n.text) = '' THEN NULL
+        WHEN n.verbatim = 1 THEN {flat}
+        ELSE regexp_replace({flat}, '([*_])', '\\\\\\\\$1') END"""
+
+
+def _open(nodes):
+    inline = "\n".join(
+        f"WHEN {_tags(*tags)} THEN if(n.verbatim = 2, NULL, {quoted(marks[0])})" for tags, marks in INLINE
+    )
+    return f"""CASE
+        WHEN n.tag = '#text' THEN {_text_piece()}
+        WHEN {_tags(*BLOCKS)} THEN if(n.oneline, {quoted(SPACE)}, {_break(BLANK)})
+        WHEN n.tag = 'a' THEN
+          CASE WHEN {_is_link(nodes)} THEN if({_is_autolink(nodes)}, '<', {quoted(LINK[0])}) END
+        WHEN n.tag = 'li' THEN concat(
+          {_break(LINE)}, if(n.item_no > 0, concat(n.item_no, '. '), '* '), {quoted(MARK_END)})
+        WHEN n.tag = 'br' THEN if(n.oneline, {quoted(SPACE)}, {quoted(BR)})
+        {inline}
+        WHEN n.tag RLIKE '^h[1-6]$' THEN concat(
+          {_break(BLANK)}, repeat('#', int(substr(n.tag, 2))), {quoted(" " + MARK_END)})
+        WHEN {_tags("ul", "ol", "menu")} THEN if(n.indent > 0, {_break(LINE)}, {_break(BLANK)})
+        WHEN n.tag = 'blockquote' THEN concat({_break(BLANK, "n.quotes - 1")}, {_break(BLANK)})
+        WHEN n.tag = 'pre' THEN concat({_break(BLANK)}, {quoted("```" + RAW_LINE)})
+        WHEN n.tag = 'hr' THEN concat({_break(BLANK)}, '---', {_break(BLANK)})
+        WHEN n.tag = 'dd' THEN concat({_break(LINE)}, {quoted(":   " + MARK_END)})
+        WHEN {_tags("td", "th")} THEN {quoted(" " + MARK_END)}
+        WHEN n.tag = 'tr' THEN concat(
+          CASE WHEN n.item_no = 1 AND NOT {_is_head_row(nodes)} THEN concat(
+            {_break(LINE)}, '|', repeat('  |', size({_cells(nodes)})), {_break(LINE)}, {_rule(nodes)})
+          ELSE '' END, {_break(LINE)}, '|')
+        END"""
+
+
+def _close(nodes):
+    inline = "\n".join(
+        f"WHEN {_tags(*tags)} THEN if(n.verbatim = 2, NULL, {quoted(marks[1])})" for tags, marks in INLINE
+    )
+    title = f"""concat(' "', replace({_attr('title')}, '"', '\\\\"'), '"')"""
+    target = f"concat({quoted(LINK[1])}, '(', {_attr('href')}, coalesce({title}, ''), ')')"
+    return f"""CASE
+        WHEN {_tags(*BLOCKS)} THEN if(n.oneline, {quoted(SPACE)}, {_break(BLANK)})
+        WHEN n.tag = 'a' THEN
+          CASE WHEN {_is_link(nodes)} THEN if({_is_autolink(nodes)}, '>', {target}) END
+        WHEN {_tags("li", "dd")} THEN {quoted(ITEM_END)}
+        {inline}
+        WHEN n.tag RLIKE '^h[1-6]$' THEN concat({quoted(ITEM_END)}, {_break(BLANK)})
+        WHEN {_tags("ul", "ol", "menu")} THEN if(n.indent = 0, {_break(BLANK)}, NULL)
+        WHEN n.tag = 'blockquote' THEN {_break(BLANK, "n.quotes - 1")}
+        WHEN n.tag = 'pre' THEN concat({quoted(RAW_LINE + "```")}, {_break(BLANK)})
+        WHEN {_tags("td", "th")} THEN {quoted(ITEM_END + " |")}
+        WHEN n.tag = 'tr' AND n.item_no = 1 AND {_is_head_row(nodes)} THEN
+          concat({_break(LINE)}, {_rule(nodes)})
+        END"""
+
+
+def markdown_pieces(nodes: str, top: str) -> Column:
+    """Pieces (at, phase, inner, piece, core) of a subtree in document order.
+
+    ``nodes`` is the node array, ``top`` a struct with node_id and end_id, both as SQL.  The top
+    element itself renders too.
+    """
+    span = f"greatest({top}.node_id + 1, 1), {top}.end_id - {top}.node_id + 1"
+    return F.expr(f"""
+      array_sort(filter(flatten(transform(
+        filter(slice({nodes}, {span}), n -> NOT n.killed AND NOT n.media),
+        n -> array(
+          named_struct('at', n.node_id, 'phase', 0, 'inner', 0, 'piece', {_open(nodes)},
+                       'core', if(n.tag = '#text', {_text_core()}, NULL)),
+          named_struct('at', n.end_id, 'phase', 1, 'inner', -n.node_id,
+                       'piece', if(n.tag = '#text', NULL, {_close(nodes)}),
+                       'core', CAST(NULL AS STRING))))),
+        e -> e.piece IS NOT NULL))""")
+
+
+def settled_markdown(pieces: str) -> Column:
+    """Markdown from a column of pieces."""
+    marks = f"array_join(transform({pieces}, e -> e.piece), '')"
     for pattern, replacement in SETTLE:
-        out = F.regexp_replace(out, pattern, replacement)
-    for mark, plain in RESOLVED.items():
-        out = F.replace(out, F.lit(mark), F.lit(plain))
-    return strip_ws(out)
+        marks = f"regexp_replace({marks}, {quoted(pattern)}, {quoted(replacement)})"
+    for mark, plain in PLAIN.items():
+        marks = f"replace({marks}, {quoted(mark)}, {quoted(plain)})"
+    cores = f"filter(transform({pieces}, e -> e.core), c -> c IS NOT NULL)"
+    joined = f"""array_join(flatten(zip_with(
+        split({marks}, {quoted(TEXT)}), array_append({cores}, ''), (m, c) -> array(m, c))), '')"""
+    return strip_ws(F.expr(joined))
 
 
-def body_markdown(markup_text) -> Column:
+def body_markdown(text) -> Column:
     """Markdown of a body that came as text."""
-    return strip_ws(escape(markup_text))
+    return strip_ws(F.regexp_replace(text, r"([*_])", r"\\$1"))

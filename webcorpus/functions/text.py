@@ -15,6 +15,11 @@ DEFAULT_LANGUAGE = "uz"
 MIN_CONTENT_LENGTH = 100
 
 
+def quoted(text: str) -> str:
+    """A string as SQL literal."""
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
 def strip_ws(c) -> Column:
     """Strip every kind of Unicode whitespace from both ends (built-in ``trim`` only strips U+0020)."""
     return F.trim(c, F.lit(WHITESPACE))

@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from webcorpus.functions import nodes as N
-from webcorpus.functions.markdown import body_markdown, to_markdown
+from webcorpus.functions.markdown import body_markdown, markdown_pieces, settled_markdown
 from webcorpus.functions.text import candidate_score, fragment_text, strip_ws, url_netloc
 
 # Host, order, selector.
@@ -129,7 +129,7 @@ def best_node(pages: DataFrame) -> DataFrame:
 def paragraph_candidate(pages: DataFrame) -> DataFrame:
     """Add ``paragraph_node``: the block its paragraphs speak for most."""
     nodes = F.col("nodes")
-    return pages.withColumn("paragraph_node", F.get(nodes, N.paragraph_node_id(nodes)))
+    return pages.withColumn("paragraph_node", F.get(nodes, N.paragraph_node_id("nodes")))
 
 
 def selector_candidates(pages: DataFrame) -> DataFrame:
@@ -144,6 +144,13 @@ def selector_candidates(pages: DataFrame) -> DataFrame:
     )
 
 
+def to_markdown(pages: DataFrame, top: str = None) -> DataFrame:
+    """Add ``markdown`` of the subtree under ``top``, a node column, or of the whole page."""
+    span = N.whole_page(F.col("nodes")) if top is None else _span(F.col(top))
+    pieces = pages.withColumn("_top", span).withColumn("_pieces", markdown_pieces("nodes", "_top"))
+    return pieces.withColumn("markdown", settled_markdown("_pieces")).drop("_top", "_pieces")
+
+
 def with_candidates(pages: DataFrame, jsonld: bool = True) -> DataFrame:
     """Add ``candidates``, in order (and ``_heads``)."""
     rules = F.col("rules") if "rules" in pages.columns else None
@@ -208,14 +215,7 @@ def main_content(pages: DataFrame, jsonld: bool = True) -> DataFrame:
             title.alias("title"),
             F.when(top.isNotNull(), N.final_text(nodes, top)).otherwise(body).alias("text"),
         ),
-    ).withColumn(
-        "_markdown",
-        # Markdown is only worked out for texts that can become an article.
-        F.when(
-            F.col("_content.text") != "",
-            F.when(top.isNotNull(), to_markdown(nodes, top)).otherwise(body_markdown(body)),
-        ),
-    )
+    ).withColumn("_pieces", F.when(top.isNotNull(), markdown_pieces("nodes", "_top")))
     keep = [c for c in pages.columns if c not in ("nodes", "rules")]
     return done.select(
         *keep,
@@ -223,5 +223,5 @@ def main_content(pages: DataFrame, jsonld: bool = True) -> DataFrame:
         .otherwise(N.fallback_title(nodes, F.col("_heads")))
         .alias("title"),
         F.col("_content.text").alias("text"),
-        F.col("_markdown").alias("markdown"),
+        F.when(top.isNotNull(), settled_markdown("_pieces")).otherwise(body_markdown(body)).alias("markdown"),
     )
