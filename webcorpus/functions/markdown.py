@@ -36,7 +36,7 @@ INLINE = (
 SETTLE = (
     # white space moves out of inline marks; empty marks vanish
     (r"([\x10\x12\x14\x16\x18])(\x07?)[\x01-\x05\x07\x08]*", "$2$1"),
-    (r"[\x01-\x05\x07\x08]*?(\x07?)([\x11\x13\x15\x17\x19])", "$1$2"),
+    (r"[\x01-\x05\x07\x08]*?(\x07?)([\x11\x13\x15\x17\x19])", "$2$1"),
     (r"[\x10\x12\x14\x18][\x11\x13\x15\x19]", ""),
     # nothing but text follows a mark or precedes the end of an item
     (r"\x0e[\x01-\x05\x07\x08]*", "\x0e"),
