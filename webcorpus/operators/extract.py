@@ -88,7 +88,7 @@ def meta_body(pages: DataFrame) -> DataFrame:
 
 
 def jsonld_body(pages: DataFrame) -> DataFrame:
-    return pages.withColumn("jsonld_body", N.jsonld_body(F.col("nodes")))
+    return pages.withColumn("jsonld_body", N.jsonld_body())
 
 
 def drop_blocks(pages: DataFrame) -> DataFrame:

@@ -50,8 +50,10 @@ def expand_sitemaps(roots: DataFrame, links: DataFrame, max_depth: int = 100) ->
     raise ValueError(f"sitemaps nest deeper than {max_depth}")
 
 
-def listed_urls(roots: DataFrame, sitemaps: DataFrame) -> DataFrame:
-    """(root, url, ord): all page links below the roots, numbered from 0 in walk order.
+def listed_urls(roots: DataFrame, sitemaps: DataFrame, limit: int = 0) -> DataFrame:
+    """(root, url, ord): page links below the roots, numbered from 0 in walk order.
+
+    With a limit, the first of each root; sitemaps behind it are not opened.
 
     ``sitemaps`` has ``urls`` and ``children`` per sitemap (``sources.sitemaps.sitemap_links``) and
     should be a stored table, as each level reads its small ``children`` column again.
@@ -61,14 +63,18 @@ def listed_urls(roots: DataFrame, sitemaps: DataFrame) -> DataFrame:
     """
     links = sitemaps.select("sitemap_url", F.inline("children").alias("pos", "child"))
     tree = expand_sitemaps(roots, links)
-    sizes = sitemaps.select("sitemap_url", F.size("urls").cast("bigint").alias("n"))
+    sizes = sitemaps.select("sitemap_url", F.col("n_urls").alias("n"))
     before = Window.partitionBy("root").orderBy("path").rowsBetween(Window.unboundedPreceding, -1)
     starts = tree.join(sizes, "sitemap_url").select(
         "root", "sitemap_url", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("first")
     )
+    if limit:
+        starts = starts.where(F.col("first") < limit)
     lists = starts.join(sitemaps.select("sitemap_url", "urls"), "sitemap_url")
     placed = lists.select("root", "first", F.posexplode("urls").alias("place", "url"))
-    return placed.select("root", "url", (F.col("first") + F.col("place")).alias("ord"))
+    urls = placed.select("root", "url", (F.col("first") + F.col("place")).alias("ord"))
+    # The numbers are dense per root, so the cut is a plain filter.
+    return urls.where(F.col("ord") < limit) if limit else urls
 
 
 def limit_urls(urls: DataFrame, limit: int, group: str = "root", order: str = "ord") -> DataFrame:
@@ -149,10 +155,7 @@ def frontier(
     Order of steps: list, cut at the limit, drop repeats, drop what is stored.  With
     ``limit_after_skip`` the cut comes last, so that a rerun gets on to new URLs.
     """
-    urls = listed_urls(roots, sitemaps)
-    if limit and not limit_after_skip:
-        # The numbers are dense per root, so the cut is a plain filter.
-        urls = urls.where(F.col("ord") < limit)
+    urls = listed_urls(roots, sitemaps, 0 if limit_after_skip else limit)
     urls = unique_urls(urls.withColumn("source", url_netloc("root")), "source", "url")
     if existing is not None:
         urls = pending_urls(urls, existing.select("source", "url"), "source", "url")

@@ -4,7 +4,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from webcorpus.operators.articles import crawl_summary, page_outcomes
-from webcorpus.operators.frontier import frontier
+from webcorpus.operators.frontier import frontier, pending_urls
 from webcorpus.sources.article_store import ArticleStore
 from webcorpus.sources.sitemaps import pick_sitemap, sitemap_links
 from webcorpus.sources.storage import stored
@@ -33,12 +33,12 @@ def crawl(
     )
     sitemaps = stored(sitemap_links(bodies), "sitemaps")
     existing = store.existing_urls() if skip_existing else None
-    todo = frontier(roots, sitemaps, existing, max_pages)
-    fetched = pages.select("url", F.lit(200).alias("status"), "html") if (
-        "status" not in pages.columns
-    ) else pages.select("url", "status", "html")
-    # The anti-join with the store comes before the parse; texts and reasons are kept once.
-    outcomes = stored(page_outcomes(todo.join(fetched, "url", "left"), **options), "outcomes")
-    articles = outcomes.where(F.col("reason").isNull())
-    store.write_articles(articles, store.next_batch(), F.col("ord"))
-    return crawl_summary(outcomes)
+    todo = stored(frontier(roots, sitemaps, existing, max_pages), "todo")
+    # Matched before the parse.  As a stored table the list has a known size: while it is small it
+    # is broadcast and the pages are not shuffled.
+    outcomes = stored(page_outcomes(pages.join(todo, "url"), **options), "outcomes")
+    store.write_articles(outcomes.where(F.col("reason").isNull()), store.next_batch(), F.col("ord"))
+    missing = pending_urls(todo, pages.select("url")).select(
+        "source", F.lit("status").alias("reason"), F.lit(0).cast("bigint").alias("word_count")
+    )
+    return crawl_summary(outcomes.select("source", "reason", "word_count").unionByName(missing))

@@ -106,15 +106,21 @@ class ArticleStore:
         old, new = self.rows()
         return latest_articles(new) if old is None else upsert_articles(old, new)
 
-    def existing_urls(self, source: str = None, before: int = None) -> DataFrame:
-        """(source, url) stored, NULLs dropped; reads no other column, and one source's folder only."""
+    def stored_keys(self, source: str = None, before: int = None) -> DataFrame:
+        """(source, url) of every stored row, NULL URLs and repeats included.
+
+        No other column is read, and only one source's folder where a source is given.
+        """
         old, new = self.rows(before)
         if source is not None:
             # The folder name lets partitions be pruned; the name itself decides.
             match = (F.col("source_key") == source_key(F.lit(source))) & (F.col("source") == source)
             old, new = old if old is None else old.where(match), new.where(match)
-        urls = new.select(*KEYS) if old is None else old.select(*KEYS).unionByName(new.select(*KEYS))
-        return urls.where(F.col("url").isNotNull()).distinct()
+        return new.select(*KEYS) if old is None else old.select(*KEYS).unionByName(new.select(*KEYS))
+
+    def existing_urls(self, source: str = None, before: int = None) -> DataFrame:
+        """(source, url) stored, each once, NULL URLs dropped."""
+        return self.stored_keys(source, before).where(F.col("url").isNotNull()).distinct()
 
     def compact(self) -> None:
         """Write the current table as a new snapshot; readers move over when it has committed."""

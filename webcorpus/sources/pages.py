@@ -16,15 +16,16 @@ ARTICLE_ATTRIBUTES = (
 
 
 def spread_small(df: DataFrame) -> DataFrame:
-    """Spread an input too small to occupy every core; larger inputs keep their scan splits.
+    """Spread an input that its scan cannot split over all cores; larger ones keep their splits.
 
-    The size is the planner's own estimate, so no job runs, and no big table is ever shuffled.
+    Below one minimal split per core a file may be read by a single task.  The size is the
+    planner's own estimate, so no job runs, and no big table is ever shuffled.
     """
     spark = df.sparkSession
     cores = spark.sparkContext.defaultParallelism
-    split = spark._jsparkSession.sessionState().conf().filesMaxPartitionBytes()
+    smallest_split = spark._jsparkSession.sessionState().conf().filesOpenCostInBytes()
     size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    return df.repartition(cores) if size < cores * split else df
+    return df.repartition(cores) if size < cores * smallest_split else df
 
 
 def read_pages(spark: SparkSession, path, schema: T.StructType = PAGES) -> DataFrame:

@@ -108,7 +108,8 @@ def parsed_sitemaps(bodies: DataFrame) -> DataFrame:
 
 
 def sitemap_links(bodies: DataFrame) -> DataFrame:
-    """(sitemap_url, urls, children): each sitemap's page links, and its sitemap links with position.
+    """(sitemap_url, n_urls, urls, children): each sitemap's page links, and its sitemap links with
+    their position.
 
     The lists stay in the sitemap's row, so a page link's place in its sitemap needs no sort.
     """
@@ -117,11 +118,12 @@ def sitemap_links(bodies: DataFrame) -> DataFrame:
         lambda x: x["loc"] != "",
     )
     clean = parsed_sitemaps(bodies).where(F.col("reason").isNull()).select("sitemap_url", locs.alias("l"))
-    return clean.select(
+    lists = clean.select(
         "sitemap_url",
         F.transform(F.filter("l", lambda x: ~is_sitemap_link(x["loc"])), lambda x: x["loc"]).alias("urls"),
         F.filter("l", lambda x: is_sitemap_link(x["loc"])).alias("children"),
     )
+    return lists.select("sitemap_url", F.size("urls").cast("bigint").alias("n_urls"), "urls", "children")
 
 
 def reject_bad_sitemaps(bodies: DataFrame) -> DataFrame:

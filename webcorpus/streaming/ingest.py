@@ -40,9 +40,11 @@ def ingest_stream(
         if "source" not in batch.columns:
             batch = batch.withColumn("source", url_netloc("url"))
         if skip_existing:
-            # Only earlier batches count: this one may be here from a failed attempt.
-            stored = store.existing_urls(before=batch_id)
-            batch = pending_urls(batch, stored, "source", "url")
+            # Only earlier batches count: this one may be here from a failed attempt.  The stored
+            # keys are first cut down to the batch's few, so that the store is not shuffled.
+            keys = batch.select("source", "url")
+            known = store.stored_keys(before=batch_id).join(keys, ["source", "url"], "left_semi")
+            batch = pending_urls(batch, known, "source", "url")
         store.write_articles(build_articles(batch, **options), batch_id, F.col(order))
 
     return (
