@@ -51,6 +51,11 @@ def pages(spark, sf):
     return spread_small(read_pages(spark, f"{sf}/pages.parquet"))
 
 
+def urls(spark, sf):
+    """Page ids and URLs only: the bodies are not read."""
+    return spread_small(table(spark, sf, "pages").select("page_id", "url"))
+
+
 def nodes(spark, sf):
     return page_nodes(pages(spark, sf), ARTICLE_ATTRIBUTES)
 
@@ -60,7 +65,7 @@ def documents(spark, sf):
 
 
 def hosts(spark, sf):
-    return pages(spark, sf).select(T.url_netloc("url").alias("host")).distinct()
+    return urls(spark, sf).select(T.url_netloc("url").alias("host")).distinct()
 
 
 def crawl_time():
@@ -80,7 +85,7 @@ CHUNK = 50_000   # links a sitemap may hold, by its protocol
 
 def site_links(spark, sf):
     """(root, sitemap_url, page_id, url): each page in its host's and in its language's sitemap."""
-    p = pages(spark, sf).select(
+    p = urls(spark, sf).select(
         "page_id", "url", T.url_netloc("url").alias("host"),
         F.regexp_extract("url", r"^\w+://[^/]*/(\w*)", 1).alias("lang"),
         F.floor(F.col("page_id") / CHUNK).cast("string").alias("chunk"),
@@ -256,7 +261,7 @@ def clean_locs(spark, sf):
     loc = F.when(F.col("url").contains("#"), " \t\n\x85").otherwise(
         F.concat(F.lit("\n\t "), "url", F.lit("\xa0  \r\n"))
     )
-    return M.clean_locs(pages(spark, sf).select("page_id", loc.alias("loc")))
+    return M.clean_locs(urls(spark, sf).select("page_id", loc.alias("loc")))
 
 
 def split_locs(spark, sf):
@@ -266,7 +271,7 @@ def split_locs(spark, sf):
         .when(F.col("url").endswith("/"), F.concat("url", F.lit("a.xml?x=1")))
         .otherwise(F.col("url"))
     )
-    return M.split_locs(pages(spark, sf).select("page_id", loc.alias("loc")))
+    return M.split_locs(urls(spark, sf).select("page_id", loc.alias("loc")))
 
 
 def min_length_filter(spark, sf):
@@ -277,7 +282,7 @@ def min_length_filter(spark, sf):
 
 
 def page_urls(spark, sf):
-    return pages(spark, sf).select(
+    return urls(spark, sf).select(
         "url", T.url_netloc("url").alias("source"), F.col("page_id").alias("ord")
     )
 
@@ -298,16 +303,15 @@ def skip_counts(spark, sf):
 
 
 def unique_urls(spark, sf):
-    urls = page_urls(spark, sf).select("url", "ord")
+    listed = page_urls(spark, sf).select("url", "ord")
     again = table(spark, sf, "orders").select(
         F.concat(F.lit("customer:"), F.col("o_custkey")).alias("url"), F.col("o_orderkey").alias("ord")
     )
-    return R.unique_urls(urls.unionByName(again))
+    return R.unique_urls(listed.unionByName(again))
 
 
 def limit_urls(spark, sf):
-    urls = page_urls(spark, sf).withColumnRenamed("source", "root")
-    return R.limit_urls(urls, 3)
+    return R.limit_urls(page_urls(spark, sf).withColumnRenamed("source", "root"), 3)
 
 
 def politeness_schedule(spark, sf):
@@ -398,14 +402,14 @@ def crawl_summary(spark, sf):
 
 
 def url_parts(spark, sf):
-    return pages(spark, sf).select(
+    return urls(spark, sf).select(
         "page_id", T.url_scheme("url").alias("scheme"), T.url_netloc("url").alias("netloc"),
         T.url_path("url").alias("path"),
     )
 
 
 def url_lang(spark, sf):
-    return pages(spark, sf).select("page_id", T.url_lang("url").alias("lang"))
+    return urls(spark, sf).select("page_id", T.url_lang("url").alias("lang"))
 
 
 def word_count(spark, sf):

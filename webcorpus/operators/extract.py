@@ -1,6 +1,8 @@
 """Pages to titles, candidates and the chosen main content.
 
-All operators work inside a page's row; none shuffles unless it says so.
+All operators work inside a page's row; none shuffles unless it says so.  Arrays are turned into
+rows by outer generators and a filter behind them: for a plain one the optimizer would add a filter
+in front that works the array out a second time.
 """
 
 from pyspark.sql import DataFrame
@@ -23,19 +25,22 @@ SELECTOR_RULES = (
     ("aniq.uz", 0, ".single-content"),
     ("aniq.uz", 1, ".entry-content"),
 )
-RULES_SCHEMA = "host string, ord int, css string"
+# Up to this many rules are sent to every executor.
+MAX_BROADCAST_RULES = 100_000
 
 
 def selector_rules(spark, rows=SELECTOR_RULES) -> DataFrame:
-    return spark.createDataFrame(list(rows), RULES_SCHEMA)
+    return spark.createDataFrame(list(rows), "host string, ord int, css string")
 
 
 def add_rules(pages: DataFrame, rules: DataFrame) -> DataFrame:
     """Attach a page's selector rules by exact host.
 
-    The join runs before the parse, on the slim side of it.  The planner broadcasts the rules when
-    their size allows it and otherwise joins by sorting.
+    The join runs before the parse, on the slim side of it.  Rules are counted, as far as the
+    bound: within it they are broadcast and pages stay where they are; beyond it the join is
+    sorted, with hot hosts split at run time.
     """
+    few = rules.limit(MAX_BROADCAST_RULES + 1).count() <= MAX_BROADCAST_RULES
     css = F.col("css")
     per_host = rules.groupBy(F.col("host").alias("_host")).agg(
         F.array_sort(
@@ -49,6 +54,7 @@ def add_rules(pages: DataFrame, rules: DataFrame) -> DataFrame:
             )
         ).alias("rules")
     )
+    per_host = F.broadcast(per_host) if few else per_host
     return pages.join(per_host, url_netloc("url") == F.col("_host"), "left").drop("_host")
 
 
@@ -62,7 +68,7 @@ def meta_tags(pages: DataFrame) -> DataFrame:
     """Meta tags as rows: key lowercased, ``property`` before ``name``, blank ones dropped."""
     tags = pages.select(
         "page_id",
-        F.inline(
+        F.inline_outer(
             F.transform(
                 F.filter("nodes", lambda n: (n["tag"] == "meta") & ~n["killed"]),
                 lambda n: F.struct(
@@ -105,9 +111,9 @@ def html_to_text(pages: DataFrame) -> DataFrame:
 
 def link_density(pages: DataFrame) -> DataFrame:
     """One row per block the density rule compares."""
-    return pages.select(
+    blocks = pages.select(
         "page_id",
-        F.inline(
+        F.inline_outer(
             F.transform(
                 N.density_blocks(F.col("nodes")),
                 lambda n: F.struct(
@@ -118,6 +124,7 @@ def link_density(pages: DataFrame) -> DataFrame:
             )
         ),
     )
+    return blocks.where(F.col("node_id").isNotNull())
 
 
 def best_node(pages: DataFrame) -> DataFrame:
@@ -136,9 +143,10 @@ def selector_candidates(pages: DataFrame) -> DataFrame:
     """One row per node a selector rule of the page's host matches (pages need ``rules``)."""
     nodes = F.col("nodes")
     matched = pages.select(
-        "page_id", "url", "nodes", F.posexplode(N.selector_matches(nodes, F.col("rules"))).alias("ord", "n")
+        "page_id", "url", "nodes",
+        F.posexplode_outer(N.selector_matches(nodes, F.col("rules"))).alias("ord", "n"),
     )
-    return matched.select(
+    return matched.where(F.col("ord").isNotNull()).select(
         "page_id", "url", "ord", F.col("n.node_id").alias("node_id"), F.col("n.tag").alias("tag"),
         strip_ws(N.inner_text(nodes, F.col("n"), "\n")).alias("text"),
     )
@@ -163,8 +171,8 @@ def with_candidates(pages: DataFrame, jsonld: bool = True) -> DataFrame:
 def content_candidates(pages: DataFrame, jsonld: bool = True) -> DataFrame:
     """Candidates as rows."""
     nodes = F.col("nodes")
-    rows = with_candidates(pages, jsonld).select("page_id", "nodes", F.inline("candidates"))
-    texts = rows.select(
+    rows = with_candidates(pages, jsonld).select("page_id", "nodes", F.inline_outer("candidates"))
+    texts = rows.where(F.col("method").isNotNull()).select(
         "page_id", "ord", "method", "node_id",
         N.candidate_text(nodes, {"node_id": F.col("node_id"), "body": F.col("body")}).alias("text"),
     )

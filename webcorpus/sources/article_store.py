@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from webcorpus.functions.text import source_key
 from webcorpus.schemas import ARTICLE, ARTICLE_LOG
-from webcorpus.sources.storage import child_dirs
+from webcorpus.sources.storage import child_dirs, stored
 
 KEYS = ("source", "url")
 ORDER = ("batch_id", "pos")
@@ -35,14 +35,29 @@ def latest_articles(log: DataFrame, keys=KEYS, order=ORDER) -> DataFrame:
     )
 
 
-def upsert_articles(old: DataFrame, new: DataFrame, keys=KEYS, order=ORDER) -> DataFrame:
+def latest_stored(log: DataFrame, keys=KEYS, order=ORDER) -> DataFrame:
+    """``latest_articles`` for a log that is a stored table with few repeats.
+
+    A pass over the keys finds the repeated ones; they are written down, so that their size is
+    known.  While it is small, only the rows of those keys are shuffled.
+    """
+    repeated = log.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > 1)
+    repeated = stored(repeated.select(*keys), "repeated")
+    single = log.join(repeated, list(keys), "left_anti").select(*log.columns)
+    several = log.join(repeated, list(keys), "left_semi").select(*log.columns)
+    return single.unionByName(latest_articles(several, keys, order))
+
+
+def upsert_articles(
+    old: DataFrame, new: DataFrame, keys=KEYS, order=ORDER, latest=latest_articles
+) -> DataFrame:
     """Old rows that no new row replaces, and the last new row of each key.
 
     ``old`` must hold one row per key.  Only the keys of ``new`` are matched against it, so while
     they are small by the planner's figures the old texts are not shuffled at all.
     """
     kept = old.join(new.select(*keys).distinct(), list(keys), "left_anti").select(*old.columns)
-    return kept.unionByName(latest_articles(new, keys, order).select(*old.columns))
+    return kept.unionByName(latest(new, keys, order).select(*old.columns))
 
 
 class ArticleStore:
@@ -101,10 +116,10 @@ class ArticleStore:
         old = None if last is None else self._snapshot_rows(last)
         return old, self._log(-1 if last is None else last, before)
 
-    def articles(self) -> DataFrame:
+    def articles(self, latest=latest_articles) -> DataFrame:
         """The current table: the last appended row of each (source, url)."""
         old, new = self.rows()
-        return latest_articles(new) if old is None else upsert_articles(old, new)
+        return latest(new) if old is None else upsert_articles(old, new, latest=latest)
 
     def stored_keys(self, source: str = None, before: int = None) -> DataFrame:
         """(source, url) of every stored row, NULL URLs and repeats included.
@@ -127,5 +142,5 @@ class ArticleStore:
         batches = self.batches()
         if not batches or self.snapshot() == batches[-1]:
             return
-        rows = self.articles().select(*ARTICLE_LOG.names)
+        rows = self.articles(latest_stored).select(*ARTICLE_LOG.names)
         self._write(rows, f"{self.root}/snapshots/through={batches[-1]}")
