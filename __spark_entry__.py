@@ -440,7 +440,7 @@ def crawled_at(spark, sf):
 
 def page_nodes_query(spark, sf):
     rows = nodes(spark, sf).select("page_id", F.explode("nodes.tag").alias("tag"))
-    return rows.where(F.col("tag") != "#text").groupBy("page_id", "tag").agg(F.count(F.lit(1)).alias("n"))
+    return rows.where(~F.col("tag").startswith("#")).groupBy("page_id", "tag").agg(F.count(F.lit(1)).alias("n"))
 
 
 def page_title(spark, sf):

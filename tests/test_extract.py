@@ -61,6 +61,20 @@ def test_text_nodes_are_joined_by_newlines(spark):
     assert texts(spark, "<body><p>Hello <b>big</b> world</p></body>") == ["Hello \nbig\n world"]
 
 
+def test_blank_texts_shrink(spark):
+    assert texts(spark, "<body><p>a</p>\n   <p>b</p> \t <p>c</p></body>") == ["a\n\nb\n \nc"]
+
+
+def test_cut_out_block_keeps_its_tail(spark):
+    htmls = [
+        f"<body><div>{WORDS}</div>tail<p>x</p></body>", f"<body><div>{WORDS}</div><!-- c -->no<p>x</p></body>",
+        f"<body><section><div>{WORDS}</div></section>  <p>x</p></body>",
+    ]
+    nodes = page_nodes(pages(spark, *htmls))
+    assert values(E.content_candidates(nodes).where("method = 'density'"), "text") == [WORDS + "\ntail", WORDS, WORDS]
+    assert values(E.main_content(nodes), "markdown") == [WORDS + "\n\ntail", WORDS, WORDS]
+
+
 def test_media_is_left_out(spark):
     assert texts(spark, "<body><p>a<video>no <b>no</b></video>b<img src=x>c</p></body>") == ["a\nb\nc"]
 

@@ -105,7 +105,7 @@ def drop_blocks(pages: DataFrame) -> DataFrame:
 def html_to_text(pages: DataFrame) -> DataFrame:
     """Add ``text``: the body's live text nodes joined by newlines, media left out."""
     nodes = F.col("nodes")
-    top = F.coalesce(_span(N.body_node(nodes)), N.whole_page(nodes))
+    top = F.coalesce(N.span(N.body_node(nodes)), N.whole_page(nodes))
     return pages.withColumn("text", N.final_text(nodes, top))
 
 
@@ -154,27 +154,33 @@ def selector_candidates(pages: DataFrame) -> DataFrame:
 
 def to_markdown(pages: DataFrame, top: str = None) -> DataFrame:
     """Add ``markdown`` of the subtree under ``top``, a node column, or of the whole page."""
-    span = N.whole_page(F.col("nodes")) if top is None else _span(F.col(top))
+    span = N.whole_page(F.col("nodes")) if top is None else N.span(F.col(top))
     pieces = pages.withColumn("_top", span).withColumn("_pieces", markdown_pieces("nodes", "_top"))
     return pieces.withColumn("markdown", settled_markdown("_pieces")).drop("_top", "_pieces")
 
 
 def with_candidates(pages: DataFrame, jsonld: bool = True) -> DataFrame:
     """Add ``candidates``, in order (and ``_heads``)."""
-    rules = F.col("rules") if "rules" in pages.columns else None
-    heads = pages.withColumn("_heads", N.head_nodes(F.col("nodes")))
-    return heads.withColumn(
-        "candidates", N.candidates(F.col("nodes"), F.col("_heads"), rules, jsonld)
+    nodes, rules = F.col("nodes"), F.col("rules") if "rules" in pages.columns else None
+    found = pages.select(
+        "*",
+        N.head_nodes(nodes).alias("_heads"),
+        N.paragraph_node_id("nodes").alias("_paragraph"),
+        N.best_node_id(nodes).alias("_density"),
+    )
+    listed = N.candidates(
+        nodes, F.col("_heads"), F.col("_paragraph"), F.col("_density"), rules, jsonld
     )
+    return found.withColumn("candidates", listed).drop("_paragraph", "_density")
 
 
 def content_candidates(pages: DataFrame, jsonld: bool = True) -> DataFrame:
     """Candidates as rows."""
     nodes = F.col("nodes")
     rows = with_candidates(pages, jsonld).select("page_id", "nodes", F.inline_outer("candidates"))
+    span = {name: F.col(name) for name in ("node_id", "end_id", "body")}
     texts = rows.where(F.col("method").isNotNull()).select(
-        "page_id", "ord", "method", "node_id",
-        N.candidate_text(nodes, {"node_id": F.col("node_id"), "body": F.col("body")}).alias("text"),
+        "page_id", "ord", "method", "node_id", N.candidate_text(nodes, span).alias("text")
     )
     return texts.withColumn("score", candidate_score("text"))
 
@@ -193,12 +199,6 @@ def best_candidate(candidates: DataFrame) -> DataFrame:
     )
 
 
-def _span(n):
-    return F.when(
-        n.isNotNull(), F.struct(n["node_id"].alias("node_id"), n["end_id"].alias("end_id"))
-    )
-
-
 def main_content(pages: DataFrame, jsonld: bool = True) -> DataFrame:
     """Node pages to ``title``, ``text`` and ``markdown``; ``nodes`` and ``rules`` are dropped."""
     nodes, best = F.col("nodes"), F.col("_best")
@@ -207,12 +207,13 @@ def main_content(pages: DataFrame, jsonld: bool = True) -> DataFrame:
         .withColumn("_distinct", N.distinct_candidates(F.col("candidates")))
         .withColumn("_best", N.best_of(nodes, F.col("_distinct")))
     )
-    fallback = F.coalesce(_span(N.body_node(nodes)), N.whole_page(nodes))
+    fallback = F.coalesce(N.span(N.body_node(nodes)), N.whole_page(nodes))
     spanned = chosen.withColumn(
         "_top",
-        F.when(best["node_id"].isNotNull(), _span(F.get(nodes, best["node_id"]))).when(
-            best["body"].isNull(), fallback
-        ),
+        F.when(
+            best["node_id"].isNotNull(),
+            F.struct(best["node_id"].alias("node_id"), best["end_id"].alias("end_id")),
+        ).when(best["body"].isNull(), fallback),
     )
     title = N.page_title(nodes, F.col("_heads"))
     body = fragment_text(best["body"])

@@ -44,7 +44,7 @@ TRAIN_SHARD = T.StructType([
 ])
 
 # A page as a preorder array.  The descendants of node n are n.node_id < id <= n.end_id, so a
-# subtree is a slice.  Text nodes have the tag '#text'.
+# subtree is a slice.  Text nodes have the tag '#text', comments (without their text) '#comment'.
 NODE = T.StructType([
     T.StructField("node_id", T.IntegerType()),
     T.StructField("parent_id", T.IntegerType()),   # -1 at the top

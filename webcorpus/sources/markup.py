@@ -5,8 +5,8 @@ expressions over the node array (``functions/nodes.py``).
 """
 
 import re
-from bisect import bisect_left
 from html import unescape
+from itertools import accumulate
 
 # Elements removed with their subtrees, and media elements left out of the text.
 BLOCK_KILL = frozenset(
@@ -14,6 +14,7 @@ BLOCK_KILL = frozenset(
 )
 MEDIA = frozenset("img video source svg noscript".split())
 
+SPACES = " \n\t\f\r"
 VOID = frozenset(
     "area base br col embed hr img input link meta param source track wbr frame".split()
 )
@@ -87,6 +88,8 @@ class PageNodes:
             if mark == "!" or mark == "?":
                 self._flush(run)
                 self._tail = False
+                if self._open and (mark == "?" or html.startswith("<!--", lt)):
+                    self._add("#comment", None, None)
                 if html.startswith("<!--", lt):
                     close = html.find("-->", lt + 4)
                     pos = size if close < 0 else close + 3
@@ -233,6 +236,8 @@ class PageNodes:
         if run:
             text = "".join(run)
             run.clear()
+            if not text.strip(SPACES) and not (self._open and self.verbatim[self._open[-1]] == 2):
+                text = "\n" if "\n" in text else " "      # blank texts shrink to one character
             self._add_text(unescape(text) if "&" in text else text)
 
     def _closable(self, tag):
@@ -276,24 +281,23 @@ class PageNodes:
     def _count_words(self):
         """Words and links per subtree from running totals, so nesting costs nothing extra.
 
-        A subtree's text joins its live text nodes without a separator, so a word may run
-        through element borders; one that began before the subtree counts in it again.
+        A subtree's text joins its live text nodes without a separator, so a word that runs
+        through the border of two texts is counted in both and taken off once.
         """
-        n = len(self.tag)
-        chars, links, offset, parts = [0], [0], 0, []
-        for i in range(n):
-            live = not self.killed[i]
-            if self.text[i] and live:
-                parts.append(self.text[i])
-                offset += len(self.text[i])
-            chars.append(offset)
-            links.append(links[-1] + (live and self.tag[i] == "a"))
-        content = "".join(parts)
-        spans = [m.span() for m in WORD.finditer(content)]
-        starts = [s for s, _ in spans]
-        for i in range(n):
-            lo, hi = chars[i], chars[self.end[i] + 1]
-            first, last = bisect_left(starts, lo), bisect_left(starts, hi)
-            cut = hi > lo and first > 0 and spans[first - 1][1] > lo
-            self.words.append(last - first + cut)
-            self.links.append(links[self.end[i] + 1] - links[i + 1])
+        counts, merges, end_in_word = [], [], False
+        parts, links = [0], [0]
+        for text, killed, tag in zip(self.text, self.killed, self.tag):
+            live = not killed
+            if text and live:
+                counts.append(len(WORD.findall(text)))
+                merges.append(end_in_word and WORD.match(text) is not None)
+                end_in_word = text[-1] == "_" or text[-1].isalnum()
+            parts.append(len(counts))
+            links.append(links[-1] + (live and tag == "a"))
+        words = list(accumulate(counts, initial=0))
+        merged = list(accumulate(merges, initial=0))     # borders in front of the first k texts
+        for i, end in enumerate(self.end):
+            lo, hi = parts[i], parts[end + 1]
+            joined = merged[hi] - merged[lo + 1] if hi > lo else 0
+            self.words.append(words[hi] - words[lo] - joined)
+            self.links.append(links[end + 1] - links[i + 1])
