@@ -17,6 +17,8 @@ MARK_END, ITEM_END = "\x0e", "\x0f"              # end of '* ', '# ' ...; end of
 STRONG, EM, STRIKE = ("\x10", "\x11"), ("\x12", "\x13"), ("\x14", "\x15")
 LINK, CODE = ("\x16", "\x17"), ("\x18", "\x19")
 TEXT = "\x1a"                                    # placeholder of a text
+N = "p.n"                                        # the node in hand, in the SQL below
+OUTER = N + ".quotes - 1"
 PLAIN = {
     "\x10": "**", "\x11": "**", "\x12": "*", "\x13": "*", "\x14": "~~", "\x15": "~~",
     "\x16": "[", "\x17": "]", "\x18": "`", "\x19": "`",
@@ -60,19 +62,19 @@ SETTLE = (
 
 
 def _tags(*tags):
-    return f"n.tag IN ({', '.join(quoted(t) for t in tags)})"
+    return f"{N}.tag IN ({', '.join(quoted(t) for t in tags)})"
 
 
-def _break(kind, quotes="n.quotes"):
-    return f"concat({quoted(kind)}, repeat({quoted(QUOTE)}, {quotes}), repeat({quoted(PAD)}, n.indent))"
+def _break(kind, quotes=N + ".quotes"):
+    return f"concat({quoted(kind)}, repeat({quoted(QUOTE)}, {quotes}), repeat({quoted(PAD)}, {N}.indent))"
 
 
 def _attr(name):
-    return f"try_element_at(n.attrs, {quoted(name)})"
+    return f"try_element_at({N}.attrs, {quoted(name)})"
 
 
 def _below(nodes):
-    return f"slice({nodes}, n.node_id + 2, n.end_id - n.node_id)"
+    return f"slice({nodes}, {N}.node_id + 2, {N}.end_id - {N}.node_id)"
 
 
 def _link_text(nodes):
@@ -85,11 +87,11 @@ def _is_autolink(nodes):
 
 
 def _is_link(nodes):
-    return f"({_attr('href')} <> '' AND n.verbatim = 0 AND {_link_text(nodes)} <> '')"
+    return f"({_attr('href')} <> '' AND {N}.verbatim = 0 AND {_link_text(nodes)} <> '')"
 
 
 def _cells(nodes):
-    return f"filter({_below(nodes)}, x -> x.parent_id = n.node_id AND x.tag IN ('td', 'th'))"
+    return f"filter({_below(nodes)}, x -> x.parent_id = {N}.node_id AND x.tag IN ('td', 'th'))"
 
 
 def _rule(nodes):
@@ -98,62 +100,66 @@ def _rule(nodes):
 
 def _is_head_row(nodes):
     return (
-        f"(coalesce(get({nodes}, n.parent_id).tag = 'thead', false) "
+        f"(coalesce(get({nodes}, {N}.parent_id).tag = 'thead', false) "
         f"OR NOT exists({_cells(nodes)}, x -> x.tag = 'td'))"
     )
 
 
 def _edge(text):
-    newline = f"NOT n.oneline AND {text} RLIKE '[\\\\r\\\\n]'"
+    newline = f"NOT {N}.oneline AND (contains({text}, '\\n') OR contains({text}, '\\r'))"
     return f"CASE WHEN {text} = '' THEN '' WHEN {newline} THEN {quoted(NEWLINE)} ELSE {quoted(SPACE)} END"
 
 
 def _text_piece():
-    blank = r"' \t\r\n'"
-    left = f"left(n.text, length(n.text) - length(ltrim({blank}, n.text)))"
-    right = f"substr(n.text, length(rtrim({blank}, n.text)) + 1)"
+    """The placeholder between what the white space around the text amounts to."""
+    left = f"left({N}.text, instr({N}.text, p.core) - 1)"
+    right = f"substr({N}.text, instr({N}.text, p.core) + length(p.core))"
     return f"""CASE
-        WHEN n.verbatim = 2 THEN {quoted(TEXT)}
-        WHEN ltrim({blank}, n.text) = '' THEN {_edge('n.text')}
+        WHEN {N}.verbatim = 2 THEN {quoted(TEXT)}
+        WHEN p.core = '' THEN {_edge(N + '.text')}
         ELSE concat({_edge(left)}, {quoted(TEXT)}, {_edge(right)}) END"""
 
 
 def _text_core():
-    """The text itself, white space narrowed, stars and underscores escaped outside code."""
-    core = r"trim(BOTH ' \t\r\n' FROM n.text)"
-    lines = f"regexp_replace({core}, '[ \\\\t]*[\\\\r\\\\n][ \\\\t\\\\r\\\\n]*', if(n.oneline, ' ', '\\n'))"
-    flat = f"if({core} RLIKE '[\\\\r\\\\n]', {lines}, {core})"
-    flat = f"regexp_replace({flat}, '[ \\\\t]{{2,}}|\\\\t', ' ')"
+    """The text itself, white space narrowed, stars and underscores escaped outside code.
+
+    Plain searches keep the regular expressions away from texts they would not change.
+    """
+    lines = f"regexp_replace(p.core, '[ \\\\t]*[\\\\r\\\\n][ \\\\t\\\\r\\\\n]*', if({N}.oneline, ' ', '\\n'))"
+    flat = f"if(contains(p.core, '\\n') OR contains(p.core, '\\r'), {lines}, p.core)"
+    narrow = f"regexp_replace({flat}, '[ \\\\t]{{2,}}|\\\\t', ' ')"
+    flat = f"if(contains(p.core, '  ') OR contains(p.core, '\\t'), {narrow}, {flat})"
+    special = "contains(p.core, '*') OR contains(p.core, '_')"
     return f"""CASE
-        WHEN n.verbatim = 2 THEN n.text
-        WHEN ltrim(' \\t\\r\\n', n.text) = '' THEN NULL
-        WHEN n.verbatim = 1 THEN {flat}
-        ELSE regexp_replace({flat}, '([*_])', '\\\\\\\\$1') END"""
+        WHEN {N}.verbatim = 2 THEN {N}.text
+        WHEN p.core = '' THEN NULL
+        WHEN {N}.verbatim = 0 AND ({special}) THEN regexp_replace({flat}, '([*_])', '\\\\\\\\$1')
+        ELSE {flat} END"""
 
 
 def _open(nodes):
     inline = "\n".join(
-        f"WHEN {_tags(*tags)} THEN if(n.verbatim = 2, NULL, {quoted(marks[0])})" for tags, marks in INLINE
+        f"WHEN {_tags(*tags)} THEN if({N}.verbatim = 2, NULL, {quoted(marks[0])})" for tags, marks in INLINE
     )
     return f"""CASE
-        WHEN n.tag = '#text' THEN {_text_piece()}
-        WHEN {_tags(*BLOCKS)} THEN if(n.oneline, {quoted(SPACE)}, {_break(BLANK)})
-        WHEN n.tag = 'a' THEN
+        WHEN {N}.tag = '#text' THEN {_text_piece()}
+        WHEN {_tags(*BLOCKS)} THEN if({N}.oneline, {quoted(SPACE)}, {_break(BLANK)})
+        WHEN {N}.tag = 'a' THEN
           CASE WHEN {_is_link(nodes)} THEN if({_is_autolink(nodes)}, '<', {quoted(LINK[0])}) END
-        WHEN n.tag = 'li' THEN concat(
-          {_break(LINE)}, if(n.item_no > 0, concat(n.item_no, '. '), '* '), {quoted(MARK_END)})
-        WHEN n.tag = 'br' THEN if(n.oneline, {quoted(SPACE)}, {quoted(BR)})
+        WHEN {N}.tag = 'li' THEN concat(
+          {_break(LINE)}, if({N}.item_no > 0, concat({N}.item_no, '. '), '* '), {quoted(MARK_END)})
+        WHEN {N}.tag = 'br' THEN if({N}.oneline, {quoted(SPACE)}, {quoted(BR)})
         {inline}
-        WHEN n.tag RLIKE '^h[1-6]$' THEN concat(
-          {_break(BLANK)}, repeat('#', int(substr(n.tag, 2))), {quoted(" " + MARK_END)})
-        WHEN {_tags("ul", "ol", "menu")} THEN if(n.indent > 0, {_break(LINE)}, {_break(BLANK)})
-        WHEN n.tag = 'blockquote' THEN concat({_break(BLANK, "n.quotes - 1")}, {_break(BLANK)})
-        WHEN n.tag = 'pre' THEN concat({_break(BLANK)}, {quoted("```" + RAW_LINE)})
-        WHEN n.tag = 'hr' THEN concat({_break(BLANK)}, '---', {_break(BLANK)})
-        WHEN n.tag = 'dd' THEN concat({_break(LINE)}, {quoted(":   " + MARK_END)})
+        WHEN {N}.tag RLIKE '^h[1-6]$' THEN concat(
+          {_break(BLANK)}, repeat('#', int(substr({N}.tag, 2))), {quoted(" " + MARK_END)})
+        WHEN {_tags("ul", "ol", "menu")} THEN if({N}.indent > 0, {_break(LINE)}, {_break(BLANK)})
+        WHEN {N}.tag = 'blockquote' THEN concat({_break(BLANK, OUTER)}, {_break(BLANK)})
+        WHEN {N}.tag = 'pre' THEN concat({_break(BLANK)}, {quoted("```" + RAW_LINE)})
+        WHEN {N}.tag = 'hr' THEN concat({_break(BLANK)}, '---', {_break(BLANK)})
+        WHEN {N}.tag = 'dd' THEN concat({_break(LINE)}, {quoted(":   " + MARK_END)})
         WHEN {_tags("td", "th")} THEN {quoted(" " + MARK_END)}
-        WHEN n.tag = 'tr' THEN concat(
-          CASE WHEN n.item_no = 1 AND NOT {_is_head_row(nodes)} THEN concat(
+        WHEN {N}.tag = 'tr' THEN concat(
+          CASE WHEN {N}.item_no = 1 AND NOT {_is_head_row(nodes)} THEN concat(
             {_break(LINE)}, '|', repeat('  |', size({_cells(nodes)})), {_break(LINE)}, {_rule(nodes)})
           ELSE '' END, {_break(LINE)}, '|')
         END"""
@@ -161,22 +167,22 @@ def _open(nodes):
 
 def _close(nodes):
     inline = "\n".join(
-        f"WHEN {_tags(*tags)} THEN if(n.verbatim = 2, NULL, {quoted(marks[1])})" for tags, marks in INLINE
+        f"WHEN {_tags(*tags)} THEN if({N}.verbatim = 2, NULL, {quoted(marks[1])})" for tags, marks in INLINE
     )
     title = f"""concat(' "', replace({_attr('title')}, '"', '\\\\"'), '"')"""
     target = f"concat({quoted(LINK[1])}, '(', {_attr('href')}, coalesce({title}, ''), ')')"
     return f"""CASE
-        WHEN {_tags(*BLOCKS)} THEN if(n.oneline, {quoted(SPACE)}, {_break(BLANK)})
-        WHEN n.tag = 'a' THEN
+        WHEN {_tags(*BLOCKS)} THEN if({N}.oneline, {quoted(SPACE)}, {_break(BLANK)})
+        WHEN {N}.tag = 'a' THEN
           CASE WHEN {_is_link(nodes)} THEN if({_is_autolink(nodes)}, '>', {target}) END
         WHEN {_tags("li", "dd")} THEN {quoted(ITEM_END)}
         {inline}
-        WHEN n.tag RLIKE '^h[1-6]$' THEN concat({quoted(ITEM_END)}, {_break(BLANK)})
-        WHEN {_tags("ul", "ol", "menu")} THEN if(n.indent = 0, {_break(BLANK)}, NULL)
-        WHEN n.tag = 'blockquote' THEN {_break(BLANK, "n.quotes - 1")}
-        WHEN n.tag = 'pre' THEN concat({quoted(RAW_LINE + "```")}, {_break(BLANK)})
+        WHEN {N}.tag RLIKE '^h[1-6]$' THEN concat({quoted(ITEM_END)}, {_break(BLANK)})
+        WHEN {_tags("ul", "ol", "menu")} THEN if({N}.indent = 0, {_break(BLANK)}, NULL)
+        WHEN {N}.tag = 'blockquote' THEN {_break(BLANK, OUTER)}
+        WHEN {N}.tag = 'pre' THEN concat({quoted(RAW_LINE + "```")}, {_break(BLANK)})
         WHEN {_tags("td", "th")} THEN {quoted(ITEM_END + " |")}
-        WHEN n.tag = 'tr' AND n.item_no = 1 AND {_is_head_row(nodes)} THEN
+        WHEN {N}.tag = 'tr' AND {N}.item_no = 1 AND {_is_head_row(nodes)} THEN
           concat({_break(LINE)}, {_rule(nodes)})
         END"""
 
@@ -190,12 +196,14 @@ def markdown_pieces(nodes: str, top: str) -> Column:
     span = f"greatest({top}.node_id + 1, 1), {top}.end_id - {top}.node_id + 1"
     return F.expr(f"""
       array_sort(filter(flatten(transform(
-        filter(slice({nodes}, {span}), n -> NOT n.killed AND NOT n.media),
-        n -> array(
-          named_struct('at', n.node_id, 'phase', 0, 'inner', 0, 'piece', {_open(nodes)},
-                       'core', if(n.tag = '#text', {_text_core()}, NULL)),
-          named_struct('at', n.end_id, 'phase', 1, 'inner', -n.node_id,
-                       'piece', if(n.tag = '#text', NULL, {_close(nodes)}),
+        transform(
+          filter(slice({nodes}, {span}), n -> NOT n.killed AND NOT n.media),
+          n -> named_struct('n', n, 'core', trim(BOTH ' \\t\\r\\n' FROM n.text))),
+        p -> array(
+          named_struct('at', {N}.node_id, 'phase', 0, 'inner', 0, 'piece', {_open(nodes)},
+                       'core', if({N}.tag = '#text', {_text_core()}, NULL)),
+          named_struct('at', {N}.end_id, 'phase', 1, 'inner', -{N}.node_id,
+                       'piece', if({N}.tag = '#text', NULL, {_close(nodes)}),
                        'core', CAST(NULL AS STRING))))),
         e -> e.piece IS NOT NULL))""")
 

@@ -35,7 +35,10 @@ def line_count(c) -> Column:
 
 
 def collapse_blank_lines(c) -> Column:
-    return F.regexp_replace(c, "\n{3,}", "\n\n")
+    """Three or more newlines to two; a plain search spares texts without any."""
+    return F.when(
+        F.contains(c, F.lit("\n\n\n")), F.regexp_replace(c, "\n{3,}", "\n\n")
+    ).otherwise(c)
 
 
 def url_scheme(url) -> Column:
@@ -81,9 +84,10 @@ def iso_utc(ts) -> Column:
     )
 
 
-def candidate_score(text) -> Column:
+def candidate_score(text, words=None) -> Column:
     """Words plus a tenth per line, for at most 200 lines."""
-    return word_count(text) + F.least(line_count(text), F.lit(200)) * F.lit(0.1)
+    words = word_count(text) if words is None else words
+    return words + F.least(line_count(text), F.lit(200)) * F.lit(0.1)
 
 
 def long_enough(text, min_length=MIN_CONTENT_LENGTH) -> Column:

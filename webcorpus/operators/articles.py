@@ -4,7 +4,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from webcorpus.functions.text import (
-    MIN_CONTENT_LENGTH, iso_utc, long_enough, url_lang, url_netloc, word_count,
+    MIN_CONTENT_LENGTH, iso_utc, long_enough, url_lang, url_netloc,
 )
 from webcorpus.operators.extract import add_rules, main_content
 from webcorpus.schemas import ARTICLE
@@ -52,7 +52,7 @@ def page_outcomes(
         url_lang("url").alias("lang"),
         "source",
         iso_utc(ts).alias("crawled_at"),
-        word_count("text").alias("word_count"),
+        F.coalesce("word_count", F.lit(0)).alias("word_count"),
         F.lit("success").alias("status"),
         F.coalesce(
             "_skip", F.when(~F.coalesce(long_enough(F.col("text"), min_length), F.lit(False)), "too_short")

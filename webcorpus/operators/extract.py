@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from webcorpus.functions import nodes as N
 from webcorpus.functions.markdown import body_markdown, markdown_pieces, settled_markdown
-from webcorpus.functions.text import candidate_score, fragment_text, strip_ws, url_netloc
+from webcorpus.functions.text import candidate_score, fragment_text, strip_ws, url_netloc, word_count
 
 # Host, order, selector.
 SELECTOR_RULES = (
@@ -105,8 +105,10 @@ def drop_blocks(pages: DataFrame) -> DataFrame:
 def html_to_text(pages: DataFrame) -> DataFrame:
     """Add ``text``: the body's live text nodes joined by newlines, media left out."""
     nodes = F.col("nodes")
-    top = F.coalesce(N.span(N.body_node(nodes)), N.whole_page(nodes))
-    return pages.withColumn("text", N.final_text(nodes, top))
+    body = pages.withColumn("_body", N.body_node(nodes))
+    top = F.coalesce(N.span(F.col("_body")), N.whole_page(nodes))
+    topped = body.withColumn("_top", top)
+    return topped.withColumn("text", N.final_text(nodes, F.col("_top"))).drop("_body", "_top")
 
 
 def link_density(pages: DataFrame) -> DataFrame:
@@ -179,10 +181,9 @@ def content_candidates(pages: DataFrame, jsonld: bool = True) -> DataFrame:
     nodes = F.col("nodes")
     rows = with_candidates(pages, jsonld).select("page_id", "nodes", F.inline_outer("candidates"))
     span = {name: F.col(name) for name in ("node_id", "end_id", "body")}
-    texts = rows.where(F.col("method").isNotNull()).select(
-        "page_id", "ord", "method", "node_id", N.candidate_text(nodes, span).alias("text")
-    )
-    return texts.withColumn("score", candidate_score("text"))
+    texts = rows.where(F.col("method").isNotNull()).withColumn("text", N.candidate_text(nodes, span))
+    score = candidate_score(F.col("text"), N.candidate_words(nodes, span, F.col("text")))
+    return texts.select("page_id", "ord", "method", "node_id", "text", score.alias("score"))
 
 
 def best_candidate(candidates: DataFrame) -> DataFrame:
@@ -200,7 +201,8 @@ def best_candidate(candidates: DataFrame) -> DataFrame:
 
 
 def main_content(pages: DataFrame, jsonld: bool = True) -> DataFrame:
-    """Node pages to ``title``, ``text`` and ``markdown``; ``nodes`` and ``rules`` are dropped."""
+    """Node pages to ``title``, ``text``, ``markdown`` and ``word_count``; ``nodes`` and ``rules``
+    are dropped."""
     nodes, best = F.col("nodes"), F.col("_best")
     chosen = (
         with_candidates(pages, jsonld)
@@ -223,6 +225,9 @@ def main_content(pages: DataFrame, jsonld: bool = True) -> DataFrame:
         F.struct(
             title.alias("title"),
             F.when(top.isNotNull(), N.final_text(nodes, top)).otherwise(body).alias("text"),
+            F.when(top.isNotNull(), N.span_words(nodes, top, media=False))
+            .otherwise(word_count(body))
+            .alias("word_count"),
         ),
     ).withColumn("_pieces", F.when(top.isNotNull(), markdown_pieces("nodes", "_top")))
     keep = [c for c in pages.columns if c not in ("nodes", "rules")]
@@ -233,4 +238,5 @@ def main_content(pages: DataFrame, jsonld: bool = True) -> DataFrame:
         .alias("title"),
         F.col("_content.text").alias("text"),
         F.when(top.isNotNull(), settled_markdown("_pieces")).otherwise(body_markdown(body)).alias("markdown"),
+        F.col("_content.word_count").alias("word_count"),
     )
