@@ -15,7 +15,7 @@ PIECES = st.sampled_from(
 )
 
 
-@settings(max_examples=300, deadline=None)
+@settings(max_examples=1500, deadline=None)
 @given(st.lists(PIECES, max_size=40))
 def test_invariants(pieces):
     page = PageNodes().feed("".join(pieces))

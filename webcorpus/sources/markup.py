@@ -112,7 +112,8 @@ class PageNodes:
                 pos = size if close < 0 else close + 1
                 if self._closable(tag):
                     self._flush(run)
-                    self._close_tag(tag)
+                    if self._closable(tag):      # the text may have opened the body
+                        self._close_tag(tag)
                 continue
             self._flush(run)
             attrs, pos, empty = self._attributes(html, name.end())

@@ -62,7 +62,7 @@ def _node_batches(kept, arrow, names, chars_per_batch=4_000_000):
             lo, size, parsed = 0, 0, []
             for i in range(len(pages)):
                 html = pages[i].as_py() or ""
-                parsed.append(PageNodes().feed(html))
+                parsed.append(_parsed(html))
                 size += len(html)
                 if size >= chars_per_batch or i == len(pages) - 1:
                     part = batch.slice(lo, i + 1 - lo)
@@ -75,6 +75,13 @@ def _node_batches(kept, arrow, names, chars_per_batch=4_000_000):
     return parse
 
 
+def _parsed(html):
+    try:
+        return PageNodes().feed(html)
+    except Exception:      # one page must not end a job: it becomes an empty page
+        return PageNodes()
+
+
 def _nodes_array(parsed, list_type, names):
     """Arrow list<struct> from the pages' column lists, without a Python object per node."""
     node_type = list_type.value_type
