@@ -36,6 +36,7 @@ def line_count(c) -> Column:
 
 def collapse_blank_lines(c) -> Column:
     """Three or more newlines to two; a plain search spares texts without any."""
+    c = F.col(c) if isinstance(c, str) else c
     return F.when(
         F.contains(c, F.lit("\n\n\n")), F.regexp_replace(c, "\n{3,}", "\n\n")
     ).otherwise(c)
