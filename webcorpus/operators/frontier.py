@@ -58,15 +58,28 @@ def listed_urls(roots: DataFrame, sitemaps: DataFrame, limit: int = 0) -> DataFr
     ``sitemaps`` has ``urls`` and ``children`` per sitemap (``sources.sitemaps.sitemap_links``) and
     should be a stored table, as each level reads its small ``children`` column again.
 
-    The numbering needs no sort of the links: a link's number is that of its sitemap's first link,
-    a running total over the few sitemaps, plus its place in its own sitemap.
+    The numbering needs no sort of the links: a link's number is that of its sitemap's first link
+    plus its place in its own sitemap.  First links are running totals over the (few) sitemaps, taken
+    within each child of a root's index and shifted by the totals of the children before it, so a
+    root with most of the sitemaps is spread over its children.
     """
     links = sitemaps.select("sitemap_url", F.inline("children").alias("pos", "child"))
     tree = expand_sitemaps(roots, links)
-    sizes = sitemaps.select("sitemap_url", F.col("n_urls").alias("n"))
-    before = Window.partitionBy("root").orderBy("path").rowsBetween(Window.unboundedPreceding, -1)
-    starts = tree.join(sizes, "sitemap_url").select(
-        "root", "sitemap_url", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("first")
+    sized = tree.join(sitemaps.select("sitemap_url", "n_urls"), "sitemap_url").select(
+        "root", "sitemap_url", "path", "n_urls",
+        F.coalesce(F.get("path", F.lit(0)), F.lit(-1)).alias("branch"),
+    )
+
+    def running(*keys, order):
+        before = Window.partitionBy(*keys).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+        return F.coalesce(F.sum("n_urls").over(before), F.lit(0))
+
+    branches = sized.groupBy("root", "branch").agg(F.sum("n_urls").alias("n_urls"))
+    branches = branches.select("root", "branch", running("root", order="branch").alias("base"))
+    starts = (
+        sized.withColumn("within", running("root", "branch", order="path"))
+        .join(branches, ["root", "branch"])
+        .select("root", "sitemap_url", (F.col("base") + F.col("within")).alias("first"))
     )
     if limit:
         starts = starts.where(F.col("first") < limit)
