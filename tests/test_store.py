@@ -86,10 +86,10 @@ def landed_pages(spark, path, n=12):
     return pages
 
 
-def run(spark, tmp_path, store, name):
+def run(spark, tmp_path, store, name, **options):
     query = ingest_stream(
         spark, str(tmp_path / "landing"), store, str(tmp_path / name), files_per_batch=1,
-        crawled_at=F.lit("2024-01-01").cast("timestamp"),
+        crawled_at=F.lit("2024-01-01").cast("timestamp"), **options,
     )
     query.awaitTermination()
     assert query.exception() is None
@@ -113,6 +113,16 @@ def test_stream_equals_batch_and_resumes(spark, tmp_path):
     assert {r.url for r in store.articles().collect()} >= {"https://h0.x/en/12", "https://h1.x/en/13"}
 
 
+def test_stream_compacts(spark, tmp_path):
+    landed_pages(spark, str(tmp_path / "landing"))
+    store = S.ArticleStore(spark, str(tmp_path / "store"))
+    run(spark, tmp_path, store, "c1", compact_every=2)
+    assert store.snapshot() == 1 and store.batches() == [0, 1, 2] and store.batches(after=1) == [2]
+    assert store.articles().count() == 9
+    # a batch that runs again behind a snapshot sees only what came before it
+    assert store.stored_keys(before=1).count() < store.stored_keys().count() == 9
+
+
 def test_crawl_then_frontier_is_empty(spark, tmp_path):
     pages = landed_pages(spark, str(tmp_path / "landing"))
     links = "".join(f"<url><loc>{r.url}</loc></url>" for r in pages.collect())

@@ -64,12 +64,15 @@ class ArticleStore:
     def __init__(self, spark: SparkSession, root: str):
         self.spark, self.root = spark, root.rstrip("/")
 
-    def _ids(self, folder):
-        names = child_dirs(self.spark, f"{self.root}/{folder}")
-        return sorted(int(n.split("=")[1]) for n in names if "=" in n)
+    def _ids(self, folder, after=-1):
+        def behind(name):
+            return "=" in name and int(name.split("=")[1]) > after
 
-    def batches(self) -> list:
-        return self._ids("log")
+        names = child_dirs(self.spark, f"{self.root}/{folder}", behind)
+        return sorted(int(n.split("=")[1]) for n in names)
+
+    def batches(self, after: int = -1) -> list:
+        return self._ids("log", after)
 
     def snapshot(self):
         """Last batch id in the newest snapshot, None without one."""
@@ -97,7 +100,7 @@ class ArticleStore:
         ).partitionBy("source_key").parquet(path)
 
     def _log(self, after, before):
-        ids = [b for b in self.batches() if b > after and (before is None or b < before)]
+        ids = [b for b in self.batches(after) if before is None or b < before]
         if not ids:
             return self.spark.createDataFrame([], ARTICLE_LOG)
         log = f"{self.root}/log"
@@ -139,8 +142,9 @@ class ArticleStore:
 
     def compact(self) -> None:
         """Write the current table as a new snapshot; readers move over when it has committed."""
-        batches = self.batches()
-        if not batches or self.snapshot() == batches[-1]:
+        last = self.snapshot()
+        batches = self.batches(-1 if last is None else last)
+        if not batches:
             return
         rows = self.articles(latest_stored).select(*ARTICLE_LOG.names)
         self._write(rows, f"{self.root}/snapshots/through={batches[-1]}")

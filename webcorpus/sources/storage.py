@@ -43,12 +43,14 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).exists(hadoop)
 
 
-def child_dirs(spark: SparkSession, path: str) -> list:
-    """Names of the folders in a folder that hold a finished write, none if it does not exist."""
+def child_dirs(spark: SparkSession, path: str, keep=lambda name: True) -> list:
+    """Names of a folder's folders that hold a finished write; only those to keep are looked into."""
     jvm = spark._jvm
     hadoop = jvm.org.apache.hadoop.fs.Path(path)
     fs = hadoop.getFileSystem(spark._jsc.hadoopConfiguration())
     if not fs.exists(hadoop):
         return []
     names = [s.getPath().getName() for s in fs.listStatus(hadoop) if s.isDirectory()]
-    return [n for n in names if fs.exists(jvm.org.apache.hadoop.fs.Path(f"{path}/{n}/_SUCCESS"))]
+    return [
+        n for n in names if keep(n) and fs.exists(jvm.org.apache.hadoop.fs.Path(f"{path}/{n}/_SUCCESS"))
+    ]

@@ -20,6 +20,7 @@ def ingest_stream(
     skip_existing: bool = True,
     schema=PAGES,
     order: str = "page_id",
+    compact_every: int = 0,
     **options,
 ):
     """Start a stream that stores the articles of all pages landed so far, then stops.
@@ -27,6 +28,7 @@ def ingest_stream(
     Each micro-batch is one store batch.  Its id is the stream's batch number counted from the
     store's state when this checkpoint was first used, so a batch that runs again after a failure
     replaces itself.  With ``skip_existing`` stored URLs are dropped before their pages are parsed.
+    With ``compact_every`` the store is compacted after every so many batches.
     """
     pages = (
         spark.readStream.schema(schema)
@@ -46,6 +48,8 @@ def ingest_stream(
             known = store.stored_keys(before=batch_id).join(keys, ["source", "url"], "left_semi")
             batch = pending_urls(batch, known, "source", "url")
         store.write_articles(build_articles(batch, **options), batch_id, F.col(order))
+        if compact_every and (number + 1) % compact_every == 0:
+            store.compact()
 
     return (
         pages.writeStream.foreachBatch(save)
