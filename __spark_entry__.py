@@ -602,9 +602,23 @@ def resume(spark, sf):
     return log.groupBy("source").agg(F.count(F.lit(1)).alias("n_rows"))
 
 
+def training_data():
+    """(queries, SQL) of the training-data subpackage and its pipeline; none where they are not installed."""
+    try:
+        import corpus_pipeline
+        from webcorpus.llm.oracles import ORACLES
+        from webcorpus.llm.queries import QUERIES
+    except ModuleNotFoundError as error:
+        if not (error.name or "").startswith(("corpus_pipeline", "webcorpus.llm")):
+            raise
+        return {}, {}
+    pipeline_sql = {"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline.ORACLE_SQL else {}
+    return {**QUERIES, "pipeline": corpus_pipeline.run}, {**ORACLES, **pipeline_sql}
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     """Every operator as a query."""
-    return {
+    return training_data()[0] | {
         "sitemap_locs": sitemap_locs,
         "reject_bad_sitemaps": reject_bad_sitemaps,
         "robots_sitemaps": robots_sitemaps,
@@ -660,4 +674,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 def oracle_sql() -> dict[str, str]:
     """The same results in SQL, written against the raw tables and not along the Spark code."""
-    return oracles.sql()
+    return training_data()[1] | oracles.sql()
