@@ -32,4 +32,45 @@ SELECT doc_id, (length(h) // 2)::BIGINT AS n_bytes, coalesce(n, 0)::BIGINT AS n_
 FROM d LEFT JOIN kept USING (doc_id) LEFT JOIN n USING (doc_id)
 """
 
-ORACLES = {"op1_substring_dedup": OP1, "op10_suffix_dedup": OP10}
+OP3 = r"""
+WITH RECURSIVE d AS (SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS size,
+   md5(coalesce(text, '')) AS tie FROM documents),
+ q AS (SELECT doc_id, max(CASE WHEN quality > 0 THEN 2.0::DOUBLE WHEN quality IS NOT NULL THEN 0.5::DOUBLE END) AS w FROM labels GROUP BY doc_id),
+ s AS (SELECT source, source_size, [3, 1, 2][1 + (row_number() OVER (ORDER BY encode(source) NULLS LAST) - 1) % 3]::DOUBLE AS weight
+       FROM (SELECT source, sum(size)::BIGINT AS source_size FROM d GROUP BY source)),
+ r AS (SELECT *, 2.0 * source_size / weight AS ratio FROM s),
+ -- The level at which the sources with the k smallest ratios are full: the first one that does not fill the next.
+ c AS (SELECT a.ratio, (1.5 * (SELECT sum(source_size) FROM s)::DOUBLE - coalesce(sum(2.0 * b.source_size) FILTER (b.ratio < a.ratio), 0))
+         / sum(b.weight) FILTER (b.ratio >= a.ratio) AS level FROM r a, r b GROUP BY a.ratio),
+ l AS (SELECT level FROM c WHERE level <= ratio ORDER BY ratio LIMIT 1),
+ t AS (SELECT source, source_size, least(2.0 * source_size, level * weight)::DOUBLE AS target FROM r, l),
+ k AS (SELECT d.*, -ln((('0x' || substr(md5(coalesce(doc_id::VARCHAR, '')), 1, 12))::BIGINT::DOUBLE + 0.5) / 281474976710656.0) / coalesce(w, 1.0) AS key
+       FROM d LEFT JOIN q USING (doc_id)),
+ p AS (SELECT k.doc_id, size, source_size, target, coalesce(sum(size) OVER (PARTITION BY k.source ORDER BY key, k.doc_id, tie
+         ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before FROM k JOIN t ON k.source IS NOT DISTINCT FROM t.source)
+SELECT doc_id, size, source_size, target,
+ (floor(target / source_size) * size + greatest(0, least(size, floor(target) - floor(target / source_size) * source_size - before)))::BIGINT AS taken
+FROM p
+"""
+
+OP6 = r"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS text, source,
+   regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws,
+   list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS ls FROM documents),
+ win AS (SELECT doc_id, i, array_to_string(ws[i:i + 7], ' ') AS s FROM (SELECT doc_id, ws, unnest(range(1, len(ws) - 6)) AS i FROM d WHERE len(ws) >= 8)),
+ twice AS (SELECT doc_id, s FROM win GROUP BY doc_id, s HAVING count(*) > 1),
+ cov AS (SELECT doc_id, count(DISTINCT j) AS n FROM (SELECT doc_id, unnest(range(i, i + 8)) AS j FROM win JOIN twice USING (doc_id, s)) GROUP BY doc_id),
+ line AS (SELECT doc_id, source, text, trim(regexp_replace(lower(l), '[\x20\x09-\x0D]+', ' ', 'g'), ' ') AS n,
+    len(regexp_extract_all(l, '[^\x20\x09-\x0D]+')) AS words FROM (SELECT doc_id, source, text, unnest(ls) AS l FROM d)),
+ host AS (SELECT source, count(DISTINCT text) AS texts FROM d GROUP BY source),
+ freq AS (SELECT source, n FROM line JOIN host USING (source) GROUP BY source, n, texts HAVING count(DISTINCT text) > greatest(20, 0.2 * texts)),
+ lost AS (SELECT doc_id, sum(words) AS lost FROM line JOIN freq USING (source, n) GROUP BY doc_id),
+ m AS (SELECT doc_id, len(ws)::BIGINT AS n_words, length(array_to_string(ws, ''))::BIGINT AS word_chars,
+    (length(text) - length(regexp_replace(text, '[#*$%&|<>]', '', 'g')))::BIGINT AS n_symbols,
+    (len(ls) - len(list_distinct(ls)))::BIGINT AS n_dup_lines, coalesce(cov.n, 0)::BIGINT AS n_repeat_words
+    FROM d LEFT JOIN cov USING (doc_id)),
+ b AS (SELECT *, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed FROM m)
+SELECT b.*, NOT base_failed AND n_words - coalesce(lost, 0) >= 0.5 * n_words AS kept FROM b LEFT JOIN lost USING (doc_id)
+"""
+
+ORACLES = {"op3_mixing": OP3, "op6_quality_rules": OP6, "op1_substring_dedup": OP1, "op10_suffix_dedup": OP10}

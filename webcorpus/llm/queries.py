@@ -5,6 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from webcorpus.llm.language_id import identify_language
+from webcorpus.llm.mixing import label_quality, mix_sources
+from webcorpus.llm.quality_rules import quality_rules
 from webcorpus.llm.substring_dedup import substring_dedup
 from webcorpus.llm.suffix_dedup import suffix_dedup
 
@@ -18,6 +21,24 @@ def op1_substring_dedup(spark, sf_dir):
     return out.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
+def op3_mixing(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
+    out = mix_sources(docs, quality=label_quality(table(spark, sf_dir, "labels")))
+    return out.select("doc_id", "size", "source_size", "target", "taken")
+
+
+def op6_quality_rules(spark, sf_dir):
+    out = quality_rules(table(spark, sf_dir, "documents").select("doc_id", "text", "source"))
+    return out.select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"
+    )
+
+
+def op8_language_id(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    return identify_language(docs).select("doc_id", "held_out", "lang_pred", "score")
+
+
 def op10_suffix_dedup(spark, sf_dir):
     out = suffix_dedup(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return out.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
@@ -25,5 +46,8 @@ def op10_suffix_dedup(spark, sf_dir):
 
 QUERIES = {
     "op1_substring_dedup": op1_substring_dedup,
+    "op3_mixing": op3_mixing,
+    "op6_quality_rules": op6_quality_rules,
+    "op8_language_id": op8_language_id,
     "op10_suffix_dedup": op10_suffix_dedup,
 }
