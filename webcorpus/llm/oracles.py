@@ -53,6 +53,19 @@ SELECT doc_id, size, source_size, target,
 FROM p
 """
 
+OP5 = r"""
+WITH RECURSIVE d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x20\x09-\x0D]+') AS ws FROM documents),
+ s AS (SELECT DISTINCT doc_id, array_to_string(ws[i:i + 3], ' ') AS s
+       FROM (SELECT doc_id, ws, unnest(range(1, greatest(2, len(ws) - 2))) AS i FROM d WHERE len(ws) > 0)),
+ n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+ link AS (SELECT a.doc_id AS a, b.doc_id AS b FROM s a JOIN s b ON a.s = b.s AND a.doc_id <> b.doc_id JOIN n x ON x.doc_id = a.doc_id
+          JOIN n y ON y.doc_id = b.doc_id GROUP BY a.doc_id, b.doc_id, x.n, y.n HAVING 100 * count(*) >= 80 * (x.n + y.n - count(*))),
+ reach(a, b) AS (SELECT doc_id, doc_id FROM d UNION SELECT reach.a, link.b FROM reach JOIN link ON reach.b = link.a)
+SELECT d.doc_id, coalesce(n.n, 0)::BIGINT AS n_shingles, c.m AS component_id, d.doc_id = c.m AS kept
+FROM d LEFT JOIN n USING (doc_id) JOIN (SELECT a, min(b) AS m FROM reach GROUP BY a) c ON c.a = d.doc_id
+"""
+
 OP6 = r"""
 WITH d AS (SELECT doc_id, coalesce(text, '') AS text, source,
    regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws,
@@ -73,4 +86,4 @@ WITH d AS (SELECT doc_id, coalesce(text, '') AS text, source,
 SELECT b.*, NOT base_failed AND n_words - coalesce(lost, 0) >= 0.5 * n_words AS kept FROM b LEFT JOIN lost USING (doc_id)
 """
 
-ORACLES = {"op3_mixing": OP3, "op6_quality_rules": OP6, "op1_substring_dedup": OP1, "op10_suffix_dedup": OP10}
+ORACLES = {"op3_mixing": OP3, "op5_near_dedup": OP5, "op6_quality_rules": OP6, "op1_substring_dedup": OP1, "op10_suffix_dedup": OP10}

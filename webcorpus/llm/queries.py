@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from webcorpus.llm.language_id import identify_language
 from webcorpus.llm.mixing import label_quality, mix_sources
+from webcorpus.llm.near_dedup import near_duplicates
 from webcorpus.llm.quality_rules import quality_rules
 from webcorpus.llm.substring_dedup import substring_dedup
 from webcorpus.llm.suffix_dedup import suffix_dedup
@@ -27,6 +28,11 @@ def op3_mixing(spark, sf_dir):
     return out.select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op5_near_dedup(spark, sf_dir):
+    out = near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return out.select("doc_id", "n_shingles", "component_id", "kept")
+
+
 def op6_quality_rules(spark, sf_dir):
     out = quality_rules(table(spark, sf_dir, "documents").select("doc_id", "text", "source"))
     return out.select(
@@ -47,6 +53,7 @@ def op10_suffix_dedup(spark, sf_dir):
 QUERIES = {
     "op1_substring_dedup": op1_substring_dedup,
     "op3_mixing": op3_mixing,
+    "op5_near_dedup": op5_near_dedup,
     "op6_quality_rules": op6_quality_rules,
     "op8_language_id": op8_language_id,
     "op10_suffix_dedup": op10_suffix_dedup,
