@@ -1,12 +1,76 @@
-"""Raw documents to packed training batches: five stages, each written and read again."""
+"""Raw documents to packed training batches: five stages, each written as Parquet and read again."""
 
-STAGES = []
+from __future__ import annotations
 
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from webcorpus.llm.language_id import identify_language
+from webcorpus.llm.mixing import SEPARATORS, label_quality, mix_sources, n_words
+from webcorpus.llm.near_dedup import near_duplicates
+from webcorpus.llm.packing import pack_batches
+from webcorpus.llm.suffix_dedup import suffix_dedup
+from webcorpus.sources.storage import stored
+
+
+def columns(docs: DataFrame) -> list:
+    return [F.col(f"`{c}`") for c in docs.columns]
+
+
+def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose language is recognised."""
+    return identify_language(docs).where(~F.col("rejected")).select(*columns(docs))
+
+
+def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near copies."""
+    return near_duplicates(docs).where("kept").select(*columns(docs))
+
+
+def repeated_strings(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Texts without strings of 50 bytes that an earlier document has; characters that a cut has split go too."""
+    out = suffix_dedup(docs)
+    text = F.col("kept").cast("string")
+    whole = F.when(F.is_valid_utf8(text), text).otherwise(F.replace(F.make_valid_utf8(text), F.lit("�"), F.lit("")))
+    out = out.withColumn("text", F.when(F.col("text").isNotNull(), whole))
+    return out.withColumn("n_chars", F.length("text").cast("long")).select(*columns(docs))
+
+
+def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """A row per epoch of each document taken; one that is taken in part is cut to its first words."""
+    out = mix_sources(docs, quality=label_quality(spark.read.parquet(f"{sf_dir}/labels.parquet"))).where("taken > 0")
+    part = F.col("taken") % F.col("size")
+    epochs = F.floor(F.col("taken") / F.col("size"))
+    copies = F.concat(
+        F.array_repeat(F.lit(0).cast("long"), epochs.cast("int")),
+        F.when(part > 0, F.array(part)).otherwise(F.array().cast("array<bigint>")),
+    )
+    out = out.withColumn("mix__words", F.explode(copies))
+    first = F.array_join(F.slice(F.array_remove(F.split("text", SEPARATORS), ""), 1, F.col("mix__words").cast("int")), " ")
+    out = out.withColumn("text", F.when(F.col("mix__words") > 0, first).otherwise(F.col("text")))
+    return out.withColumn("n_chars", F.length("text").cast("long")).select(*columns(docs))
+
+
+def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Every row with its bucket, batch and slot; tokens are counted as words."""
+    return pack_batches(docs, n_words(F.col("text")))
+
+
+STAGES = [
+    ("language_id", language),
+    ("near_dedup", near_copies),
+    ("suffix_dedup", repeated_strings),
+    ("mixing", mixture),
+    ("packing", packed),
+]
+
+#: SQL cannot express the learned language model and the dynamic program.
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages on `documents`; each one's result is written to the shared folder and read by the next."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, stage in STAGES:
-        docs = stage(spark, docs, sf_dir)
-    return docs
+    for name, stage in STAGES[:-1]:
+        docs = stored(stage(spark, docs, sf_dir), name)
+    return STAGES[-1][1](spark, docs, sf_dir)

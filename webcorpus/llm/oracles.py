@@ -1,5 +1,19 @@
 """DuckDB SQL for the queries of this subpackage, where SQL can state them."""
 
+from webcorpus.llm.license_scan import TEMPLATES
+
+OP2 = r"""
+WITH RECURSIVE v AS (SELECT vec_id, label, embedding::DOUBLE[] AS e FROM embeddings
+   WHERE label IS NOT NULL AND embedding IS NOT NULL AND list_sum(list_transform(embedding, lambda x: CASE WHEN x IS NULL OR NOT isfinite(x) THEN 1 ELSE 0 END)) = 0),
+ u AS (SELECT vec_id, label, list_transform(e, lambda x: x / sqrt(list_sum(list_transform(e, lambda y: y * y)))) AS e FROM v
+   WHERE list_sum(list_transform(e, lambda y: y * y)) > 0),
+ link AS (SELECT a.vec_id AS a, b.vec_id AS b FROM u a JOIN u b ON a.label = b.label AND a.vec_id <> b.vec_id AND list_dot_product(a.e, b.e) >= 0.93),
+ reach(a, b) AS (SELECT vec_id, vec_id FROM embeddings UNION SELECT reach.a, link.b FROM reach JOIN link ON reach.b = link.a),
+ n AS (SELECT a, count(*) AS n FROM link GROUP BY a)
+SELECT vec_id, coalesce(n, 0)::BIGINT AS n_links, m AS component_id, vec_id = m AS kept
+FROM embeddings JOIN (SELECT a, min(b) AS m FROM reach GROUP BY a) c ON c.a = vec_id LEFT JOIN n ON n.a = vec_id
+"""
+
 OP1 = r"""
 WITH w AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws FROM documents),
  win AS (SELECT doc_id, i, array_to_string(ws[i:i + 49], ' ') AS s
@@ -86,4 +100,22 @@ WITH d AS (SELECT doc_id, coalesce(text, '') AS text, source,
 SELECT b.*, NOT base_failed AND n_words - coalesce(lost, 0) >= 0.5 * n_words AS kept FROM b LEFT JOIN lost USING (doc_id)
 """
 
-ORACLES = {"op3_mixing": OP3, "op5_near_dedup": OP5, "op6_quality_rules": OP6, "op1_substring_dedup": OP1, "op10_suffix_dedup": OP10}
+def op7() -> str:
+    quoted = ", ".join("({}, '{}', {}, '{}')".format(i, n, r, t.replace("'", "''")) for i, (n, r, t) in enumerate(TEMPLATES))
+    grams = "list_distinct(list_transform(range(1, len({0})), lambda i: {0}[i] || ' ' || {0}[i + 1]))"
+    return f"""
+WITH t0(k, name, restricted, t) AS (VALUES {quoted}),
+ t1 AS (SELECT k, name, restricted, regexp_extract_all(lower(t), '[a-z0-9]+') AS w FROM t0),
+ t AS (SELECT k, name, restricted, {grams.format("w")} AS g FROM t1),
+ p0 AS (SELECT doc_id, unnest(list_append(string_split(text, chr(10)), text)) AS p FROM documents WHERE text IS NOT NULL),
+ p1 AS (SELECT doc_id, regexp_extract_all(lower(p), '[a-z0-9]+') AS w FROM p0),
+ p AS (SELECT DISTINCT doc_id, list_sort({grams.format("w")}) AS g FROM p1 WHERE len(w) BETWEEN 2 AND 2000),
+ m AS (SELECT doc_id, p.g, name, restricted, 2.0::DOUBLE * len(list_intersect(p.g, t.g)) / (len(p.g) + len(t.g)) AS d FROM p, t
+       WHERE len(p.g) <= 1.5 * len(t.g) AND len(t.g) <= 1.5 * len(p.g)),
+ b AS (SELECT doc_id, min((-d, name, restricted)) AS best, count(DISTINCT g)::BIGINT AS n FROM m WHERE d >= 0.8 GROUP BY doc_id)
+SELECT doc_id, best[2] AS license, coalesce(best[3], false) AS restricted, round(coalesce(-best[1], 0.0), 6)::DOUBLE AS dice,
+ coalesce(n, 0)::BIGINT AS n_passages FROM documents LEFT JOIN b USING (doc_id)
+"""
+
+
+ORACLES = {"op2_embedding_dedup": OP2, "op7_license_scan": op7(), "op3_mixing": OP3, "op5_near_dedup": OP5, "op6_quality_rules": OP6, "op1_substring_dedup": OP1, "op10_suffix_dedup": OP10}
