@@ -113,9 +113,10 @@ class Repeats:
     """The four exchanges for one kind of units.
 
     `units(data, offsets)` gives an object with `borders` (of rows, in units), `runs()` (row, anchor
-    name, first and last window start) and `name(start, end, which)`.  `windows(...)` packs the open
-    windows of a group into rows, `judge(bodies)` gives the removed (doc, nth, start) of a bucket,
-    `finish(units, mask, row)` gives what is kept of a row.
+    name, first and last window start) and `name(start, end, which)`.  its
+    `compared(...)` gives what is compared of open runs.  `windows(...)` packs that for a group of
+    documents into rows, `judge(groups, bodies)` gives the removed (home, doc, nth, start) of a
+    bucket, `kept(units, gone)` gives what is left of each row.
     """
 
     def __init__(self, units, window: int, windows, judge, kept, id_col="doc_id", text_col="text"):
@@ -131,7 +132,7 @@ class Repeats:
                 doc, key, ctx = [], [], []
                 for at, data, offsets in text_slices(batch.column(self.text_col)):
                     units = self.units(data, offsets)
-                    row, anchor, first, last = units.runs()
+                    row, anchor, first, last, _ = units.runs()
                     doc.append(ids[at + row])
                     key.append(anchor)
                     ctx.append(units.name(first, last + self.window, 0) >> CTX_SHIFT)
@@ -238,7 +239,7 @@ class Repeats:
             done, wins = [], []
             for at, data, offsets in text_slices(text):
                 units = self.units(data, offsets)
-                row, _, first, last = units.runs()
+                row, _, first, last, anchor = units.runs()
                 ctx = units.name(first, last + self.window, 0) >> CTX_SHIFT
                 code = mix(ids[at + row].astype(np.uint64)) ^ ctx
                 found = np.minimum(np.searchsorted(codes, code), len(codes) - 1)
@@ -247,12 +248,9 @@ class Repeats:
                 base = units.borders[row]
                 done.append((ids[at + row[s]], nth[at + row[s]], (first - base)[s], (last - base)[s] + self.window))
                 o = np.flatnonzero(verdict == OPEN)
-                n = (last - first + 1)[o]
-                starts = np.repeat(first[o], n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
-                rows = np.repeat(row[o], n)
-                wins.append((ids[at + rows], nth[at + rows], starts - units.borders[rows], *units.window_names(starts, self.window)))
+                wins.append((ids[at + row[o]], nth[at + row[o]], *units.compared(row[o], first[o], last[o], anchor[o])))
             out, local = self.windows([np.concatenate(c) for c in zip(*wins)], buckets, group, extra)
-            done.append((*local, local[2] + self.window))
+            done.append(local)
             doc, nths, start, end = (np.concatenate(c) for c in zip(*done))
             if len(doc):
                 out.append(spans_row(group % buckets, group, doc, nths, start, end))

@@ -64,8 +64,12 @@ class Words:
             self.rolls.append(Roll(word_names(self.data, self.starts, self.ends, 1), BASES[1]))
         return self.rolls[which].of(start, end)
 
-    def window_names(self, starts, window):
-        return self.name(starts, starts + window, 0), self.name(starts, starts + window, 1)
+    def compared(self, row, first, last, anchor):
+        """Place in the row, and two names, of each window of these runs; the run of each."""
+        n = last - first + 1
+        starts = np.repeat(first, n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+        place = starts - np.repeat(self.borders[row], n)
+        return n, place, self.name(starts, starts + self.window, 0), self.name(starts, starts + self.window, 1)
 
     def runs(self):
         """(row, anchor name, first and last window start) of each run of windows with one anchor."""
@@ -74,7 +78,7 @@ class Words:
         s = np.flatnonzero(np.arange(n) + w <= self.borders[row + 1])
         row = row[s]
         if not len(s):
-            return row, self.names[:0], s, s
+            return row, self.names[:0], s, s, s
         fixed = np.zeros(n + 1, dtype=bool)
         fixed[self.borders] = True
         borders, names = np.arange(n + 1), self.names
@@ -115,16 +119,17 @@ class Words:
         first[1:] |= s[1:] != s[:-1] + 1
         at = np.flatnonzero(first)
         last = np.append(at[1:], len(s)) - 1
-        return row[at], self.name(anchor[at], until[at], 0), s[at], s[last]
+        return row[at], self.name(anchor[at], until[at], 0), s[at], s[last], anchor[at]
 
 
 def pack_windows(columns, buckets, group, _):
     """Open windows of a group of documents by their names; what a smaller document of the group holds is decided here."""
-    doc, nth, start, one, two = columns
+    doc, nth, n, start, one, two = columns
+    doc, nth = np.repeat(doc, n), np.repeat(nth, n)
     order = np.lexsort((doc, two, one))
     doc, nth, start, one, two = (c[order] for c in (doc, nth, start, one, two))
     settled = doc > group_min(doc, first_of(one, two))
-    local = doc[settled], nth[settled], start[settled]
+    local = doc[settled], nth[settled], start[settled], start[settled] + WINDOW
     doc, nth, start, one, two = (c[~settled] for c in (doc, nth, start, one, two))
     rows = [
         (b, 0, group, pack(doc=doc[r], nth=nth[r].astype(np.int32), start=start[r].astype(np.int64), one=one[r], two=two[r]))

@@ -2,9 +2,10 @@
 
 Suffixes that can't repeat are left out first (`Repeats`: the least hash of a 24-byte gram anchors a
 window).  What is left is a sparse suffix array over all documents, built by a merge sort: each group
-of documents sorts its suffixes into a run and front-codes it by the common prefixes; runs are cut at
-key bounds that every task shares and exchanged; loser trees that carry the common prefixes merge
-them.  In the merged order, a suffix repeats the one before it if they share 50 bytes.
+of documents sorts the suffixes at open anchors into a run and front-codes it by the common prefixes;
+runs are cut at key bounds that every task shares and exchanged; loser trees that carry the common
+prefixes merge them.  In the merged order, windows are equal if their anchored suffixes share the
+rest of the window and the bytes before the anchors are the same.
 """
 
 from __future__ import annotations
@@ -15,12 +16,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from webcorpus.llm.front_coding import LoserTrees, as_words, decode, encode, prefixes, sort_order
-from webcorpus.llm.hashing import byte_roll
+from webcorpus.llm.hashing import byte_roll, mix
 from webcorpus.llm.packing_io import from_bytes, split, to_bytes
 from webcorpus.llm.repeats import RESULTS, Repeats, first_of, group_min
 
 WINDOW = 50
 GRAM = 24
+LEFT = WINDOW - GRAM   # bytes of a window before its anchor, at most
 PLACE = 22   # low bits of a packed hash that hold the place in the slice
 
 
@@ -45,16 +47,23 @@ class Bytes:
     def name(self, start, end, which):
         return self.rolls[which].of(start, end)
 
-    def window_names(self, starts, window):
-        rows = np.lib.stride_tricks.sliding_window_view(self.data, window)[starts] if len(starts) else np.zeros((0, window), np.uint8)
-        return (as_words(rows),)
+    def compared(self, row, first, last, anchor):
+        """Of each run: its place and print, its anchored suffix up to the last window's end, and what is left of the anchor."""
+        padded = np.concatenate((np.zeros(LEFT, np.uint8), self.data, np.zeros(WINDOW, np.uint8)))
+        view = np.lib.stride_tricks.sliding_window_view
+        suffix = view(padded, WINDOW)[anchor + LEFT].copy()
+        suffix[np.arange(WINDOW)[None, :] >= (last + WINDOW - anchor)[:, None]] = 0
+        left = view(padded, LEFT)[anchor].copy()
+        left[np.arange(LEFT)[None, :] < (LEFT - anchor + first)[:, None]] = 0
+        base = self.borders[row]
+        return anchor - base, first - base, last - base, self.name(first, last + WINDOW, 0), as_words(suffix), left
 
     def runs(self):
         """(row, anchor name, first and last window start) of each run of windows with one anchor."""
         n = len(self)
         none = np.zeros(0, dtype=np.int64)
         if n < WINDOW:
-            return none, none.astype(np.uint64), none, none
+            return none, none.astype(np.uint64), none, none, none
         at = np.arange(n - GRAM + 1)
         grams = self.name(at, at + GRAM, 0)
         if n >> PLACE:   # one text longer than the places: keep them apart from the hashes
@@ -78,55 +87,97 @@ class Bytes:
         last = np.append(first[1:], len(new)) - 1
         first, last = first[fits[first]], last[fits[first]]
         row = np.searchsorted(self.borders, first, side="right") - 1
-        return row, grams[anchor[first]], first, last
+        return row, grams[anchor[first]], first, last, anchor[first]
 
 
 def pack_suffixes(columns, buckets, group, bounds):
-    """Open windows of a group as front-coded sorted runs, one per range of keys."""
-    doc, nth, start, words = columns
+    """The anchored suffixes of a group as front-coded sorted runs, one per range of keys."""
+    doc, nth, anchor, first, last, content, words, left = columns
+    order = np.lexsort((doc, last - first, anchor - first, content))
+    doc, nth, anchor, first, last, content, words, left = (
+        c[order] for c in (doc, nth, anchor, first, last, content, words, left)
+    )
+    settled = doc > group_min(doc, first_of(content, anchor - first, last - first))
+    local = doc[settled], nth[settled], first[settled], last[settled] + WINDOW
+    doc, nth, anchor, first, last, words, left = (c[~settled] for c in (doc, nth, anchor, first, last, words, left))
     if not len(doc):
-        return [], (doc, nth, start)
+        return [], local
     order = sort_order(words, doc)
-    doc, nth, start, words = doc[order], nth[order], start[order], words[order]
-    shared = prefixes(words, WINDOW)
-    settled = doc > group_min(doc, shared < WINDOW)
-    local = doc[settled], nth[settled], start[settled]
-    doc, nth, start, words = (c[~settled] for c in (doc, nth, start, words))
+    doc, nth, anchor, first, last, words, left = (c[order] for c in (doc, nth, anchor, first, last, words, left))
     rows = []
     for b, r in split(np.searchsorted(bounds, words[:, 0], side="right")):
-        part = words[r]
-        shared = prefixes(part, WINDOW)
+        shared = prefixes(words[r], WINDOW)
         ids, which = np.unique(doc[r], return_inverse=True)
+        before = anchor[r] - first[r]
         batch = pa.RecordBatch.from_arrays(
-            [encode(part, shared, WINDOW), pa.array(shared.astype(np.uint8)), pa.array(which.astype(np.int32)),
-             pa.array(nth[r].astype(np.int32)), pa.array(start[r].astype(np.int32 if start.max() < 1 << 31 else np.int64)),
-             pa.array(np.pad(ids, (0, len(r) - len(ids)), mode="edge"))],
-            ["rest", "shared", "which", "nth", "start", "ids"],
+            [encode(words[r], shared, WINDOW), encode_left(left[r], before), pa.array(shared.astype(np.uint8)),
+             pa.array(which.astype(np.int32)), pa.array(np.pad(ids, (0, len(r) - len(ids)), mode="edge")),
+             pa.array(nth[r].astype(np.int32)), pa.array(anchor[r]), pa.array(before.astype(np.uint8)),
+             pa.array((anchor[r] - last[r]).astype(np.int8))],
+            ["rest", "left", "shared", "which", "ids", "nth", "anchor", "most", "least"],
         )
         rows.append((b, 0, group, to_bytes(batch)))
     return rows, local
 
 
+def encode_left(left: np.ndarray, sizes: np.ndarray) -> pa.Array:
+    """The last `sizes` bytes of each row."""
+    data = left[np.arange(LEFT)[None, :] >= (LEFT - sizes)[:, None]]
+    offsets = np.concatenate(([0], np.cumsum(sizes))).astype(np.int32)
+    return pa.Array.from_buffers(pa.binary(), len(sizes), [None, pa.py_buffer(offsets), pa.py_buffer(data)])
+
+
+def decode_left(column: pa.Array, sizes: np.ndarray) -> np.ndarray:
+    out = np.zeros((len(sizes), LEFT), dtype=np.uint8)
+    buffer = column.buffers()[2]
+    if buffer is not None:
+        out[np.arange(LEFT)[None, :] >= (LEFT - sizes)[:, None]] = np.frombuffer(buffer, np.uint8)[: sizes.sum()]
+    return out
+
+
 def judge_suffixes(groups, bodies):
-    """Windows of a range of keys that start in a smaller document too, with the home of their documents."""
-    words, shared, doc, nth, start, home = [], [], [], [], [], []
+    """Windows of a range of anchors that start in a smaller document too, with the home of their documents.
+
+    Windows that start `before` bytes before their anchors are equal if their suffixes are neighbours
+    that share the rest of the window, and the bytes before the anchor are equal too.
+    """
+    parts = {k: [] for k in ("words", "shared", "doc", "nth", "anchor", "most", "least", "left", "home")}
     for group, body in bodies:
         x = from_bytes(body).combine_chunks()
-        column = lambda name: x[name].to_numpy()
-        prefix = column("shared").astype(np.int64)
-        words.append(decode(x["rest"].combine_chunks(), prefix, WINDOW))
-        shared.append(prefix)
-        doc.append(column("ids")[column("which")])
-        nth.append(column("nth").astype(np.int64))
-        start.append(column("start").astype(np.int64))
-        home.append(np.full(len(prefix), group))
-    runs = np.concatenate(([0], np.cumsum([len(s) for s in shared])))
-    words, shared, doc, nth, start, home = map(np.concatenate, (words, shared, doc, nth, start, home))
-    order, shared = LoserTrees(words, shared, runs, WINDOW).merge()
-    doc = doc[order]
-    gone = doc > group_min(doc, shared < WINDOW)
-    at = order[gone]
-    return home[at], doc[gone], nth[at], start[at]
+        column = lambda name: x[name].to_numpy().astype(np.int64)  # noqa: B023, E731
+        shared, most = column("shared"), column("most")
+        parts["words"].append(decode(x["rest"].combine_chunks(), shared, WINDOW))
+        parts["left"].append(decode_left(x["left"].combine_chunks(), most))
+        parts["shared"].append(shared)
+        parts["doc"].append(column("ids")[column("which")])
+        parts["most"].append(most)
+        parts["home"].append(np.full(len(shared), group))
+        for name in ("nth", "anchor", "least"):
+            parts[name].append(column(name))
+    runs = np.concatenate(([0], np.cumsum([len(s) for s in parts["shared"]])))
+    x = {k: np.concatenate(v) for k, v in parts.items()}
+    order, shared = LoserTrees(x["words"], x["shared"], runs, WINDOW).merge()
+    x = {k: v[order] for k, v in x.items() if k != "words"}
+    # Only suffixes that share their anchors with a neighbour can have equal windows.
+    anchored = np.cumsum(shared < GRAM)
+    some = np.bincount(anchored)[anchored] > 1
+    found = []
+    left = np.zeros(len(order), dtype=np.uint64)
+    for before in range(LEFT + 1):
+        if before:
+            # Print of the bytes before the anchor, one byte longer in each round.
+            left = mix(left * np.uint64(0x9E3779B97F4A7C15) + x["left"][:, LEFT - before] + np.uint64(1))
+        near = np.flatnonzero(some & (x["least"] <= before) & (before <= x["most"]))
+        if not len(near):
+            continue
+        block = np.cumsum(shared < WINDOW - before)[near]
+        doc, text = x["doc"][near], left[near]
+        inner = np.lexsort((doc, text, block))
+        doc = doc[inner]
+        gone = doc > group_min(doc, first_of(block[inner], text[inner]))
+        at = near[inner[gone]]
+        found.append((x["home"][at], x["doc"][at], x["nth"][at], x["anchor"][at] - before))
+    return [np.concatenate(c) for c in zip(*found)] if found else [np.zeros(0, np.int64)] * 4
 
 
 def kept_bytes(units: Bytes, gone: np.ndarray) -> list[bytes]:
