@@ -102,7 +102,7 @@ def sketch_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             n_rows = len(offsets) - 1
             row, names = shingle_sets(data, offsets)
             registers = sketches(row, names, n_rows)
-            sums = [np.concatenate(([0], np.cumsum(mix(names + np.uint64(s)), dtype=np.uint64))) for s in (1, 2)]
+            sums = [np.concatenate((np.zeros(1, np.uint64), np.cumsum(mix(names + np.uint64(s)), dtype=np.uint64))) for s in (1, 2)]
             border = np.searchsorted(row, np.arange(n_rows + 1))
             one, two = ((s[border[1:]] - s[border[:-1]]).view(np.int64) for s in sums)
             yield pa.RecordBatch.from_arrays(
