@@ -23,7 +23,11 @@ def canonical(rows, columns):
     return sorted(columns), sorted(tuple(cell(r[i]) for i in order) for r in rows)
 
 
-@pytest.mark.parametrize("name", list(entry.queries()))
+#: The training-data queries, where installed, have tests of their own.
+OWN = [name for name in entry.queries() if name not in entry.training_data()[0]]
+
+
+@pytest.mark.parametrize("name", OWN)
 def test_query(spark, sql, name):
     got = entry.queries()[name](spark, SF)
     want = sql.execute(entry.oracle_sql()[name])
@@ -32,7 +36,7 @@ def test_query(spark, sql, name):
 
 
 def test_every_query_has_sql():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    assert set(OWN) <= set(entry.oracle_sql())
 
 
 def test_entry(spark):
