@@ -1,5 +1,7 @@
 """Sitemap roots to the ordered list of URLs still to be fetched."""
 
+from itertools import count
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -7,12 +9,12 @@ from webcorpus.functions.text import url_netloc
 from webcorpus.sources.storage import checkpointed
 
 
-def expand_sitemaps(roots: DataFrame, links: DataFrame, max_depth: int = 100) -> DataFrame:
+def expand_sitemaps(roots: DataFrame, links: DataFrame) -> DataFrame:
     """(root, sitemap_url, path): every sitemap below a root, each once, at its smallest path.
 
     ``roots`` has ``root`` (a sitemap URL), ``links`` (sitemap_url, pos, child).  A path lists the
     positions on the way down; sorted by it, sitemaps come in the order of a depth-first walk.  A
-    link back to a sitemap of the same path is not followed, so cycles end.
+    link back to a sitemap of the same path is not followed, so cycles end, and with them the rounds.
 
     One round per level joins only the sitemaps reached or improved in the round before, and each
     round is cut off from the last by a reliable checkpoint.  Only sitemap links take part: the
@@ -26,7 +28,7 @@ def expand_sitemaps(roots: DataFrame, links: DataFrame, max_depth: int = 100) ->
         F.array("root").alias("trail"),
         F.lit(0).alias("round"),
     ).distinct()
-    for depth in range(1, max_depth + 1):
+    for depth in count(1):
         step = (
             known.where(F.col("round") == depth - 1)
             .join(links, "sitemap_url")
@@ -47,7 +49,6 @@ def expand_sitemaps(roots: DataFrame, links: DataFrame, max_depth: int = 100) ->
         )
         if known.where(F.col("round") == depth).isEmpty():
             return known.select("root", "sitemap_url", "path")
-    raise ValueError(f"sitemaps nest deeper than {max_depth}")
 
 
 def listed_urls(roots: DataFrame, sitemaps: DataFrame, limit: int = 0) -> DataFrame:
@@ -90,8 +91,8 @@ def listed_urls(roots: DataFrame, sitemaps: DataFrame, limit: int = 0) -> DataFr
     return urls.where(F.col("ord") < limit) if limit else urls
 
 
-def limit_urls(urls: DataFrame, limit: int, group: str = "root", order: str = "ord") -> DataFrame:
-    """The first ``limit`` URLs of each root; 0 means all.
+def limit_urls(urls: DataFrame, limit: int, *group: str, order: str = "ord") -> DataFrame:
+    """The first ``limit`` URLs of each group, by default of each root; 0 means all.
 
     A root of any size is cut in parallel pieces first, so one task only ever ranks
     pieces * limit rows of it.
@@ -105,7 +106,8 @@ def limit_urls(urls: DataFrame, limit: int, group: str = "root", order: str = "o
         rank = F.row_number().over(Window.partitionBy(*keys).orderBy(order))
         return df.withColumn("_rank", rank).where(F.col("_rank") <= limit).drop("_rank")
 
-    return ranked(ranked(salted, group, "_piece"), group).drop("_piece")
+    group = group or ("root",)
+    return ranked(ranked(salted, *group, "_piece"), *group).drop("_piece")
 
 
 def unique_urls(urls: DataFrame, *keys: str, order: str = "ord") -> DataFrame:
@@ -135,7 +137,7 @@ def politeness_schedule(
 ) -> DataFrame:
     """Add ``start_offset``: seconds after which a URL may be requested, spaced per host.
 
-    ``order`` must be a whole number, unique per host, such as the frontier's.  Ranks are taken
+    ``order`` must be a whole number, such as the frontier's; equal ones are taken by URL.  Ranks are taken
     within blocks of it and shifted by the sizes of the blocks before, so a host with most of the
     URLs is ranked by many tasks.
     """
@@ -147,7 +149,7 @@ def politeness_schedule(
     starts = sizes.select(
         "_host", "_block", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_first")
     )
-    rank = F.row_number().over(Window.partitionBy("_host", "_block").orderBy(order))
+    rank = F.row_number().over(Window.partitionBy("_host", "_block").orderBy(order, "url"))
     ranked = placed.withColumn("_rank", rank - 1).join(starts, ["_host", "_block"])
     return ranked.select(
         *urls.columns,
@@ -165,13 +167,19 @@ def frontier(
 ) -> DataFrame:
     """(source, url, ord): what is to be fetched, all sources in one table.
 
-    Order of steps: list, cut at the limit, drop repeats, drop what is stored.  With
-    ``limit_after_skip`` the cut comes last, so that a rerun gets on to new URLs.
+    ``roots`` may name the ``source`` its pages belong to; without it that is the host of the root.
+    Order of steps: list, cut each root at the limit, drop repeats, drop what is stored.  With
+    ``limit_after_skip`` the cut comes after that, still by root, so that a rerun gets on to new URLs.
     """
-    urls = listed_urls(roots, sitemaps, 0 if limit_after_skip else limit)
-    urls = unique_urls(urls.withColumn("source", url_netloc("root")), "source", "url")
+    if "source" not in roots.columns:
+        roots = roots.withColumn("source", url_netloc("root"))
+    owners = roots.select("root", "source").distinct()
+    urls = listed_urls(owners.select("root").distinct(), sitemaps, 0 if limit_after_skip else limit)
+    urls = urls.join(owners, "root")
+    keys = ("source", "root", "url") if limit_after_skip else ("source", "url")
+    urls = unique_urls(urls, *keys)
     if existing is not None:
         urls = pending_urls(urls, existing.select("source", "url"), "source", "url")
     if limit_after_skip:
-        urls = limit_urls(urls, limit, group="source")
+        urls = unique_urls(limit_urls(urls, limit, "source", "root"), "source", "url")
     return urls.select("source", "url", "ord")

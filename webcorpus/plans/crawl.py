@@ -1,8 +1,11 @@
 """The whole run: sitemaps and fetched pages to stored articles and a report per source."""
 
+import uuid
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from webcorpus.functions.text import url_netloc
 from webcorpus.operators.articles import crawl_summary, page_outcomes
 from webcorpus.operators.frontier import frontier, pending_urls
 from webcorpus.sources.article_store import ArticleStore
@@ -23,12 +26,13 @@ def crawl(
     """Store the articles of all listed, not yet stored pages; return the summary per source.
 
     ``sites`` has ``base_url``: a sitemap, or a site whose sitemap is looked up.  A listed page
-    that was not fetched counts as attempted.
+    that was not fetched counts as attempted.  A page belongs to the host of the base URL it was found
+    from, wherever its sitemap lies.  Of several fetches of a page the last by ``page_id`` counts.
     """
     roots = (
         pick_sitemap(sites, robots, bodies)
         .where(F.col("sitemap_url").isNotNull())
-        .select(F.col("sitemap_url").alias("root"))
+        .select(F.col("sitemap_url").alias("root"), url_netloc("base_url").alias("source"))
         .distinct()
     )
     sitemaps = stored(sitemap_links(bodies), "sitemaps")
@@ -36,8 +40,14 @@ def crawl(
     todo = stored(frontier(roots, sitemaps, existing, max_pages), "todo")
     # Matched before the parse.  As a stored table the list has a known size: while it is small it
     # is broadcast and the pages are not shuffled.
-    outcomes = stored(page_outcomes(pages.join(todo, "url"), **options), "outcomes")
-    store.write_articles(outcomes.where(F.col("reason").isNull()), store.next_batch(), F.col("ord"))
+    listed = pages.join(todo, "url")
+    if "page_id" in pages.columns:
+        last = pages.groupBy("url").agg(F.max("page_id").alias("page_id"), F.count(F.lit(1)).alias("_n"))
+        older = pages.join(last.where(F.col("_n") > 1).drop("_n").withColumnRenamed("page_id", "_last"), "url")
+        older = older.where(F.col("page_id") < F.col("_last")).select("url", "page_id")
+        listed = listed.join(stored(older, "older"), ["url", "page_id"], "left_anti")
+    outcomes = stored(page_outcomes(listed, **options), "outcomes")
+    store.write_articles(outcomes.where(F.col("reason").isNull()), store.next_batch(), F.col("ord"), uuid.uuid4().hex)
     missing = pending_urls(todo, pages.select("url")).select(
         "source", F.lit("status").alias("reason"), F.lit(0).cast("bigint").alias("word_count")
     )

@@ -1,12 +1,17 @@
 """Articles on plain parquet: an append log of batches, and snapshots of it.
 
-    root/log/batch_id=<id>/source_key=<key>/*.parquet
-    root/snapshots/through=<last batch id in it>/source_key=<key>/*.parquet
-
-A batch or snapshot counts once its write has committed (``_SUCCESS``), so readers never see half
-of one, and a batch written again replaces itself.  Nothing read is ever overwritten.
+    root/log/batch=<id>-<writer>/source_key=<key>/*.parquet
+    root/snapshots/through=<id>-<n>-<unique>/source_key=<key>/*.parquet
+    root/held/through=<id>-<n>-<unique>/*.parquet      names of the batches in that snapshot
+
+A batch is known by its id and its writer: two writers that take the same id do not touch each other's
+batch, and one that writes its batch again replaces it.  A batch or snapshot counts once its write has
+committed (``_SUCCESS``), so readers never see half of one.  A snapshot names the batches it holds;
+every other committed batch, whatever its id, is read from the log and counts as newer.
 """
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -61,66 +66,101 @@ def upsert_articles(
 
 
 class ArticleStore:
-    def __init__(self, spark: SparkSession, root: str):
-        self.spark, self.root = spark, root.rstrip("/")
+    """``folders``: hashed folders in a batch; 0 gives each source a folder, for a handful of sources."""
+
+    def __init__(self, spark: SparkSession, root: str, folders: int = 16):
+        self.spark, self.root, self.folders = spark, root.rstrip("/"), folders
 
-    def _ids(self, folder, after=-1):
-        def behind(name):
-            return "=" in name and int(name.split("=")[1]) > after
+    def _names(self, folder, start):
+        names = child_dirs(self.spark, f"{self.root}/{folder}", lambda n: n.startswith(start))
+        return sorted((int(n[len(start):].split("-", 1)[0]), n) for n in names)
 
-        names = child_dirs(self.spark, f"{self.root}/{folder}", behind)
-        return sorted(int(n.split("=")[1]) for n in names)
+    def log_names(self) -> list:
+        """(id, folder) of every committed batch, in order."""
+        return self._names("log", "batch=")
 
     def batches(self, after: int = -1) -> list:
-        return self._ids("log", after)
+        return [i for i, _ in self.log_names() if i > after]
+
+    def _snapshots(self):
+        """(last id, folder) of the snapshots in the order they were made."""
+        return sorted(self._names("snapshots", "through="), key=lambda s: s[1].split("-")[1])
 
     def snapshot(self):
         """Last batch id in the newest snapshot, None without one."""
-        return max(self._ids("snapshots"), default=None)
+        return next((i for i, _ in reversed(self._snapshots())), None)
 
     def next_batch(self) -> int:
-        return max(self._ids("log") + self._ids("snapshots"), default=-1) + 1
+        return max([i for i, _ in self.log_names() + self._snapshots()], default=-1) + 1
 
-    def write_articles(self, articles: DataFrame, batch_id: int, pos: Column = None) -> None:
-        """Write one batch, zstd parquet, one folder per source; the same id again replaces it.
+    def write_articles(
+        self, articles: DataFrame, batch_id: int, pos: Column = None, writer: str = "main", append: bool = True
+    ) -> None:
+        """Write one batch, zstd parquet; the same id by the same writer replaces it.
 
-        ``pos`` orders repeats of a URL within the batch.  The rebalance hint evens out file sizes:
-        a source with most of the rows is split over many files, small ones share a task.
+        ``pos`` orders repeats of a URL within the batch.  With ``append=False`` the table is only these
+        rows afterwards: a snapshot of them that holds all batches so far.  The rebalance hint evens
+        out file sizes: a folder with most of the rows is split over many files, small ones share a task.
         """
         rows = articles.select(
             *[articles[f.name].cast(f.dataType).alias(f.name) for f in ARTICLE.fields],
+            F.lit(batch_id).cast("bigint").alias("batch_id"),
             (F.lit(0) if pos is None else pos).cast("bigint").alias("pos"),
-            source_key("source").alias("source_key"),
         )
-        self._write(rows, f"{self.root}/log/batch_id={batch_id}")
+        if append:
+            self._write(rows, f"{self.root}/log/batch={batch_id}-{writer}")
+        else:
+            self._snapshot(latest_articles(rows), batch_id, [n for _, n in self.log_names()])
+
+    def _folder(self, source) -> Column:
+        """Folder of a source: one of a fixed number, or one of its own."""
+        if self.folders:
+            return F.format_string("f%03d", F.pmod(F.xxhash64(source), F.lit(self.folders)))
+        return F.coalesce(F.nullif(source_key(source), F.lit("")), F.lit("_"))
 
     def _write(self, rows, path):
+        rows = rows.withColumn("source_key", self._folder(F.col("source")))
         rows.hint("rebalance", "source_key").write.mode("overwrite").option(
             "compression", "zstd"
         ).partitionBy("source_key").parquet(path)
 
-    def _log(self, after, before):
-        ids = [b for b in self.batches(after) if before is None or b < before]
-        if not ids:
-            return self.spark.createDataFrame([], ARTICLE_LOG)
-        log = f"{self.root}/log"
-        reader = self.spark.read.schema(ARTICLE_LOG).option("basePath", log)
-        return reader.parquet(*[f"{log}/batch_id={b}" for b in ids]).select(*ARTICLE_LOG.names)
+    def _snapshot(self, rows, through, held):
+        name = f"through={through}-{len(self._snapshots()):09d}-{uuid.uuid4().hex}"
+        names = self.spark.createDataFrame([(n,) for n in held], "name string")
+        names.coalesce(1).write.parquet(f"{self.root}/held/{name}")
+        self._write(rows, f"{self.root}/snapshots/{name}")
 
-    def _snapshot_rows(self, through):
-        rows = self.spark.read.schema(ARTICLE_LOG).parquet(f"{self.root}/snapshots/through={through}")
-        return rows.select(*ARTICLE_LOG.names)
+    def _held(self, name):
+        rows = self.spark.read.schema("name string").parquet(f"{self.root}/held/{name}").collect()
+        return {r["name"] for r in rows}
+
+    def _read(self, folder, names):
+        if not names:
+            return self.spark.createDataFrame([], ARTICLE_LOG)
+        base = f"{self.root}/{folder}"
+        reader = self.spark.read.schema(ARTICLE_LOG).option("basePath", base)
+        return reader.parquet(*[f"{base}/{n}" for n in names]).select(*ARTICLE_LOG.names)
+
+    def _state(self, before=None):
+        """(newest snapshot or None, the committed batches it does not hold), before the given id."""
+        log = [(i, n) for i, n in self.log_names() if before is None or i < before]
+        for i, name in reversed(self._snapshots()):
+            if before is None or i < before:
+                held = self._held(name)
+                return name, [n for _, n in log if n not in held]
+        return None, [n for _, n in log]
 
     def rows(self, before: int = None):
-        """(snapshot rows or None, log rows behind it), as far as batches before the given one."""
-        last = self.snapshot()
-        if last is not None and before is not None and last >= before:
-            last = None      # the snapshot is too new: the log alone tells
-        old = None if last is None else self._snapshot_rows(last)
-        return old, self._log(-1 if last is None else last, before)
-
-    def articles(self, latest=latest_articles) -> DataFrame:
-        """The current table: the last appended row of each (source, url)."""
+        """(snapshot rows or None, log rows it does not hold), as far as batches before the given one."""
+        name, log = self._state(before)
+        old = None if name is None else self._read("snapshots", [name])
+        return old, self._read("log", log)
+
+    def articles(self, latest=latest_stored) -> DataFrame:
+        """The current table: the last appended row of each (source, url).
+
+        The default looks at the keys first and moves only the texts of repeated ones.
+        """
         old, new = self.rows()
         return latest(new) if old is None else upsert_articles(old, new, latest=latest)
 
@@ -132,7 +172,7 @@ class ArticleStore:
         old, new = self.rows(before)
         if source is not None:
             # The folder name lets partitions be pruned; the name itself decides.
-            match = (F.col("source_key") == source_key(F.lit(source))) & (F.col("source") == source)
+            match = (F.col("source_key") == self._folder(F.lit(source))) & (F.col("source") == source)
             old, new = old if old is None else old.where(match), new.where(match)
         return new.select(*KEYS) if old is None else old.select(*KEYS).unionByName(new.select(*KEYS))
 
@@ -142,9 +182,10 @@ class ArticleStore:
 
     def compact(self) -> None:
         """Write the current table as a new snapshot; readers move over when it has committed."""
-        last = self.snapshot()
-        batches = self.batches(-1 if last is None else last)
-        if not batches:
-            return
-        rows = self.articles(latest_stored).select(*ARTICLE_LOG.names)
-        self._write(rows, f"{self.root}/snapshots/through={batches[-1]}")
+        name, log = self._state()
+        if log:
+            held = {*log, *(() if name is None else self._held(name))}
+            old, new = (None if name is None else self._read("snapshots", [name])), self._read("log", log)
+            rows = latest_stored(new) if old is None else upsert_articles(old, new, latest=latest_stored)
+            last = max(i for i, n in self.log_names() if n in held)
+            self._snapshot(rows.select(*ARTICLE_LOG.names), last, sorted(held))

@@ -25,13 +25,18 @@ def write_train_shards(records: DataFrame, path: str, max_records: int = 0) -> N
 
 
 def dataset_manifest(spark: SparkSession, path: str, prefix: str = "data/") -> DataFrame:
-    """File by file, sorted: where it is published to, rows and bytes.  Reads footers only."""
-    rows = spark.read.parquet(path).select(
-        F.col("_metadata.file_name").alias("file_name"), F.col("_metadata.file_size").alias("n_bytes")
-    )
-    files = rows.groupBy("file_name", "n_bytes").agg(F.count(F.lit(1)).alias("n_rows"))
-    return files.select(
-        "file_name", F.concat(F.lit(prefix), "file_name").alias("target"), "n_rows", "n_bytes"
+    """File by file, sorted: where it is published to, rows and bytes; files without rows too.
+
+    Reads footers only: files are listed without their content, rows are counted by file.
+    """
+    listed = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").load(path)
+    files = listed.select(F.element_at(F.split("path", "/"), -1).alias("file_name"), F.col("length").alias("n_bytes"))
+    counts = spark.read.schema(TRAIN_SHARD).parquet(path).select(F.col("_metadata.file_name").alias("_name"))
+    counts = counts.groupBy("_name").agg(F.count(F.lit(1)).alias("n"))
+    rows = files.join(counts, F.col("file_name") == F.col("_name"), "left")
+    return rows.select(
+        "file_name", F.concat(F.lit(prefix), "file_name").alias("target"),
+        F.coalesce("n", F.lit(0)).alias("n_rows"), "n_bytes",
     ).orderBy("file_name")
 
 

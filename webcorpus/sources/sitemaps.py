@@ -3,7 +3,6 @@
 import gzip
 import zlib
 from xml.etree.ElementTree import ParseError, TreeBuilder, XMLParser
-from xml.parsers import expat
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -65,18 +64,6 @@ def _parse_sitemap(bodies: pd.Series) -> pd.DataFrame:
     return pd.DataFrame(rows, columns=["status", "locs"])
 
 
-@F.pandas_udf(T.BooleanType())
-def _is_xml(bodies: pd.Series) -> pd.Series:
-    def check(body):
-        try:
-            expat.ParserCreate().Parse(_inflate(bytes(body)), True)
-            return True
-        except (expat.ExpatError, OSError, EOFError, zlib.error, ValueError, LookupError):
-            return False
-
-    return bodies.map(check)
-
-
 def _looks_like_html(body) -> Column:
     """Seen without inflating: the cheap test before a body goes to Python."""
     head = F.lower(F.decode(F.substring(body, 1, 500), "ISO-8859-1"))
@@ -123,7 +110,10 @@ def sitemap_links(bodies: DataFrame) -> DataFrame:
         F.transform(F.filter("l", lambda x: ~is_sitemap_link(x["loc"])), lambda x: x["loc"]).alias("urls"),
         F.filter("l", lambda x: is_sitemap_link(x["loc"])).alias("children"),
     )
-    return lists.select("sitemap_url", F.size("urls").cast("bigint").alias("n_urls"), "urls", "children")
+    sized = lists.select("sitemap_url", F.size("urls").cast("bigint").alias("n_urls"), "urls", "children")
+    # A sitemap delivered several times counts once, with its longest list.
+    row = F.struct("n_urls", "urls", "children")
+    return sized.groupBy("sitemap_url").agg(F.max_by(row, row).alias("r")).select("sitemap_url", "r.*")
 
 
 def reject_bad_sitemaps(bodies: DataFrame) -> DataFrame:
@@ -176,7 +166,7 @@ def pick_sitemap(sites: DataFrame, robots: DataFrame, bodies: DataFrame) -> Data
     at_common_path = F.regexp_extract("sitemap_url", r"^[^:]+://[^/]*(/.*)$", 1).isin(*SITEMAP_PATHS)
     good = (
         bodies.where(at_common_path & (F.col("status") == 200) & (F.length("body") > 0))
-        .where(_is_xml("body"))
+        .where(_parse_sitemap("body")["status"] == "ok")
         .select("sitemap_url")
         .distinct()
     )

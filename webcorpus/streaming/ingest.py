@@ -1,5 +1,7 @@
 """Landed pages to stored articles, batch by batch, resumable."""
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -25,9 +27,9 @@ def ingest_stream(
 ):
     """Start a stream that stores the articles of all pages landed so far, then stops.
 
-    Each micro-batch is one store batch.  Its id is the stream's batch number counted from the
-    store's state when this checkpoint was first used, so a batch that runs again after a failure
-    replaces itself.  With ``skip_existing`` stored URLs are dropped before their pages are parsed.
+    Each micro-batch is one store batch, under a writer name of this checkpoint.  The id it takes from
+    the store is noted beside the checkpoint before it is written, so a batch that runs again after a
+    failure replaces itself, and no other writer's batch.  With ``skip_existing`` stored URLs are dropped before their pages are parsed.
     With ``compact_every`` the store is compacted after every so many batches.
     """
     pages = (
@@ -35,10 +37,11 @@ def ingest_stream(
         .option("maxFilesPerTrigger", files_per_batch)
         .parquet(landing)
     )
-    first = _first_batch(spark, store, checkpoint)
+    writer = _noted(spark, f"{checkpoint.rstrip('/')}-writer", lambda: uuid.uuid4().hex)
 
     def save(batch: DataFrame, number: int) -> None:
-        batch_id = first + number
+        note = f"{checkpoint.rstrip('/')}-batches/{number}"
+        batch_id = int(_noted(spark, note, lambda: str(store.next_batch())))
         if "source" not in batch.columns:
             batch = batch.withColumn("source", url_netloc("url"))
         if skip_existing:
@@ -47,7 +50,7 @@ def ingest_stream(
             keys = batch.select("source", "url")
             known = store.stored_keys(before=batch_id).join(keys, ["source", "url"], "left_semi")
             batch = pending_urls(batch, known, "source", "url")
-        store.write_articles(build_articles(batch, **options), batch_id, F.col(order))
+        store.write_articles(build_articles(batch, **options), batch_id, F.col(order), writer)
         if compact_every and (number + 1) % compact_every == 0:
             store.compact()
 
@@ -59,9 +62,8 @@ def ingest_stream(
     )
 
 
-def _first_batch(spark, store, checkpoint):
-    """First store batch of this checkpoint, noted beside it on first use."""
-    note = checkpoint.rstrip("/") + "-first-batch"
-    if not path_exists(spark, note + "/_SUCCESS"):
-        spark.range(store.next_batch(), store.next_batch() + 1).write.mode("overwrite").parquet(note)
-    return spark.read.schema("id bigint").parquet(note).first()["id"]
+def _noted(spark, path, make):
+    """A value that is made once and kept in a file."""
+    if not path_exists(spark, path + "/_SUCCESS"):
+        spark.createDataFrame([(make(),)], "value string").coalesce(1).write.mode("overwrite").parquet(path)
+    return spark.read.schema("value string").parquet(path).first()["value"]
