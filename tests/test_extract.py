@@ -191,6 +191,7 @@ def test_selectors(spark):
 
 @pytest.mark.parametrize("css, expected", [
     ("article", ["A"]), ("#main", ["B"]), ("div.c1.c2", ["C"]), (".c1", ["C", "D"]), ("p.c2", []),
+    ("p, article", ["D", "A"]), ("[id=main]", ["B"]), ('p[class="c1"]', ["D"]), ("div[id]", ["B"]), ("*.c2", ["C"]),
 ])
 def test_selector_forms(spark, css, expected):
     html = '<article>A</article><div id=main>B</div><div class="c2 c1">C</div><p class="c1">D</p>'
@@ -199,14 +200,33 @@ def test_selector_forms(spark, css, expected):
     assert [r.text for r in rows] == expected
 
 
+@pytest.mark.parametrize("css", ["div > p", ".a .b", "[itemprop=x]", "", "a:hover", "p,,div", "[id^=m]"])
+def test_unknown_selectors_fail(spark, css):
+    with pytest.raises(Exception, match="selector not supported"):
+        E.add_rules(pages(spark, "<p>x</p>"), E.selector_rules(spark, [("site", 0, css)])).collect()
+
+
 def test_paragraph_candidate(spark):
     long = "This sentence, with commas, is long enough to be counted as a paragraph."
     html = (
         f"<body><div class=sidebar><p>{long}</p></div><div id=story><p>{long}</p><p>{long}</p></div>"
         f"<div><p><a>{long}</a></p></div></body>"
     )
-    nodes = page_nodes(pages(spark, html, "<p>short</p>"))
-    assert values(E.paragraph_candidate(nodes), "paragraph_node.attrs") == [{"id": "story"}, None]
+    teasers = f"<div id=list>{'<p>one two three four five <a>more</a></p>' * 20}</div><div id=text><p>{long}</div>"
+    nodes = page_nodes(pages(spark, html, "<p>short</p>", f"<body>{teasers}</body>"))
+    assert values(E.paragraph_candidate(nodes), "paragraph_node.attrs") == [{"id": "story"}, None, {"id": "text"}]
+
+
+def test_end_tags_stay_in_their_scope(spark):
+    html = (
+        "<div id=a><table><tr><td>x</div>y</td><td><table><tr><td>in</tr></table>z</td></tr></table>"
+        "<p>t<span>u<div>v</span>w</div></div><i>q<p>r</i>s</p>"
+    )
+    nodes = page_nodes(pages(spark, html)).selectExpr("inline(nodes)").collect()
+    text = {n.text: n.parent_id for n in nodes if n.tag == "#text"}
+    tag = {n.node_id: n.tag for n in nodes}
+    # An end tag that is ignored does not part the text around it.
+    assert (tag[text["xy"]], tag[text["z"]], tag[text["vw"]], tag[text["r"]]) == ("td", "td", "div", "p")
 
 
 def test_markdown(spark):

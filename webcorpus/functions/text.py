@@ -73,16 +73,19 @@ def is_sitemap_link(url) -> Column:
 
 
 def iso_utc(ts) -> Column:
-    """ISO-8601 in UTC whatever the session zone; a whole second has no fraction."""
+    """ISO-8601 in UTC whatever the session zone; a whole second has no fraction.
+
+    Built from the microseconds since 1970 on a timestamp without a zone, so no zone's clock changes
+    get in the way.
+    """
     ts = ts.cast("timestamp") if isinstance(ts, Column) else F.col(ts).cast("timestamp")
-    utc = F.to_utc_timestamp(ts, F.current_timezone())
-    whole = F.unix_micros(ts) % 1_000_000 == 0
-    return F.concat(
-        F.when(whole, F.date_format(utc, "yyyy-MM-dd'T'HH:mm:ss")).otherwise(
-            F.date_format(utc, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
-        ),
-        F.lit("+00:00"),
-    )
+    micros = F.unix_micros(ts)
+    epoch = F.expr("TIMESTAMP_NTZ '1970-01-01 00:00:00'")
+    utc = epoch + F.make_dt_interval(secs=(micros / F.lit(1_000_000).cast("decimal(18,0)")).cast("decimal(18,6)"))
+    text = F.date_format(utc, "yyyy-MM-dd'T'HH:mm:ss")
+    part = F.pmod(micros, F.lit(1_000_000))
+    fraction = F.when(part == 0, "").otherwise(F.concat(F.lit("."), F.lpad(part.cast("string"), 6, "0")))
+    return F.concat(text, fraction, F.lit("+00:00"))
 
 
 def candidate_score(text, words=None) -> Column:

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from webcorpus.functions import nodes as N
 from webcorpus.functions.markdown import body_markdown, markdown_pieces, settled_markdown
 from webcorpus.functions.text import candidate_score, fragment_text, strip_ws, url_netloc, word_count
+from webcorpus.sources.pages import ARTICLE_ATTRIBUTES
 
 # Host, order, selector.
 SELECTOR_RULES = (
@@ -29,6 +30,12 @@ SELECTOR_RULES = (
 MAX_BROADCAST_RULES = 100_000
 
 
+# A simple selector: at least an element, "*", an id, a class or an attribute.
+SELECTOR = (
+    r"""^(?=.)(?:[A-Za-z][A-Za-z0-9-]*|\*)?(?:#[\w-]+|\.[\w-]+|\[[\w-]+(?:=(?:"[^"]*"|'[^']*'|[\w-]+))?\])*$"""
+)
+
+
 def selector_rules(spark, rows=SELECTOR_RULES) -> DataFrame:
     return spark.createDataFrame(list(rows), "host string, ord int, css string")
 
@@ -36,24 +43,37 @@ def selector_rules(spark, rows=SELECTOR_RULES) -> DataFrame:
 def add_rules(pages: DataFrame, rules: DataFrame) -> DataFrame:
     """Attach a page's selector rules by exact host.
 
+    A rule is a list, separated by commas, of simple selectors: an element or ``*`` with ids, classes
+    and attributes that the parse keeps.  Anything else, such as child and descendant steps, fails.
+
     The join runs before the parse, on the slim side of it.  Rules are counted, as far as the
     bound: within it they are broadcast and pages stay where they are; beyond it the join is
     sorted, with hot hosts split at run time.
     """
     few = rules.limit(MAX_BROADCAST_RULES + 1).count() <= MAX_BROADCAST_RULES
-    css = F.col("css")
-    per_host = rules.groupBy(F.col("host").alias("_host")).agg(
-        F.array_sort(
-            F.collect_list(
-                F.struct(
-                    "ord",
-                    F.regexp_extract(css, r"^([A-Za-z][A-Za-z0-9-]*)", 1).alias("tag"),
-                    F.regexp_extract(css, r"#([\w-]+)", 1).alias("id"),
-                    F.regexp_extract_all(css, F.lit(r"\.([\w-]+)"), F.lit(1)).alias("classes"),
-                )
-            )
-        ).alias("rules")
+    each = rules.select("host", "ord", "css", F.posexplode(F.split("css", ",")).alias("part", "one"))
+    one = F.trim("one")
+    attribute = r"\[([\w-]+)(?:=(?:\"([^\"]*)\"|'([^']*)'|([\w-]+)))?\]"
+    parsed = F.struct(
+        "ord", "part",
+        F.lower(F.regexp_extract(one, r"^([A-Za-z][A-Za-z0-9-]*)", 1)).alias("tag"),
+        F.regexp_extract(F.regexp_replace(one, attribute, ""), r"#([\w-]+)", 1).alias("id"),
+        F.regexp_extract_all(F.regexp_replace(one, attribute, ""), F.lit(r"\.([\w-]+)"), F.lit(1)).alias("classes"),
+        F.transform(
+            F.regexp_extract_all(one, F.lit(attribute), F.lit(0)),
+            lambda a: F.struct(
+                F.lower(F.regexp_extract(a, attribute, 1)).alias("name"), a.contains("=").alias("valued"),
+                F.concat(*[F.regexp_extract(a, attribute, k) for k in (2, 3, 4)]).alias("value"),
+            ),
+        ).alias("attrs"),
+    )
+    known = F.exists(
+        F.regexp_extract_all(one, F.lit(attribute), F.lit(1)), lambda a: ~F.lower(a).isin(*ARTICLE_ATTRIBUTES)
     )
+    wrong = ~one.rlike(SELECTOR) | known
+    message = F.concat(F.lit("selector not supported: "), "css")
+    per_host = each.select("host", F.when(wrong, F.raise_error(message)).otherwise(parsed).alias("rule"))
+    per_host = per_host.groupBy(F.col("host").alias("_host")).agg(F.array_sort(F.collect_list("rule")).alias("rules"))
     per_host = F.broadcast(per_host) if few else per_host
     return pages.join(per_host, url_netloc("url") == F.col("_host"), "left").drop("_host")
 

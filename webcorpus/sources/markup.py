@@ -41,11 +41,12 @@ CLOSED_BY = {
     "tfoot": (frozenset("thead tbody tfoot".split()), frozenset(["table"])),
     "option": (frozenset(["option"]), frozenset(["select"])),
 }
-# An end tag never closes an element that weighs more than its own kind.
-END_WEIGHT = {
-    "div": 150, "td": 160, "th": 160, "tr": 170, "thead": 180, "tbody": 180, "tfoot": 180,
-    "table": 190, "head": 200, "body": 200, "html": 220,
-}
+# How far an end tag looks for its start: a cell's content cannot end what is outside of the cell, parts
+# of a table only end inside that table, and other inline ends do not reach out of a block.
+TABLE_PARTS = frozenset("caption tbody td tfoot th thead tr".split())
+TABLE_SCOPE = frozenset("html table template".split())
+SCOPE = TABLE_SCOPE | frozenset("caption object td th".split())
+FORMATTING = frozenset("a b big code em font i s small strike strong tt u".split())
 
 TAG_NAME = re.compile(r"[a-zA-Z][^\s/>]*")
 ATTRIBUTE = re.compile(
@@ -244,11 +245,16 @@ class PageNodes:
     def _closable(self, tag):
         if tag in ("html", "body") or not self._count.get(tag):
             return False
-        weight = END_WEIGHT.get(tag, 100)
+        if tag in TABLE_PARTS:
+            scope = TABLE_SCOPE
+        elif tag in BLOCK or tag in FORMATTING:
+            scope = SCOPE
+        else:
+            scope = BLOCK | SCOPE
         for node in reversed(self._open):
             if self.tag[node] == tag:
                 return True
-            if END_WEIGHT.get(self.tag[node], 100) > weight:
+            if self.tag[node] in scope:
                 return False
         return False
 
