@@ -4,7 +4,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from webcorpus.functions.text import (
-    MIN_CONTENT_LENGTH, iso_utc, long_enough, url_lang, url_netloc,
+    DEFAULT_LANGUAGE, LANGUAGES, MIN_CONTENT_LENGTH, iso_utc, long_enough, url_lang, url_netloc,
 )
 from webcorpus.operators.extract import add_rules, main_content
 from webcorpus.schemas import ARTICLE
@@ -22,11 +22,14 @@ def page_outcomes(
     rules: DataFrame = None,
     jsonld: bool = True,
     min_length: int = MIN_CONTENT_LENGTH,
+    languages: tuple = LANGUAGES,
+    default_language: str = DEFAULT_LANGUAGE,
 ) -> DataFrame:
     """Every attempted page as one row: the article fields and, where there is none, the ``reason``.
 
     Reasons: 'status', 'empty', 'too_short'; NULL is a success.  ``source`` is taken from the pages
-    if they have it, else it is the URL's host; further columns pass through.  Nothing is shuffled:
+    if they have it, else it is the URL's host; ``languages`` are those a URL may name, others get the
+    ``default_language``; further columns pass through.  Nothing is shuffled:
     the anti-join with what is stored, if any, belongs in front of this.
     """
     if "source" not in pages.columns:
@@ -49,7 +52,7 @@ def page_outcomes(
         "title",
         F.coalesce("text", F.lit("")).alias("text"),
         "markdown",
-        url_lang("url").alias("lang"),
+        url_lang("url", languages, default_language).alias("lang"),
         "source",
         iso_utc(ts).alias("crawled_at"),
         F.coalesce("word_count", F.lit(0)).alias("word_count"),
