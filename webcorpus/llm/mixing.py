@@ -79,14 +79,16 @@ def mix_sources(docs: DataFrame, id_col="doc_id", text_col="text", source_col="s
     """
     added = ("size", "source_size", "target", "taken")
     keep = [c for c in docs.columns if c not in added]
-    base = docs.select(*[F.col(f"`{c}`") for c in keep], n_words(F.col(text_col)).alias("size"))
+    # What is made of the text is made before any exchange: the text itself need not travel for it.
+    tie = F.md5(F.coalesce(text_col, F.lit(""))).alias("mix__tie")
+    base = docs.select(*[F.col(f"`{c}`") for c in keep], n_words(F.col(text_col)).alias("size"), tie)
     weight = F.lit(1.0)
     if quality is not None:
         q = quality.groupBy(F.col(id_col).alias("mix__id")).agg(F.max("weight").cast("double").alias("mix__weight"))
         base = base.join(q, F.col(id_col) == F.col("mix__id"), "left").drop("mix__id")
         weight = F.coalesce("mix__weight", F.lit(1.0))
     key = -F.log(uniform(F.col(id_col))) / weight
-    base = base.withColumn("mix__key", key).withColumn("mix__tie", F.md5(F.coalesce(text_col, F.lit("")))).drop("mix__weight")
+    base = base.withColumn("mix__key", key).drop("mix__weight")
     sizes = docs.groupBy(F.col(source_col).alias("source")).agg(
         F.sum(n_words(F.col(text_col))).alias("source_size"), F.count(F.lit(1)).alias("n_docs")
     )
