@@ -30,28 +30,36 @@ MOST_ROUNDS = 5
 EDGES = "a long, b long, sim double"
 
 
+def packed(x: np.ndarray) -> bytes:
+    """A vector as bytes: a mark, then single precision where that loses nothing, else double."""
+    single = x.astype(np.float32)
+    return b"f" + single.tobytes() if (single == x).all() else b"d" + x.tobytes()
+
+
+def unit(body: bytes) -> np.ndarray:
+    """The unit vector of packed bytes, in double precision."""
+    x = np.frombuffer(body[1:], np.float32 if body[:1] == b"f" else np.float64).astype(np.float64)
+    x = x / np.abs(x).max()
+    return x / np.linalg.norm(x)
+
+
 def matrix(column) -> np.ndarray:
-    """Unit vectors of a column of packed doubles."""
-    return np.array([np.frombuffer(v, np.float64) for v in column.to_pylist()]) if len(column) else np.zeros((0, 1))
+    return np.array([unit(v) for v in column.to_pylist()]) if len(column) else np.zeros((0, 1))
 
 
-def unit_vectors(batches):
-    """(vec, label, packed unit vector) of usable rows; null, zero and non-finite vectors are left out."""
+def usable_vectors(batches):
+    """(vec, label, size, packed vector) of usable rows; null, zero and non-finite vectors are left out."""
     for batch in batches:
-        ids, labels, out = [], [], []
+        out = []
         for i, label, v in zip(batch.column("vec").to_pylist(), batch.column("label").to_pylist(), batch.column("v").to_pylist()):
             if i is None or label is None or not v or None in v:
                 continue
             x = np.array(v, dtype=np.float64)
-            if not np.isfinite(x).all() or not x.any():
-                continue
-            x = x / np.abs(x).max()
-            ids.append(i)
-            labels.append(label)
-            out.append((x / np.linalg.norm(x)).tobytes())
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(ids, pa.int64()), pa.array(labels, pa.string()), pa.array(out, pa.binary())], ["vec", "label", "unit"]
-        )
+            if np.isfinite(x).all() and x.any():
+                out.append((i, label, len(x), packed(x + 0.0)))
+        columns = list(zip(*out)) or [(), (), (), ()]
+        kinds = (pa.int64(), pa.string(), pa.int64(), pa.binary())
+        yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], ["vec", "label", "size", "unit"])
 
 
 def cells_of(first_tree: int, trees: int, seed: int):
@@ -61,13 +69,12 @@ def cells_of(first_tree: int, trees: int, seed: int):
             n = batch.num_rows
             if not n:
                 continue
-            units = batch.column("unit").to_pylist()
             depth = batch.column("depth").to_numpy()
-            size = np.array([len(u) // 8 for u in units])
+            size = batch.column("size").to_numpy()
             cell = np.zeros((trees, n), dtype=np.int64)
             for d in np.unique(size):
                 rows = np.flatnonzero(size == d)
-                x = np.array([np.frombuffer(units[r], np.float64) for r in rows])
+                x = matrix(batch.column("unit").take(pa.array(rows)))
                 for t in range(trees):
                     planes = np.random.default_rng((seed, first_tree + t, int(d))).standard_normal((int(d), 30))
                     bits = ((x @ planes) > 0).astype(np.int64)
@@ -134,23 +141,23 @@ def block_pairs(table: pa.Table) -> pa.Table:
 
 def audit(vectors: DataFrame, found: DataFrame) -> float:
     """Share of the links of AUDIT vectors, chosen by hash, that were found; brute force against all rows."""
-    chosen = vectors.orderBy(F.xxhash64("vec", F.lit(2)), "vec").limit(AUDIT).select("vec", "label", "unit", "copies").collect()
+    chosen = vectors.orderBy(F.xxhash64("vec", F.lit(2)), "vec").limit(AUDIT).select("vec", "label", "size", "unit", "copies").collect()
     if not chosen:
         return 1.0
     by_size: dict = {}
     for r in chosen:
-        by_size.setdefault((r["label"], len(r["unit"])), []).append(r)
+        by_size.setdefault((r["label"], r["size"]), []).append(r)
 
     def count(batches):
         totals: dict[int, int] = {}
         for batch in batches:
-            keys = list(zip(batch.column("label").to_pylist(), map(len, batch.column("unit").to_pylist())))
+            keys = list(zip(batch.column("label").to_pylist(), batch.column("size").to_pylist()))
             units, copies, ids = batch.column("unit"), batch.column("copies").to_numpy(), batch.column("vec").to_numpy()
             for key, queries in by_size.items():
                 rows = np.flatnonzero([k == key for k in keys])
                 if len(rows):
                     y = matrix(units.take(pa.array(rows)))
-                    q = np.array([np.frombuffer(r["unit"], np.float64) for r in queries])
+                    q = np.array([unit(bytes(r["unit"])) for r in queries])
                     mine = np.array([r["vec"] for r in queries])
                     linked = (q @ y.T >= THRESHOLD) & (mine[:, None] != ids[rows][None, :])
                     for v, n in zip(mine, linked @ copies[rows]):
@@ -186,13 +193,13 @@ def embedding_links(rows: DataFrame, id_col="vec_id", vector_col="embedding", la
     """(vec, n, least): links of each linked vector of `rows`, found by NN-descent, and the recall of the audit."""
     units = rows.select(
         F.col(id_col).cast("long").alias("vec"), F.col(label_col).cast("string").alias("label"), F.col(vector_col).alias("v")
-    ).mapInArrow(unit_vectors, "vec long, label string, unit binary")
+    ).mapInArrow(usable_vectors, "vec long, label string, size long, unit binary")
     units = stored(units, "units")
-    # Equal vectors of a label are one class, under its least id, with the number of its members.
-    vectors = stored(units.groupBy("label", "unit").agg(F.min("vec").alias("vec"), F.count(F.lit(1)).alias("copies")), "vectors")
+    # Equal vectors of a label are one class (-0.0 was made 0.0), under its least id, with the number of its members.
+    vectors = stored(units.groupBy("label", "size", "unit").agg(F.min("vec").alias("vec"), F.count(F.lit(1)).alias("copies")), "vectors")
     sizes = vectors.groupBy("label").agg(F.count(F.lit(1)).alias("n"))
     depth = F.greatest(F.lit(0), F.least(F.lit(30), F.ceil(F.log2(F.col("n") / CELL)))).cast("long")
-    dealt = vectors.join(sizes, "label").select("vec", "label", "unit", depth.alias("depth"))
+    dealt = vectors.join(sizes, "label").select("vec", "label", "size", "unit", depth.alias("depth"))
     edges, recall, counts = None, 0.0, None
     for turn in range(MOST_ROUNDS):
         placed = dealt.mapInArrow(cells_of(turn * TREES, TREES, seed), "tree long, cell long, vec long, label string, unit binary")
