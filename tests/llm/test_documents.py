@@ -19,7 +19,7 @@ from webcorpus.llm.token_counts import count_tokens
 
 WORDS = [f"w{i}" for i in range(400)]
 #: Names that the operators add or use inside; a table may have them already.
-CLASHES = ("kept", "n_words", "component_id", "size", "score", "bucket", "id", "rep", "n_tokens", "license", "body", "grp")
+CLASHES = ("kept", "n_words", "component_id", "size", "score", "bucket", "id", "rep", "n_tokens", "license", "body", "grp", "doc", "n_docs", "names", "host", "content")
 
 
 def make_rows():

@@ -92,10 +92,10 @@ def mix_sources(docs: DataFrame, id_col="doc_id", text_col="text", source_col="s
     sizes = docs.groupBy(F.col(source_col).alias("source")).agg(
         F.sum(n_words(F.col(text_col))).alias("source_size"), F.count(F.lit(1)).alias("n_docs")
     )
-    shares = targets(sizes).withColumnRenamed("source", "mix__source")
+    shares = targets(sizes).withColumnsRenamed({"source": "mix__source", "n_docs": "mix__docs"})
     base = base.join(shares, F.col(source_col).eqNullSafe(F.col("mix__source"))).drop("mix__source")
     # A source's documents are cut into buckets along the key; 1 - exp(-key) spreads the keys evenly.
-    buckets = F.ceil(F.col("n_docs") / IN_BUCKET)
+    buckets = F.ceil(F.col("mix__docs") / IN_BUCKET)
     base = base.withColumn("mix__bucket", F.floor((1 - F.exp(-F.col("mix__key"))) * buckets))
     place = [F.col(source_col), F.col("mix__bucket")]
     totals = base.groupBy(*[c.alias(n) for c, n in zip(place, ("mix__s", "mix__b"))]).agg(F.sum("size").alias("mix__sum"))
