@@ -24,6 +24,7 @@ TREES = 6           # projection trees at first, and those added by a round
 CELL = 96           # vectors in a cell, about
 BLOCK = 1024        # vectors compared in one block
 ROUNDS = 2          # rounds of local joins after each set of trees
+LISTED_IN_GROUP = 8192   # entries of lists that a task joins at a time
 AUDIT = 200         # vectors whose links are found by brute force, a fixed bound
 RECALL = 0.995
 MOST_ROUNDS = 5
@@ -112,9 +113,23 @@ def cell_edges(table: pa.Table) -> pa.Table:
 
 
 def join_edges(table: pa.Table) -> pa.Table:
-    """Local join: the members of a list against each other."""
-    ids, at = np.unique(table["vec"].to_numpy(), return_index=True)
-    return edges_table(*top_edges(ids, matrix(table["unit"].combine_chunks().take(pa.array(at))), LIST))
+    """Local joins: the members of each list (owner, block) against each other."""
+    vec, owner, block = (table[c].to_numpy() for c in ("vec", "owner", "block"))
+    ids, at, which = np.unique(vec, return_index=True, return_inverse=True)
+    size = table["size"].to_numpy()
+    units = table["unit"].combine_chunks()
+    order = np.lexsort((block, owner))
+    new = np.flatnonzero(np.concatenate(([True], (owner[order][1:] != owner[order][:-1]) | (block[order][1:] != block[order][:-1]))))
+    found = []
+    for dimension in np.unique(size):
+        rows = np.flatnonzero(size[at] == dimension)
+        x = np.zeros((len(ids), int(dimension)))
+        x[rows] = matrix(units.take(pa.array(at[rows])))
+        for start, end in zip(new, [*new[1:], len(order)]):
+            members = which[order[start:end]]   # all of one label and size, as their owner
+            if end - start > 1 and size[at[members[0]]] == dimension:
+                found.append(top_edges(ids[members], x[members], LIST))
+    return edges_table(*(np.concatenate(c) for c in zip(*found))) if found else edges_table([], [], [])
 
 
 def lists(edges: DataFrame) -> DataFrame:
@@ -215,7 +230,10 @@ def embedding_links(rows: DataFrame, id_col="vec_id", vector_col="embedding", la
             # Those who list a hub are many: they meet in blocks around it.
             crowd = both.groupBy("owner").agg(F.ceil(F.count(F.lit(1)) / (4 * LIST)).alias("blocks"))
             both = both.join(crowd, "owner").withColumn("block", F.pmod(F.xxhash64("vec", F.lit(r)), F.col("blocks")))
-            met = both.join(vectors.select("vec", "unit"), "vec").groupBy("owner", "block").applyInArrow(join_edges, EDGES)
+            # Lists are small: many of them share a task's group.
+            deal = F.pmod(F.xxhash64("owner", "block"), F.lit(-(-edges.count() // LISTED_IN_GROUP) or 1))
+            both = both.join(vectors.select("vec", "size", "unit"), "vec").withColumn("deal", deal)
+            met = both.groupBy("deal").applyInArrow(join_edges, EDGES)
             edges = stored(lists(edges.union(met)), "lists")
         both = edges.where(F.col("sim") >= THRESHOLD)
         both = both.select("a", "b").union(both.select("b", "a")).distinct()
