@@ -58,22 +58,21 @@ def pack_batches(docs: DataFrame, length: Column, id_col="doc_id", budget: int =
     """
     added = ("n_tokens", "bucket", "padded_length", "batch", "slot")
     keep = [c for c in docs.columns if c not in added]
-    d = docs.select(*[F.col(f"`{c}`") for c in keep], F.coalesce(length, F.lit(0)).cast("long").alias("n_tokens"))
+    # A generator keeps the length from being worked out again wherever it is used below.
+    once = F.explode(F.array(F.coalesce(length, F.lit(0)).cast("long"))).alias("n_tokens")
+    d = docs.select(*[F.col(f"`{c}`") for c in keep], once)
     bins = d.groupBy(length_bin(F.col("n_tokens")).alias("bin")).agg(
         F.max("n_tokens").alias("top"), F.count(F.lit(1)).alias("n"), F.sum("n_tokens").alias("total")
     )
     found = sorted(bins.select("top", "n", "total").collect())
     bounds = best_bounds(*(np.array([r[i] for r in found], dtype=np.int64) for i in range(3)), buckets)
-    bucket, padded = F.lit(None).cast("int"), F.lit(None).cast("long")
-    sizes = dict.fromkeys(range(len(bounds)), 0)
-    for k in range(len(bounds) - 1, -1, -1):
-        bucket = F.when(F.col("n_tokens") <= bounds[k], F.lit(k)).otherwise(bucket)
-        padded = F.when(F.col("n_tokens") <= bounds[k], F.lit(bounds[k]).cast("long")).otherwise(padded)
+    sizes = [0] * len(bounds)
     for top, n, _ in found:
         sizes[int(np.searchsorted(bounds, top))] += n
-    parts = F.lit(1)
-    for k, n in sizes.items():
-        parts = F.when(F.col("bucket") == k, F.lit(-(-n // IN_PART) or 1)).otherwise(parts)
+    tops = F.array(*[F.lit(b).cast("long") for b in bounds or [0]])
+    pieces = F.array(*[F.lit(-(-n // IN_PART) or 1) for n in sizes or [1]])
+    bucket = F.size(F.filter(tops, lambda b: b < F.col("n_tokens")))
+    padded, parts = F.get(tops, F.col("bucket")), F.get(pieces, F.col("bucket"))
     d = d.withColumn("bucket", bucket).withColumn("padded_length", padded)
     luck = F.xxhash64(F.col(id_col).cast("string"), F.lit(9))
     d = d.withColumn("pack__luck", luck).withColumn(
