@@ -30,7 +30,7 @@ FIRST_BANDS = 6       # bands whose buckets are compared first; the others only
 BASE = 1.001
 FAR = 5.0             # standard errors below the threshold at which a pair is left out
 BLOCK = 512           # members of a bucket that are compared in one block
-GROUP_BYTES = 2 << 20
+GROUP_BYTES = 8 << 20
 COLUMNS = 2048        # shingles that are compared at once
 
 
@@ -260,10 +260,12 @@ def in_blocks(buckets: DataFrame) -> DataFrame:
 def near_links(buckets: DataFrame, reps: DataFrame, sets: DataFrame) -> DataFrame:
     """Confirmed links of the members of buckets (band, key, rep); large buckets go in blocks."""
     block = ["band", "key", "block"]
+    # The comparisons cost more than their bytes tell: a fixed number of partitions keeps all cores busy.
+    parts = int(buckets.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     drawn = in_blocks(buckets).join(reps, "rep").select(*block, "rep", "n_shingles", "sketch")
-    near = drawn.groupBy(*block).applyInArrow(keep_near, "band int, key long, block long, rep long")
+    near = drawn.repartition(parts, *block).groupBy(*block).applyInArrow(keep_near, "band int, key long, block long, rep long")
     full = near.distinct().join(sets, "rep").select(*block, "rep", "names")
-    return full.groupBy(*block).applyInArrow(blocks_to_links, "a long, b long")
+    return full.repartition(parts, *block).groupBy(*block).applyInArrow(blocks_to_links, "a long, b long")
 
 
 def leftover_links(buckets: DataFrame, sets: DataFrame, labels: DataFrame) -> DataFrame:
@@ -322,8 +324,8 @@ def near_duplicates(docs: DataFrame, id_col="doc_id", text_col="text") -> DataFr
         links = stored(links.union(leftover_links(buckets, sets, components(links))), "links")
     labels = components(links.union(in_class))
     per_id = sketched.groupBy("doc").agg(F.max("n_shingles").alias("n_shingles")).join(labels, F.col("doc") == F.col("id"), "left")
-    per_id = per_id.select("doc", "n_shingles", F.coalesce("component_id", "doc").alias("component_id"))
+    per_id = per_id.select(F.col("doc").alias("near__doc"), "n_shingles", F.coalesce("component_id", "doc").alias("component_id"))
     out = docs.select(*[F.col(f"`{c}`") for c in docs.columns if c not in added])
     key = F.coalesce(F.col(id_col).cast("long"), F.lit(int(NO_ID)))
-    joined = out.join(per_id, key == F.col("doc")).withColumn("kept", key == F.col("component_id")).drop("doc")
+    joined = out.join(per_id, key == F.col("near__doc")).withColumn("kept", key == F.col("component_id")).drop("near__doc")
     return joined.withColumn("component_id", F.nullif("component_id", F.lit(int(NO_ID))))
