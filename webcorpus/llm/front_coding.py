@@ -6,6 +6,7 @@ import numpy as np
 import pyarrow as pa
 
 CELLS = 1 << 21   # trees times leaves that are merged in step
+FAN_IN = 64       # runs merged at once; more of them take another pass
 
 
 def as_words(rows: np.ndarray) -> np.ndarray:
@@ -84,13 +85,15 @@ class LoserTrees:
         k = len(run_starts) - 1
         self.leaves = 1 << max(1, (k - 1).bit_length())
         trees = max(1, min(CELLS // self.leaves, len(words) // 32))
-        sample = np.sort(words[:: max(1, len(words) // (trees * 16)), 0])
+        # Whole keys part the ranges: a common beginning must not make one of them large.
+        keys = np.ascontiguousarray(words.astype(">u8")).view(f"S{8 * words.shape[1]}").ravel()
+        sample = np.sort(keys[:: max(1, len(words) // (trees * 16))])
         cuts = np.unique(sample[np.linspace(0, len(sample) - 1, trees + 1).astype(int)[1:-1]])
         begin = np.zeros((len(cuts) + 1, self.leaves), dtype=np.int64)
         end = np.zeros_like(begin)
         for r in range(k):
             a, b = run_starts[r], run_starts[r + 1]
-            at = a + np.searchsorted(words[a:b, 0], cuts, side="left")
+            at = a + np.searchsorted(keys[a:b], cuts, side="left")
             begin[0, r], begin[1:, r] = a, at
             end[:-1, r], end[-1, r] = at, b
         used = (end > begin).any(axis=1)
@@ -177,4 +180,27 @@ class LoserTrees:
                 live = np.where(wins, live, other_live)
                 shared = np.where(wins, shared, other_shared)
                 node >>= 1
+        ranges = place[1:-1]
+        out_shared[ranges] = common_prefix(self.words[order[ranges]], self.words[order[ranges - 1]], self.width)
         return order, out_shared
+
+
+def merge_runs(words: np.ndarray, shared: np.ndarray, run_starts: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
+    """Merges any number of runs, FAN_IN at a time; returns the order of the rows and their common prefixes."""
+    order = np.arange(len(words))
+    while True:
+        out, prefix, starts = [], [], [0]
+        for r in range(0, len(run_starts) - 1, FAN_IN):
+            part = run_starts[r : r + FAN_IN + 1]
+            a, b = part[0], part[-1]
+            if len(part) > 2:
+                inner, inner_shared = LoserTrees(words[a:b], shared[a:b], part - a, width).merge()
+            else:
+                inner, inner_shared = np.arange(b - a), shared[a:b]
+            out.append(a + inner)
+            prefix.append(inner_shared)
+            starts.append(b)
+        moved = np.concatenate(out)
+        order, words, shared, run_starts = order[moved], words[moved], np.concatenate(prefix), np.array(starts)
+        if len(run_starts) <= 2:
+            return order, shared

@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from webcorpus.llm.front_coding import LoserTrees, as_words, decode, encode, prefixes, sort_order
+from webcorpus.llm.front_coding import as_words, decode, encode, merge_runs, prefixes, sort_order
 from webcorpus.llm.hashing import byte_roll, mix
 from webcorpus.llm.packing_io import from_bytes, split, to_bytes
 from webcorpus.llm.repeats import RESULTS, Repeats, first_of, group_min
@@ -156,7 +156,7 @@ def judge_suffixes(groups, bodies):
             parts[name].append(column(name))
     runs = np.concatenate(([0], np.cumsum([len(s) for s in parts["shared"]])))
     x = {k: np.concatenate(v) for k, v in parts.items()}
-    order, shared = LoserTrees(x["words"], x["shared"], runs, WINDOW).merge()
+    order, shared = merge_runs(x["words"], x["shared"], runs, WINDOW)
     x = {k: v[order] for k, v in x.items() if k != "words"}
     # Only suffixes that share their anchors with a neighbour can have equal windows.
     anchored = np.cumsum(shared < GRAM)
