@@ -5,6 +5,7 @@ import random
 
 import numpy as np
 
+import webcorpus.llm.embedding_dedup as module
 from webcorpus.llm.embedding_dedup import embedding_dedup
 
 SCHEMA = "vec_id long, embedding array<float>, label int, kept int, unit string"
@@ -44,3 +45,24 @@ def test_embedding_dedup(spark):
 
 def test_empty(spark):
     assert embedding_dedup(spark.createDataFrame([], SCHEMA)).collect() == []
+
+
+def test_isolated_pairs_beside_a_hot_group(spark, monkeypatch):
+    """Pairs that no cell holds together are found, however many links a hot group has."""
+    for name, value in (("TREES", 1), ("CELL", 4), ("ROUNDS", 1), ("BLOCK", 256)):
+        monkeypatch.setattr(module, name, value)
+    rng = np.random.default_rng(9)
+    d, n_pairs = 32, 300
+    one = rng.standard_normal((n_pairs, d))
+    one /= np.linalg.norm(one, axis=1, keepdims=True)
+    off = rng.standard_normal((n_pairs, d))
+    off -= (off * one).sum(axis=1, keepdims=True) * one
+    two = 0.935 * one + np.sqrt(1 - 0.935**2) * off / np.linalg.norm(off, axis=1, keepdims=True)
+    hot = rng.standard_normal(d) + rng.standard_normal((700, d)) * 0.1
+    x = np.concatenate([one, two, hot, rng.standard_normal((1000, d))])
+    rows = [(i, v.tolist(), 1, 1, "x") for i, v in enumerate(x.astype(np.float32))]
+    got = {r["vec_id"]: r for r in embedding_dedup(spark.createDataFrame(rows, SCHEMA)).collect()}
+    for i in range(n_pairs):
+        assert (got[i]["n_links"], got[i + n_pairs]["n_links"], got[i + n_pairs]["component_id"]) == (1, 1, i)
+    assert all(got[2 * n_pairs + i]["n_links"] == 699 and got[2 * n_pairs + i]["component_id"] == 2 * n_pairs for i in range(700))
+    assert all(got[i]["n_links"] == 0 for i in range(2 * n_pairs + 700, len(x)))

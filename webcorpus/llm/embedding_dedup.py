@@ -1,17 +1,19 @@
-"""Embedding near-dedup by NN-descent: neighbour lists are refined through neighbours of neighbours.
+"""Embedding near-dedup: NN-descent finds the groups, an exact pass over blocks finds all links.
 
 Lists start from random-projection cells of a label, whose sizes follow the threshold of CELL rows,
-and are improved by local joins: the members of a list meet around its owner.  A list that is full of
-links is saturated; such vectors are clustered around leaders and compared in blocks, which enlarges
-their lists as far as they go.  Recall is audited against brute force on a fixed number of vectors,
-and trees are added until it is reached.
+and are improved by local joins: the members of a list meet around its owner.  Large components of the
+links found so get blocks of their own, all other vectors are dealt into blocks by hash, and every block
+meets every block of its label.  Within two blocks, a vector too far from the centre of the other block
+to link with any of its members is left out by the triangle inequality; the others are compared.  So no
+link depends on the lists: they only decide how much is left out.  The work grows with the square of a
+label's vectors outside such groups.
 """
 
 from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from webcorpus.llm.hashing import mix
@@ -20,14 +22,13 @@ from webcorpus.sources.storage import stored
 
 THRESHOLD = 0.93
 LIST = 8            # neighbours in a list
-TREES = 6           # projection trees at first, and those added by a round
+TREES = 6           # projection trees
 CELL = 96           # vectors in a cell, about
-BLOCK = 1024        # vectors compared in one block
-ROUNDS = 2          # rounds of local joins after each set of trees
+BLOCK = 1024        # vectors in one block; of large labels an eighth, up to MOST_IN_BLOCK
+MOST_IN_BLOCK = 32 * BLOCK
+COMPARED = 1 << 21  # similarities held at a time
+ROUNDS = 2          # rounds of local joins
 LISTED_IN_GROUP = 8192   # entries of lists that a task joins at a time
-AUDIT = 200         # vectors whose links are found by brute force, a fixed bound
-RECALL = 0.995
-MOST_ROUNDS = 5
 EDGES = "a long, b long, sim double"
 
 
@@ -135,77 +136,87 @@ def join_edges(table: pa.Table) -> pa.Table:
 def lists(edges: DataFrame) -> DataFrame:
     """The LIST nearest neighbours of each vector; partial lists are formed before the exchange."""
     best = edges.groupBy("a", "b").agg(F.max("sim").alias("sim"))
-    from pyspark.sql import Window
-
     return best.withColumn("nth", F.row_number().over(Window.partitionBy("a").orderBy(F.desc("sim"), "b"))).where(F.col("nth") <= LIST).drop("nth")
 
 
+def within_reach(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Rows of x that can link with a row of y: no farther from y's centre than its radius and the threshold's angle."""
+    centre = y.mean(axis=0)
+    length = np.linalg.norm(centre)
+    if length < 1e-6:
+        return np.arange(len(x))
+    centre /= length
+    reach = np.arccos(np.clip((y @ centre).min(), -1, 1)) + np.arccos(THRESHOLD) + 1e-6
+    return np.flatnonzero(x @ centre >= np.cos(reach)) if reach < np.pi else np.arange(len(x))
+
+
+def unite(root: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Roots (the least member of each group) after the groups of a and b became one, pair by pair."""
+    while len(a):
+        low, high = np.minimum(root[a], root[b]), np.maximum(root[a], root[b])
+        open_ = low < high
+        a, b = a[open_], b[open_]
+        np.minimum.at(root, high[open_], low[open_])
+        while (root[root] != root).any():
+            root = root[root]
+    return root
+
+
 def block_pairs(table: pa.Table) -> pa.Table:
-    """Links of the members of one block with the members of another one (or itself), per member and in total."""
-    side = table["side"].to_numpy()
-    ids, x, weight = table["vec"].to_numpy(), matrix(table["unit"]), table["copies"].to_numpy()
-    i, j = np.flatnonzero(side == 0), np.flatnonzero(side == 1)
-    if not len(i) or not len(j):
-        return pa.table({"vec": pa.array([], pa.int64()), "n": pa.array([], pa.int64()), "least": pa.array([], pa.int64())})
-    linked = (x[i] @ x[j].T >= THRESHOLD) & (ids[i][:, None] != ids[j][None, :])
-    n = linked @ weight[j]
-    least = np.where(linked, ids[j][None, :], np.iinfo(np.int64).max).min(axis=1)
-    some = n > 0
-    return pa.table({"vec": ids[i][some], "n": n[some], "least": least[some]})
-
-
-def audit(vectors: DataFrame, found: DataFrame) -> float:
-    """Share of the links of AUDIT vectors, chosen by hash, that were found; brute force against all rows."""
-    chosen = vectors.orderBy(F.xxhash64("vec", F.lit(2)), "vec").limit(AUDIT).select("vec", "label", "size", "unit", "copies").collect()
-    if not chosen:
-        return 1.0
-    by_size: dict = {}
-    for r in chosen:
-        by_size.setdefault((r["label"], r["size"]), []).append(r)
-
-    def count(batches):
-        totals: dict[int, int] = {}
-        for batch in batches:
-            keys = list(zip(batch.column("label").to_pylist(), batch.column("size").to_pylist()))
-            units, copies, ids = batch.column("unit"), batch.column("copies").to_numpy(), batch.column("vec").to_numpy()
-            for key, queries in by_size.items():
-                rows = np.flatnonzero([k == key for k in keys])
-                if len(rows):
-                    y = matrix(units.take(pa.array(rows)))
-                    q = np.array([unit(bytes(r["unit"])) for r in queries])
-                    mine = np.array([r["vec"] for r in queries])
-                    linked = (q @ y.T >= THRESHOLD) & (mine[:, None] != ids[rows][None, :])
-                    for v, n in zip(mine, linked @ copies[rows]):
-                        totals[int(v)] = totals.get(int(v), 0) + int(n)
-        yield pa.RecordBatch.from_arrays([pa.array(list(totals), pa.int64()), pa.array(list(totals.values()), pa.int64())], ["vec", "n"])
-
-    true = vectors.mapInArrow(count, "vec long, n long").groupBy("vec").agg(F.sum("n").alias("true"))
-    got = true.join(found, "vec", "left").agg(F.sum("true"), F.sum(F.least("true", F.coalesce("n", F.lit(0))))).first()
-    return (got[1] or 0) / got[0] if got[0] else 1.0
-
-
-def saturated_blocks(vectors: DataFrame, edges: DataFrame):
-    """(links per vector, spanning links) around saturated lists, exactly: blocks of a component against each other.
-
-    Components are those of the links found so far.  Members of a component with a saturated list are
-    dealt into blocks; each block meets each block of its component, and only counts leave the task.
-    """
-    links = edges.where(F.col("sim") >= THRESHOLD)
-    full = links.groupBy("a").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= LIST).select(F.col("a").alias("vec"))
-    comps = components(links.select("a", "b")).withColumnRenamed("id", "vec")
-    hot = comps.join(full, "vec").select("component_id").distinct()
-    members = comps.join(hot, "component_id").join(vectors, "vec").select("component_id", "vec", "unit", "copies")
-    sizes = members.groupBy("component_id").agg(F.ceil(F.count(F.lit(1)) / BLOCK).alias("blocks"))
-    members = stored(members.join(sizes, "component_id").withColumn("block", F.pmod(F.xxhash64("vec"), F.col("blocks"))), "saturated")
-    other = F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1))
-    one = members.select("component_id", "block", other.alias("meets"), "vec", "unit", "copies", F.lit(0).alias("side"))
-    two = members.select("component_id", other.alias("block"), F.col("block").alias("meets"), "vec", "unit", "copies", F.lit(1).alias("side"))
-    met = one.union(two).groupBy("component_id", "block", "meets").applyInArrow(block_pairs, "vec long, n long, least long")
-    return met.groupBy("vec").agg(F.sum("n").alias("n"), F.min("least").alias("least"))
+    """Links between the members of two blocks, or within one: their number and a link to the least of its group, per member."""
+    side, weight = table["side"].to_numpy(), table["copies"].to_numpy()
+    vec, x = table["vec"].to_numpy(), matrix(table["unit"])
+    ids, at = np.unique(vec, return_inverse=True)
+    first, second = np.flatnonzero(side == 0), np.flatnonzero(side == 1)
+    alone = table["block"][0].as_py() == table["meets"][0].as_py()
+    n, root = np.zeros(len(ids), dtype=np.int64), np.arange(len(ids))
+    if len(first) and len(second):
+        i = first[within_reach(x[first], x[second])]
+        j = second[within_reach(x[second], x[first])]
+        step = max(1, COMPARED // max(1, len(j)))
+        for start in range(0, len(i), step):
+            rows = i[start : start + step]
+            linked = (x[rows] @ x[j].T >= THRESHOLD) & (at[rows][:, None] != at[j][None, :])
+            n[at[rows]] += linked @ weight[j]
+            if not alone:
+                n[at[j]] += weight[rows] @ linked
+            some = np.flatnonzero(linked.any(axis=1))
+            linked = linked[some]
+            root = unite(root, at[rows[some]], at[j[linked.argmax(axis=1)]])
+            r, c = np.nonzero(linked & (root[at[rows[some]]][:, None] != root[at[j]][None, :]))
+            root = unite(root, at[rows[some[r]]], at[j[c]])
+    has = n > 0
+    return pa.table({"vec": ids[has], "n": n[has], "root": ids[root[has]]})
+
+
+def all_links(vectors: DataFrame, edges: DataFrame) -> DataFrame:
+    """(vec, n, root): parts of the number of links of each linked vector, and links that span its component."""
+    comps = components(edges.where(F.col("sim") >= THRESHOLD).select("a", "b"))
+    large = comps.groupBy("component_id").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= BLOCK)
+    comps = comps.join(large, "component_id").select(F.col("id").alias("vec"), F.col("component_id").alias("part"))
+    sizes = vectors.groupBy("label", "size").agg(
+        F.greatest(F.lit(BLOCK), F.least(F.lit(MOST_IN_BLOCK), F.ceil(F.count(F.lit(1)) / 8))).alias("rows")
+    )
+    own = F.coalesce(F.col("part").cast("string"), F.lit(""))
+    parted = vectors.join(comps, "vec", "left").withColumn("part", own)
+    parts = parted.groupBy("label", "size", "part").agg(F.count(F.lit(1)).alias("n")).join(sizes, ["label", "size"])
+    parts = parts.select("label", "size", "part", F.ceil(F.col("n") / F.col("rows")).alias("pieces"))
+    all_parts = Window.partitionBy("label", "size")
+    before = all_parts.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    parts = parts.withColumn("start", F.coalesce(F.sum("pieces").over(before), F.lit(0))).withColumn("blocks", F.sum("pieces").over(all_parts))
+    members = stored(parted.join(parts, ["label", "size", "part"]).select(
+        "label", "size", "vec", "unit", "copies", "blocks", (F.col("start") + F.pmod(F.xxhash64("vec"), F.col("pieces"))).alias("own")
+    ), "members")
+    what = ("label", "size", "vec", "unit", "copies")
+    last = F.col("blocks") - 1
+    one = members.select(*what, F.col("own").alias("block"), F.explode(F.sequence("own", last)).alias("meets"), F.lit(0).alias("side"))
+    two = members.select(*what, F.explode(F.sequence(F.lit(0).cast("long"), "own")).alias("block"), F.col("own").alias("meets"), F.lit(1).alias("side"))
+    met = one.union(two).groupBy("label", "size", "block", "meets").applyInArrow(block_pairs, "vec long, n long, root long")
+    return stored(met, "met")
 
 
 def embedding_links(rows: DataFrame, id_col="vec_id", vector_col="embedding", label_col="label", seed: int = 7):
-    """(vec, n, least): links of each linked vector of `rows`, found by NN-descent, and the recall of the audit."""
+    """(vec, rep, copies) of all usable rows, (vec, n) with the links of each linked class, and links that span the components."""
     units = rows.select(
         F.col(id_col).cast("long").alias("vec"), F.col(label_col).cast("string").alias("label"), F.col(vector_col).alias("v")
     ).mapInArrow(usable_vectors, "vec long, label string, size long, unit binary")
@@ -215,43 +226,28 @@ def embedding_links(rows: DataFrame, id_col="vec_id", vector_col="embedding", la
     sizes = vectors.groupBy("label").agg(F.count(F.lit(1)).alias("n"))
     depth = F.greatest(F.lit(0), F.least(F.lit(30), F.ceil(F.log2(F.col("n") / CELL)))).cast("long")
     dealt = vectors.join(sizes, "label").select("vec", "label", "size", "unit", depth.alias("depth"))
-    edges, recall, counts = None, 0.0, None
-    for turn in range(MOST_ROUNDS):
-        placed = dealt.mapInArrow(cells_of(turn * TREES, TREES, seed), "tree long, cell long, vec long, label string, unit binary")
-        # A crowded cell is cut into blocks; its vectors meet others in other trees and in the joins.
-        crowd = placed.groupBy("label", "tree", "cell").agg(F.ceil(F.count(F.lit(1)) / BLOCK).alias("blocks"))
-        placed = placed.join(crowd, ["label", "tree", "cell"]).withColumn("block", F.pmod(F.xxhash64("vec", "tree"), F.col("blocks")))
-        fresh = placed.groupBy("label", "tree", "cell", "block").applyInArrow(cell_edges, EDGES)
-        edges = stored(lists(fresh if edges is None else edges.union(fresh)), "lists")
-        for r in range(ROUNDS):
-            both = edges.select(F.col("a").alias("owner"), F.col("b").alias("vec")).union(
-                edges.select(F.col("b").alias("owner"), F.col("a").alias("vec"))
-            ).distinct()
-            # Those who list a hub are many: they meet in blocks around it.
-            crowd = both.groupBy("owner").agg(F.ceil(F.count(F.lit(1)) / (4 * LIST)).alias("blocks"))
-            both = both.join(crowd, "owner").withColumn("block", F.pmod(F.xxhash64("vec", F.lit(r)), F.col("blocks")))
-            # Lists are small: many of them share a task's group.
-            deal = F.pmod(F.xxhash64("owner", "block"), F.lit(-(-edges.count() // LISTED_IN_GROUP) or 1))
-            both = both.join(vectors.select("vec", "size", "unit"), "vec").withColumn("deal", deal)
-            met = both.groupBy("deal").applyInArrow(join_edges, EDGES)
-            edges = stored(lists(edges.union(met)), "lists")
-        both = edges.where(F.col("sim") >= THRESHOLD)
-        both = both.select("a", "b").union(both.select("b", "a")).distinct()
-        listed = both.join(vectors.select(F.col("vec").alias("b"), "copies"), "b").groupBy(F.col("a").alias("vec")).agg(
-            F.sum("copies").alias("n"), F.min("b").alias("least")
-        )
-        exact = saturated_blocks(vectors, edges)
-        counts = stored(listed.join(exact.select("vec", F.col("n").alias("m"), F.col("least").alias("l")), "vec", "full").select(
-            "vec", F.greatest("n", "m").alias("n"), F.least("least", "l").alias("least")
-        ), "counts")
-        recall = audit(vectors, counts)
-        if recall >= RECALL:
-            break
-    links = both.union(counts.select(F.col("vec").alias("a"), F.col("least").alias("b"))).union(
-        exact.select(F.col("vec").alias("a"), F.col("least").alias("b"))
-    )
+    placed = dealt.mapInArrow(cells_of(0, TREES, seed), "tree long, cell long, vec long, label string, unit binary")
+    # A crowded cell is cut into blocks; its vectors meet others in other trees and in the joins.
+    crowd = placed.groupBy("label", "tree", "cell").agg(F.ceil(F.count(F.lit(1)) / BLOCK).alias("blocks"))
+    placed = placed.join(crowd, ["label", "tree", "cell"]).withColumn("block", F.pmod(F.xxhash64("vec", "tree"), F.col("blocks")))
+    edges = stored(lists(placed.groupBy("label", "tree", "cell", "block").applyInArrow(cell_edges, EDGES)), "lists")
+    for r in range(ROUNDS):
+        both = edges.select(F.col("a").alias("owner"), F.col("b").alias("vec")).union(
+            edges.select(F.col("b").alias("owner"), F.col("a").alias("vec"))
+        ).distinct()
+        # Those who list a hub are many: they meet in blocks around it.
+        crowd = both.groupBy("owner").agg(F.ceil(F.count(F.lit(1)) / (4 * LIST)).alias("blocks"))
+        both = both.join(crowd, "owner").withColumn("block", F.pmod(F.xxhash64("vec", F.lit(r)), F.col("blocks")))
+        # Lists are small: many of them share a task's group.
+        deal = F.pmod(F.xxhash64("owner", "block"), F.lit(-(-edges.count() // LISTED_IN_GROUP) or 1))
+        both = both.join(vectors.select("vec", "size", "unit"), "vec").withColumn("deal", deal)
+        met = both.groupBy("deal").applyInArrow(join_edges, EDGES)
+        edges = stored(lists(edges.union(met)), "lists")
+    met = all_links(vectors, edges)
+    counts = met.groupBy("vec").agg(F.sum("n").alias("n"))
+    links = met.where("vec <> root").select(F.col("vec").alias("a"), F.col("root").alias("b"))
     classes = units.join(vectors.select("label", "unit", F.col("vec").alias("rep"), "copies"), ["label", "unit"])
-    return classes.select("vec", "rep", "copies"), counts, links, recall
+    return classes.select("vec", "rep", "copies"), counts, links
 
 
 def embedding_dedup(rows: DataFrame, id_col="vec_id", vector_col="embedding", label_col="label") -> DataFrame:
@@ -265,7 +261,7 @@ def embedding_dedup(rows: DataFrame, id_col="vec_id", vector_col="embedding", la
     """
     added = ("n_links", "component_id", "kept")
     out = rows.select(*[F.col(f"`{c}`") for c in rows.columns if c not in added])
-    classes, counts, links, _ = embedding_links(rows, id_col, vector_col, label_col)
+    classes, counts, links = embedding_links(rows, id_col, vector_col, label_col)
     same = classes.where("vec <> rep").select(F.col("vec").alias("a"), F.col("rep").alias("b"))
     comps = components(links.union(same))
     per = classes.join(counts.select(F.col("vec").alias("rep"), "n"), "rep", "left").select(
