@@ -194,6 +194,18 @@ def test_common_lines_deplete(spark):
     assert all(got[100 + i]["kept"] for i in range(20)) and got[0]["n_left_words"] == 10
 
 
+def test_lines_of_copies_are_common(spark):
+    """Each copy of a page is a document: the lines of a page that a host serves often are common there."""
+    rng = random.Random(2)
+    prose = lambda n: " ".join(rng.choice(WORDS) for _ in range(n))
+    page = f"{prose(30)}\n{prose(30)}"
+    data = [(i, page, "host") for i in range(30)] + [(30 + i, prose(60), "host") for i in range(40)]
+    data += [(100 + i, page, "other") for i in range(20)] + [(200, page, "alone")] * 40
+    got = quality_rules(spark.createDataFrame(data, "doc_id long, text string, source string")).collect()
+    assert len(got) == len(data)
+    assert all(r["kept"] == (r["source"] != "host" or r["text"] != page) for r in got)
+
+
 def test_license_scan(docs, rows):
     got = {r["text"]: r for r in license_scan(docs).collect()}
     mit = next(r for t, r in got.items() if t and t.startswith("Released"))
