@@ -1,14 +1,13 @@
-"""Token counts by compiled finite-state transducers.
-
-Two deterministic machines count the tokens of a BPE tokenizer with word ends:
+"""Token counts of a BPE tokenizer with word ends: a finite-state splitter, then direct merging.
 
 * the splitter walks over character classes and marks where a piece (word, digit, other signs,
   contraction) begins.  Its states are few, so a chunk of text is a map of states to states.  The
   maps of all chunks are computed in step, composed by a parallel prefix scan, and a second walk
   marks the pieces with each chunk's true entry state;
-* pieces run through a transducer whose transitions carry the change in the number of tokens.  It
-  is compiled on demand from the merges: for all new pieces of a batch at once, by merging in each
-  step the pairs of the least rank in every piece.  Equal pieces are compiled once per task.
+* the tokens of a piece are counted by merging, not by a transducer with token counts on its
+  transitions: for all new pieces of a batch at once, in each step the pairs of the least rank in
+  every piece go.  Merges go by rank over the whole piece, not from left to right, and pieces are
+  short and repeat, so each task remembers the counts of those it has seen.
 """
 
 from __future__ import annotations
