@@ -11,7 +11,7 @@ from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from webcorpus.llm.hashing import mix, text_slices
@@ -27,7 +27,10 @@ FAMILIES = {
 FEATURES = 4096
 SAMPLE = 4000       # labelled rows at most, shared evenly by the languages
 ROWS = 2000         # rows whose features are held at once
-REJECT_BELOW = 0.05
+APART = 5           # of the sample one row in so many is not learned from, but sets the level of rejection,
+REJECTED = 0.001    # which all but this share of these rows reach
+SHORT = 24          # bytes
+SETTLED = 1e-5      # a fit ends when no weight moves by more than this
 
 
 def letters_only(data: np.ndarray) -> np.ndarray:
@@ -70,37 +73,50 @@ def has_letter(text: bytes) -> bool:
     return any(c.isalpha() for c in text.decode("utf-8", "ignore"))
 
 
-def fit_svm(x: np.ndarray, positive: np.ndarray, steps: int = 150, penalty: float = 1e-4) -> np.ndarray:
-    """Weights and bias of a linear SVM with squared hinge loss; both classes weigh the same."""
-    x = np.hstack([x, np.ones((len(x), 1), dtype=np.float32)]).astype(np.float64)
-    y = np.where(positive, 1.0, -1.0)
-    share = np.where(positive, 0.5 / max(positive.sum(), 1), 0.5 / max((~positive).sum(), 1))
-    w = look = np.zeros(x.shape[1])
+def fit_svm(parts: list[np.ndarray], positive: list[bool], steps: int = 150, penalty: float = 1e-4) -> np.ndarray:
+    """Weights and bias of a linear SVM with squared hinge loss over blocks of rows, each of one class.
+
+    The blocks are views and are never copied or joined.  Both classes weigh the same.
+    """
+    n = [sum(len(x) for x, p in zip(parts, positive) if p == side) for side in (False, True)]
+    width = parts[0].shape[1]
+    w = look = np.zeros(width + 1, dtype=np.float32)
     # The loss is smooth with constant 2 for unit rows and a bias: accelerated gradient descent.
-    rate, momentum = 1 / (4 + penalty), 1.0
+    rate, momentum = np.float32(1 / (4 + penalty)), 1.0
     for _ in range(steps):
-        slack = np.maximum(0, 1 - y * (x @ look))
-        new = look - rate * (penalty * look - 2 * x.T @ (share * y * slack))
+        slope = np.float32(penalty) * look
+        for x, p in zip(parts, positive):
+            y, share = (1, 0.5 / n[1]) if p else (-1, 0.5 / n[0])
+            pull = np.float32(share * y) * np.maximum(0, 1 - y * (x @ look[:-1] + look[-1]))
+            slope[:-1] -= 2 * (pull @ x)
+            slope[-1] -= 2 * pull.sum()
+        new = look - rate * slope
         after = (1 + np.sqrt(1 + 4 * momentum**2)) / 2
-        look = new + (momentum - 1) / after * (new - w)
-        w, momentum = new, after
-    return w.astype(np.float32)
+        look = new + np.float32((momentum - 1) / after) * (new - w)
+        moved, w, momentum = np.abs(new - w).max(), new, after
+        if moved < SETTLED:
+            break
+    return w
 
 
 class Model:
     """Family classifiers (one against the rest) and pairwise classifiers inside each family."""
 
-    def __init__(self, x: np.ndarray, languages: list[str], families: dict):
+    def __init__(self, x: np.ndarray, languages: list[str], families: dict, apart: np.ndarray):
+        """`languages` has the language of each row of `x`, in order; rows `apart` set the level of rejection."""
         self.languages = sorted(set(languages))
         family_of = {code: name for name, codes in families.items() for code in codes}
         own = [family_of.get(code, code) for code in self.languages]
         self.families = sorted(set(own))
         self.family = np.array([self.families.index(f) for f in own], dtype=np.int64)
-        label = np.array([self.languages.index(code) for code in languages], dtype=np.int64)
-        of_row = self.family[label] if len(label) else label
-        self.by_family = [fit_svm(x, of_row == f) for f in range(len(self.families))] if len(self.families) > 1 else []
+        border = np.searchsorted(languages, [*self.languages, chr(0x10FFFF)])
+        rows = [x[a:b] for a, b in zip(border[:-1], border[1:])]
+        several = len(self.families) > 1
+        self.by_family = [fit_svm(rows, list(self.family == f)) for f in range(len(self.families))] if several else []
         self.pairs = [p for p in combinations(range(len(self.languages)), 2) if self.family[p[0]] == self.family[p[1]]]
-        self.by_pair = [fit_svm(x[np.isin(label, p)], label[np.isin(label, p)] == p[0]) for p in self.pairs]
+        self.by_pair = [fit_svm([rows[a], rows[b]], [True, False]) for a, b in self.pairs]
+        # What all but a share of REJECTED of the rows reach that were not learned from.
+        self.level = float(np.quantile(self.predict(apart)[1], REJECTED)) if len(apart) and self.languages else 0.0
 
     def predict(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(language, score) per row; the score is that of the weaker of the two steps."""
@@ -132,34 +148,49 @@ def held_out(id_col: str):
 
 
 def fit(docs: DataFrame, id_col="doc_id", text_col="text", lang_col="lang", families=None) -> Model:
-    """Fits on labelled rows that are not held out: about SAMPLE of them, chosen by a hash of the text."""
-    known = docs.where(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull() & ~held_out(id_col))
-    counts = {r[0]: r[1] for r in known.groupBy(lang_col).count().collect()}
+    """Fits on labelled rows that are not held out: SAMPLE different texts at most, those of least hash in each language.
+
+    Copies of a text count once, so that a hot text takes no other's place, and the choice is the same
+    however the rows are split.
+    """
+    print_ = F.xxhash64(text_col, F.lit(8))
+    known = docs.where(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull() & ~held_out(id_col)).select(
+        F.col(lang_col).cast("string").alias("lang"), print_.alias("print"), F.col(text_col).alias("text")
+    )
+    counts = {r[0]: r[1] for r in known.groupBy("lang").agg(F.approx_count_distinct("print")).collect()}
     each = SAMPLE // max(len(counts), 1)
     share = F.lit(0.0)
     for code, n in sorted(counts.items()):
-        share = F.when(F.col(lang_col) == code, float(each / n)).otherwise(share)
-    luck = F.pmod(F.xxhash64(text_col, F.lit(8)), F.lit(1 << 30)) / float(1 << 30)
-    chosen = known.where(luck < share).select(F.col(lang_col).cast("string").alias("lang"), F.col(text_col).alias("text"))
+        share = F.when(F.col("lang") == code, 1.5 * each / max(n, 1) + 0.01).otherwise(share)
+    luck = F.pmod(F.col("print"), F.lit(1 << 30)) / float(1 << 30)
+    some = known.where(luck < share).groupBy("lang", "print").agg(F.min("text").alias("text"))
+    rank = F.row_number().over(Window.partitionBy("lang").orderBy(F.pmod("print", F.lit(1 << 30)), "print"))
+    chosen = some.withColumn("rank", rank).where(F.col("rank") <= each).select("lang", "print", "text")
 
     def sample(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at, data, offsets in row_blocks(batch.column("text")):
                 x = features_of(data, offsets).astype(np.float16)
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column("lang").slice(at, len(x)), pa.array([r.tobytes() for r in x], pa.binary())], ["lang", "x"]
+                    [batch.column(c).slice(at, len(x)) for c in ("lang", "print")]
+                    + [pa.array([r.tobytes() for r in x], pa.binary())], ["lang", "print", "x"]
                 )
 
-    rows = sorted((r["lang"], bytes(r["x"])) for r in chosen.mapInArrow(sample, "lang string, x binary").take(SAMPLE + SAMPLE // 2))
-    x = np.array([np.frombuffer(b, dtype=np.float16) for _, b in rows], dtype=np.float32).reshape(-1, FEATURES)
-    return Model(x, [code for code, _ in rows], families or FAMILIES)
+    rows = chosen.mapInArrow(sample, "lang string, print long, x binary").collect()
+    rows = sorted((r["print"] % APART == 0, r["lang"], r["print"], r["x"]) for r in rows)
+    x = np.empty((len(rows), FEATURES), dtype=np.float32)
+    for r, (*_, body) in enumerate(rows):
+        x[r] = np.frombuffer(body, dtype=np.float16)
+    codes = [code for apart, code, *_ in rows if not apart]
+    return Model(x[: len(codes)], codes, families or FAMILIES, x[len(codes) :])
 
 
 def identify_language(docs: DataFrame, model: Model | None = None, id_col="doc_id", text_col="text", lang_col="lang") -> DataFrame:
     """Adds held_out, lang_pred, score (0 to 1) and rejected to all columns of `docs`.
 
     `und` with score 0 where the text is null or has no letter, or where nothing was learned.
-    Rejected: `und`, or a score under REJECT_BELOW.  Long texts count whole.  Columns of `docs` with
+    Rejected: `und`, or a score under the model's `level`, which almost all labelled rows reach; a text
+    of fewer than SHORT bytes says too little to be rejected by its score.  Long texts count whole.  Columns of `docs` with
     the added names are replaced.  An empty table gives none.
     """
     model = model or fit(docs, id_col, text_col, lang_col)
@@ -190,4 +221,5 @@ def identify_language(docs: DataFrame, model: Model | None = None, id_col="doc_i
 
     fields = ", ".join(f"`{n}` {t}" for n, t in base.dtypes)
     out = base.mapInArrow(predict, f"{fields}, lang_pred string, score double")
-    return out.withColumn("rejected", (F.col("lang_pred") == UNKNOWN) | (F.col("score") < REJECT_BELOW))
+    odd = (F.col("score") < model.level) & (F.octet_length(text_col) >= SHORT)
+    return out.withColumn("rejected", (F.col("lang_pred") == UNKNOWN) | odd)
