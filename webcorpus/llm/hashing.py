@@ -12,7 +12,7 @@ import pyarrow as pa
 SEPARATORS = np.zeros(256, dtype=bool)
 SEPARATORS[[0x20, *range(0x09, 0x0E)]] = True
 #: Bytes of text that the vectorised code handles at once; a longer text is handled alone.
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 1 << 20
 
 
 def mix(x: np.ndarray) -> np.ndarray:

@@ -6,13 +6,15 @@ Units are bytes or words.  Four exchanges, each of packed and compressed records
    one anchor form a run.  A run is sent as (name of its anchor, name of all its units, id).
 2. Runs whose whole content stands in a smaller document are settled: all their windows repeat.
    Runs whose anchor stands in other surroundings elsewhere are open.  All others are unique.  Both
-   verdicts go to the documents, dealt in groups of a few megabytes.
+   verdicts go to the documents, dealt in groups of a few megabytes.  What a batch settles by itself
+   takes part in the same exchange, but is dealt by the group of its document.
 3. The windows of open runs are compared one by one (by the caller's method: `windows`, `judge`).
 4. Spans to remove go to the documents once more.
 
-Hot content: what is decided within one batch is not sent to be decided again; a batch sends one
-record for a name, however many documents hold it, and open runs are dealt by their surroundings,
-not by the common anchor.  So no task sees more of a name than there are batches.
+Hot content: what is decided within a batch (RUNS_AT_ONCE runs) is not sent to be decided again; of a
+name that many documents hold a batch sends one record by name, that of the least document, and open
+runs are dealt by their surroundings, not by the common anchor.  So no task sees more of a name than
+there are batches.
 """
 
 from __future__ import annotations
@@ -29,6 +31,7 @@ from webcorpus.llm.packing_io import NO_ID, from_bytes, groups_of, ids_of, pack,
 
 GROUP_BYTES = 2 << 20     # text of a group of documents
 BUCKET_BYTES = 16 << 20   # text behind a bucket of runs or of windows
+RUNS_AT_ONCE = 400_000    # runs of a batch that are sorted and sent at once
 PACKED = "bucket long, kind int, grp long, body binary"
 #: Columns that the operator adds; callers rename them.
 RESULTS = ("repeats__size", "repeats__removed", "repeats__spans", "repeats__kept")
@@ -88,6 +91,17 @@ def spans_row(bucket: int, grp: int, doc, nth, start, end):
     return bucket, 1, grp, pack(doc=deltas(doc), nth=nth.astype(np.int32), start=start.astype(np.int64), end=end.astype(np.int64))
 
 
+def told(doc, ctx, verdict) -> bytes:
+    return pack(doc=deltas(doc), ctx=ctx, verdict=verdict)
+
+
+def grouped(home, doc, rows):
+    """(group, its rows in order of their documents) of each group among `rows`."""
+    rows = rows[np.lexsort((doc[rows], home[rows]))]
+    for g, r in split(home[rows]):
+        yield g, rows[r]
+
+
 def rows_batch(rows: list[tuple]) -> pa.RecordBatch:
     bucket, kind, grp, body = zip(*rows) if rows else ((), (), (), ())
     return pa.RecordBatch.from_arrays(
@@ -125,77 +139,86 @@ class Repeats:
 
     # --- 1: runs of windows with one anchor -------------------------------------------------
 
-    def send_runs(self, buckets: int):
+    def send_runs(self, buckets: int, groups: int):
         def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
+                if not batch.num_rows:
+                    continue
+                text = batch.column(self.text_col)
                 ids = ids_of(batch.column(self.id_col))
-                doc, key, ctx = [], [], []
-                for at, data, offsets in text_slices(batch.column(self.text_col)):
+                home = groups_of(ids, text, groups)
+                parts, n = [], 0
+                for at, data, offsets in text_slices(text):
                     units = self.units(data, offsets)
                     row, anchor, first, last, _ = units.runs()
-                    doc.append(ids[at + row])
-                    key.append(anchor)
-                    ctx.append(units.name(first, last + self.window, 0) >> CTX_SHIFT)
-                if not doc:
-                    continue
-                doc, key, ctx = map(np.concatenate, (doc, key, ctx))
-                order = np.lexsort((doc, ctx, key))
-                doc, key, ctx = doc[order], key[order], ctx[order]
-                verdict = judge_runs(key, ctx, doc)
-                by_key = ((key >> np.uint64(32)) % np.uint64(buckets)).astype(np.int64)
-                by_ctx = (mix(ctx) % np.uint64(buckets)).astype(np.int64)
-                once = first_of(key, ctx, doc)
-                # One voice for each anchor that is open here, so that other batches learn of it.
-                heard = np.flatnonzero(first_of(key))
-                opened = np.maximum.reduceat(verdict == OPEN, heard) if len(heard) else np.zeros(0, bool)
-                voices = heard[opened]
-                pick = np.concatenate((np.flatnonzero(once), voices))
-                state = np.concatenate((verdict[once], np.full(len(voices), VOICE, np.int8)))
-                bucket = np.where((state == UNIQUE) | (state == VOICE), by_key[pick], by_ctx[pick])
-                inner = np.lexsort((doc[pick], bucket))
-                pick, state, bucket = pick[inner], state[inner], bucket[inner]
-                rows = []
-                for b, rows_of in split(bucket):
-                    p = pick[rows_of]
-                    rows.append((b, 0, 0, pack(
-                        doc=deltas(doc[p]), key=key[p].astype(np.uint32), low=ctx[p].astype(np.uint32),
-                        high=(ctx[p] >> np.uint64(32)).astype(np.uint8), state=state[rows_of],
-                    )))
-                yield rows_batch(rows)
+                    parts.append((ids[at + row], home[at + row], anchor, units.name(first, last + self.window, 0) >> CTX_SHIFT))
+                    n += len(row)
+                    del units
+                    if n >= RUNS_AT_ONCE:
+                        yield rows_batch(self.judged_runs(parts, buckets))
+                        parts, n = [], 0
+                if parts:
+                    yield rows_batch(self.judged_runs(parts, buckets))
 
         return send
 
+    @staticmethod
+    def judged_runs(parts, buckets: int) -> list[tuple]:
+        """Runs that a batch settles, to the groups of their documents (kind 1); all others by name (kind 0)."""
+        doc, home, key, ctx = (np.concatenate(c) for c in zip(*parts))
+        order = np.lexsort((home, doc, ctx, key))
+        doc, home, key, ctx = doc[order], home[order], key[order], ctx[order]
+        verdict = judge_runs(key, ctx, doc)
+        once = first_of(key, ctx, doc, home)
+        known = np.flatnonzero(once & (verdict == SETTLED))
+        rows = [(g % buckets, 1, g, told(doc[r], ctx[r], verdict[r])) for g, r in grouped(home, doc, known)]
+        # One voice for each anchor that is open here, so that other batches learn of it.
+        heard = np.flatnonzero(first_of(key))
+        opened = np.maximum.reduceat(verdict == OPEN, heard) if len(heard) else np.zeros(0, bool)
+        voices = heard[opened]
+        left = np.flatnonzero(once & (verdict != SETTLED))
+        pick = np.concatenate((left, voices))
+        state = np.concatenate((verdict[left], np.full(len(voices), VOICE, np.int8)))
+        by_key = ((key[pick] >> np.uint64(32)) % np.uint64(buckets)).astype(np.int64)
+        by_ctx = (mix(ctx[pick]) % np.uint64(buckets)).astype(np.int64)
+        bucket = np.where(state == OPEN, by_ctx, by_key)
+        inner = np.lexsort((doc[pick], bucket))
+        pick, state, bucket = pick[inner], state[inner], bucket[inner]
+        for b, r in split(bucket):
+            p = pick[r]
+            rows.append((b, 0, 0, pack(
+                doc=deltas(doc[p]), key=key[p].astype(np.uint32), low=ctx[p].astype(np.uint32),
+                high=(ctx[p] >> np.uint64(32)).astype(np.uint8), state=state[r],
+                # Ids say where their documents are; rows without one need their group beside them.
+                home=np.where(doc[p] == NO_ID, home[p], 0),
+            )))
+        return rows
+
     # --- 2: verdicts for runs ---------------------------------------------------------------
 
     def settle_runs(self, groups: int):
         def settle(table: pa.Table) -> pa.Table:
-            doc, key, ctx, state = [], [], [], []
-            for body in table["body"].to_pylist():
-                x = unpack([body])
-                doc.append(np.cumsum(x["doc"]))
-                key.append(x["key"])
-                ctx.append(x["low"].astype(np.uint64) | (x["high"].astype(np.uint64) << np.uint64(32)))
-                state.append(x["state"])
-            doc, key, ctx, state = map(np.concatenate, (doc, key, ctx, state))
-            order = np.lexsort((doc, ctx, key))
-            doc, key, ctx, state = doc[order], key[order], ctx[order], state[order]
-            verdict = judge_runs(key, ctx, doc, voice=state == VOICE)
-            verdict = np.where(state == SETTLED, SETTLED, np.where((state == OPEN) & (verdict != SETTLED), OPEN, verdict))
-            tell = np.flatnonzero((verdict != UNIQUE) & (state != VOICE))
-            # Null ids are dealt by their texts, which are not known here: tell every group.
-            known = tell[doc[tell] != NO_ID]
-            target = (mix(doc[known].astype(np.uint64)) % np.uint64(groups)).astype(np.int64)
-            inner = np.lexsort((doc[known], target))
-            known, target = known[inner], target[inner]
-            rows = [
-                (g, 1, g, pack(doc=deltas(doc[known[r]]), ctx=ctx[known[r]], verdict=verdict[known[r]].astype(np.int8)))
-                for g, r in split(target)
-            ]
-            lost = tell[doc[tell] == NO_ID]
-            if len(lost):
-                target = (ctx[lost] % np.uint64(groups)).astype(np.int64)
-                for g in range(groups):
-                    rows.append((g, 1, g, pack(doc=deltas(doc[lost]), ctx=ctx[lost], verdict=verdict[lost].astype(np.int8))))
+            kinds = table["kind"].to_numpy()
+            rows = [(g, 1, g, b) for g, b, k in zip(table["grp"].to_pylist(), table["body"].to_pylist(), kinds) if k == 1]
+            doc, home, key, ctx, state = [], [], [], [], []
+            for body, kind in zip(table["body"].to_pylist(), kinds):
+                if kind == 0:
+                    x = unpack([body])
+                    doc.append(np.cumsum(x["doc"]))
+                    home.append(x["home"])
+                    key.append(x["key"])
+                    ctx.append(x["low"].astype(np.uint64) | (x["high"].astype(np.uint64) << np.uint64(32)))
+                    state.append(x["state"])
+            if doc:
+                doc, home, key, ctx, state = map(np.concatenate, (doc, home, key, ctx, state))
+                order = np.lexsort((doc, ctx, key))
+                doc, home, key, ctx, state = doc[order], home[order], key[order], ctx[order], state[order]
+                verdict = judge_runs(key, ctx, doc, voice=state == VOICE)
+                verdict = np.where((state == OPEN) & (verdict != SETTLED), OPEN, verdict).astype(np.int8)
+                tell = np.flatnonzero((verdict != UNIQUE) & (state != VOICE))
+                by_id = (mix(doc.astype(np.uint64)) % np.uint64(groups)).astype(np.int64)
+                home = np.where(doc == NO_ID, home, by_id)
+                rows += [(g, 1, g, told(doc[r], ctx[r], verdict[r])) for g, r in grouped(home, doc, tell)]
             return pa.Table.from_batches([rows_batch(rows)])
 
         return settle
@@ -320,7 +343,7 @@ class Repeats:
         groups = max(8, -(-total // GROUP_BYTES))
         buckets = max(8, -(-total // BUCKET_BYTES))
         slim = docs.select(F.col(self.id_col).cast("long").alias(self.id_col), self.text_col)
-        runs = slim.mapInArrow(self.send_runs(buckets), PACKED)
+        runs = slim.mapInArrow(self.send_runs(buckets, groups), PACKED)
         verdicts = runs.groupBy("bucket").applyInArrow(self.settle_runs(groups), PACKED)
         texts = slim.mapInArrow(self.send_texts(groups), PACKED)
         windows = texts.union(verdicts).groupBy("bucket").applyInArrow(self.open_windows(buckets, extra and extra(buckets)), PACKED)

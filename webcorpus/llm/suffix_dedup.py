@@ -66,16 +66,17 @@ class Bytes:
             return none, none.astype(np.uint64), none, none, none
         at = np.arange(n - GRAM + 1)
         grams = self.name(at, at + GRAM, 0)
-        if n >> PLACE:   # one text longer than the places: keep them apart from the hashes
-            least = np.lib.stride_tricks.sliding_window_view(grams, WINDOW - GRAM + 1)
+        # The high bits of a hash choose, the first place among equals: the same for texts of any length.
+        low = np.uint64((1 << PLACE) - 1)
+        width = WINDOW - GRAM + 1
+        if n >> PLACE:   # one text longer than the places: the place can't stand in the low bits
+            least = np.lib.stride_tricks.sliding_window_view(grams & ~low, width)
             anchor = np.concatenate([
                 s + np.arange(len(part)) + part.argmin(axis=1)
                 for s in range(0, len(least), 1 << 16) for part in [least[s : s + (1 << 16)]]
             ])
         else:
-            low = np.uint64((1 << PLACE) - 1)
-            packed = sliding_least((grams & ~low) | at.astype(np.uint64), WINDOW - GRAM + 1)
-            anchor = (packed & low).astype(np.int64)
+            anchor = (sliding_least((grams & ~low) | at.astype(np.uint64), width) & low).astype(np.int64)
         fits = np.zeros(n + 1, dtype=np.int32)
         long = np.diff(self.borders) >= WINDOW
         np.add.at(fits, self.borders[:-1][long], 1)
