@@ -118,4 +118,15 @@ SELECT doc_id, best[2] AS license, coalesce(best[3], false) AS restricted, round
 """
 
 
-ORACLES = {"op2_embedding_dedup": OP2, "op7_license_scan": op7(), "op3_mixing": OP3, "op5_near_dedup": OP5, "op6_quality_rules": OP6, "op1_substring_dedup": OP1, "op10_suffix_dedup": OP10}
+OP11 = r"""
+WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)) AS e FROM embeddings
+   WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+     AND list_sum(list_transform(embedding, lambda x: CASE WHEN x IS NULL OR NOT isfinite(x) THEN 1 ELSE 0 END)) = 0),
+ s AS (SELECT q.vec_id AS query_id, c.vec_id, list_dot_product(q.e, c.e)::BIGINT AS score FROM v q JOIN v c ON q.vec_id <> c.vec_id
+   WHERE q.vec_id % 100 = 0)
+SELECT query_id, (row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id))::INTEGER AS rank, vec_id, score FROM s
+QUALIFY rank <= 10
+"""
+
+
+ORACLES = {"op2_embedding_dedup": OP2, "op7_license_scan": op7(), "op3_mixing": OP3, "op5_near_dedup": OP5, "op6_quality_rules": OP6, "op1_substring_dedup": OP1, "op10_suffix_dedup": OP10, "op11_topk_search": OP11}

@@ -15,6 +15,7 @@ from webcorpus.llm.quality_rules import quality_rules
 from webcorpus.llm.substring_dedup import substring_dedup
 from webcorpus.llm.suffix_dedup import suffix_dedup
 from webcorpus.llm.token_counts import count_tokens
+from webcorpus.llm.topk_search import topk_search
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -74,6 +75,10 @@ def op10_suffix_dedup(spark, sf_dir):
     return out.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op11_topk_search(spark, sf_dir):
+    return topk_search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
+
+
 QUERIES = {
     "op1_substring_dedup": op1_substring_dedup,
     "op2_embedding_dedup": op2_embedding_dedup,
@@ -85,4 +90,5 @@ QUERIES = {
     "op8_language_id": op8_language_id,
     "op9_packing": op9_packing,
     "op10_suffix_dedup": op10_suffix_dedup,
+    "op11_topk_search": op11_topk_search,
 }
