@@ -128,5 +128,26 @@ SELECT query_id, (row_number() OVER (PARTITION BY query_id ORDER BY score DESC,
 QUALIFY rank <= 10
 """
 
+OP12 = r"""
+WITH RECURSIVE t AS (SELECT list_transform(range(256), lambda i: list_reduce(list_concat([i], range(8)),
+   lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS t),
+ r AS (SELECT id, translate(run, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS run, count(*) AS c
+   FROM (SELECT coalesce(doc_id::VARCHAR, '') AS id, unnest(regexp_extract_all(text, '[A-Za-z\x{C0}-\x{FF}]+')) AS run FROM documents)
+   WHERE length(run) >= 7 GROUP BY ALL),
+ x AS (SELECT *, hex(encode(id || ':' || run)) AS x FROM r),
+ h AS (SELECT run, c, xor(4294967295, list_reduce(list_concat([4294967295], list_transform(range(length(x) // 2), lambda i: ('0x' || substr(x, 2 * i + 1, 2))::BIGINT)),
+   lambda k, b: xor(k >> 8, t[(xor(k, b) & 255) + 1]))) AS h FROM x, t),
+ w AS (SELECT CASE WHEN h % 31 = 0 THEN substr(run, 1, h % length(run)) || substr(run, h % length(run) + 2) ELSE run END AS word, sum(c)::BIGINT AS n
+   FROM h GROUP BY 1 HAVING length(word) >= 7 AND sum(c) >= 2),
+ less AS (SELECT word, n, i, substr(word, 1, i - 1) || substr(word, i + 1) AS rest FROM (SELECT word, n, unnest(range(1, length(word) + 1)) AS i FROM w)),
+ near AS (SELECT a.word, b.word AS form, b.n FROM less a JOIN less b ON a.i = b.i AND a.rest = b.rest AND a.word <> b.word
+   UNION SELECT a.word, b.word, b.n FROM less a JOIN w b ON a.rest = b.word UNION SELECT b.word, a.word, a.n FROM less a JOIN w b ON a.rest = b.word),
+ best AS (SELECT word, count(*) AS n_near, min((-n, form)) AS b FROM near GROUP BY word),
+ f AS (SELECT word, n, coalesce(n_near, 0)::BIGINT AS n_near, CASE WHEN -b[1] >= 10 * n THEN b[2] END AS form, CASE WHEN -b[1] >= 10 * n THEN -b[1] END::BIGINT AS form_n
+   FROM w LEFT JOIN best USING (word)),
+ walk(word, root) AS (SELECT word, word FROM w UNION ALL SELECT walk.word, f.form FROM walk JOIN f ON f.word = walk.root WHERE f.form IS NOT NULL)
+SELECT f.word, f.form, walk.root, f.n, f.n_near, f.form_n FROM f JOIN walk USING (word) JOIN f g ON g.word = walk.root WHERE g.form IS NULL
+"""
+
 
-ORACLES = {"op2_embedding_dedup": OP2, "op7_license_scan": op7(), "op3_mixing": OP3, "op5_near_dedup": OP5, "op6_quality_rules": OP6, "op1_substring_dedup": OP1, "op10_suffix_dedup": OP10, "op11_topk_search": OP11}
+ORACLES = {"op2_embedding_dedup": OP2, "op7_license_scan": op7(), "op3_mixing": OP3, "op5_near_dedup": OP5, "op6_quality_rules": OP6, "op1_substring_dedup": OP1, "op10_suffix_dedup": OP10, "op11_topk_search": OP11, "op12_spelling_variants": OP12}

@@ -12,6 +12,7 @@ from webcorpus.llm.mixing import label_quality, mix_sources, n_words
 from webcorpus.llm.near_dedup import near_duplicates
 from webcorpus.llm.packing import pack_batches
 from webcorpus.llm.quality_rules import quality_rules
+from webcorpus.llm.spelling import spelling_variants
 from webcorpus.llm.substring_dedup import substring_dedup
 from webcorpus.llm.suffix_dedup import suffix_dedup
 from webcorpus.llm.token_counts import count_tokens
@@ -79,6 +80,10 @@ def op11_topk_search(spark, sf_dir):
     return topk_search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
 
 
+def op12_spelling_variants(spark, sf_dir):
+    return spelling_variants(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_substring_dedup": op1_substring_dedup,
     "op2_embedding_dedup": op2_embedding_dedup,
@@ -91,4 +96,5 @@ QUERIES = {
     "op9_packing": op9_packing,
     "op10_suffix_dedup": op10_suffix_dedup,
     "op11_topk_search": op11_topk_search,
+    "op12_spelling_variants": op12_spelling_variants,
 }
