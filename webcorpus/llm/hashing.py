@@ -63,8 +63,8 @@ BASES = (0x9E3779B97F4A7C15, 0xD1342543DE82EF95)
 BYTE_VALUES = mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(0xA0761D6478BD642F))
 
 
-def text_slices(column: pa.Array):
-    """(first row, data, offsets) of consecutive rows with at most SLICE_BYTES, or one row; null is empty."""
+def text_slices(column: pa.Array, size: int = SLICE_BYTES):
+    """(first row, data, offsets) of consecutive rows with at most `size` bytes, or one row; null is empty."""
     if isinstance(column, pa.ChunkedArray):
         column = column.combine_chunks()
     if not pa.types.is_large_binary(column.type):
@@ -76,7 +76,7 @@ def text_slices(column: pa.Array):
     data = np.frombuffer(buffer, dtype=np.uint8) if buffer is not None and buffer.size else np.zeros(0, np.uint8)
     row = 0
     while row < len(column):
-        end = int(np.searchsorted(offsets, offsets[row] + SLICE_BYTES, side="right")) - 1
+        end = int(np.searchsorted(offsets, offsets[row] + size, side="right")) - 1
         end = min(max(end, row + 1), len(column))
         at = offsets[row : end + 1] - offsets[row]
         yield row, data[offsets[row] : offsets[end]], at

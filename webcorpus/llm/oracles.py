@@ -149,5 +149,25 @@ WITH RECURSIVE t AS (SELECT list_transform(range(256), lambda i: list_reduce(lis
 SELECT f.word, f.form, walk.root, f.n, f.n_near, f.form_n FROM f JOIN walk USING (word) JOIN f g ON g.word = walk.root WHERE g.form IS NULL
 """
 
+OP13 = r"""
+WITH d AS (SELECT row_number() OVER () AS id, coalesce(text, '') AS text, coalesce(lang, '') AS lang, coalesce(source, '') AS source FROM documents),
+ w AS (SELECT id, lang, source, translate(unnest(regexp_extract_all(text, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')),
+   'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS term FROM d),
+ k AS (SELECT lang, term, count(*) AS n FROM w GROUP BY lang, term HAVING count(DISTINCT id) >= 10),
+ c AS (SELECT lang, source, term, count(*) AS n FROM w JOIN k USING (lang, term) GROUP BY ALL),
+ v AS (SELECT lang, count(*) AS v, sum(n) AS n FROM k GROUP BY lang),
+ g AS (SELECT lang, source, coalesce(sum(n), 0) AS n FROM (SELECT DISTINCT lang, source FROM d) LEFT JOIN c USING (lang, source) GROUP BY ALL),
+ p AS (SELECT g.lang, g.source, k.term, coalesce(c.n, 0) AS n, 1 + (1000000000::HUGEINT * (coalesce(c.n, 0) + 2)) // (g.n + 2 * v.v) AS p,
+     1 + (1000000000::HUGEINT * (k.n + 2)) // (v.n + 2 * v.v) AS q
+   FROM g JOIN k USING (lang) JOIN v USING (lang) LEFT JOIN c USING (lang, source, term)),
+ s AS (SELECT a.lang, a.source, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // (a.p + b.p)) AS value FROM p a JOIN p b USING (lang, term)
+   WHERE a.source <> b.source GROUP BY ALL),
+ pairs AS (SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(value, 0)::BIGINT AS value
+   FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source LEFT JOIN s ON s.lang = a.lang AND s.source = a.source AND s.item = b.source),
+ terms AS (SELECT lang, source, 'term' AS part, term AS item, ((p - q) * (p - q) // (p + q))::BIGINT AS value FROM p WHERE n > 0 AND p > q)
+SELECT *, (row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, encode(item)))::INTEGER AS rank
+FROM (SELECT * FROM pairs UNION ALL SELECT * FROM terms) QUALIFY part = 'pair' OR rank <= 10
+"""
+
 
-ORACLES = {"op2_embedding_dedup": OP2, "op7_license_scan": op7(), "op3_mixing": OP3, "op5_near_dedup": OP5, "op6_quality_rules": OP6, "op1_substring_dedup": OP1, "op10_suffix_dedup": OP10, "op11_topk_search": OP11, "op12_spelling_variants": OP12}
+ORACLES = {"op2_embedding_dedup": OP2, "op7_license_scan": op7(), "op3_mixing": OP3, "op5_near_dedup": OP5, "op6_quality_rules": OP6, "op1_substring_dedup": OP1, "op10_suffix_dedup": OP10, "op11_topk_search": OP11, "op12_spelling_variants": OP12, "op13_source_divergence": OP13}

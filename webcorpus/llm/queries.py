@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from webcorpus.llm.divergence import source_divergence
 from webcorpus.llm.embedding_dedup import embedding_dedup
 from webcorpus.llm.language_id import identify_language
 from webcorpus.llm.license_scan import license_scan
@@ -84,6 +85,10 @@ def op12_spelling_variants(spark, sf_dir):
     return spelling_variants(table(spark, sf_dir, "documents"))
 
 
+def op13_source_divergence(spark, sf_dir):
+    return source_divergence(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_substring_dedup": op1_substring_dedup,
     "op2_embedding_dedup": op2_embedding_dedup,
@@ -97,4 +102,5 @@ QUERIES = {
     "op10_suffix_dedup": op10_suffix_dedup,
     "op11_topk_search": op11_topk_search,
     "op12_spelling_variants": op12_spelling_variants,
+    "op13_source_divergence": op13_source_divergence,
 }
