@@ -498,6 +498,18 @@ def selector_candidates(spark, sf):
     )
 
 
+def selector_steps(spark, sf):
+    """Rules with steps for every host: child, next and later sibling, descendant, attribute, and a removed block."""
+    css = (
+        "body > div.ad", "div.ad + article > h1", "html div ~ article", "body article[class], [class^=a] ~ article h1",
+        "nav li > a", "article > div",
+    )
+    rules = hosts(spark, sf).select("host", F.posexplode(F.array(*map(F.lit, css))).alias("ord", "css"))
+    ruled = page_nodes(E.add_rules(pages(spark, sf), rules), ARTICLE_ATTRIBUTES)
+    found = E.selector_candidates(ruled)
+    return found.select("page_id", F.col("ord").cast("bigint").alias("ord"), "tag", "text")
+
+
 def jsonld_body(spark, sf):
     """Documents as JSON-LD: articles in English, as a list in German; others are no articles."""
     item = F.to_json(
@@ -659,6 +671,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "best_node": best_node,
         "paragraph_candidate": paragraph_candidate,
         "selector_candidates": selector_candidates,
+        "selector_steps": selector_steps,
         "jsonld_body": jsonld_body,
         "meta_body": meta_body,
         "meta_last_wins": meta_last_wins,

@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 
 from webcorpus.functions import nodes as N
 from webcorpus.functions.markdown import body_markdown, markdown_pieces, settled_markdown
-from webcorpus.functions.text import candidate_score, fragment_text, strip_ws, url_netloc, word_count
+from webcorpus.functions.selectors import is_selector, names_of, selected, selectors_of, steps_of
+from webcorpus.functions.text import fragment_text, strip_ws, url_netloc, word_count
 from webcorpus.sources.pages import ARTICLE_ATTRIBUTES
 
 # Host, order, selector.
@@ -30,12 +31,6 @@ SELECTOR_RULES = (
 MAX_BROADCAST_RULES = 100_000
 
 
-# A simple selector: at least an element, "*", an id, a class or an attribute.
-SELECTOR = (
-    r"""^(?=.)(?:[A-Za-z][A-Za-z0-9-]*|\*)?(?:#[\w-]+|\.[\w-]+|\[[\w-]+(?:=(?:"[^"]*"|'[^']*'|[\w-]+))?\])*$"""
-)
-
-
 def selector_rules(spark, rows=SELECTOR_RULES) -> DataFrame:
     return spark.createDataFrame(list(rows), "host string, ord int, css string")
 
@@ -43,36 +38,22 @@ def selector_rules(spark, rows=SELECTOR_RULES) -> DataFrame:
 def add_rules(pages: DataFrame, rules: DataFrame) -> DataFrame:
     """Attach a page's selector rules by exact host.
 
-    A rule is a list, separated by commas, of simple selectors: an element or ``*`` with ids, classes
-    and attributes that the parse keeps.  Anything else, such as child and descendant steps, fails.
+    A rule is a list, separated by commas, of selectors: compounds (an element or ``*`` with ids, classes
+    and attributes that the parse keeps) in steps of descendants, children (``>``), next siblings (``+``)
+    and later siblings (``~``).  Anything else, such as pseudo-classes, fails.
 
     The join runs before the parse, on the slim side of it.  Rules are counted, as far as the
     bound: within it they are broadcast and pages stay where they are; beyond it the join is
     sorted, with hot hosts split at run time.
     """
     few = rules.limit(MAX_BROADCAST_RULES + 1).count() <= MAX_BROADCAST_RULES
-    each = rules.select("host", "ord", "css", F.posexplode(F.split("css", ",")).alias("part", "one"))
-    one = F.trim("one")
-    attribute = r"\[([\w-]+)(?:=(?:\"([^\"]*)\"|'([^']*)'|([\w-]+)))?\]"
-    parsed = F.struct(
-        "ord", "part",
-        F.lower(F.regexp_extract(one, r"^([A-Za-z][A-Za-z0-9-]*)", 1)).alias("tag"),
-        F.regexp_extract(F.regexp_replace(one, attribute, ""), r"#([\w-]+)", 1).alias("id"),
-        F.regexp_extract_all(F.regexp_replace(one, attribute, ""), F.lit(r"\.([\w-]+)"), F.lit(1)).alias("classes"),
-        F.transform(
-            F.regexp_extract_all(one, F.lit(attribute), F.lit(0)),
-            lambda a: F.struct(
-                F.lower(F.regexp_extract(a, attribute, 1)).alias("name"), a.contains("=").alias("valued"),
-                F.concat(*[F.regexp_extract(a, attribute, k) for k in (2, 3, 4)]).alias("value"),
-            ),
-        ).alias("attrs"),
-    )
-    known = F.exists(
-        F.regexp_extract_all(one, F.lit(attribute), F.lit(1)), lambda a: ~F.lower(a).isin(*ARTICLE_ATTRIBUTES)
-    )
-    wrong = ~one.rlike(SELECTOR) | known
+    each = rules.select("host", "ord", "css", F.posexplode(selectors_of("css")).alias("part", "one"))
+    steps = each.withColumn("steps", steps_of(F.col("one")))
+    unknown = F.exists(names_of(F.col("steps")), lambda a: ~a.isin(*ARTICLE_ATTRIBUTES))
     message = F.concat(F.lit("selector not supported: "), "css")
-    per_host = each.select("host", F.when(wrong, F.raise_error(message)).otherwise(parsed).alias("rule"))
+    good = is_selector(F.col("one")) & ~unknown
+    rule = F.when(~good, F.raise_error(message)).otherwise(F.struct("ord", "part", "steps"))
+    per_host = steps.select("host", rule.alias("rule"))
     per_host = per_host.groupBy(F.col("host").alias("_host")).agg(F.array_sort(F.collect_list("rule")).alias("rules"))
     per_host = F.broadcast(per_host) if few else per_host
     return pages.join(per_host, url_netloc("url") == F.col("_host"), "left").drop("_host")
@@ -164,14 +145,15 @@ def paragraph_candidate(pages: DataFrame) -> DataFrame:
 def selector_candidates(pages: DataFrame) -> DataFrame:
     """One row per node a selector rule of the page's host matches (pages need ``rules``)."""
     nodes = F.col("nodes")
-    matched = pages.select(
-        "page_id", "url", "nodes",
-        F.posexplode_outer(N.selector_matches(nodes, F.col("rules"))).alias("ord", "n"),
-    )
-    return matched.where(F.col("ord").isNotNull()).select(
-        "page_id", "url", "ord", F.col("n.node_id").alias("node_id"), F.col("n.tag").alias("tag"),
-        strip_ws(N.inner_text(nodes, F.col("n"), "\n")).alias("text"),
+    # Texts are taken inside the row: behind the generator every match would carry the page's nodes.
+    found = F.transform(
+        selected(nodes, F.col("rules")),
+        lambda n: F.struct(
+            n["node_id"].alias("node_id"), n["tag"].alias("tag"), strip_ws(N.inner_text(nodes, n, "\n")).alias("text")
+        ),
     )
+    matched = pages.select("page_id", "url", F.posexplode_outer(found).alias("ord", "n"))
+    return matched.where(F.col("ord").isNotNull()).select("page_id", "url", "ord", "n.*")
 
 
 def to_markdown(pages: DataFrame, top: str = None) -> DataFrame:
@@ -199,11 +181,10 @@ def with_candidates(pages: DataFrame, jsonld: bool = True) -> DataFrame:
 def content_candidates(pages: DataFrame, jsonld: bool = True) -> DataFrame:
     """Candidates as rows."""
     nodes = F.col("nodes")
-    rows = with_candidates(pages, jsonld).select("page_id", "nodes", F.inline_outer("candidates"))
-    span = {name: F.col(name) for name in ("node_id", "end_id", "body")}
-    texts = rows.where(F.col("method").isNotNull()).withColumn("text", N.candidate_text(nodes, span))
-    score = candidate_score(F.col("text"), N.candidate_words(nodes, span, F.col("text")))
-    return texts.select("page_id", "ord", "method", "node_id", "text", score.alias("score"))
+    # As with selectors, texts and scores are settled before a candidate leaves the page's row.
+    texts = with_candidates(pages, jsonld).select("page_id", N.candidate_texts(nodes, F.col("candidates")).alias("_texts"))
+    rows = texts.select("page_id", F.inline_outer("_texts"))
+    return rows.where(F.col("method").isNotNull()).select("page_id", "ord", "method", "node_id", "text", "score")
 
 
 def best_candidate(candidates: DataFrame) -> DataFrame:
