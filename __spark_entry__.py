@@ -529,6 +529,36 @@ def jsonld_body(spark, sf):
     return E.jsonld_body(page_nodes(made)).select("page_id", "jsonld_body")
 
 
+def structured_bodies(spark, sf):
+    """Documents whose text is only in JSON-LD or in a meta tag, as markup with references: what becomes of them."""
+    text = xml_escape(F.col("text"))
+    body = F.concat(F.lit("<p>"), text, F.lit("</p><p>&mdash; it&apos;s &NotEqualTilde; "), "source", F.lit("</p>"))
+    item = F.to_json(F.struct(F.lit("Article").alias("@type"), body.alias("articleBody")))
+    script = F.concat(
+        F.lit('<script type="application/ld+json">'), F.replace(item, F.lit("</"), F.lit("<\\/")), F.lit("</script>")
+    )
+    meta = F.concat(F.lit('<meta property="og:description" content="'), attribute_escape(body), F.lit('">'))
+    html = F.concat(
+        F.lit("<html><head><title>"), "source", F.lit("</title>"), F.when(F.col("lang") == "en", script).otherwise(meta),
+        F.lit("</head><body><p>x</p></body></html>"),
+    )
+    made = documents(spark, sf).select(F.col("doc_id").alias("page_id"), F.lit("https://s/en/x").alias("url"), html.alias("html"))
+    done = A.page_outcomes(spread_small(made), crawled_at=crawl_time())
+    return done.select("page_id", "title", "text", "markdown", "word_count", "reason")
+
+
+def parse_errors(spark, sf):
+    """Pages, documents as nothing but a comment, and documents without any markup: why there is no article."""
+    text = F.replace(F.col("text"), F.lit("-->"), F.lit(""))
+    bare = documents(spark, sf).select(
+        (-1 - F.col("doc_id")).alias("page_id"), F.concat(F.lit("https://d/"), "doc_id").alias("url"),
+        F.when(F.col("lang") == "de", F.concat(F.lit("<!--"), text, F.lit("-->"))).otherwise(xml_escape(F.col("text"))).alias("html"),
+    )
+    both = pages(spark, sf).unionByName(spread_small(bare))
+    outcomes = A.page_outcomes(both, crawled_at=crawl_time())
+    return outcomes.groupBy("source", "reason").agg(F.count(F.lit(1)).alias("n"))
+
+
 def described(spark, sf):
     """Documents as meta tags: twice as description, the second one counts; French ones also as og."""
     def tag(name, key, value):
@@ -674,6 +704,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "selector_steps": selector_steps,
         "jsonld_body": jsonld_body,
         "meta_body": meta_body,
+        "structured_bodies": structured_bodies,
+        "parse_errors": parse_errors,
         "meta_last_wins": meta_last_wins,
         "content_candidates": content_candidates,
         "best_candidate": best_candidate,

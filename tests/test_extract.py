@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from webcorpus.functions import nodes as N
 from webcorpus.operators import articles as A
 from webcorpus.operators import extract as E
+from webcorpus.sources import pages as sources
 from webcorpus.sources.pages import page_nodes
 
 WORDS = " ".join(["word"] * 150)
@@ -180,6 +181,66 @@ def test_jsonld_switch(spark):
     assert values(E.main_content(nodes, jsonld=False), "text") == ["x"]
 
 
+FILL = "words to make it long enough for a body " * 4
+
+
+@pytest.mark.parametrize("carry", ["meta", "jsonld"])
+def test_bodies_are_markup(spark, carry):
+    """A body is parsed like a page: references by the standard's table, elements, blocks, Markdown."""
+    bodies = {
+        "<p>Hello <b>big</b> world</p><p>two</p>": ("Hello \nbig\n world\ntwo", "Hello **big** world\n\ntwo"),
+        "a &lt; b &amp;amp; c": ("a < b &amp; c",) * 2,
+        "it&apos;s &mdash; &laquo;x&raquo; &#8217;&#x1F600; &NotEqualTilde; &copy": ("it's — «x» ’😀 \u2242\u0338 ©",) * 2,
+        "x<!-- c -->y": ("x\ny", "xy"),
+        "<ul><li>one<li>two</ul>": ("one\ntwo", "* one\n* two"),
+        "<header>kept</header><script>gone()</script><img alt=i>": ("kept", "kept"),
+        "</div></body>after<div>x": ("after\nx", "after\n\nx"),
+    }
+    htmls = []
+    for body in bodies:
+        body = f"{body}<p>{FILL}</p>"
+        if carry == "meta":
+            value = body.replace("&", "&amp;").replace('"', "&quot;")
+            htmls.append(f'<head><meta name=description content="{value}"></head><body><p>x</p></body>')
+        else:
+            htmls.append(ld(json.dumps({"@type": "Article", "articleBody": body}).replace("</", "<\\/")))
+    nodes = page_nodes(pages(spark, *htmls))
+    assert values(E.content_candidates(nodes), "method") == [carry] * len(bodies)
+    done = E.main_content(nodes).cache()
+    fill = FILL.strip()
+    assert values(done, "text") == [f"{t}\n{fill}" for t, _ in bodies.values()]
+    assert values(done, "markdown") == [f"{m}\n\n{fill}" for _, m in bodies.values()]
+
+
+def test_bodies_leave_the_page_alone(spark):
+    """Titles, blocks, rules and selectors look at the page's own tree only."""
+    body = f"<h1>not a title</h1><article>{WORDS}</article>"
+    html = f"<head><meta name=description content='{body}'></head><body><div><p>{WORDS} {WORDS} page</p></div></body>"
+    nodes = page_nodes(pages(spark, html, url="https://s/x"))
+    assert titles(spark, html) == ["[no-title]"]
+    rows = E.content_candidates(nodes).orderBy("ord").collect()
+    assert [r.method for r in rows] == ["paragraph", "meta", "density"]
+    ruled = page_nodes(E.add_rules(pages(spark, html, url="https://s/x"), E.selector_rules(spark, [("s", 0, "article, h1")])))
+    assert E.selector_candidates(ruled).count() == 0
+    assert E.main_content(nodes).first()["word_count"] == 301
+
+
+def test_parse_errors_have_a_reason(spark):
+    htmls = ["<!-- only a comment -->", " \n ", "<!DOCTYPE html>", "short", f"<p>{WORDS}</p>"]
+    got = A.page_outcomes(pages(spark, *htmls)).orderBy("page_id")
+    assert [r["reason"] for r in got.collect()] == ["parse_error"] * 3 + ["too_short", None]
+    assert values(page_nodes(pages(spark, *htmls)), "parse_error") == ["no content"] * 3 + [None, None]
+
+
+def test_a_failing_parse_is_named(monkeypatch):
+    def fail(self, html):
+        raise RecursionError
+
+    monkeypatch.setattr(sources.PageNodes, "feed", fail)
+    page, error = sources._parsed("<p>x</p>")
+    assert (page.tag, error) == ([], "RecursionError")
+
+
 def test_selectors(spark):
     html = '<body><div class="x news-body">in</div><nav><p class="news-body">n</p></nav></body>'
     both = pages(spark, html).union(pages(spark, html, url="https://kun.uz/a")).union(

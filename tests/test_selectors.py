@@ -123,11 +123,11 @@ def test_many_matches_among_candidates(spark):
     html = "<body>" + "<p>x</p>" * 16000 + "<p>" + "word " * 30 + "</p></body>"
     pages = spark.createDataFrame([(0, "https://s/x", html)], "page_id long, url string, html string")
     rules = E.selector_rules(spark, [("s", 0, "p"), ("s", 1, "body > p")])
-    rows = E.with_candidates(page_nodes(E.add_rules(pages, rules))).select("page_id", "nodes", "candidates").cache()
+    rows = E.with_candidates(page_nodes(E.add_rules(pages, rules))).select("page_id", "nodes", "bodies", "candidates").cache()
     size = rows.select(F.size("candidates"), F.size(N.distinct_candidates(F.col("candidates"))))
     assert tuple(size.first()) == (2 * 16001 + 1, 16002)
     start = time.time()
     size.first()
     assert time.time() - start < 3
-    best = rows.select(N.best_of(F.col("nodes"), N.distinct_candidates(F.col("candidates"))).alias("b")).first()["b"]
+    best = rows.select(N.best_of(F.col("nodes"), F.col("bodies"), N.distinct_candidates(F.col("candidates"))).alias("b")).first()["b"]
     assert best["method"] == "paragraph"

@@ -219,8 +219,3 @@ def settled_markdown(pieces: str) -> Column:
     joined = f"""array_join(flatten(zip_with(
         split({marks}, {quoted(TEXT)}), array_append({cores}, ''), (m, c) -> array(m, c))), '')"""
     return strip_ws(F.expr(joined))
-
-
-def body_markdown(text) -> Column:
-    """Markdown of a body that came as text."""
-    return strip_ws(F.regexp_replace(text, r"([*_])", r"\\$1"))

@@ -1,7 +1,5 @@
 """Scalar column functions: whitespace, words, URLs, languages, timestamps."""
 
-from html.entities import name2codepoint
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -98,40 +96,3 @@ def candidate_score(text, words=None) -> Column:
 
 def long_enough(text, min_length=MIN_CONTENT_LENGTH) -> Column:
     return F.length(strip_ws(text)) >= min_length
-
-
-def without_tags(markup) -> Column:
-    """A small markup string as its text pieces, joined by newlines; references stay."""
-    return F.regexp_replace(markup, r"(?s)(?:<!--.*?-->|</?[A-Za-z!?][^>]*>)+", "\n")
-
-
-def fragment_text(markup) -> Column:
-    """Text of a small markup string: its text nodes joined by newlines, stripped, references decoded."""
-    return strip_ws(decode_references(without_tags(markup)))
-
-
-def decode_references(text) -> Column:
-    """HTML character references to characters: numbers, and names by the standard library's table.
-
-    Each different reference of a text is replaced once; the ampersand comes last, so that what it
-    brings forth is not decoded again.  Texts without a reference are not searched.
-    """
-    names = F.create_map(*[F.lit(x) for name, code in sorted(name2codepoint.items()) for x in (name, chr(code))])
-
-    def character(ref):
-        number = F.regexp_extract(ref, "^&#([0-9]+);$", 1)
-        code = F.regexp_extract(ref, "^&#[xX]([0-9a-fA-F]+);$", 1)
-        code = F.when(number != "", F.hex(number.cast("long"))).otherwise(code)
-        valid = (code != "") & ~F.upper(code).rlike("^0*(D[89A-F][0-9A-F]{2}|0|1[1-9A-F][0-9A-F]{4}|[2-9A-F][0-9A-F]{5})$")
-        numbered = F.when(valid, F.decode(F.unhex(F.lpad(code, 8, "0")), "UTF-32"))
-        return F.coalesce(numbered, F.try_element_at(names, F.regexp_extract(ref, "^&([^#;]+);$", 1)), ref)
-
-    refs = F.array_distinct(F.regexp_extract_all(text, F.lit(REFERENCE), F.lit(0)))
-    others = F.filter(refs, lambda r: ~r.isin("&amp;", "&#38;", "&#x26;"))
-    done = F.aggregate(others, text, lambda t, r: F.replace(t, r, character(r)))
-    for ampersand in ("&amp;", "&#38;", "&#x26;"):
-        done = F.replace(done, F.lit(ampersand), F.lit("&"))
-    return F.when(F.contains(text, F.lit("&")), done).otherwise(text)
-
-
-REFERENCE = "&(?:#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6}|[A-Za-z][A-Za-z0-9]{1,31});"

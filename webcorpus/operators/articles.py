@@ -27,7 +27,7 @@ def page_outcomes(
 ) -> DataFrame:
     """Every attempted page as one row: the article fields and, where there is none, the ``reason``.
 
-    Reasons: 'status', 'empty', 'too_short'; NULL is a success.  ``source`` is taken from the pages
+    Reasons: 'status', 'empty', 'parse_error', 'too_short'; NULL is a success.  ``source`` is taken from the pages
     if they have it, else it is the URL's host; ``languages`` are those a URL may name, others get the
     ``default_language``; further columns pass through.  Nothing is shuffled:
     the anti-join with what is stored, if any, belongs in front of this.
@@ -58,7 +58,9 @@ def page_outcomes(
         F.coalesce("word_count", F.lit(0)).alias("word_count"),
         F.lit("success").alias("status"),
         F.coalesce(
-            "_skip", F.when(~F.coalesce(long_enough(F.col("text"), min_length), F.lit(False)), "too_short")
+            "_skip",
+            F.when(F.col("parse_error").isNotNull(), "parse_error"),
+            F.when(~F.coalesce(long_enough(F.col("text"), min_length), F.lit(False)), "too_short")
         ).alias("reason"),
         *passed,
     )

@@ -9,9 +9,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from webcorpus.functions import nodes as N
-from webcorpus.functions.markdown import body_markdown, markdown_pieces, settled_markdown
+from webcorpus.functions.markdown import markdown_pieces, settled_markdown
 from webcorpus.functions.selectors import is_selector, names_of, selected, selectors_of, steps_of
-from webcorpus.functions.text import fragment_text, strip_ws, url_netloc, word_count
+from webcorpus.functions.text import strip_ws, url_netloc
 from webcorpus.sources.pages import ARTICLE_ATTRIBUTES
 
 # Host, order, selector.
@@ -173,7 +173,7 @@ def with_candidates(pages: DataFrame, jsonld: bool = True) -> DataFrame:
         N.best_node_id(nodes).alias("_density"),
     )
     listed = N.candidates(
-        nodes, F.col("_heads"), F.col("_paragraph"), F.col("_density"), rules, jsonld
+        nodes, F.col("bodies"), F.col("_heads"), F.col("_paragraph"), F.col("_density"), rules, jsonld
     )
     return found.withColumn("candidates", listed).drop("_paragraph", "_density")
 
@@ -182,7 +182,7 @@ def content_candidates(pages: DataFrame, jsonld: bool = True) -> DataFrame:
     """Candidates as rows."""
     nodes = F.col("nodes")
     # As with selectors, texts and scores are settled before a candidate leaves the page's row.
-    texts = with_candidates(pages, jsonld).select("page_id", N.candidate_texts(nodes, F.col("candidates")).alias("_texts"))
+    texts = with_candidates(pages, jsonld).select("page_id", N.candidate_texts(nodes, F.col("bodies"), F.col("candidates")).alias("_texts"))
     rows = texts.select("page_id", F.inline_outer("_texts"))
     return rows.where(F.col("method").isNotNull()).select("page_id", "ord", "method", "node_id", "text", "score")
 
@@ -202,42 +202,38 @@ def best_candidate(candidates: DataFrame) -> DataFrame:
 
 
 def main_content(pages: DataFrame, jsonld: bool = True) -> DataFrame:
-    """Node pages to ``title``, ``text``, ``markdown`` and ``word_count``; ``nodes`` and ``rules``
-    are dropped."""
-    nodes, best = F.col("nodes"), F.col("_best")
+    """Node pages to ``title``, ``text``, ``markdown`` and ``word_count``; what the parse gave is dropped,
+    but for ``parse_error``."""
+    nodes, bodies, best = F.col("nodes"), F.col("bodies"), F.col("_best")
     chosen = (
         with_candidates(pages, jsonld)
         .withColumn("_distinct", N.distinct_candidates(F.col("candidates")))
-        .withColumn("_best", N.best_of(nodes, F.col("_distinct")))
+        .withColumn("_best", N.best_of(nodes, bodies, F.col("_distinct")))
     )
     fallback = F.coalesce(N.span(N.body_node(nodes)), N.whole_page(nodes))
-    spanned = chosen.withColumn(
+    spanned = chosen.withColumn("_tree", N.tree_nodes(nodes, bodies, best)).withColumn(
         "_top",
         F.when(
             best["node_id"].isNotNull(),
             F.struct(best["node_id"].alias("node_id"), best["end_id"].alias("end_id")),
-        ).when(best["body"].isNull(), fallback),
+        ).otherwise(fallback),
     )
-    title = N.page_title(nodes, F.col("_heads"))
-    body = fragment_text(best["body"])
-    top = F.col("_top")
+    tree, top = F.col("_tree"), F.col("_top")
     done = spanned.withColumn(
         "_content",
         F.struct(
-            title.alias("title"),
-            F.when(top.isNotNull(), N.final_text(nodes, top)).otherwise(body).alias("text"),
-            F.when(top.isNotNull(), N.span_words(nodes, top, media=False))
-            .otherwise(word_count(body))
-            .alias("word_count"),
+            N.page_title(nodes, F.col("_heads")).alias("title"),
+            N.final_text(tree, top).alias("text"),
+            N.span_words(tree, top, media=False).alias("word_count"),
         ),
-    ).withColumn("_pieces", F.when(top.isNotNull(), markdown_pieces("nodes", "_top")))
-    keep = [c for c in pages.columns if c not in ("nodes", "rules")]
+    ).withColumn("_pieces", markdown_pieces("_tree", "_top"))
+    keep = [c for c in pages.columns if c not in ("nodes", "bodies", "rules")]
     return done.select(
         *keep,
         F.when(F.col("_content.title") != "", F.col("_content.title"))
         .otherwise(N.fallback_title(nodes, F.col("_heads")))
         .alias("title"),
         F.col("_content.text").alias("text"),
-        F.when(top.isNotNull(), settled_markdown("_pieces")).otherwise(body_markdown(body)).alias("markdown"),
+        settled_markdown("_pieces").alias("markdown"),
         F.col("_content.word_count").alias("word_count"),
     )

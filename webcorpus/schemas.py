@@ -65,6 +65,12 @@ NODE = T.StructType([
 
 NODES = T.ArrayType(NODE)
 
+# Bodies that a page carries as markup in meta tags or JSON-LD, each a tree of its own.
+BODIES = T.ArrayType(T.StructType([
+    T.StructField("of_id", T.IntegerType()),       # the page's meta or script node
+    T.StructField("nodes", NODES),
+]))
+
 
 def cast_schema(df, schema=ARTICLE):
     """Select and cast to the columns of a schema, in its order."""

@@ -13,6 +13,8 @@ BLOCK_KILL = frozenset(
     "script style header footer nav aside noscript iframe svg form template canvas".split()
 )
 MEDIA = frozenset("img video source svg noscript".split())
+# In a body that is no page of its own only code is removed.
+CODE_KILL = frozenset("script style template".split())
 
 SPACES = " \n\t\f\r"
 VOID = frozenset(
@@ -62,17 +64,19 @@ class PageNodes:
 
     __slots__ = (
         "parent", "end", "tag", "text", "attrs", "killed", "media", "item_no", "indent", "quotes",
-        "verbatim", "oneline", "words", "links", "_open", "_count", "_items", "_tail", "_seen",
+        "verbatim", "oneline", "words", "links", "_open", "_count", "_items", "_tail", "_seen", "_kill",
     )
 
-    def __init__(self):
+    def __init__(self, page=True):
+        """``page=False`` for a body from elsewhere: it has no html, head and body, and only code is removed."""
         for name in self.__slots__[:14]:
             setattr(self, name, [])
         self._open = []      # ids of open elements
         self._count = {}     # open elements by tag
         self._items = {}     # list or table id -> items so far
         self._tail = False   # directly behind a removed element
-        self._seen = set()   # html, head, body met so far
+        self._seen = set() if page else {"html", "head", "body"}   # those met so far
+        self._kill = BLOCK_KILL if page else CODE_KILL
 
     def feed(self, html):
         if CONTROL.search(html):
@@ -197,7 +201,7 @@ class PageNodes:
         self.tag.append(tag)
         self.text.append(text)
         self.attrs.append(attrs)
-        self.killed.append((not live and self.killed[up]) or (tag in BLOCK_KILL and node > 0))
+        self.killed.append((not live and self.killed[up]) or (tag in self._kill and node > 0))
         self.media.append((not live and self.media[up]) or tag in MEDIA)
         number, indent = 0, 0 if live else self.indent[up]
         if kind == "li":

@@ -1,14 +1,20 @@
 """Fetched pages, and pages as node arrays."""
 
+import json
+
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from webcorpus.schemas import NODES, PAGES
+from webcorpus.schemas import BODIES, NODES, PAGES
 from webcorpus.sources.markup import PageNodes
 
+# The meta keys searched for a body.
+META_BODY_KEYS = ("article:content", "og:description", "description")
+MIN_BODY_LENGTH = 100    # a body from structured data or meta tags needs more characters
+
 # Attributes the article pipeline reads.
 ARTICLE_ATTRIBUTES = (
     "class", "id", "role", "property", "name", "content", "type", "href", "title", "start",
@@ -44,14 +50,15 @@ def fetched_pages(pages: DataFrame) -> DataFrame:
 def page_nodes(pages: DataFrame, attributes=None) -> DataFrame:
     """Replace ``html`` by ``nodes``, the page's elements and texts in preorder; one row per page.
 
-    All other columns pass through.  ``attributes`` limits the attributes kept, None keeps all.
-    Pages never leave their row, so nothing is shuffled.
+    ``bodies`` has the markup that meta tags and JSON-LD carry, as trees of their own, and ``parse_error``
+    says why a page gave no nodes.  All other columns pass through.  ``attributes`` limits the
+    attributes kept, None keeps all.  Pages never leave their row, so nothing is shuffled.
     """
-    kept = [f for f in pages.schema.fields if f.name != "html"]
-    schema = T.StructType(kept + [T.StructField("nodes", NODES)])
-    arrow = to_arrow_schema(schema)
+    added = [T.StructField("nodes", NODES), T.StructField("bodies", BODIES), T.StructField("parse_error", T.StringType())]
+    kept = [f for f in pages.schema.fields if f.name not in ("html", *[f.name for f in added])]
+    schema = T.StructType(kept + added)
     names = None if attributes is None else frozenset(attributes)
-    parse = _node_batches([f.name for f in kept], arrow, names)
+    parse = _node_batches([f.name for f in kept], to_arrow_schema(schema), names)
     return pages.mapInArrow(parse, schema)
 
 
@@ -66,8 +73,11 @@ def _node_batches(kept, arrow, names, chars_per_batch=4_000_000):
                 size += len(html)
                 if size >= chars_per_batch or i == len(pages) - 1:
                     part = batch.slice(lo, i + 1 - lo)
+                    trees, errors = zip(*parsed)
                     columns = [part.column(part.schema.get_field_index(c)) for c in kept]
-                    columns.append(_nodes_array(parsed, arrow.field("nodes").type, names))
+                    columns.append(_nodes_array(trees, arrow.field("nodes").type, names))
+                    columns.append(_bodies_array(trees, arrow.field("bodies").type, names))
+                    columns.append(pa.array(errors, pa.string()))
                     columns = [c.cast(f.type) for c, f in zip(columns, arrow)]
                     yield pa.RecordBatch.from_arrays(columns, schema=arrow)
                     lo, size, parsed = i + 1, 0, []
@@ -76,10 +86,49 @@ def _node_batches(kept, arrow, names, chars_per_batch=4_000_000):
 
 
 def _parsed(html):
+    """(tree, why there is none); one page must not end a job."""
+    try:
+        page = PageNodes().feed(html)
+    except Exception as error:
+        return PageNodes(), type(error).__name__
+    return page, None if page.tag else "no content"
+
+
+def _markup_bodies(page):
+    """(node, markup) of a page's meta tags and JSON-LD scripts that are long enough to be a body."""
+    for node, tag in enumerate(page.tag):
+        if tag == "meta" and not page.killed[node]:
+            key = page.attrs[node].get("property") or page.attrs[node].get("name") or ""
+            body = page.attrs[node].get("content", "") if key.lower() in META_BODY_KEYS else ""
+        elif tag == "script" and node + 1 < len(page.tag) and page.parent[node + 1] == node:
+            body = _jsonld_text(page.text[node + 1])
+        else:
+            continue
+        if len(body) > MIN_BODY_LENGTH:
+            yield node, body
+
+
+def _jsonld_text(script):
     try:
-        return PageNodes().feed(html)
-    except Exception:      # one page must not end a job: it becomes an empty page
-        return PageNodes()
+        item = json.loads(script)
+        item = item[0] if isinstance(item, list) and item else item
+        body = (item.get("articleBody") or item.get("text") or "") if isinstance(item, dict) else ""
+    except (ValueError, RecursionError):
+        return ""
+    return body if isinstance(body, str) else json.dumps(body, ensure_ascii=False, separators=(",", ":"))
+
+
+def _bodies_array(parsed, list_type, names):
+    """Arrow list<struct<of_id, nodes>>: the same pass gives the trees of all bodies."""
+    offsets, of_ids, trees = [0], [], []
+    for page in parsed:
+        for node, markup in _markup_bodies(page):
+            of_ids.append(node)
+            trees.append(PageNodes(page=False).feed(markup))
+        offsets.append(len(of_ids))
+    fields = list(list_type.value_type)
+    struct = pa.StructArray.from_arrays([pa.array(of_ids, pa.int32()), _nodes_array(trees, fields[1].type, names)], fields=fields)
+    return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), struct, type=list_type)
 
 
 def _nodes_array(parsed, list_type, names):
