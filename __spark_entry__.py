@@ -29,7 +29,7 @@ from webcorpus.sources.pages import (  # noqa: E402
     ARTICLE_ATTRIBUTES, fetched_pages, page_nodes, read_pages, spread_small,
 )
 from webcorpus.sources.storage import stored, work_dir  # noqa: E402
-from webcorpus.streaming.ingest import ingest_stream  # noqa: E402
+from webcorpus.streaming.ingest import flush_rest, ingest_stream  # noqa: E402
 
 CRAWLED_AT = "2024-05-01 10:20:30.123456"
 ARTICLE_COLUMNS = ("url", "title", "text", "markdown", "lang", "source", "crawled_at", "word_count", "status")
@@ -143,8 +143,8 @@ def document_articles(spark, sf):
     )
 
 
-def new_store(spark):
-    return S.ArticleStore(spark, work_dir(spark, "articles"))
+def new_store(spark, **options):
+    return S.ArticleStore(spark, work_dir(spark, "articles"), **options)
 
 
 # --- sources and sinks ---------------------------------------------------------------------
@@ -223,11 +223,22 @@ def existing_urls(spark, sf):
 
 
 def write_articles(spark, sf):
-    store = new_store(spark)
+    """A folder for each source."""
+    store = new_store(spark, folders=0)
     store.write_articles(document_articles(spark, sf), 0, F.col("pos"))
     return store.articles().select("url", "text", "lang", "source", "source_key", "word_count", "pos")
 
 
+def write_hashed_folders(spark, sf):
+    """The default, a fixed number of folders: each source lies in one of them, and none has a folder to itself by name."""
+    store = new_store(spark)
+    store.write_articles(document_articles(spark, sf), 0, F.col("pos"))
+    return store.articles().groupBy("source").agg(
+        F.count(F.lit(1)).alias("n"), F.count_distinct("source_key").alias("folders"),
+        F.min(F.col("source_key").rlike("^f0(0[0-9]|1[0-5])$")).alias("hashed"),
+    )
+
+
 def write_train_shards(spark, sf):
     path = work_dir(spark, "train")
     D.write_train_shards(D.train_records(documents(spark, sf), F.col("doc_id")), path)
@@ -357,8 +368,8 @@ def frontier(spark, sf):
 
 
 def append_batches(spark, sf):
-    """Documents as stored rows, and those marked by a label as a second batch."""
-    old = document_articles(spark, sf).withColumn("batch_id", F.lit(0).cast("bigint"))
+    """Documents as stored rows, and those marked by a label as a second batch, by two writers."""
+    old = document_articles(spark, sf).withColumn("batch_id", F.lit(0).cast("bigint")).withColumn("writer", F.lit("main"))
     marked = table(spark, sf, "labels").select(F.concat(F.lit("doc:"), F.col("doc_id")).alias("url"), "quality")
     new = old.join(marked, "url").withColumn("text", F.concat(F.lit("new "), "text"))
     new = new.withColumn("batch_id", F.lit(1).cast("bigint")).select(*old.columns)
@@ -379,15 +390,33 @@ def latest_articles(spark, sf):
 
 
 def upsert_articles(spark, sf):
-    """Through the store: a batch, a snapshot, a second batch that runs twice, a second snapshot."""
+    """Through the store: a batch, a rewrite, a second batch that runs twice, a second rewrite."""
     old, new = append_batches(spark, sf)
     store = new_store(spark)
     store.write_articles(old, 0, F.col("pos"))
-    store.compact()
+    store = store.compact(work_dir(spark, "articles"))
     for _ in range(2):
         store.write_articles(new, 1, F.col("pos"))
-    store.compact()
-    return slim(store.articles())
+    return slim(store.compact(work_dir(spark, "articles")).articles())
+
+
+def late_batches(spark, sf):
+    """Batches out of order, and two of one id whose positions tie, with rewrites in between: one order decides."""
+    made = document_articles(spark, sf)
+    store = new_store(spark)
+
+    def write(batch_id, writer, divisor):
+        rows = made.where(F.col("pos") % divisor == 0).withColumn("title", F.lit(f"{batch_id} {writer}"))
+        store.write_articles(rows, batch_id, F.lit(0), writer)
+
+    write(6, "main", 2)
+    write(0, "main", 1)
+    store = store.compact(work_dir(spark, "articles"))
+    write(5, "late", 3)
+    write(6, "other", 5)
+    store = store.compact(work_dir(spark, "articles"))
+    write(6, "after", 7)
+    return store.articles().select("url", "title", "batch_id", "writer")
 
 
 def crawl_summary(spark, sf):
@@ -622,11 +651,12 @@ def landed(spark, sf):
     return path
 
 
-def ingest(spark, landing, store):
-    query = ingest_stream(
-        spark, landing, store, work_dir(spark, "stream"), files_per_batch=2, crawled_at=crawl_time()
-    )
-    query.awaitTermination()
+def ingest(spark, landing, store, **options):
+    checkpoint = work_dir(spark, "stream")
+    ingest_stream(
+        spark, landing, store, checkpoint, files_per_batch=2, crawled_at=crawl_time(), **options
+    ).awaitTermination()
+    return checkpoint
 
 
 def ingest_stream_query(spark, sf):
@@ -635,13 +665,21 @@ def ingest_stream_query(spark, sf):
     return store.articles().select(*ARTICLE_COLUMNS)
 
 
+def ingest_flushes(spark, sf):
+    """Batches of 30 articles each, however many pages a file has, and the rest."""
+    store = new_store(spark)
+    checkpoint = ingest(spark, landed(spark, sf), store, flush_every=30)
+    flush_rest(spark, store, checkpoint)
+    sizes = store.rows().groupBy("batch_id").agg(F.count(F.lit(1)).alias("n_articles"), F.count_distinct("url").alias("n_urls"))
+    return sizes
+
+
 def resume(spark, sf):
     """The same pages landed twice: the second stream adds no row."""
     store, landing = new_store(spark), landed(spark, sf)
     ingest(spark, landing, store)
     ingest(spark, landing, store)
-    _, log = store.rows()
-    return log.groupBy("source").agg(F.count(F.lit(1)).alias("n_rows"))
+    return store.rows().groupBy("source").agg(F.count(F.lit(1)).alias("n_rows"))
 
 
 def training_data():
@@ -668,6 +706,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "read_pages": read_pages_query,
         "existing_urls": existing_urls,
         "write_articles": write_articles,
+        "write_hashed_folders": write_hashed_folders,
         "write_train_shards": write_train_shards,
         "dataset_first_row": dataset_first_row,
         "dataset_manifest": dataset_manifest,
@@ -684,6 +723,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "append_articles": append_articles,
         "latest_articles": latest_articles,
         "upsert_articles": upsert_articles,
+        "late_batches": late_batches,
         "crawl_summary": crawl_summary,
         "url_parts": url_parts,
         "url_lang": url_lang,
@@ -713,6 +753,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "page_outcomes": page_outcomes,
         "crawl_run": crawl_run,
         "ingest_stream": ingest_stream_query,
+        "ingest_flushes": ingest_flushes,
         "resume": resume,
     }
 

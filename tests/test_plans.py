@@ -78,9 +78,21 @@ def test_few_repeats_leave_the_log_in_place(spark, tmp_path):
     docs = entry.document_articles(spark, SF)
     store.write_articles(docs, 0, F.col("pos"))
     store.write_articles(docs.limit(5), 1, F.col("pos"))
-    text = plan(S.latest_stored(store.rows()[1]))
+    text = plan(store.articles())
     assert text.count("BroadcastHashJoin") == 2 and "SortMergeJoin" not in text
-    assert S.latest_stored(store.rows()[1]).count() == docs.count()
+    assert store.articles().count() == docs.count()
+
+
+def test_a_batch_reads_only_its_key_buckets(spark, tmp_path):
+    """Stored keys are read by the buckets of the sources that a batch has, and never the log."""
+    store = S.ArticleStore(spark, str(tmp_path))
+    store.write_articles(entry.document_articles(spark, SF), 0, F.col("pos"))
+    batch = spark.createDataFrame([("src1.example:80", "doc:1"), ("src1.example:80", "new")], "source string, url string")
+    known = store.stored_keys(of=batch)
+    assert [tuple(r) for r in known.collect()] == [("src1.example:80", "doc:1", 0, "main")]
+    text = plan(known)
+    bucket = spark.range(1).select(F.pmod(F.xxhash64(F.lit("src1.example:80")), F.lit(64))).first()[0]
+    assert re.search(rf"PartitionFilters: \[.*\(bucket#\d+ = {bucket}\)", text) and "/keys" in text and "/log" not in text
 
 
 def test_hot_keys_keep_results_whole(spark):

@@ -1,3 +1,4 @@
+import pytest
 from pyspark.sql import functions as F
 
 from webcorpus.operators import articles as A
@@ -5,7 +6,8 @@ from webcorpus.plans.crawl import crawl
 from webcorpus.schemas import ARTICLE, PAGES
 from webcorpus.sources import article_store as S
 from webcorpus.sources import dataset as D
-from webcorpus.streaming.ingest import ingest_stream
+from webcorpus.sources.storage import numbered
+from webcorpus.streaming.ingest import Flushes, flush_rest, ingest_stream
 
 WORDS = " ".join(["word"] * 150)
 
@@ -23,17 +25,17 @@ def content(store):
 
 
 def test_last_appended_wins(spark, tmp_path):
-    store = S.ArticleStore(spark, str(tmp_path))
+    store = S.ArticleStore(spark, str(tmp_path / "a"))
     store.write_articles(articles(spark, ("u1", "a"), ("u2", "b")), 0, F.col("pos"))
     store.write_articles(articles(spark, ("u1", "c")), 1, F.col("pos"))
     assert content(store) == {("u2", "b"), ("u1", "c")}
-    store.compact()
-    assert store.snapshot() == 1 and content(store) == {("u2", "b"), ("u1", "c")}
+    store = store.compact(str(tmp_path / "b"))
+    assert store.rows().count() == 2 and content(store) == {("u2", "b"), ("u1", "c")} and store.next_batch() == 2
     store.write_articles(articles(spark, ("u2", "d"), ("u3", "e"), ("u3", "f")), 2, F.col("pos"))
     assert content(store) == {("u1", "c"), ("u2", "d"), ("u3", "f")}
-    store.compact()
+    store = store.compact(str(tmp_path / "c"))
     assert content(store) == {("u1", "c"), ("u2", "d"), ("u3", "f")}
-    assert store.next_batch() == 3
+    assert store.next_batch() == 3 and store.existing_urls().count() == 3
 
 
 def test_order_is_position_not_time(spark, tmp_path):
@@ -47,35 +49,59 @@ def test_order_is_position_not_time(spark, tmp_path):
 def test_empty_batch_and_empty_store(spark, tmp_path):
     store = S.ArticleStore(spark, str(tmp_path))
     assert content(store) == set() and store.existing_urls().count() == 0 and store.next_batch() == 0
-    store.compact()
+    store = store.compact(str(tmp_path / "b"))
     store.write_articles(articles(spark, ("u", "t")).where("false"), 0)
     assert content(store) == set()
 
 
 def test_same_batch_twice(spark, tmp_path):
+    """The second time replaces the first, keys included, also where it has fewer rows."""
     store = S.ArticleStore(spark, str(tmp_path))
-    for _ in range(2):
-        store.write_articles(articles(spark, ("u1", "a"), ("u2", "b")), 5, F.col("pos"))
-    assert store.rows()[1].count() == 2
+    store.write_articles(articles(spark, *[(f"u{i}", "a") for i in range(40)]), 5, F.col("pos"))
+    store.write_articles(articles(spark, ("u1", "a"), ("u2", "b")), 5, F.col("pos"))
+    assert store.rows().count() == store.stored_keys().count() == 2 and store.batches() == [(5, "main")]
 
 
 def test_unfinished_batch_is_not_seen(spark, tmp_path):
     store = S.ArticleStore(spark, str(tmp_path))
     store.write_articles(articles(spark, ("u1", "a")), 0)
-    store.write_articles(articles(spark, ("u2", "b")), 1)
-    (tmp_path / "log" / "batch=1-main" / "_SUCCESS").unlink()
-    assert content(store) == {("u1", "a")}
+    written = next((tmp_path / "log" / "part=0-main").rglob("*.parquet"))
+    attempt = tmp_path / "log" / "part=1-main" / "_temporary" / "0" / "attempt" / "source_key=f001"
+    attempt.mkdir(parents=True)
+    (attempt / "part-0.parquet").write_bytes(written.read_bytes())
+    assert content(store) == {("u1", "a")} and store.rows().count() == 1
+
+
+def test_rows_that_tie(spark, tmp_path):
+    """One batch, no positions: the same row wins however the rows are dealt; NULL URLs are one key."""
+    rows = articles(spark, ("u", "a"), ("u", "c"), ("u", "b"), ("v", "x"), ("v", "x"), (None, "m"), (None, "n"))
+    for parts in (1, 3):
+        store = S.ArticleStore(spark, str(tmp_path / str(parts)))
+        store.write_articles(rows.repartition(parts), 0)
+        assert content(store) == {("u", "c"), ("v", "x"), (None, "n")} and store.articles().count() == 3
+
+
+@pytest.mark.parametrize("rewrites", [(), (0,), (1, 2), (0, 1, 2, 3)])
+def test_one_order_with_and_without_rewrites(spark, tmp_path, rewrites):
+    """A batch that comes late, and two writers with one id: the same row wins wherever the log is rewritten."""
+    store = S.ArticleStore(spark, str(tmp_path / "log0"))
+    batches = [(0, "a", "zero"), (6, "a", "six"), (5, "z", "late"), (6, "b", "tied")]
+    for k, (batch_id, writer, text) in enumerate(batches):
+        store.write_articles(articles(spark, ("u", text), (text, text)), batch_id, F.lit(0), writer)
+        if k in rewrites:
+            store = store.compact(str(tmp_path / f"log{k + 1}"))
+    assert content(store) == {("u", "tied"), ("zero", "zero"), ("six", "six"), ("late", "late"), ("tied", "tied")}
 
 
 def test_sources_are_apart(spark, tmp_path):
     store = S.ArticleStore(spark, str(tmp_path), folders=0)
     both = articles(spark, ("u", "1"), (None, "n"), source="a.b").union(articles(spark, ("u", "2"), source="a_b"))
     store.write_articles(both, 0, F.col("pos"))
-    assert {p.name for p in (tmp_path / "log" / "batch=0-main").iterdir() if p.is_dir()} == {"source_key=a_b"}
+    assert {p.name for p in (tmp_path / "log" / "part=0-main").iterdir() if p.is_dir()} == {"source_key=a_b"}
     assert {tuple(r) for r in store.existing_urls("a.b").collect()} == {("a.b", "u")}
     assert {tuple(r) for r in store.existing_urls().collect()} == {("a.b", "u"), ("a_b", "u")}
     plan = store.existing_urls("a.b")._jdf.queryExecution().executedPlan().toString()
-    assert "ReadSchema: struct<url:string,source:string>" in plan and "PartitionFilters: [isnotnull(source_key" in plan
+    assert "PartitionFilters: [isnotnull(bucket" in plan and "/keys" in plan and "text:string" not in plan
 
 
 def landed_pages(spark, path, n=12):
@@ -107,7 +133,7 @@ def test_stream_equals_batch_and_resumes(spark, tmp_path):
     run(spark, tmp_path, store, "c1")          # same checkpoint: nothing new
     assert store.batches() == batches
     run(spark, tmp_path, store, "c2")          # new checkpoint: all there already
-    assert store.rows()[1].count() == expected.count() and len(store.batches()) == 6
+    assert store.rows().count() == expected.count() and len(store.batches()) == 3
     landed_pages(spark, str(tmp_path / "landing"), 14)
     run(spark, tmp_path, store, "c1")
     assert {r.url for r in store.articles().collect()} >= {"https://h0.x/en/12", "https://h1.x/en/13"}
@@ -123,7 +149,7 @@ def test_other_writers_between_two_runs_of_a_stream(spark, tmp_path):
     landed_pages(spark, str(tmp_path / "landing"), 14)
     run(spark, tmp_path, store, "c1")
     assert content(store) >= before | other and len(content(store)) == len(before | other) + 2
-    store.compact()
+    store = store.compact(str(tmp_path / "rewritten"))
     seen = content(store)
     landed_pages(spark, str(tmp_path / "landing"), 15)
     run(spark, tmp_path, store, "c1")
@@ -131,17 +157,6 @@ def test_other_writers_between_two_runs_of_a_stream(spark, tmp_path):
     assert content(store) >= seen and any(u.endswith("/14") for u, _ in content(store)) == (14 % 5 != 0)
 
 
-def test_late_batch_with_an_old_id_is_seen(spark, tmp_path):
-    store = S.ArticleStore(spark, str(tmp_path))
-    store.write_articles(articles(spark, ("u1", "a")), 0)
-    store.write_articles(articles(spark, ("u2", "b")), 1, writer="w1")
-    store.compact()
-    store.write_articles(articles(spark, ("u3", "c")), 1, writer="w2")
-    assert content(store) == {("u1", "a"), ("u2", "b"), ("u3", "c")}
-    store.compact()
-    assert content(store) == {("u1", "a"), ("u2", "b"), ("u3", "c")} and store._state()[1] == []
-
-
 def test_replace_and_empty_source(spark, tmp_path):
     for folders in (0, 16):
         store = S.ArticleStore(spark, str(tmp_path / str(folders)), folders)
@@ -153,14 +168,42 @@ def test_replace_and_empty_source(spark, tmp_path):
         assert content(store) == {("u2", "c"), ("u3", "d")}
 
 
-def test_stream_compacts(spark, tmp_path):
-    landed_pages(spark, str(tmp_path / "landing"))
+def test_flushes_by_number_of_articles(spark, tmp_path):
+    """Batches of exactly so many articles across micro-batches and restarts, and the rest at the end."""
+    landing, checkpoint = str(tmp_path / "landing"), str(tmp_path / "c1")
+    landed_pages(spark, landing, 25)
     store = S.ArticleStore(spark, str(tmp_path / "store"))
-    run(spark, tmp_path, store, "c1", compact_every=2)
-    assert store.snapshot() == 1 and store.batches() == [0, 1, 2] and store.batches(after=1) == [2]
-    assert store.articles().count() == 9
-    # a batch that runs again behind a snapshot sees only what came before it
-    assert store.stored_keys(before=1).count() < store.stored_keys().count() == 9
+    store.write_articles(articles(spark, ("old", "t")), 0)
+    sizes = lambda: {r["batch_id"]: r["count"] for r in store.rows().where("writer <> 'main'").groupBy("batch_id").count().collect()}
+    run(spark, tmp_path, store, "c1", flush_every=6)
+    assert sizes() == {1: 6, 2: 6, 3: 6}                    # 20 articles, 2 are held back
+    landed_pages(spark, landing, 31)                        # 4 new ones; what is held back counts as stored
+    run(spark, tmp_path, store, "c1", flush_every=6)
+    assert sizes() == {1: 6, 2: 6, 3: 6, 4: 6}
+    landed_pages(spark, landing, 33)
+    run(spark, tmp_path, store, "c1", flush_every=6)
+    for _ in range(2):
+        flush_rest(spark, store, checkpoint)
+    assert sizes() == {1: 6, 2: 6, 3: 6, 4: 6, 5: 2} and store.articles().count() == 27
+    landed_pages(spark, landing, 34)
+    run(spark, tmp_path, store, "c1", flush_every=1)
+    assert sizes() == {1: 6, 2: 6, 3: 6, 4: 6, 5: 2, 6: 1}
+
+
+def test_a_micro_batch_that_runs_again(spark, tmp_path):
+    """What a failed attempt has stored or held back is made again, not skipped and not doubled."""
+    flushes = Flushes(spark, str(tmp_path / "c"))
+    rows = articles(spark, ("a", "1"), ("b", "2")).withColumn("round", F.lit(0).cast("long"))
+    flushes.hold(1, rows, 3)
+    flushes.hold(1, rows.where("url = 'a'"), 3)
+    assert [r["url"] for r in flushes.held(1).collect()] == ["a"] and (flushes.batches(1), flushes.last()) == (3, 1)
+    assert flushes.held(0).count() == 0 and flushes.batches(0) == 0
+
+
+def test_numbers_are_dense(spark):
+    df = spark.range(1000, numPartitions=7).select(F.floor(F.col("id") * 7919 % 1000 / 3).alias("a"), "id")
+    got = numbered(df, "a", "id").orderBy("number").collect()
+    assert [r["number"] for r in got] == list(range(1000)) and [(r["a"], r["id"]) for r in got] == sorted((r["a"], r["id"]) for r in got)
 
 
 def test_crawl_then_frontier_is_empty(spark, tmp_path):

@@ -6,8 +6,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from webcorpus.functions.text import url_netloc
-from webcorpus.operators.articles import crawl_summary, page_outcomes
-from webcorpus.operators.frontier import frontier, pending_urls
+from webcorpus.operators.articles import build_articles, crawl_summary
+from webcorpus.operators.frontier import frontier
 from webcorpus.sources.article_store import ArticleStore
 from webcorpus.sources.sitemaps import pick_sitemap, sitemap_links
 from webcorpus.sources.storage import stored
@@ -38,17 +38,23 @@ def crawl(
     sitemaps = stored(sitemap_links(bodies), "sitemaps")
     existing = store.existing_urls() if skip_existing else None
     todo = stored(frontier(roots, sitemaps, existing, max_pages), "todo")
-    # Matched before the parse.  As a stored table the list has a known size: while it is small it
-    # is broadcast and the pages are not shuffled.
-    listed = pages.join(todo, "url")
+    # Matched before the parse, on slim columns; of several fetches the last is picked there too.  As a
+    # stored table the list has a known size: while it is small it is broadcast, the pages stay in place.
     if "page_id" in pages.columns:
-        last = pages.groupBy("url").agg(F.max("page_id").alias("page_id"), F.count(F.lit(1)).alias("_n"))
-        older = pages.join(last.where(F.col("_n") > 1).drop("_n").withColumnRenamed("page_id", "_last"), "url")
-        older = older.where(F.col("page_id") < F.col("_last")).select("url", "page_id")
-        listed = listed.join(stored(older, "older"), ["url", "page_id"], "left_anti")
-    outcomes = stored(page_outcomes(listed, **options), "outcomes")
-    store.write_articles(outcomes.where(F.col("reason").isNull()), store.next_batch(), F.col("ord"), uuid.uuid4().hex)
-    missing = pending_urls(todo, pages.select("url")).select(
-        "source", F.lit("status").alias("reason"), F.lit(0).cast("bigint").alias("word_count")
-    )
-    return crawl_summary(outcomes.select("source", "reason", "word_count").unionByName(missing))
+        fetched = pages.select("url", "page_id").join(todo, "url")
+        fetched = fetched.groupBy("url", "source", "ord").agg(F.max("page_id").alias("page_id"))
+        fetched = stored(fetched, "fetched")
+        listed = pages.join(fetched, ["url", "page_id"])
+    else:
+        fetched = stored(pages.select("url").distinct().join(todo, "url"), "fetched")
+        listed = pages.join(fetched, "url")
+    number, writer = store.next_batch(), uuid.uuid4().hex
+    articles = build_articles(listed, **options)
+    store.write_articles(articles, number, F.col("ord"), writer)
+    # The report needs no second parse: what was attempted is known before it, what succeeded is in the store.
+    done = store.rows().where((F.col("batch_id") == number) & (F.col("writer") == writer))
+    done = done.select("source", "url", "word_count").dropDuplicates(["source", "url"])
+    tried = todo.select("source", F.lit("listed").alias("reason"), F.lit(0).cast("bigint").alias("word_count"))
+    found = done.select("source", F.lit(None).cast("string").alias("reason"), "word_count")
+    report = crawl_summary(tried.unionByName(found))
+    return report.withColumn("attempted", F.col("attempted") - F.col("succeeded"))

@@ -26,16 +26,28 @@ ARTICLE = T.StructType([
     T.StructField("status", T.StringType()),
 ])
 
-# One stored article: the record, its place in the append order, and its partition.
+# One stored article: the record, its place in the append order, and its partitions.
 ARTICLE_LOG = T.StructType(
     ARTICLE.fields
     + [
         T.StructField("pos", T.LongType()),
         T.StructField("batch_id", T.LongType()),
+        T.StructField("writer", T.StringType()),
+        T.StructField("part", T.StringType()),
         T.StructField("source_key", T.StringType()),
     ]
 )
 
+# The key of a stored article, with the batch it is from.
+ARTICLE_KEYS = T.StructType([
+    T.StructField("source", T.StringType()),
+    T.StructField("url", T.StringType()),
+    T.StructField("batch_id", T.LongType()),
+    T.StructField("writer", T.StringType()),
+    T.StructField("part", T.StringType()),
+    T.StructField("bucket", T.IntegerType()),
+])
+
 TRAIN_SHARD = T.StructType([
     T.StructField("id", T.StringType()),
     T.StructField("text", T.StringType()),

@@ -1,191 +1,173 @@
-"""Articles on plain parquet: an append log of batches, and snapshots of it.
+"""Articles on plain parquet: one log that batches are appended to, and a slim table of its keys.
 
-    root/log/batch=<id>-<writer>/source_key=<key>/*.parquet
-    root/snapshots/through=<id>-<n>-<unique>/source_key=<key>/*.parquet
-    root/held/through=<id>-<n>-<unique>/*.parquet      names of the batches in that snapshot
+    root/log/part=<batch>-<writer>/source_key=<key>/*.parquet
+    root/keys/part=<batch>-<writer>/bucket=<n>/*.parquet
 
-A batch is known by its id and its writer: two writers that take the same id do not touch each other's
-batch, and one that writes its batch again replaces it.  A batch or snapshot counts once its write has
-committed (``_SUCCESS``), so readers never see half of one.  A snapshot names the batches it holds;
-every other committed batch, whatever its id, is read from the log and counts as newer.
+Both are read as a whole, by partition discovery.  The row of a (source, url) that counts is the last by
+(batch_id, writer, pos), whenever it was written and whether or not the log was rewritten in between.  A
+batch shows up when its write commits; a batch that its writer writes again is replaced.
 """
 
-import uuid
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from webcorpus.functions.text import source_key
-from webcorpus.schemas import ARTICLE, ARTICLE_LOG
-from webcorpus.sources.storage import child_dirs, stored
+from webcorpus.schemas import ARTICLE, ARTICLE_KEYS, ARTICLE_LOG
+from webcorpus.sources.storage import stored
 
 KEYS = ("source", "url")
-ORDER = ("batch_id", "pos")
+ORDER = ("batch_id", "writer", "pos")
 
 
 def append_articles(old: DataFrame, new: DataFrame) -> DataFrame:
-    """Old rows and new rows, aligned by column name; their order is in ``batch_id`` and ``pos``."""
+    """Old rows and new rows, aligned by column name; their order is in their ``ORDER`` columns."""
     return old.unionByName(new)
 
 
+def same_key(a: DataFrame, b: DataFrame, columns) -> Column:
+    """Equality of columns; NULL equals NULL."""
+    return reduce(lambda x, y: x & y, [a[c].eqNullSafe(b[c]) for c in columns])
+
+
 def latest_articles(log: DataFrame, keys=KEYS, order=ORDER) -> DataFrame:
-    """One row per key, the last appended.
+    """One row per key, the last by ``order``, as far as the log has these columns; rows that tie are compared whole.
 
-    Rows are combined before the shuffle, so a key with very many rows does no harm.
+    A pass over keys and order alone finds the keys that repeat and their last places, and writes them
+    down, so that their number is known: while they are few, rows of other keys are not shuffled, and of
+    the repeated ones only the last are picked.
     """
-    return (
-        log.groupBy(*[F.col(k).alias(f"_{k}") for k in keys])
-        .agg(F.max_by(F.struct(*log.columns), F.struct(*order)).alias("r"))
-        .select("r.*")
-    )
+    order = [c for c in order if c in log.columns]
+    last = log.groupBy(*keys).agg(F.max(F.struct(*order)).alias("last"), F.count(F.lit(1)).alias("n"))
+    last = stored(last.where("n > 1").select(*keys, *[f"last.{c}" for c in order]), "repeated")
+    single = log.join(last, same_key(log, last, keys), "left_anti")
+    newest = log.join(last, same_key(log, last, [*keys, *order]), "left_semi")
+    ties = newest.groupBy(*[F.col(k).alias(f"_{k}") for k in keys]).agg(F.max(F.struct(*log.columns)).alias("r"))
+    return single.unionByName(ties.select("r.*"))
 
 
-def latest_stored(log: DataFrame, keys=KEYS, order=ORDER) -> DataFrame:
-    """``latest_articles`` for a log that is a stored table with few repeats.
+def upsert_articles(old: DataFrame, new: DataFrame, keys=KEYS, order=ORDER) -> DataFrame:
+    """Old and new rows as one table: the last row of each key, wherever it comes from."""
+    return latest_articles(append_articles(old, new), keys, order)
 
-    A pass over the keys finds the repeated ones; they are written down, so that their size is
-    known.  While it is small, only the rows of those keys are shuffled.
-    """
-    repeated = log.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > 1)
-    repeated = stored(repeated.select(*keys), "repeated")
-    single = log.join(repeated, list(keys), "left_anti").select(*log.columns)
-    several = log.join(repeated, list(keys), "left_semi").select(*log.columns)
-    return single.unionByName(latest_articles(several, keys, order))
 
+class ArticleStore:
+    """``folders``: hashed folders in a batch, 0 gives each source a folder; ``buckets``: parts of the keys."""
 
-def upsert_articles(
-    old: DataFrame, new: DataFrame, keys=KEYS, order=ORDER, latest=latest_articles
-) -> DataFrame:
-    """Old rows that no new row replaces, and the last new row of each key.
+    def __init__(self, spark: SparkSession, root: str, folders: int = 16, buckets: int = 64):
+        self.spark, self.root, self.folders, self.buckets = spark, root.rstrip("/"), folders, buckets
+        for name, schema in (("log", ARTICLE_LOG), ("keys", ARTICLE_KEYS)):
+            spark.createDataFrame([], schema).write.mode("ignore").parquet(f"{self.root}/{name}")
 
-    ``old`` must hold one row per key.  Only the keys of ``new`` are matched against it, so while
-    they are small by the planner's figures the old texts are not shuffled at all.
-    """
-    kept = old.join(new.select(*keys).distinct(), list(keys), "left_anti").select(*old.columns)
-    return kept.unionByName(latest(new, keys, order).select(*old.columns))
+    def _read(self, name, schema, part=None):
+        reader = self.spark.read.schema(schema).option("basePath", f"{self.root}/{name}")
+        return reader.parquet(f"{self.root}/{name}" + (f"/part={part}" if part else ""))
 
+    def rows(self) -> DataFrame:
+        """Every row that was ever appended."""
+        return self._read("log", ARTICLE_LOG)
 
-class ArticleStore:
-    """``folders``: hashed folders in a batch; 0 gives each source a folder, for a handful of sources."""
+    def batches(self) -> list:
+        """(batch_id, writer) of all batches with rows, in order."""
+        return sorted(tuple(r) for r in self.rows().select("batch_id", "writer").distinct().collect())
 
-    def __init__(self, spark: SparkSession, root: str, folders: int = 16):
-        self.spark, self.root, self.folders = spark, root.rstrip("/"), folders
+    def next_batch(self) -> int:
+        """One more than the last batch; only the small column of batches is read."""
+        last = self.rows().agg(F.max("batch_id")).first()[0]
+        return 0 if last is None else last + 1
 
-    def _names(self, folder, start):
-        names = child_dirs(self.spark, f"{self.root}/{folder}", lambda n: n.startswith(start))
-        return sorted((int(n[len(start):].split("-", 1)[0]), n) for n in names)
+    # --- writing -----------------------------------------------------------------------------
 
-    def log_names(self) -> list:
-        """(id, folder) of every committed batch, in order."""
-        return self._names("log", "batch=")
+    def _placed(self, articles, batch_id, pos, writer):
+        """Articles as rows of the log."""
+        return articles.select(
+            *[articles[f.name].cast(f.dataType).alias(f.name) for f in ARTICLE.fields],
+            (F.lit(0) if pos is None else pos).cast("bigint").alias("pos"),
+            batch_id.cast("bigint").alias("batch_id"), F.lit(writer).alias("writer"),
+        )
 
-    def batches(self, after: int = -1) -> list:
-        return [i for i, _ in self.log_names() if i > after]
+    def _folder(self, source) -> Column:
+        """Folder of a source: one of a fixed number, or one of its own."""
+        if self.folders:
+            return F.format_string("f%03d", F.pmod(F.xxhash64(source), F.lit(self.folders)))
+        return F.coalesce(F.nullif(source_key(source), F.lit("")), F.lit("_"))
 
-    def _snapshots(self):
-        """(last id, folder) of the snapshots in the order they were made."""
-        return sorted(self._names("snapshots", "through="), key=lambda s: s[1].split("-")[1])
+    def _bucket(self, source) -> Column:
+        return F.pmod(F.xxhash64(source), F.lit(self.buckets)).cast("int")
 
-    def snapshot(self):
-        """Last batch id in the newest snapshot, None without one."""
-        return next((i for i, _ in reversed(self._snapshots())), None)
+    def _save(self, rows, path, *columns, mode="overwrite", partition_mode="static"):
+        """zstd parquet in folders; the rebalance hint splits folders with most rows, and lets small ones share a task."""
+        rows = rows.hint("rebalance", *columns)
+        rows.write.mode(mode).option("compression", "zstd").option("partitionOverwriteMode", partition_mode).partitionBy(
+            *columns
+        ).parquet(path)
 
-    def next_batch(self) -> int:
-        return max([i for i, _ in self.log_names() + self._snapshots()], default=-1) + 1
+    def _keyed(self, rows):
+        keys = rows.where(F.col("url").isNotNull()).select(*KEYS, "batch_id", "writer", "part").distinct()
+        return keys.withColumn("bucket", self._bucket(F.col("source")))
 
     def write_articles(
         self, articles: DataFrame, batch_id: int, pos: Column = None, writer: str = "main", append: bool = True
     ) -> None:
-        """Write one batch, zstd parquet; the same id by the same writer replaces it.
+        """Write one batch; the same id by the same writer replaces it.
 
         ``pos`` orders repeats of a URL within the batch.  With ``append=False`` the table is only these
-        rows afterwards: a snapshot of them that holds all batches so far.  The rebalance hint evens
-        out file sizes: a folder with most of the rows is split over many files, small ones share a task.
+        rows afterwards.  The texts are written once; the keys are taken from what was written.
         """
-        rows = articles.select(
-            *[articles[f.name].cast(f.dataType).alias(f.name) for f in ARTICLE.fields],
-            F.lit(batch_id).cast("bigint").alias("batch_id"),
-            (F.lit(0) if pos is None else pos).cast("bigint").alias("pos"),
-        )
+        part = f"{batch_id}-{writer}"
+        rows = self._placed(articles, F.lit(batch_id), pos, writer).withColumn("source_key", self._folder(F.col("source")))
         if append:
-            self._write(rows, f"{self.root}/log/batch={batch_id}-{writer}")
+            self._save(rows, f"{self.root}/log/part={part}", "source_key")
+            keys = self._keyed(self._read("log", ARTICLE_LOG, part)).drop("part")
+            self._save(keys, f"{self.root}/keys/part={part}", "bucket")
         else:
-            self._snapshot(latest_articles(rows), batch_id, [n for _, n in self.log_names()])
+            self._save(rows.withColumn("part", F.lit(part)), f"{self.root}/log", "part", "source_key")
+            self._save(self._keyed(self.rows()), f"{self.root}/keys", "part", "bucket")
 
-    def _folder(self, source) -> Column:
-        """Folder of a source: one of a fixed number, or one of its own."""
-        if self.folders:
-            return F.format_string("f%03d", F.pmod(F.xxhash64(source), F.lit(self.folders)))
-        return F.coalesce(F.nullif(source_key(source), F.lit("")), F.lit("_"))
+    def write_batches(self, articles: DataFrame, batch_id: Column, pos: Column, writer: str) -> None:
+        """Write several batches at once, whose ids are a column; each of them replaces the one with its id and writer.
 
-    def _write(self, rows, path):
-        rows = rows.withColumn("source_key", self._folder(F.col("source")))
-        rows.hint("rebalance", "source_key").write.mode("overwrite").option(
-            "compression", "zstd"
-        ).partitionBy("source_key").parquet(path)
-
-    def _snapshot(self, rows, through, held):
-        name = f"through={through}-{len(self._snapshots()):09d}-{uuid.uuid4().hex}"
-        names = self.spark.createDataFrame([(n,) for n in held], "name string")
-        names.coalesce(1).write.parquet(f"{self.root}/held/{name}")
-        self._write(rows, f"{self.root}/snapshots/{name}")
-
-    def _held(self, name):
-        rows = self.spark.read.schema("name string").parquet(f"{self.root}/held/{name}").collect()
-        return {r["name"] for r in rows}
-
-    def _read(self, folder, names):
-        if not names:
-            return self.spark.createDataFrame([], ARTICLE_LOG)
-        base = f"{self.root}/{folder}"
-        reader = self.spark.read.schema(ARTICLE_LOG).option("basePath", base)
-        return reader.parquet(*[f"{base}/{n}" for n in names]).select(*ARTICLE_LOG.names)
-
-    def _state(self, before=None):
-        """(newest snapshot or None, the committed batches it does not hold), before the given id."""
-        log = [(i, n) for i, n in self.log_names() if before is None or i < before]
-        for i, name in reversed(self._snapshots()):
-            if before is None or i < before:
-                held = self._held(name)
-                return name, [n for _, n in log if n not in held]
-        return None, [n for _, n in log]
-
-    def rows(self, before: int = None):
-        """(snapshot rows or None, log rows it does not hold), as far as batches before the given one."""
-        name, log = self._state(before)
-        old = None if name is None else self._read("snapshots", [name])
-        return old, self._read("log", log)
-
-    def articles(self, latest=latest_stored) -> DataFrame:
-        """The current table: the last appended row of each (source, url).
-
-        The default looks at the keys first and moves only the texts of repeated ones.
+        ``articles`` should be a stored table, so that a second run writes the same rows to the same places.
         """
-        old, new = self.rows()
-        return latest(new) if old is None else upsert_articles(old, new, latest=latest)
+        rows = self._placed(articles, batch_id, pos, writer).withColumns({
+            "source_key": self._folder(F.col("source")), "part": F.concat(F.col("batch_id"), F.lit("-"), F.col("writer")),
+        })
+        self._save(rows, f"{self.root}/log", "part", "source_key", partition_mode="dynamic")
+        self._save(self._keyed(rows), f"{self.root}/keys", "part", "bucket", partition_mode="dynamic")
+
+    def compact(self, root: str) -> "ArticleStore":
+        """The current table as a store of its own, in few files; the rows keep their places in the order.
+
+        Batches that come late may be written to the new store: the same rows win as in the old one.
+        """
+        new = ArticleStore(self.spark, root, self.folders, self.buckets)
+        rows = self.articles().withColumns({"source_key": self._folder(F.col("source")), "part": F.lit("compact")})
+        self._save(rows, f"{new.root}/log", "part", "source_key")
+        self._save(new._keyed(new.rows()), f"{new.root}/keys", "part", "bucket")
+        return new
+
+    # --- reading -----------------------------------------------------------------------------
+
+    def articles(self) -> DataFrame:
+        """The current table: the last appended row of each (source, url)."""
+        return latest_articles(self.rows())
 
-    def stored_keys(self, source: str = None, before: int = None) -> DataFrame:
-        """(source, url) of every stored row, NULL URLs and repeats included.
+    def stored_keys(self, source: str = None, of: DataFrame = None) -> DataFrame:
+        """(source, url, batch_id, writer) of stored rows that have a URL.
 
-        No other column is read, and only one source's folder where a source is given.
+        Only the slim key table is read, and of it one bucket where a ``source`` is given, or the buckets
+        of the sources in ``of``, whose (source, url) it is then cut down to.
         """
-        old, new = self.rows(before)
+        keys = self._read("keys", ARTICLE_KEYS)
         if source is not None:
-            # The folder name lets partitions be pruned; the name itself decides.
-            match = (F.col("source_key") == self._folder(F.lit(source))) & (F.col("source") == source)
-            old, new = old if old is None else old.where(match), new.where(match)
-        return new.select(*KEYS) if old is None else old.select(*KEYS).unionByName(new.select(*KEYS))
-
-    def existing_urls(self, source: str = None, before: int = None) -> DataFrame:
-        """(source, url) stored, each once, NULL URLs dropped."""
-        return self.stored_keys(source, before).where(F.col("url").isNotNull()).distinct()
-
-    def compact(self) -> None:
-        """Write the current table as a new snapshot; readers move over when it has committed."""
-        name, log = self._state()
-        if log:
-            held = {*log, *(() if name is None else self._held(name))}
-            old, new = (None if name is None else self._read("snapshots", [name])), self._read("log", log)
-            rows = latest_stored(new) if old is None else upsert_articles(old, new, latest=latest_stored)
-            last = max(i for i, n in self.log_names() if n in held)
-            self._snapshot(rows.select(*ARTICLE_LOG.names), last, sorted(held))
+            keys = keys.where((F.col("bucket") == self._bucket(F.lit(source))) & (F.col("source") == source))
+        if of is not None:
+            wanted = of.select(self._bucket(F.col("source")).alias("bucket")).distinct()
+            buckets = sorted(r["bucket"] for r in wanted.collect() if r["bucket"] is not None)   # `buckets` at most
+            keys = keys.where(F.col("bucket").isin(buckets)).join(of.select(*KEYS), list(KEYS), "left_semi")
+        return keys.select(*KEYS, "batch_id", "writer")
+
+    def existing_urls(self, source: str = None, of: DataFrame = None) -> DataFrame:
+        """(source, url) stored, each once."""
+        return self.stored_keys(source, of).select(*KEYS).distinct()

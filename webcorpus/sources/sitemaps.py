@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from webcorpus.functions.text import is_sitemap_link, strip_ws, url_netloc, url_scheme
+from webcorpus.sources.storage import stored
 
 SITEMAP = T.StructType([
     T.StructField("status", T.StringType()), T.StructField("locs", T.ArrayType(T.StringType())),
@@ -104,16 +105,20 @@ def sitemap_links(bodies: DataFrame) -> DataFrame:
         F.transform("locs", lambda x, i: F.struct(i.alias("pos"), strip_ws(x).alias("loc"))),
         lambda x: x["loc"] != "",
     )
-    clean = parsed_sitemaps(bodies).where(F.col("reason").isNull()).select("sitemap_url", locs.alias("l"))
-    lists = clean.select(
+    lists = parsed_sitemaps(bodies).where(F.col("reason").isNull()).select("sitemap_url", locs.alias("l"))
+    sized = lists.select(
         "sitemap_url",
         F.transform(F.filter("l", lambda x: ~is_sitemap_link(x["loc"])), lambda x: x["loc"]).alias("urls"),
         F.filter("l", lambda x: is_sitemap_link(x["loc"])).alias("children"),
-    )
-    sized = lists.select("sitemap_url", F.size("urls").cast("bigint").alias("n_urls"), "urls", "children")
-    # A sitemap delivered several times counts once, with its longest list.
+    ).select("sitemap_url", F.size("urls").cast("bigint").alias("n_urls"), "urls", "children")
+    # A sitemap delivered several times counts once, with its longest list.  Which ones those are is seen
+    # from the names alone, so that the lists of all others stay where they are.
+    again = bodies.groupBy("sitemap_url").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("sitemap_url")
+    again = stored(again, "again")
+    once = sized.join(again, "sitemap_url", "left_anti")
     row = F.struct("n_urls", "urls", "children")
-    return sized.groupBy("sitemap_url").agg(F.max_by(row, row).alias("r")).select("sitemap_url", "r.*")
+    several = sized.join(again, "sitemap_url", "left_semi").groupBy("sitemap_url").agg(F.max(row).alias("r"))
+    return once.unionByName(several.select("sitemap_url", "r.*"))
 
 
 def reject_bad_sitemaps(bodies: DataFrame) -> DataFrame:

@@ -3,7 +3,8 @@
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -38,19 +39,17 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def path_exists(spark: SparkSession, path: str) -> bool:
-    hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).exists(hadoop)
-
-
-def child_dirs(spark: SparkSession, path: str, keep=lambda name: True) -> list:
-    """Names of a folder's folders that hold a finished write; only those to keep are looked into."""
-    jvm = spark._jvm
-    hadoop = jvm.org.apache.hadoop.fs.Path(path)
-    fs = hadoop.getFileSystem(spark._jsc.hadoopConfiguration())
-    if not fs.exists(hadoop):
-        return []
-    names = [s.getPath().getName() for s in fs.listStatus(hadoop) if s.isDirectory()]
-    return [
-        n for n in names if keep(n) and fs.exists(jvm.org.apache.hadoop.fs.Path(f"{path}/{n}/_SUCCESS"))
-    ]
+def numbered(df: DataFrame, *order: str, name: str = "number") -> DataFrame:
+    """A stored copy with the place of each row in the order, from 0.
+
+    Rows are dealt by ranges of the order and ranked within; a range's first number is the sum of the
+    sizes before it, so no task sees more than a range.
+    """
+    ranged = df.repartitionByRange(*order).withColumn("_range", F.spark_partition_id())
+    rows = stored(ranged, name)
+    before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    sizes = rows.groupBy("_range").agg(F.count(F.lit(1)).alias("_n"))
+    first = sizes.select("_range", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_first"))
+    place = F.row_number().over(Window.partitionBy("_range").orderBy(*order)) - 1
+    placed = rows.withColumn("_place", place).join(first, "_range")
+    return placed.withColumn(name, F.col("_first") + F.col("_place")).drop("_range", "_place", "_first")
