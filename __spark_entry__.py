@@ -156,6 +156,33 @@ def sitemap_locs(spark, sf):
     )
 
 
+def image_bodies(spark, sf):
+    """Each host's sitemaps with an image in every entry, in front of the page's own loc."""
+    links = site_links(spark, sf).where(F.col("sitemap_url").contains(T.url_netloc("url")))
+    image = F.concat(F.lit("<image:image><image:loc>"), xml_escape(F.concat("url", F.lit("#1.png"))), F.lit("</image:loc></image:image>"))
+    item = F.concat(F.lit("<url>"), image, F.lit("<loc> "), xml_escape(F.col("url")), F.lit("\n</loc></url>"))
+    maps = links.groupBy("sitemap_url").agg(F.array_sort(F.collect_list(F.struct("page_id", item.alias("item")))).alias("l"))
+    head = (
+        '<urlset xmlns="http://www.sitemaps.org/schemas/sitemap/0.9" '
+        'xmlns:image="http://www.google.com/schemas/sitemap-image/1.1">'
+    )
+    body = F.concat(F.lit(head), F.array_join("l.item", ""), F.lit("</urlset>"))
+    return maps.select("sitemap_url", F.lit(200).alias("status"), F.encode(body, "UTF-8").alias("body"))
+
+
+def sitemap_page_locs(spark, sf):
+    """Image links left out by where they stand."""
+    return M.sitemap_locs(image_bodies(spark, sf), M.PAGE_PATHS).select(
+        "sitemap_url", F.col("pos").cast("bigint").alias("pos"), "loc", "is_sitemap"
+    )
+
+
+def image_links(spark, sf):
+    return M.image_links(image_bodies(spark, sf)).select(
+        "sitemap_url", F.col("pos").cast("bigint").alias("pos"), "page", "loc"
+    )
+
+
 def reject_bad_sitemaps(spark, sf):
     html = pages(spark, sf).select(
         F.col("url").alias("sitemap_url"), F.lit(200).alias("status"), F.encode("html", "UTF-8").alias("body")
@@ -700,6 +727,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     """Every operator as a query."""
     return training_data()[0] | {
         "sitemap_locs": sitemap_locs,
+        "sitemap_page_locs": sitemap_page_locs,
+        "image_links": image_links,
         "reject_bad_sitemaps": reject_bad_sitemaps,
         "robots_sitemaps": robots_sitemaps,
         "pick_sitemap": pick_sitemap,

@@ -192,3 +192,24 @@ def test_read_sitemap_files(spark, tmp_path):
 def test_generated_sitemaps_read_back(spark):
     urls = [f"https://a/{i}?x=1&amp;y={i}" for i in range(300)]
     assert locs(spark, urlset(*urls)) == [u.replace("&amp;", "&") for u in urls]
+
+
+def test_paths_of_locs(spark):
+    """Locs by where they stand; an image knows its page, which may come after it."""
+    body = b"""<urlset xmlns="s" xmlns:image="i"><url><image:image><image:loc>i1</image:loc></image:image><loc>p1</loc></url>
+      <url><loc>p<!-- c -->2</loc><image:image><image:loc> i2 </image:loc><image:loc>i3<b/>x</image:loc></image:image></url>
+      <loc>top</loc><url><loc/><image:image><image:loc>i4</image:loc></image:image></url><url><loc><loc>in</loc>x</loc></url></urlset>"""
+    made = bodies(spark, [("s.xml", body)])
+    names = lambda df: [r.loc for r in df.orderBy("pos").collect()]
+    assert names(M.sitemap_locs(made)) == ["i1", "p1", "p", "i2", "i3", "top", "i4", "in"]
+    assert names(M.sitemap_locs(made, M.PAGE_PATHS)) == ["p1", "p"]
+    images = M.image_links(made).orderBy("pos").collect()
+    assert [(r.page, r.loc) for r in images] == [("p1", "i1"), ("p", "i2"), ("p", "i3"), (None, "i4")]
+    assert M.sitemap_links(made, M.PAGE_PATHS).first()["urls"] == ["p1", "p"]
+
+
+def test_sitemaps_delivered_twice(spark):
+    """The longest list counts; sitemaps that come once are not shuffled."""
+    made = bodies(spark, [("a.xml", urlset("p1")), ("a.xml", urlset("p2", "p3", "c.xml")), ("b.xml", urlset("p4")), ("a.xml", b"<bad")])
+    got = {r.sitemap_url: (r.n_urls, r.urls) for r in M.sitemap_links(made).collect()}
+    assert got == {"a.xml": (2, ["p2", "p3"]), "b.xml": (1, ["p4"])}

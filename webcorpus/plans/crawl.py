@@ -21,13 +21,15 @@ def crawl(
     store: ArticleStore,
     max_pages: int = 0,
     skip_existing: bool = True,
+    paths: tuple = None,
     **options,
 ) -> DataFrame:
     """Store the articles of all listed, not yet stored pages; return the summary per source.
 
     ``sites`` has ``base_url``: a sitemap, or a site whose sitemap is looked up.  A listed page
     that was not fetched counts as attempted.  A page belongs to the host of the base URL it was found
-    from, wherever its sitemap lies.  Of several fetches of a page the last by ``page_id`` counts.
+    from, wherever its sitemap lies.  Of several fetches of a page the last by ``page_id`` counts.  With ``paths`` (``sitemaps.PAGE_PATHS``)
+    image links are not taken for pages.
     """
     roots = (
         pick_sitemap(sites, robots, bodies)
@@ -35,7 +37,7 @@ def crawl(
         .select(F.col("sitemap_url").alias("root"), url_netloc("base_url").alias("source"))
         .distinct()
     )
-    sitemaps = stored(sitemap_links(bodies), "sitemaps")
+    sitemaps = stored(sitemap_links(bodies, paths), "sitemaps")
     existing = store.existing_urls() if skip_existing else None
     todo = stored(frontier(roots, sitemaps, existing, max_pages), "todo")
     # Matched before the parse, on slim columns; of several fetches the last is picked there too.  As a

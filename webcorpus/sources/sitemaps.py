@@ -2,7 +2,7 @@
 
 import gzip
 import zlib
-from xml.etree.ElementTree import ParseError, TreeBuilder, XMLParser
+from xml.etree.ElementTree import ParseError, XMLParser
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -13,8 +13,12 @@ from webcorpus.functions.text import is_sitemap_link, strip_ws, url_netloc, url_
 from webcorpus.sources.storage import stored
 
 SITEMAP = T.StructType([
-    T.StructField("status", T.StringType()), T.StructField("locs", T.ArrayType(T.StringType())),
+    T.StructField("status", T.StringType()),
+    *[T.StructField(c, T.ArrayType(T.StringType())) for c in ("locs", "paths", "pages")],
 ])
+# Where the locs of pages and of further sitemaps stand, and those of images.
+PAGE_PATHS = ("urlset/url", "sitemapindex/sitemap")
+IMAGE_PATHS = ("urlset/url/image",)
 # Where a sitemap is looked for, in this order.
 SITEMAP_PATHS = (
     "/sitemap.xml", "/sitemap_index.xml", "/sitemap-index.xml", "/news-sitemap.xml",
@@ -34,17 +38,53 @@ def _inflate(body):
     return gzip.decompress(body) if body[:2] == b"\x1f\x8b" else body
 
 
-def _loc_texts(body):
-    """Texts of all elements whose local name is loc, in document order."""
-    # Comments become nodes, so an element's text ends at the first of them.
-    parser = XMLParser(target=TreeBuilder(insert_comments=True, insert_pis=True))
-    parser.feed(body)
-    root = parser.close()
-    return [
-        el.text
-        for el in root.iter()
-        if isinstance(el.tag, str) and el.tag.rsplit("}", 1)[-1] == "loc" and el.text
-    ]
+class LocReader:
+    """Target of an XML parser: the texts of all elements whose local name is loc, in document order.
+
+    Each comes with its path, the local names above it, and with the loc of the entry (the child of the
+    root) that it lies deeper in.  An element's text ends at its first child, comment or instruction.
+    """
+
+    def __init__(self):
+        self.open, self.found, self.page = [], [], None   # open: [name, text or None, place among the found]
+
+    def start(self, tag, attrs):
+        self._cut()
+        name = tag.rsplit("}", 1)[-1]
+        if len(self.open) == 1:
+            self.page = [None]     # shared by all locs of the entry, which may stand before its own
+        self.open.append([name, [] if name == "loc" else None, len(self.found)])
+        if name == "loc":
+            self.found.append(None)
+
+    def data(self, text):
+        if self.open and isinstance(self.open[-1][1], list):
+            self.open[-1][1].append(text)
+
+    def _cut(self):
+        """No more text for the element that is open."""
+        if self.open and isinstance(self.open[-1][1], list):
+            self.open[-1][1] = tuple(self.open[-1][1])
+
+    def comment(self, text):
+        self._cut()
+
+    def pi(self, target, text=None):
+        self._cut()
+
+    def end(self, tag):
+        name, text, place = self.open.pop()
+        if name == "loc" and text:
+            path = [o[0] for o in self.open]
+            text = "".join(text)
+            if len(path) == 2 and self.page[0] is None:
+                self.page[0] = text
+            self.found[place] = (text, "/".join(path), self.page if len(path) > 2 else [None])
+
+    def close(self):
+        """(texts, paths, locs of their entries)."""
+        rows = [f for f in self.found if f is not None]
+        return [r[0] for r in rows], [r[1] for r in rows], [r[2][0] for r in rows]
 
 
 @F.pandas_udf(SITEMAP)
@@ -55,14 +95,16 @@ def _parse_sitemap(bodies: pd.Series) -> pd.DataFrame:
             body = _inflate(bytes(body))
             head = body[:500].lower()
             if b"<!doctype html" in head or b"<html" in head:
-                rows.append(("html", None))
+                rows.append(("html", None, None, None))
             else:
-                rows.append(("ok", _loc_texts(body)))
+                parser = XMLParser(target=LocReader())
+                parser.feed(body)
+                rows.append(("ok", *parser.close()))
         except ParseError:
-            rows.append(("malformed", None))
+            rows.append(("malformed", None, None, None))
         except (OSError, EOFError, zlib.error, ValueError, LookupError):
-            rows.append(("unreadable", None))
-    return pd.DataFrame(rows, columns=["status", "locs"])
+            rows.append(("unreadable", None, None, None))
+    return pd.DataFrame(rows, columns=["status", "locs", "paths", "pages"])
 
 
 def _looks_like_html(body) -> Column:
@@ -71,11 +113,13 @@ def _looks_like_html(body) -> Column:
     return head.contains("<!doctype html") | head.contains("<html")
 
 
-def parsed_sitemaps(bodies: DataFrame) -> DataFrame:
-    """One row per body: ``reason`` it was rejected (NULL if not) and its ``locs`` in order.
+def parsed_sitemaps(bodies: DataFrame, paths=None) -> DataFrame:
+    """One row per body: ``reason`` it was rejected (NULL if not) and its ``locs`` in order, with their
+    ``paths`` and the ``pages`` whose entries they lie in.
 
     Rejected are bodies not fetched ('status'), empty ones, HTML pages, and what is no XML.  Only
-    bodies that pass the first tests are handed to the XML reader.
+    bodies that pass the first tests are handed to the XML reader.  All locs count, those of images too,
+    unless ``paths`` says where they must stand (``PAGE_PATHS``).
     """
     body = F.col("body")
     early = (
@@ -90,12 +134,16 @@ def parsed_sitemaps(bodies: DataFrame) -> DataFrame:
         _parse_sitemap(F.when(F.col("_early").isNull(), body).otherwise(F.lit(b""))).alias("p"),
     )
     reason = F.coalesce("_early", F.nullif("p.status", F.lit("ok")))
-    return parsed.select(
-        "sitemap_url", reason.alias("reason"), F.when(reason.isNull(), F.col("p.locs")).alias("locs")
-    )
+    done = parsed.select("sitemap_url", reason.alias("reason"), F.when(reason.isNull(), F.col("p")).alias("p"))
+    lists = ("locs", "paths", "pages")
+    if paths is None:
+        return done.select("sitemap_url", "reason", *[f"p.{c}" for c in lists])
+    rows = F.filter(F.arrays_zip(*[F.col(f"p.{c}") for c in lists]), lambda x: x["paths"].isin(*paths))
+    kept = done.withColumn("p", rows)
+    return kept.select("sitemap_url", "reason", *[F.col(f"p.{c}") for c in lists])
 
 
-def sitemap_links(bodies: DataFrame) -> DataFrame:
+def sitemap_links(bodies: DataFrame, paths=None) -> DataFrame:
     """(sitemap_url, n_urls, urls, children): each sitemap's page links, and its sitemap links with
     their position.
 
@@ -105,7 +153,7 @@ def sitemap_links(bodies: DataFrame) -> DataFrame:
         F.transform("locs", lambda x, i: F.struct(i.alias("pos"), strip_ws(x).alias("loc"))),
         lambda x: x["loc"] != "",
     )
-    lists = parsed_sitemaps(bodies).where(F.col("reason").isNull()).select("sitemap_url", locs.alias("l"))
+    lists = parsed_sitemaps(bodies, paths).where(F.col("reason").isNull()).select("sitemap_url", locs.alias("l"))
     sized = lists.select(
         "sitemap_url",
         F.transform(F.filter("l", lambda x: ~is_sitemap_link(x["loc"])), lambda x: x["loc"]).alias("urls"),
@@ -126,12 +174,20 @@ def reject_bad_sitemaps(bodies: DataFrame) -> DataFrame:
     return parsed_sitemaps(bodies).where(F.col("reason").isNotNull()).select("sitemap_url", "reason")
 
 
-def sitemap_locs(bodies: DataFrame) -> DataFrame:
-    """(sitemap_url, pos, loc, is_sitemap), cleaned, in document order."""
-    raw = parsed_sitemaps(bodies).select("sitemap_url", F.posexplode("locs").alias("pos", "loc"))
+def sitemap_locs(bodies: DataFrame, paths=None) -> DataFrame:
+    """(sitemap_url, pos, loc, is_sitemap), cleaned, in document order; ``paths`` as in ``parsed_sitemaps``."""
+    raw = parsed_sitemaps(bodies, paths).select("sitemap_url", F.posexplode("locs").alias("pos", "loc"))
     return raw.transform(clean_locs).transform(split_locs)
 
 
+def image_links(bodies: DataFrame, paths=IMAGE_PATHS) -> DataFrame:
+    """(sitemap_url, pos, page, loc): links that lie in a page's entry, such as its images, with that page."""
+    lists = parsed_sitemaps(bodies, paths).select("sitemap_url", F.arrays_zip("locs", "pages").alias("l"))
+    rows = lists.select("sitemap_url", F.posexplode("l").alias("pos", "l"))
+    links = rows.select("sitemap_url", "pos", strip_ws("l.pages").alias("page"), F.col("l.locs").alias("loc"))
+    return links.transform(clean_locs)
+
+
 def clean_locs(locs: DataFrame) -> DataFrame:
     """Strip each loc and drop blank ones."""
     return locs.withColumn("loc", strip_ws("loc")).where(F.col("loc") != "")
