@@ -1,7 +1,10 @@
 import gzip
+import random
 
+import pytest
 
 from webcorpus.operators import frontier as R
+from webcorpus.operators.schedule import worker_schedule
 from webcorpus.sources import sitemaps as M
 
 NS = 'xmlns="http://www.sitemaps.org/schemas/sitemap/0.9" xmlns:image="http://www.google.com/schemas/sitemap-image/1.1"'
@@ -213,3 +216,33 @@ def test_sitemaps_delivered_twice(spark):
     made = bodies(spark, [("a.xml", urlset("p1")), ("a.xml", urlset("p2", "p3", "c.xml")), ("b.xml", urlset("p4")), ("a.xml", b"<bad")])
     got = {r.sitemap_url: (r.n_urls, r.urls) for r in M.sitemap_links(made).collect()}
     assert got == {"a.xml": (2, ["p2", "p3"]), "b.xml": (1, ["p4"])}
+
+
+def simulated(rows, n_workers, duration, spacing):
+    """One request after the other, as the workers would take them; times in microseconds."""
+    out = {}
+    for root in {r[1] for r in rows}:
+        free, hosts = [0] * n_workers, {}
+        for i, (url, _, _) in enumerate(sorted((r for r in rows if r[1] == root), key=lambda r: (r[2], r[0]))):
+            host = url.split("/")[2]
+            start = max(free[i % n_workers], hosts.get(host, 0))
+            free[i % n_workers], hosts[host] = start + duration, start + spacing
+            out[root, url] = (i, i % n_workers, start / 1e6)
+    return out
+
+
+@pytest.mark.parametrize("n_workers, duration, spacing, block, hosts", [(3, 0.25, 0.6, 50, 4), (1, 1.0, 0.0, 7, 100), (20, 0.0, 0.1, 1000, 1), (4, 0.3, 0.7, 3, 2)])
+def test_workers_share_a_list(spark, n_workers, duration, spacing, block, hosts):
+    rng = random.Random(n_workers)
+    rows = [(f"https://h{int(rng.expovariate(0.3))}/{i}", rng.choice(["a", "b", None]), rng.randrange(400) * 3) for i in range(700)]
+    rows += [(f"https://hot/{i}", "a", i) for i in range(300)]
+    urls = spark.createDataFrame(rows, "url string, root string, ord bigint")
+    got = worker_schedule(urls, n_workers, duration, spacing, block=block, hosts=hosts).collect()
+    want = simulated(rows, n_workers, round(duration * 1e6), round(spacing * 1e6))
+    assert len(got) == len(rows) and {(r.root, r.url): (r.number, r.worker, r.start_offset) for r in got} == want
+
+
+def test_workers_of_nothing(spark):
+    assert worker_schedule(spark.createDataFrame([], "url string, root string, ord bigint")).count() == 0
+    with pytest.raises(ValueError):
+        worker_schedule(spark.createDataFrame([], "url string, root string, ord bigint"), n_workers=0)
