@@ -105,7 +105,7 @@ def matches(step, n) -> Column:
         & ~n["tag"].startswith("#")
         & ((step["tag"] == "") | (n["tag"] == step["tag"]))
         & F.forall(step["ids"], lambda i: F.coalesce(attr(F.lit("id")) == i, F.lit(False)))
-        & (F.size(F.array_except(step["classes"], classes)) == 0)
+        & ((F.size(step["classes"]) == 0) | (F.size(F.array_except(step["classes"], classes)) == 0))
         & F.forall(step["attrs"], lambda a: has_attribute(attr(a["name"]), a))
     )
 

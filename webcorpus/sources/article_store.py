@@ -35,16 +35,23 @@ def latest_articles(log: DataFrame, keys=KEYS, order=ORDER) -> DataFrame:
     """One row per key, the last by ``order``, as far as the log has these columns; rows that tie are compared whole.
 
     A pass over keys and order alone finds the keys that repeat and their last places, and writes them
-    down, so that their number is known: while they are few, rows of other keys are not shuffled, and of
-    the repeated ones only the last are picked.
+    down, so that their number is known: while they are few, no text is shuffled at all.  The whole rows
+    are read once, unless rows of a key tie for the last place.
     """
     order = [c for c in order if c in log.columns]
     last = log.groupBy(*keys).agg(F.max(F.struct(*order)).alias("last"), F.count(F.lit(1)).alias("n"))
     last = stored(last.where("n > 1").select(*keys, *[f"last.{c}" for c in order]), "repeated")
+    repeated = last.count()
+    if not repeated:
+        return log
+    at_last = same_key(log, last, [*keys, *order])
+    if log.join(last, at_last, "left_semi").count() == repeated:
+        marked = log.join(last.withColumn("_again", F.lit(True)), same_key(log, last, keys), "left")
+        is_last = F.col("_again").isNull() | same_key(log, last, order)
+        return marked.where(is_last).select(*[log[c] for c in log.columns])
     single = log.join(last, same_key(log, last, keys), "left_anti")
-    newest = log.join(last, same_key(log, last, [*keys, *order]), "left_semi")
-    ties = newest.groupBy(*[F.col(k).alias(f"_{k}") for k in keys]).agg(F.max(F.struct(*log.columns)).alias("r"))
-    return single.unionByName(ties.select("r.*"))
+    ties = log.join(last, at_last, "left_semi").groupBy(*[F.col(k).alias(f"_{k}") for k in keys])
+    return single.unionByName(ties.agg(F.max(F.struct(*log.columns)).alias("r")).select("r.*"))
 
 
 def upsert_articles(old: DataFrame, new: DataFrame, keys=KEYS, order=ORDER) -> DataFrame:
@@ -104,7 +111,7 @@ class ArticleStore:
         ).parquet(path)
 
     def _keyed(self, rows):
-        keys = rows.where(F.col("url").isNotNull()).select(*KEYS, "batch_id", "writer", "part").distinct()
+        keys = rows.where(F.col("url").isNotNull()).select(*KEYS, "batch_id", "writer", "part")
         return keys.withColumn("bucket", self._bucket(F.col("source")))
 
     def write_articles(
@@ -154,7 +161,7 @@ class ArticleStore:
         return latest_articles(self.rows())
 
     def stored_keys(self, source: str = None, of: DataFrame = None) -> DataFrame:
-        """(source, url, batch_id, writer) of stored rows that have a URL.
+        """(source, url, batch_id, writer) of stored rows that have a URL, repeats included.
 
         Only the slim key table is read, and of it one bucket where a ``source`` is given, or the buckets
         of the sources in ``of``, whose (source, url) it is then cut down to.

@@ -153,20 +153,24 @@ def sitemap_links(bodies: DataFrame, paths=None) -> DataFrame:
         F.transform("locs", lambda x, i: F.struct(i.alias("pos"), strip_ws(x).alias("loc"))),
         lambda x: x["loc"] != "",
     )
-    lists = parsed_sitemaps(bodies, paths).where(F.col("reason").isNull()).select("sitemap_url", locs.alias("l"))
-    sized = lists.select(
-        "sitemap_url",
-        F.transform(F.filter("l", lambda x: ~is_sitemap_link(x["loc"])), lambda x: x["loc"]).alias("urls"),
-        F.filter("l", lambda x: is_sitemap_link(x["loc"])).alias("children"),
-    ).select("sitemap_url", F.size("urls").cast("bigint").alias("n_urls"), "urls", "children")
+
+    def lists(some):
+        clean = parsed_sitemaps(some, paths).where(F.col("reason").isNull()).select("sitemap_url", locs.alias("l"))
+        return clean.select(
+            "sitemap_url",
+            F.transform(F.filter("l", lambda x: ~is_sitemap_link(x["loc"])), lambda x: x["loc"]).alias("urls"),
+            F.filter("l", lambda x: is_sitemap_link(x["loc"])).alias("children"),
+        ).select("sitemap_url", F.size("urls").cast("bigint").alias("n_urls"), "urls", "children")
+
     # A sitemap delivered several times counts once, with its longest list.  Which ones those are is seen
     # from the names alone, so that the lists of all others stay where they are.
     again = bodies.groupBy("sitemap_url").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("sitemap_url")
     again = stored(again, "again")
-    once = sized.join(again, "sitemap_url", "left_anti")
+    if again.isEmpty():
+        return lists(bodies)
     row = F.struct("n_urls", "urls", "children")
-    several = sized.join(again, "sitemap_url", "left_semi").groupBy("sitemap_url").agg(F.max(row).alias("r"))
-    return once.unionByName(several.select("sitemap_url", "r.*"))
+    several = lists(bodies.join(again, "sitemap_url", "left_semi")).groupBy("sitemap_url").agg(F.max(row).alias("r"))
+    return lists(bodies.join(again, "sitemap_url", "left_anti")).unionByName(several.select("sitemap_url", "r.*"))
 
 
 def reject_bad_sitemaps(bodies: DataFrame) -> DataFrame:
