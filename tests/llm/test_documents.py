@@ -103,15 +103,20 @@ def test_suffix_dedup(docs, rows):
     assert sorted(map(repr, want)) == sorted(repr(tuple(r)) for r in got)
 
 
-def shingles(text):
+def shingles(text, width=4):
     w = words("".join(c.lower() if c.isascii() else c for c in text or ""))
-    return {tuple(w[i : i + 4]) for i in range(max(1, len(w) - 3))} if w else set()
+    return {tuple(w[i : i + width]) for i in range(max(1, len(w) - width + 1))} if w else set()
 
 
-def near_groups(rows):
+def row_of(i, text):
+    """Rows without an id are apart unless their texts are equal."""
+    return last(i), text or "" if i is None else ""
+
+
+def near_groups(rows, width=4):
     nodes = {}
     for i, t, *_ in rows:
-        nodes.setdefault(last(i), []).append(shingles(t))
+        nodes.setdefault(row_of(i, t), []).append(shingles(t, width))
     group = {n: n for n in nodes}
 
     def root(n):
@@ -127,8 +132,8 @@ def near_groups(rows):
     return {n: (max(map(len, s)), root(n)) for n, s in nodes.items()}
 
 
-@pytest.mark.parametrize("block", [512, 3])
-def test_near_duplicates(spark, rows, docs, block, monkeypatch):
+@pytest.mark.parametrize("block, width", [(512, 4), (3, 4), (512, 5)])
+def test_near_duplicates(spark, rows, docs, block, width, monkeypatch):
     import webcorpus.llm.near_dedup as module
 
     monkeypatch.setattr(module, "BLOCK", block)
@@ -139,13 +144,22 @@ def test_near_duplicates(spark, rows, docs, block, monkeypatch):
         body = [*body]
         body[(k * 5) % 120] = f"new{k}"
         more.append((1000 + k, " ".join(body), None, None, None))
+    # Rows without an id: unrelated ones all stay, near copies and equal texts are found among them too.
+    own = [" ".join(rng.choice(WORDS) for _ in range(90)) for _ in range(3)]
+    more += [(None, t, None, None, None) for t in (*own, own[0], own[1] + " tail", more[5][1], None)]
     df = docs.select(SCHEMA.split(" ")[0], "text").union(spark.createDataFrame(more, SCHEMA).select("doc_id", "text"))
-    want = near_groups(rows + more)
-    for r in near_duplicates(df).collect():
-        size, group = want[last(r["doc_id"])]
-        group = None if group == float("inf") else group
-        assert (r["n_shingles"], r["component_id"]) == (size, group), r["doc_id"]
-        assert r["kept"] == (r["doc_id"] == group)
+    want = near_groups(rows + more, width)
+    for r in near_duplicates(df, shingle=width).collect():
+        size, (group, text) = want[row_of(r["doc_id"], r["text"])]
+        assert (r["n_shingles"], r["component_id"]) == (size, None if group == float("inf") else group), r["doc_id"]
+        if r["doc_id"] is not None:
+            assert r["kept"] == (r["doc_id"] == group)
+        elif group != float("inf"):
+            assert not r["kept"]
+    kept = near_duplicates(df, shingle=width).where("doc_id IS NULL AND kept").collect()
+    assert sorted(r["text"] or "" for r in kept) in (
+        sorted([own[0], own[0], x, own[2], "no id " * 60, ""]) for x in (own[1], own[1] + " tail")
+    )
 
 
 def test_count_tokens(docs, rows):
@@ -206,6 +220,17 @@ def test_lines_of_copies_are_common(spark):
     assert all(r["kept"] == (r["source"] != "host" or r["text"] != page) for r in got)
 
 
+def test_common_lines_of_a_large_host(spark):
+    """A line on a few percent of the pages of a large host is common, on a few pages it is not."""
+    rng = random.Random(3)
+    prose = lambda n: " ".join(rng.choice(WORDS) for _ in range(n))
+    menu, rare = prose(30), prose(30)
+    data = [(i, f"{menu if i < 120 else rare if i < 180 else prose(30)}\n{prose(15)}", "host") for i in range(3000)]
+    got = {r["doc_id"]: r for r in quality_rules(spark.createDataFrame(data, "doc_id long, text string, source string")).collect()}
+    assert sorted(i for i in got if not got[i]["kept"]) == list(range(120))
+    assert all(not got[i]["base_failed"] and got[i]["n_left_words"] == 15 for i in range(120))
+
+
 def test_license_scan(docs, rows):
     got = {r["text"]: r for r in license_scan(docs).collect()}
     mit = next(r for t, r in got.items() if t and t.startswith("Released"))

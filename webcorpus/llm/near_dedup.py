@@ -18,11 +18,12 @@ from pyspark.sql import functions as F
 
 from webcorpus.llm.hashing import BASES, Roll, lower_ascii, mix, text_slices, word_names, words_of
 from webcorpus.llm.links import components
-from webcorpus.llm.packing_io import NO_ID, from_bytes, groups_of, ids_of, pack, split, to_bytes, unpack
+from webcorpus.llm.packing_io import from_bytes, groups_of, ids_of, pack, split, to_bytes, unpack
 from webcorpus.llm.repeats import first_of
 from webcorpus.sources.storage import stored
 
-SHINGLE = 4
+SHINGLE = 4           # words, unless a caller says otherwise
+NO_IDS = 1 << 62      # rows without an id have keys from here on; ids are taken to be smaller
 PERCENT = 80          # least Jaccard similarity of a link
 REGISTERS = 128
 ROWS = 4              # registers in a band: 32 bands miss a link at the threshold once in 2e7
@@ -34,16 +35,22 @@ GROUP_BYTES = 8 << 20
 COLUMNS = 2048        # shingles that are compared at once
 
 
-def shingle_sets(data: np.ndarray, offsets: np.ndarray):
-    """(row of each distinct shingle, its name), sorted by row and name."""
+def row_key(id_col: str, text_col: str):
+    """The id of a row; rows without one get a key behind all ids, by their text, so that only equal ones share it."""
+    place = F.pmod(F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))), F.lit(NO_IDS))
+    return F.coalesce(F.col(f"`{id_col}`").cast("long"), place + F.lit(NO_IDS))
+
+
+def shingle_sets(data: np.ndarray, offsets: np.ndarray, width: int):
+    """(row of each distinct shingle of `width` words, its name), sorted by row and name."""
     data = lower_ascii(data)
     starts, ends, borders = words_of(data, offsets)
     roll = Roll(word_names(data, starts, ends), BASES[1])
     size = np.diff(borders)
-    n = np.where(size >= SHINGLE, size - SHINGLE + 1, np.minimum(size, 1))
+    n = np.where(size >= width, size - width + 1, np.minimum(size, 1))
     row = np.repeat(np.arange(len(n)), n)
     first = np.repeat(borders[:-1], n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
-    names = roll.of(first, np.minimum(first + SHINGLE, borders[row + 1]))
+    names = roll.of(first, np.minimum(first + width, borders[row + 1]))
     order = np.lexsort((names, row))
     row, names = row[order], names[order]
     once = first_of(row, names)
@@ -94,22 +101,26 @@ def estimate(greater, smaller, equal, u, v):
 FLOOR = PERCENT / 100 - FAR * np.sqrt(PERCENT / 100 * (1 - PERCENT / 100) / REGISTERS)
 
 
-def sketch_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def sketch_rows(width: int):
     """(doc, n_shingles, print of the set, sketch) per document."""
-    for batch in batches:
-        ids = ids_of(batch.column("id"))
-        for at, data, offsets in text_slices(batch.column("text")):
-            n_rows = len(offsets) - 1
-            row, names = shingle_sets(data, offsets)
-            registers = sketches(row, names, n_rows)
-            sums = [np.concatenate((np.zeros(1, np.uint64), np.cumsum(mix(names + np.uint64(s)), dtype=np.uint64))) for s in (1, 2)]
-            border = np.searchsorted(row, np.arange(n_rows + 1))
-            one, two = ((s[border[1:]] - s[border[:-1]]).view(np.int64) for s in sums)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(ids[at : at + n_rows]), pa.array(np.diff(border)), pa.array(one), pa.array(two),
-                 pa.array([r.tobytes() for r in registers], pa.binary())],
-                ["doc", "n_shingles", "one", "two", "sketch"],
-            )
+
+    def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ids = ids_of(batch.column("id"))
+            for at, data, offsets in text_slices(batch.column("text")):
+                n_rows = len(offsets) - 1
+                row, names = shingle_sets(data, offsets, width)
+                registers = sketches(row, names, n_rows)
+                sums = [np.concatenate((np.zeros(1, np.uint64), np.cumsum(mix(names + np.uint64(s)), dtype=np.uint64))) for s in (1, 2)]
+                border = np.searchsorted(row, np.arange(n_rows + 1))
+                one, two = ((s[border[1:]] - s[border[:-1]]).view(np.int64) for s in sums)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(ids[at : at + n_rows]), pa.array(np.diff(border)), pa.array(one), pa.array(two),
+                     pa.array([r.tobytes() for r in registers], pa.binary())],
+                    ["doc", "n_shingles", "one", "two", "sketch"],
+                )
+
+    return sketch
 
 
 def band_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -151,24 +162,28 @@ def send_ids(groups: int):
     return send
 
 
-def wanted_sets(table: pa.Table) -> pa.Table:
+def wanted_sets(width: int):
     """The shingle sets of the documents that were asked for, from a group of texts."""
-    schema = pa.schema([("rep", pa.int64()), ("names", pa.binary())])
-    kind = table["kind"].to_numpy()
-    bodies = table["body"].to_pylist()
-    asked = [b for b, k in zip(bodies, kind) if k == 1]
-    texts = [from_bytes(b) for b, k in zip(bodies, kind) if k == 0]
-    if not asked or not texts:
-        return schema.empty_table()
-    texts = pa.concat_tables(texts)
-    ids = ids_of(texts["id"])
-    rows = np.flatnonzero(np.isin(ids, unpack(asked)["rep"]))
-    ids, out = ids[rows], []
-    for _, data, offsets in text_slices(texts["text"].combine_chunks().take(pa.array(rows))):
-        row, names = shingle_sets(data, offsets)
-        border = np.searchsorted(row, np.arange(len(offsets)))
-        out += [names[a:b].tobytes() for a, b in zip(border[:-1], border[1:])]
-    return pa.table([pa.array(ids), pa.array(out, pa.binary())], schema=schema)
+
+    def sets_of(table: pa.Table) -> pa.Table:
+        schema = pa.schema([("rep", pa.int64()), ("names", pa.binary())])
+        kind = table["kind"].to_numpy()
+        bodies = table["body"].to_pylist()
+        asked = [b for b, k in zip(bodies, kind) if k == 1]
+        texts = [from_bytes(b) for b, k in zip(bodies, kind) if k == 0]
+        if not asked or not texts:
+            return schema.empty_table()
+        texts = pa.concat_tables(texts)
+        ids = ids_of(texts["id"])
+        rows = np.flatnonzero(np.isin(ids, unpack(asked)["rep"]))
+        ids, out = ids[rows], []
+        for _, data, offsets in text_slices(texts["text"].combine_chunks().take(pa.array(rows))):
+            row, names = shingle_sets(data, offsets, width)
+            border = np.searchsorted(row, np.arange(len(offsets)))
+            out += [names[a:b].tobytes() for a, b in zip(border[:-1], border[1:])]
+        return pa.table([pa.array(ids), pa.array(out, pa.binary())], schema=schema)
+
+    return sets_of
 
 
 def similar(sets: list[np.ndarray], others: list[np.ndarray] | None = None) -> np.ndarray:
@@ -283,19 +298,20 @@ def leftover_links(buckets: DataFrame, sets: DataFrame, labels: DataFrame) -> Da
     return members.union(guests).join(sets, "rep").groupBy("band", "key", "block").applyInArrow(guests_to_links, "a long, b long")
 
 
-def near_duplicates(docs: DataFrame, id_col="doc_id", text_col="text") -> DataFrame:
+def near_duplicates(docs: DataFrame, id_col="doc_id", text_col="text", shingle: int = SHINGLE) -> DataFrame:
     """Adds n_shingles, component_id and kept to all columns of `docs`.
 
-    Linked: Jaccard similarity of 80 % or more of the sets of 4-word shingles, ASCII letters in lower
+    Linked: Jaccard similarity of 80 % or more of the sets of shingles (of `shingle` words), ASCII letters in lower
     case.  Null or wordless text has an empty set and is linked with nothing.  component_id is the
     smallest id that can be reached; kept where it is the row's own.  Rows that share an id count as
-    one document, with the size of its largest set; null is an id like others, the last one.  Columns of `docs` with the
-    added names are replaced.  An empty table gives none.
+    one document, with the size of its largest set.  Rows without an id are documents of their own, equal texts
+    among them one; they come after all others, and a component of them alone is null.  Columns of `docs`
+    with the added names are replaced.  An empty table gives none.
     """
     added = ("n_shingles", "component_id", "kept")
-    slim = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
+    slim = docs.select(row_key(id_col, text_col).alias("id"), F.col(text_col).alias("text"))
     sketched = stored(
-        slim.mapInArrow(sketch_rows, "doc long, n_shingles long, one long, two long, sketch binary"), "sketches"
+        slim.mapInArrow(sketch_rows(shingle), "doc long, n_shingles long, one long, two long, sketch binary"), "sketches"
     )
     # Equal sets are one class, under its least document.
     full = sketched.where("n_shingles > 0")
@@ -310,7 +326,7 @@ def near_duplicates(docs: DataFrame, id_col="doc_id", text_col="text") -> DataFr
     packed = "grp long, kind long, body binary"
     asked = buckets.select("rep").distinct().mapInArrow(send_ids(groups), packed)
     texts = slim.mapInArrow(send_texts(groups), packed)
-    sets = stored(texts.union(asked).groupBy("grp").applyInArrow(wanted_sets, "rep long, names binary"), "sets")
+    sets = stored(texts.union(asked).groupBy("grp").applyInArrow(wanted_sets(shingle), "rep long, names binary"), "sets")
     links = stored(near_links(buckets.where(F.col("band") < FIRST_BANDS), reps, sets), "links")
     found = stored(components(links), "found")
     # A bucket of the other bands matters only if its members are not all in one component yet.
@@ -326,6 +342,7 @@ def near_duplicates(docs: DataFrame, id_col="doc_id", text_col="text") -> DataFr
     per_id = sketched.groupBy("doc").agg(F.max("n_shingles").alias("n_shingles")).join(labels, F.col("doc") == F.col("id"), "left")
     per_id = per_id.select(F.col("doc").alias("near__doc"), "n_shingles", F.coalesce("component_id", "doc").alias("component_id"))
     out = docs.select(*[F.col(f"`{c}`") for c in docs.columns if c not in added])
-    key = F.coalesce(F.col(id_col).cast("long"), F.lit(int(NO_ID)))
-    joined = out.join(per_id, key == F.col("near__doc")).withColumn("kept", key == F.col("component_id")).drop("near__doc")
-    return joined.withColumn("component_id", F.nullif("component_id", F.lit(int(NO_ID))))
+    key = row_key(id_col, text_col)
+    joined = out.join(per_id, key == F.col("near__doc")).withColumn("kept", F.col("near__doc") == F.col("component_id"))
+    own = F.when(F.col("component_id") < NO_IDS, F.col("component_id"))
+    return joined.drop("near__doc").withColumn("component_id", own)

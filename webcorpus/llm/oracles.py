@@ -87,10 +87,10 @@ WITH d AS (SELECT doc_id, coalesce(text, '') AS text, source,
  win AS (SELECT doc_id, i, array_to_string(ws[i:i + 7], ' ') AS s FROM (SELECT doc_id, ws, unnest(range(1, len(ws) - 6)) AS i FROM d WHERE len(ws) >= 8)),
  twice AS (SELECT doc_id, s FROM win GROUP BY doc_id, s HAVING count(*) > 1),
  cov AS (SELECT doc_id, count(DISTINCT j) AS n FROM (SELECT doc_id, unnest(range(i, i + 8)) AS j FROM win JOIN twice USING (doc_id, s)) GROUP BY doc_id),
- line AS (SELECT doc_id, source, text, trim(regexp_replace(lower(l), '[\x20\x09-\x0D]+', ' ', 'g'), ' ') AS n,
-    len(regexp_extract_all(l, '[^\x20\x09-\x0D]+')) AS words FROM (SELECT doc_id, source, text, unnest(ls) AS l FROM d)),
- host AS (SELECT source, count(DISTINCT text) AS texts FROM d GROUP BY source),
- freq AS (SELECT source, n FROM line JOIN host USING (source) GROUP BY source, n, texts HAVING count(DISTINCT text) > greatest(20, 0.2 * texts)),
+ line AS (SELECT doc_id, source, trim(regexp_replace(lower(l), '[\x20\x09-\x0D]+', ' ', 'g'), ' ') AS n,
+    len(regexp_extract_all(l, '[^\x20\x09-\x0D]+')) AS words FROM (SELECT doc_id, source, unnest(ls) AS l FROM d)),
+ host AS (SELECT source, count(DISTINCT doc_id) AS docs FROM d GROUP BY source),
+ freq AS (SELECT source, n FROM line JOIN host USING (source) GROUP BY source, n, docs HAVING count(DISTINCT doc_id) > greatest(20, 2 * sqrt(docs))),
  lost AS (SELECT doc_id, sum(words) AS lost FROM line JOIN freq USING (source, n) GROUP BY doc_id),
  m AS (SELECT doc_id, len(ws)::BIGINT AS n_words, length(array_to_string(ws, ''))::BIGINT AS word_chars,
     (length(text) - length(regexp_replace(text, '[#*$%&|<>]', '', 'g')))::BIGINT AS n_symbols,
