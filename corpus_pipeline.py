@@ -6,10 +6,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from webcorpus.llm.language_id import identify_language
-from webcorpus.llm.mixing import SEPARATORS, label_quality, mix_sources, n_words
+from webcorpus.llm.mixing import SEPARATORS, label_quality, mix_sources
 from webcorpus.llm.near_dedup import near_duplicates
 from webcorpus.llm.packing import pack_batches
 from webcorpus.llm.suffix_dedup import suffix_dedup
+from webcorpus.llm.token_counts import count_tokens
 from webcorpus.sources.storage import stored
 
 
@@ -23,8 +24,8 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies."""
-    return near_duplicates(docs).where("kept").select(*columns(docs))
+    """One document of each group of near copies, by shingles of five words."""
+    return near_duplicates(docs, shingle=5).where("kept").select(*columns(docs))
 
 
 def repeated_strings(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -52,8 +53,9 @@ def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Every row with its bucket, batch and slot; tokens are counted as words."""
-    return pack_batches(docs, n_words(F.col("text")))
+    """Every row with its bucket, batch and slot, by the tokens of a public tokenizer, counted once."""
+    counted = count_tokens(docs).select(*columns(docs), F.col("n_tokens").alias("pack__tokens"))
+    return pack_batches(stored(counted, "counted"), F.col("pack__tokens")).drop("pack__tokens")
 
 
 STAGES = [
