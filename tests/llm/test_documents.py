@@ -187,6 +187,33 @@ def test_count_tokens_of_random_text(spark):
     assert [got[i] for i in range(len(texts))] == want
 
 
+def test_count_tokens_of_long_pieces():
+    """Text without white space: as the library, and in a time that grows with its length only."""
+    import time
+
+    from tokenizers import Tokenizer
+
+    import webcorpus.llm.token_counts as module
+
+    counter = module.Counter(module.default_vocabulary())
+    library = Tokenizer.from_file(module.default_vocabulary())
+    rng = random.Random(3)
+    texts = ["".join(rng.choice(letters) for _ in range(n)) for n in (511, 513, 4000) for letters in ("ab", "etaoinshrdlu", "日本語中文字漢", "aé日x")]
+    texts += ["the" * 3000, "a" * 5000, "x" * 600 + " " + "y" * 600, "!?" * 700]
+    data = [t.encode() for t in texts]
+    offsets = [0]
+    for d in data:
+        offsets.append(offsets[-1] + len(d))
+    import numpy as np
+
+    got = counter.texts(b"".join(data), np.array(offsets)).tolist()
+    assert got == [len(library.encode(t, add_special_tokens=False).ids) for t in texts]
+    long = "".join(rng.choice("etaoinshrdlu") for _ in range(160_000)).encode()
+    start = time.time()
+    n = counter.texts(long, np.array([0, len(long)]))[0]
+    assert time.time() - start < 3 and n == len(library.encode(long.decode(), add_special_tokens=False).ids)
+
+
 def test_quality_rules(docs, rows):
     got = quality_rules(docs).collect()
     assert len(got) == len(rows)

@@ -7,7 +7,8 @@
 * the tokens of a piece are counted by merging, not by a transducer with token counts on its
   transitions: for all new pieces of a batch at once, in each step the pairs of the least rank in
   every piece go.  Merges go by rank over the whole piece, not from left to right, and pieces are
-  short and repeat, so each task remembers the counts of those it has seen.
+  short and repeat, so each task remembers the counts of those it has seen.  Long pieces (text without
+  white space) are merged one by one with their pairs in a heap.
 """
 
 from __future__ import annotations
@@ -17,6 +18,8 @@ import re
 import sys
 import unicodedata
 from collections.abc import Iterator
+from functools import cached_property
+from heapq import heappop, heappush
 
 import numpy as np
 import pyarrow as pa
@@ -28,6 +31,7 @@ from webcorpus.llm.hashing import BASES, Roll, mix, text_slices
 LIMIT = 2048
 CHUNK = 256            # characters of a chunk
 KNOWN = 1 << 20        # pieces whose counts a task remembers
+LONG = 512             # bytes from which a piece is merged by itself, along a heap
 #: White space by Unicode's White_Space property.
 SPACES = (*range(9, 14), 0x20, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000)
 
@@ -151,6 +155,13 @@ class Merges:
     def count(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
         """Tokens of each piece of bytes; pieces are not empty."""
         size = ends - starts
+        if (size > LONG).any():
+            out = np.empty(len(size), dtype=np.int64)
+            short = np.flatnonzero(size <= LONG)
+            out[short] = self.count(data, starts[short], ends[short]) if len(short) else 0
+            for i in np.flatnonzero(size > LONG).tolist():
+                out[i] = self.count_long(data[starts[i] : ends[i]])
+            return out
         piece = np.repeat(np.arange(len(size)), size)
         raw = data[np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size) + np.repeat(starts, size)]
         symbol = self.inner[raw]
@@ -185,6 +196,44 @@ class Merges:
         return total
 
 
+    @cached_property
+    def merge_of(self) -> dict[int, tuple[int, int]]:
+        """(rank, result) of each pair of symbols that merges."""
+        return dict(zip(self.code.tolist(), zip(self.rank.tolist(), self.result[self.rank].tolist())))
+
+    def count_long(self, raw: np.ndarray) -> int:
+        """Tokens of one long piece: its pairs wait in a heap by rank and place, so each merge costs its logarithm."""
+        symbol = self.inner[raw].tolist()
+        symbol[-1] = int(self.last[raw[-1]])
+        n, width, merge_of = len(symbol), self.width, self.merge_of
+        before, after = list(range(-1, n - 1)), list(range(1, n + 1))
+        waiting = []
+
+        def wait(i: int, j: int) -> None:
+            found = merge_of.get(symbol[i] * width + symbol[j])
+            if found:
+                heappush(waiting, found[0] * n + i)
+
+        for i in range(n - 1):
+            wait(i, i + 1)
+        left = n
+        while waiting:
+            rank, i = divmod(heappop(waiting), n)
+            j = after[i]
+            found = merge_of.get(symbol[i] * width + symbol[j]) if symbol[i] >= 0 and j < n else None
+            if not found or found[0] != rank:
+                continue   # one of the two has merged with another since
+            symbol[i], symbol[j] = found[1], -1
+            left -= 1
+            after[i] = after[j]
+            if after[i] < n:
+                before[after[i]] = i
+                wait(i, after[i])
+            if before[i] >= 0:
+                wait(before[i], i)
+        return left
+
+
 def normalised(text: str) -> str:
     """Canonical composition and lower case, character by character."""
     if text.isascii():
