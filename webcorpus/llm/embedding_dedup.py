@@ -1,12 +1,15 @@
-"""Embedding near-dedup: NN-descent finds the groups, an exact pass over blocks finds all links.
-
-Lists start from random-projection cells of a label, whose sizes follow the threshold of CELL rows,
-and are improved by local joins: the members of a list meet around its owner.  Large components of the
-links found so get blocks of their own, all other vectors are dealt into blocks by hash, and every block
-meets every block of its label.  Within two blocks, a vector too far from the centre of the other block
-to link with any of its members is left out by the triangle inequality; the others are compared.  So no
-link depends on the lists: they only decide how much is left out.  The work grows with the square of a
-label's vectors outside such groups.
+"""Embedding near-dedup: NN-descent links near vectors, an exact pass finds what lists can't hold.
+
+Lists start from random-projection cells of a label and are improved by local joins: the members of a
+list, neighbours and those who list its owner, meet around it.  A list whose entries are all links is
+saturated and enlarged in the next round.  After each round the lists are audited: for a sample of vectors all
+links are counted by brute force, and the share that the lists hold is taken per vector and averaged per
+class of link counts.  Rounds go on until it is RECALL in each class, MOST_ROUNDS at most.
+
+No result rests on that: an exact pass completes the links.  Vectors that many lists name, spread by
+farthest-first choice, are the centres of cells; by the triangle inequality a vector is sent only to the
+cells that reach within the threshold's angle of it, and only there compared.  So the pass grows with the
+vectors that are near each other's cells, not with the square of a label, unless its vectors do not cluster.
 """
 
 from __future__ import annotations
@@ -27,7 +30,13 @@ CELL = 96           # vectors in a cell, about
 BLOCK = 1024        # vectors in one block; of large labels an eighth, up to MOST_IN_BLOCK
 MOST_IN_BLOCK = 32 * BLOCK
 COMPARED = 1 << 21  # similarities held at a time
-ROUNDS = 2          # rounds of local joins
+ROUNDS = 2          # rounds of local joins, at least
+MOST_ROUNDS = 5
+WIDEST = 8 * LIST   # entries of a saturated list, at most
+RECALL = 0.9        # share of a vector's links that its list holds, on average in each class
+AUDITED = 1024      # vectors of the sample
+CENTRES = 4096      # centres of cells, at most; they come to the driver
+CANDIDATES = 4      # vectors that each centre is chosen from
 LISTED_IN_GROUP = 8192   # entries of lists that a task joins at a time
 EDGES = "a long, b long, sim double"
 
@@ -113,8 +122,12 @@ def cell_edges(table: pa.Table) -> pa.Table:
     return edges_table(*top_edges(table["vec"].to_numpy(), matrix(table["unit"]), LIST))
 
 
-def join_edges(table: pa.Table) -> pa.Table:
+def join_edges(wide: int):
     """Local joins: the members of each list (owner, block) against each other."""
+    return lambda table: joined_lists(table, wide)
+
+
+def joined_lists(table: pa.Table, wide: int) -> pa.Table:
     vec, owner, block = (table[c].to_numpy() for c in ("vec", "owner", "block"))
     ids, at, which = np.unique(vec, return_index=True, return_inverse=True)
     size = table["size"].to_numpy()
@@ -129,14 +142,58 @@ def join_edges(table: pa.Table) -> pa.Table:
         for start, end in zip(new, [*new[1:], len(order)]):
             members = which[order[start:end]]   # all of one label and size, as their owner
             if end - start > 1 and size[at[members[0]]] == dimension:
-                found.append(top_edges(ids[members], x[members], LIST))
+                found.append(top_edges(ids[members], x[members], wide))
     return edges_table(*(np.concatenate(c) for c in zip(*found))) if found else edges_table([], [], [])
 
 
-def lists(edges: DataFrame) -> DataFrame:
-    """The LIST nearest neighbours of each vector; partial lists are formed before the exchange."""
+def lists(edges: DataFrame, wide: int = LIST) -> DataFrame:
+    """The LIST nearest neighbours of each vector, and of a saturated list up to `wide` links; formed in part before the exchange."""
     best = edges.groupBy("a", "b").agg(F.max("sim").alias("sim"))
-    return best.withColumn("nth", F.row_number().over(Window.partitionBy("a").orderBy(F.desc("sim"), "b"))).where(F.col("nth") <= LIST).drop("nth")
+    nth = F.row_number().over(Window.partitionBy("a").orderBy(F.desc("sim"), "b"))
+    ranked = best.withColumn("nth", nth).where(F.col("nth") <= wide)
+    return ranked.where((F.col("nth") <= LIST) | (F.col("sim") >= THRESHOLD)).drop("nth")
+
+
+def sample_of(vectors: DataFrame) -> tuple[list, dict]:
+    """A bounded sample of vectors, chosen by hash, and how many links each of them has, by brute force in the tasks."""
+    luck = F.xxhash64("vec", F.lit(5))
+    rows = vectors.orderBy(luck, "vec").limit(AUDITED).select("vec", F.concat_ws("/", "label", "size").alias("kind"), "unit").collect()
+    by_kind: dict[str, list] = {}
+    for r in rows:
+        by_kind.setdefault(r["kind"], []).append(r)
+    groups = {k: (np.array([r["vec"] for r in g]), np.array([unit(r["unit"]) for r in g])) for k, g in by_kind.items()}
+
+    def count(batches):
+        total: dict[int, int] = {}
+        for batch in batches:
+            kinds, vec = np.array(batch.column("kind").to_pylist(), dtype=object), batch.column("vec").to_numpy()
+            for kind, (ids, x) in groups.items():
+                at = np.flatnonzero(kinds == kind)
+                if len(at):
+                    linked = (x @ matrix(batch.column("unit").take(pa.array(at))).T >= THRESHOLD) & (ids[:, None] != vec[at][None, :])
+                    for i, n in zip(ids.tolist(), linked.sum(axis=1).tolist()):
+                        total[i] = total.get(i, 0) + n
+        yield pa.RecordBatch.from_arrays([pa.array(list(total), pa.int64()), pa.array(list(total.values()), pa.int64())], ["vec", "n"])
+
+    slim = vectors.select("vec", F.concat_ws("/", "label", "size").alias("kind"), "unit")
+    found = slim.mapInArrow(count, "vec long, n long").groupBy("vec").agg(F.sum("n").alias("n")).collect()
+    return [r["vec"] for r in rows], {r["vec"]: r["n"] for r in found if r["n"]}
+
+
+def audit(edges: DataFrame, sample: list, links: dict) -> dict[str, float]:
+    """Average share of a sampled vector's links that the lists hold, by class of link counts; 1 without any.
+
+    Vectors with more links than the widest list holds are left to the exact pass.
+    """
+    near = edges.where(F.col("sim") >= THRESHOLD)
+    both = near.select("a", "b").union(near.select(F.col("b").alias("a"), F.col("a").alias("b")))
+    held = both.where(F.col("a").isin(sample)).distinct().groupBy("a").agg(F.count(F.lit(1)).alias("n")).collect()
+    held = {r["a"]: r["n"] for r in held}
+    shares: dict[str, list[float]] = {"single": [], "few": [], "many": []}
+    for vec, n in links.items():
+        if n <= WIDEST:
+            shares["single" if n == 1 else "few" if n <= LIST else "many"].append(min(1.0, held.get(vec, 0) / n))
+    return {k: float(np.mean(v)) if v else 1.0 for k, v in shares.items()}
 
 
 def within_reach(x: np.ndarray, y: np.ndarray) -> np.ndarray:
@@ -189,30 +246,96 @@ def block_pairs(table: pa.Table) -> pa.Table:
     return pa.table({"vec": ids[has], "n": n[has], "root": ids[root[has]]})
 
 
+def centres_of(vectors: DataFrame, edges: DataFrame, sizes: DataFrame) -> dict:
+    """(label, size) -> unit vectors of the centres, of the largest labels that take more than a block; CENTRES in all at most."""
+    cells = sizes.where(F.col("n") > F.col("rows")).withColumn("cells", F.least(F.lit(CENTRES), F.ceil(F.col("n") / F.col("rows"))))
+    most = cells.orderBy(F.desc("n"), "label", "size").limit(CENTRES)
+    total = F.sum("cells").over(Window.orderBy(F.desc("n"), "label", "size"))   # of CENTRES rows at most
+    most = most.withColumn("total", total).where(F.col("total") <= CENTRES).select("label", "size", "cells")
+    named = edges.groupBy(F.col("b").alias("vec")).agg(F.count(F.lit(1)).alias("named"))
+    nth = F.row_number().over(Window.partitionBy("label", "size").orderBy(F.desc("named"), F.xxhash64("vec"), "vec"))
+    hubs = vectors.join(most, ["label", "size"]).join(named, "vec", "left").withColumn("named", F.coalesce("named", F.lit(0)))
+    rows = hubs.withColumn("nth", nth).where(F.col("nth") <= CANDIDATES * F.col("cells")).orderBy("label", "size", "nth").collect()
+    out: dict = {}
+    for key in dict.fromkeys((r["label"], r["size"]) for r in rows):
+        some = [r for r in rows if (r["label"], r["size"]) == key]
+        x = np.array([unit(r["unit"]) for r in some])
+        chosen, near = [0], x @ x[0]
+        while len(chosen) < min(some[0]["cells"], len(x)):
+            chosen.append(int(near.argmin()))
+            near = np.maximum(near, x @ x[chosen[-1]])
+        out[key] = x[chosen]
+    return out
+
+
+def angles(x: np.ndarray, centres: np.ndarray) -> np.ndarray:
+    return np.arccos(np.clip(x @ centres.T, -1, 1))
+
+
+def by_kind(batch: pa.RecordBatch, centres: dict):
+    """(key, rows, angles to its centres) of each label and size of a batch that has centres."""
+    keys = list(zip(batch.column("label").to_pylist(), batch.column("size").to_pylist()))
+    for key in set(keys) & centres.keys():
+        at = np.array([i for i, k in enumerate(keys) if k == key])
+        cosine = matrix(batch.column("unit").take(pa.array(at))) @ centres[key].T
+        yield key, at, np.arccos(np.clip(cosine, -1, 1))
+
+
+def in_cells(centres: dict):
+    """Adds the cell of each vector and its angle to the centre."""
+
+    def place(batches):
+        for batch in batches:
+            cell, angle = np.zeros(batch.num_rows, np.int32), np.zeros(batch.num_rows)
+            for _, at, far in by_kind(batch, centres):
+                cell[at], angle[at] = far.argmin(axis=1), far.min(axis=1)
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(cell), pa.array(angle)], [*batch.schema.names, "cell", "angle"])
+
+    return place
+
+
+def near_cells(centres: dict, radii: dict):
+    """Adds the cells that come within the threshold's angle of each vector."""
+    reach = np.arccos(THRESHOLD) + 1e-6
+
+    def place(batches):
+        for batch in batches:
+            meets = [[0]] * batch.num_rows
+            for key, at, far in by_kind(batch, centres):
+                for i, row in zip(at.tolist(), far <= radii[key][None, :] + reach):
+                    meets[i] = np.flatnonzero(row).tolist()
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(meets, pa.list_(pa.int32()))], [*batch.schema.names, "meets"])
+
+    return place
+
+
 def all_links(vectors: DataFrame, edges: DataFrame) -> DataFrame:
     """(vec, n, root): parts of the number of links of each linked vector, and links that span its component."""
-    comps = components(edges.where(F.col("sim") >= THRESHOLD).select("a", "b"))
-    large = comps.groupBy("component_id").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= BLOCK)
-    comps = comps.join(large, "component_id").select(F.col("id").alias("vec"), F.col("component_id").alias("part"))
-    sizes = vectors.groupBy("label", "size").agg(
-        F.greatest(F.lit(BLOCK), F.least(F.lit(MOST_IN_BLOCK), F.ceil(F.count(F.lit(1)) / 8))).alias("rows")
-    )
-    own = F.coalesce(F.col("part").cast("string"), F.lit(""))
-    parted = vectors.join(comps, "vec", "left").withColumn("part", own)
-    parts = parted.groupBy("label", "size", "part").agg(F.count(F.lit(1)).alias("n")).join(sizes, ["label", "size"])
-    parts = parts.select("label", "size", "part", F.ceil(F.col("n") / F.col("rows")).alias("pieces"))
-    all_parts = Window.partitionBy("label", "size")
-    before = all_parts.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
-    parts = parts.withColumn("start", F.coalesce(F.sum("pieces").over(before), F.lit(0))).withColumn("blocks", F.sum("pieces").over(all_parts))
-    members = stored(parted.join(parts, ["label", "size", "part"]).select(
-        "label", "size", "vec", "unit", "copies", "blocks", (F.col("start") + F.pmod(F.xxhash64("vec"), F.col("pieces"))).alias("own")
-    ), "members")
     what = ("label", "size", "vec", "unit", "copies")
-    last = F.col("blocks") - 1
-    one = members.select(*what, F.col("own").alias("block"), F.explode(F.sequence("own", last)).alias("meets"), F.lit(0).alias("side"))
-    two = members.select(*what, F.explode(F.sequence(F.lit(0).cast("long"), "own")).alias("block"), F.col("own").alias("meets"), F.lit(1).alias("side"))
-    met = one.union(two).groupBy("label", "size", "block", "meets").applyInArrow(block_pairs, "vec long, n long, root long")
-    return stored(met, "met")
+    schema = "label string, size long, vec long, unit binary, copies long, cell int, angle double"
+    sizes = vectors.groupBy("label", "size").agg(F.count(F.lit(1)).alias("n"))
+    sizes = stored(sizes.withColumn("rows", F.greatest(F.lit(BLOCK), F.least(F.lit(MOST_IN_BLOCK), F.ceil(F.col("n") / 8)))), "sizes")
+    centres = centres_of(vectors, edges, sizes)
+    radii = {key: np.zeros(len(x)) for key, x in centres.items()}
+    placed = stored(vectors.select(*what).mapInArrow(in_cells(centres), schema), "placed")
+    # Of labels without centres nothing comes to the driver: all their angles are 0.
+    for r in placed.where("angle > 0").groupBy("label", "size", "cell").agg(F.max("angle").alias("r")).collect():
+        radii[r["label"], r["size"]][r["cell"]] = r["r"]
+    placed = placed.mapInArrow(near_cells(centres, radii), f"{schema}, meets array<int>").drop("angle")
+    # Cells with many vectors are several blocks.
+    blocks = placed.groupBy("label", "size", "cell").agg(F.count(F.lit(1)).alias("n")).join(sizes.drop("n"), ["label", "size"])
+    blocks = blocks.select("label", "size", "cell", F.ceil(F.col("n") / F.col("rows")).alias("pieces"))
+    before = Window.partitionBy("label", "size").orderBy("cell").rowsBetween(Window.unboundedPreceding, -1)
+    blocks = stored(blocks.withColumn("start", F.coalesce(F.sum("pieces").over(before), F.lit(0))), "blocks")
+    own = F.col("start") + F.pmod(F.xxhash64("vec"), F.col("pieces"))
+    members = placed.join(blocks, ["label", "size", "cell"]).select(*what, own.alias("own"), F.explode("meets").alias("cell"))
+    met = members.join(blocks, ["label", "size", "cell"])
+    other = F.explode(F.sequence("start", F.col("start") + F.col("pieces") - 1))
+    met = met.select(*what, "own", other.alias("other"))
+    one = met.where("other >= own").select(*what, F.col("own").alias("block"), F.col("other").alias("meets"), F.lit(0).alias("side"))
+    two = met.where("other <= own").select(*what, F.col("other").alias("block"), F.col("own").alias("meets"), F.lit(1).alias("side"))
+    found = one.union(two).groupBy("label", "size", "block", "meets").applyInArrow(block_pairs, "vec long, n long, root long")
+    return stored(found, "met")
 
 
 def embedding_links(rows: DataFrame, id_col="vec_id", vector_col="embedding", label_col="label", seed: int = 7):
@@ -231,7 +354,9 @@ def embedding_links(rows: DataFrame, id_col="vec_id", vector_col="embedding", la
     crowd = placed.groupBy("label", "tree", "cell").agg(F.ceil(F.count(F.lit(1)) / BLOCK).alias("blocks"))
     placed = placed.join(crowd, ["label", "tree", "cell"]).withColumn("block", F.pmod(F.xxhash64("vec", "tree"), F.col("blocks")))
     edges = stored(lists(placed.groupBy("label", "tree", "cell", "block").applyInArrow(cell_edges, EDGES)), "lists")
-    for r in range(ROUNDS):
+    sample, linked = sample_of(vectors)
+    for r in range(MOST_ROUNDS):
+        wide = min(WIDEST, LIST << r)
         both = edges.select(F.col("a").alias("owner"), F.col("b").alias("vec")).union(
             edges.select(F.col("b").alias("owner"), F.col("a").alias("vec"))
         ).distinct()
@@ -241,8 +366,10 @@ def embedding_links(rows: DataFrame, id_col="vec_id", vector_col="embedding", la
         # Lists are small: many of them share a task's group.
         deal = F.pmod(F.xxhash64("owner", "block"), F.lit(-(-edges.count() // LISTED_IN_GROUP) or 1))
         both = both.join(vectors.select("vec", "size", "unit"), "vec").withColumn("deal", deal)
-        met = both.groupBy("deal").applyInArrow(join_edges, EDGES)
-        edges = stored(lists(edges.union(met)), "lists")
+        met = both.groupBy("deal").applyInArrow(join_edges(wide), EDGES)
+        edges = stored(lists(edges.union(met), 2 * wide), "lists")
+        if r + 1 >= ROUNDS and min(audit(edges, sample, linked).values()) >= RECALL:
+            break
     met = all_links(vectors, edges)
     counts = met.groupBy("vec").agg(F.sum("n").alias("n"))
     links = met.where("vec <> root").select(F.col("vec").alias("a"), F.col("root").alias("b"))
