@@ -225,6 +225,16 @@ def test_bodies_leave_the_page_alone(spark):
     assert E.main_content(nodes).first()["word_count"] == 301
 
 
+def test_odd_json(spark):
+    """Half surrogate pairs, control characters, bodies that are no text, deep nesting: no job ends."""
+    half = '{"@type": "Article", "articleBody": "' + "\\ud800 x\\u0000y " + "a" * 120 + '"}'
+    listed = json.dumps({"@type": "Article", "articleBody": ["b" * 60, "c" * 60]})
+    deep = "[" * 20_000
+    got = E.content_candidates(page_nodes(pages(spark, ld(half), ld(listed), ld(deep), ld("[]"), ld("3")))).orderBy("page_id").collect()
+    assert [(r.page_id, r.method) for r in got] == [(0, "jsonld"), (1, "jsonld")]
+    assert got[0].text == "? xy " + "a" * 120 and got[1].text.count("b") == 60
+
+
 def test_parse_errors_have_a_reason(spark):
     htmls = ["<!-- only a comment -->", " \n ", "<!DOCTYPE html>", "short", f"<p>{WORDS}</p>"]
     got = A.page_outcomes(pages(spark, *htmls)).orderBy("page_id")

@@ -60,34 +60,6 @@ def test_iso_utc_in_any_zone(spark):
     assert list(row) == ["2023-11-14T22:13:20+00:00", "2023-11-14T22:13:20.000120+00:00"]
 
 
-def test_iso_utc_in_any_zone(spark):
-    zone = spark.conf.get("spark.sql.session.timeZone")
-    try:
-        spark.conf.set("spark.sql.session.timeZone", "Asia/Tashkent")
-        ts = F.timestamp_micros(F.lit(1_700_000_000_000_000)), F.timestamp_micros(F.lit(1_700_000_000_000_120))
-        row = spark.range(1).select(*[T.iso_utc(t) for t in ts]).first()
-    finally:
-        spark.conf.set("spark.sql.session.timeZone", zone)
-    assert list(row) == ["2023-11-14T22:13:20+00:00", "2023-11-14T22:13:20.000120+00:00"]
-
-
-def test_fragment_text(spark):
-    markup = ["<p>Hello <b>big</b> world</p>", "a &lt; b &amp;amp; c", "a < b", "x<!-- c -->y"]
-    assert one(spark, T.fragment_text(F.col("x")), *markup) == [
-        "Hello \nbig\n world", "a < b &amp; c", "a < b", "x\ny",
-    ]
-
-
-def test_references(spark):
-    values = [
-        "First &mdash; second &laquo;quoted&raquo; it&#8217;s &#039;x&#039; &#x1F600;", "&amp;lt; &lt;b&gt; &amp;amp;",
-        "no reference", "&unknown; &#xD800; &#0; a & b &copy", "<p>a&nbsp;b</p><br>&eacute;",
-    ]
-    assert one(spark, T.fragment_text(F.col("x")), *values) == [
-        "First — second «quoted» it’s 'x' 😀", "&lt; <b> &amp;", "no reference", "&unknown; &#xD800; &#0; a & b &copy", "a\xa0b\né",
-    ]
-
-
 def test_iso_utc_in_any_zone(spark):
     zone = spark.conf.get("spark.sql.session.timeZone")
     times = ["2024-03-10T02:30:00Z", "2024-11-03T06:30:00.5Z", "2024-11-03T05:30:00Z", "1969-12-31T23:59:59.25Z", "2024-03-10T07:00:00.000001Z"]

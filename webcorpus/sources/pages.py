@@ -85,10 +85,10 @@ def _node_batches(kept, arrow, names, chars_per_batch=4_000_000):
     return parse
 
 
-def _parsed(html):
+def _parsed(html, page=True):
     """(tree, why there is none); one page must not end a job."""
     try:
-        page = PageNodes().feed(html)
+        page = PageNodes(page).feed(html)
     except Exception as error:
         return PageNodes(), type(error).__name__
     return page, None if page.tag else "no content"
@@ -115,7 +115,8 @@ def _jsonld_text(script):
         body = (item.get("articleBody") or item.get("text") or "") if isinstance(item, dict) else ""
     except (ValueError, RecursionError):
         return ""
-    return body if isinstance(body, str) else json.dumps(body, ensure_ascii=False, separators=(",", ":"))
+    body = body if isinstance(body, str) else json.dumps(body, ensure_ascii=False, separators=(",", ":"))
+    return body.encode("utf-8", "replace").decode("utf-8")     # escapes may give half a surrogate pair
 
 
 def _bodies_array(parsed, list_type, names):
@@ -124,7 +125,7 @@ def _bodies_array(parsed, list_type, names):
     for page in parsed:
         for node, markup in _markup_bodies(page):
             of_ids.append(node)
-            trees.append(PageNodes(page=False).feed(markup))
+            trees.append(_parsed(markup, page=False)[0])
         offsets.append(len(of_ids))
     fields = list(list_type.value_type)
     struct = pa.StructArray.from_arrays([pa.array(of_ids, pa.int32()), _nodes_array(trees, fields[1].type, names)], fields=fields)
