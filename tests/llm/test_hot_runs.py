@@ -1,18 +1,16 @@
 """Runs that thousands of documents of a batch share, rows without ids, and texts above the slices."""
 
-import hashlib
 import random
 
 import numpy as np
 import pyarrow as pa
 import pytest
-from pyspark.sql import functions as F
 
 from webcorpus.llm.hashing import SLICE_BYTES
 from webcorpus.llm.packing_io import unpack
 from webcorpus.llm.repeats import Repeats
 from webcorpus.llm.substring_dedup import Words, substring_dedup
-from webcorpus.llm.suffix_dedup import PLACE, WINDOW, Bytes, suffix_dedup
+from webcorpus.llm.suffix_dedup import PLACE, Bytes, suffix_dedup
 
 rng = random.Random(3)
 

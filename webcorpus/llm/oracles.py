@@ -170,4 +170,15 @@ FROM (SELECT * FROM pairs UNION ALL SELECT * FROM terms) QUALIFY part = 'pair' O
 """
 
 
-ORACLES = {"op2_embedding_dedup": OP2, "op7_license_scan": op7(), "op3_mixing": OP3, "op5_near_dedup": OP5, "op6_quality_rules": OP6, "op1_substring_dedup": OP1, "op10_suffix_dedup": OP10, "op11_topk_search": OP11, "op12_spelling_variants": OP12, "op13_source_divergence": OP13}
+ORACLES = {
+    "op1_substring_dedup": OP1,
+    "op2_embedding_dedup": OP2,
+    "op3_mixing": OP3,
+    "op5_near_dedup": OP5,
+    "op6_quality_rules": OP6,
+    "op7_license_scan": op7(),
+    "op10_suffix_dedup": OP10,
+    "op11_topk_search": OP11,
+    "op12_spelling_variants": OP12,
+    "op13_source_divergence": OP13,
+}
