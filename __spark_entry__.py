@@ -27,7 +27,7 @@ from webcorpus.sources import article_store as S  # noqa: E402
 from webcorpus.sources import dataset as D  # noqa: E402
 from webcorpus.sources import sitemaps as M  # noqa: E402
 from webcorpus.sources.pages import (  # noqa: E402
-    ARTICLE_ATTRIBUTES, fetched_pages, page_nodes, read_pages, spread_small,
+    ARTICLE_ATTRIBUTES, page_nodes, read_pages, spread_small,
 )
 from webcorpus.sources.storage import stored, work_dir  # noqa: E402
 from webcorpus.streaming.ingest import flush_rest, ingest_stream  # noqa: E402

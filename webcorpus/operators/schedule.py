@@ -153,7 +153,10 @@ def worker_schedule(
     maps = slim.groupBy("root", "block").applyInArrow(block_maps(n_workers, micros, spacing, hosts), MAPS)
     in_order = maps.repartition("root").sortWithinPartitions("root", "block", "part")
     states = in_order.mapInArrow(scan(n_workers), STATES)
-    rows = slim.select("root", "block", F.lit(0).alias("kind"), F.lit(None).cast("int").alias("part"), "number", "host", F.lit(None).cast("binary").alias("ready"))
+    rows = slim.select(
+        "root", "block", F.lit(0).alias("kind"), F.lit(None).cast("int").alias("part"), "number", "host",
+        F.lit(None).cast("binary").alias("ready"),
+    )
     starts = rows.unionByName(states).groupBy("root", "block").applyInArrow(
         block_starts(n_workers, micros, spacing, hosts), "root string, number long, start long"
     ).toDF("_r", "_i", "_start")
