@@ -30,8 +30,9 @@ def ingest_stream(
 
     A checkpoint is one writer of the store; its batches follow those that were there when it began.
     A micro-batch that runs again after a failure replaces its own batches, and no other writer's.  With
-    ``skip_existing`` stored URLs are dropped before their pages are parsed; only the key buckets of
-    the sources that have landed are read.
+    ``skip_existing`` URLs stored before the stream was started are dropped before their pages are parsed; only
+    the key buckets of the sources that have landed are read.  Several fetches of a URL that land in one run
+    are all stored, whichever micro-batches they fall into.
 
     Without ``flush_every`` a micro-batch is a batch of the store.  With it a batch has exactly so many
     articles, however the pages were landed: articles are numbered as they come, what does not fill a
@@ -44,17 +45,20 @@ def ingest_stream(
     )
     writer, first = _writer(spark, checkpoint, store)
     flushes = Flushes(spark, checkpoint) if flush_every else None
+    begun = []   # number of this run's first micro-batch, and the batches of this writer before it
 
     def save(batch: DataFrame, number: int) -> None:
         start = flushes.batches(number) if flush_every else number
+        if not begun:
+            begun.extend((number, start))
         if "source" not in batch.columns:
             batch = batch.withColumn("source", url_netloc("url"))
         if skip_existing:
-            # What this micro-batch has stored in an attempt that failed does not count as stored.
-            known = store.stored_keys(of=batch).where((F.col("writer") != writer) | (F.col("batch_id") < first + start))
+            # What this run has stored, or a micro-batch in an attempt that failed, does not count as stored.
+            known = store.stored_keys(of=batch).where((F.col("writer") != writer) | (F.col("batch_id") < first + begun[1]))
             known = known.select("source", "url")
             if flush_every:
-                known = known.union(flushes.held(number).select("source", "url"))
+                known = known.union(flushes.held(begun[0]).select("source", "url"))
             batch = pending_urls(batch, known, "source", "url")
         articles = build_articles(batch, **options)
         if flush_every:
