@@ -260,6 +260,21 @@ def test_each_fetch_of_a_page_is_an_attempt(spark, tmp_path):
     assert sorted(r["title"] for r in store.articles().collect()) == ["T1", "T4"]
 
 
+def test_large_tables_are_written_where_they_are_read(spark, tmp_path):
+    """Texts are exchanged only while a table is too small to fill the folders from each task."""
+    store = S.ArticleStore(spark, str(tmp_path / "store"))
+    store.write_articles(articles(spark, *[(f"u{i}", "t") for i in range(50)]), 0, F.col("pos"))
+    moves = lambda: "REBALANCE" in store._texts(store.rows())._jdf.queryExecution().executedPlan().toString()
+    assert moves()
+    spark.conf.set("spark.sql.files.openCostInBytes", "1")
+    try:
+        assert not moves()
+        again = store.compact(str(tmp_path / "again"))
+    finally:
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+    assert content(again) == content(store) and again.existing_urls().count() == 50
+
+
 def test_dataset(spark, tmp_path):
     path = str(tmp_path / "data")
     docs = spark.range(100).select("id", F.lit("t").alias("text"), F.lit("s").alias("source"), F.lit("uz").alias("lang"))

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from webcorpus.functions.text import source_key
 from webcorpus.schemas import ARTICLE, ARTICLE_KEYS, ARTICLE_LOG
-from webcorpus.sources.storage import stored
+from webcorpus.sources.storage import scanned_bytes, stored
 
 KEYS = ("source", "url")
 ORDER = ("batch_id", "writer", "pos")
@@ -104,12 +104,25 @@ class ArticleStore:
         return F.pmod(F.xxhash64(source), F.lit(self.buckets)).cast("int")
 
     def _save(self, rows, path, *columns, mode="overwrite", partition_mode="static"):
-        """zstd parquet in folders; the rebalance hint splits folders with most rows, and lets small ones share a task."""
-        rows = rows.hint("rebalance", *columns)
+        """zstd parquet in folders."""
         rows.write.mode(mode).option("compression", "zstd").option("partitionOverwriteMode", partition_mode).partitionBy(
             *columns
         ).parquet(path)
 
+    def _gathered(self, rows, *columns) -> DataFrame:
+        """Rows of a folder brought together: folders with most rows are split, small ones share a task."""
+        return rows.hint("rebalance", *columns)
+
+    def _texts(self, rows) -> DataFrame:
+        """Articles ready to be written to their folders.
+
+        Those of a small table are gathered, so that it gives few files.  Where the scan is so large that
+        each task has a minimal split for each folder, texts stay in the task that reads them.
+        """
+        conf = self.spark._jsparkSession.sessionState().conf()
+        filled = self.spark.sparkContext.defaultParallelism * self.folders * conf.filesOpenCostInBytes()
+        return rows if 0 < filled <= scanned_bytes(rows) else self._gathered(rows, "source_key")
+
     def _keyed(self, rows):
         keys = rows.where(F.col("url").isNotNull()).select(*KEYS, "batch_id", "writer", "part")
         return keys.withColumn("bucket", self._bucket(F.col("source")))
@@ -125,12 +138,12 @@ class ArticleStore:
         part = f"{batch_id}-{writer}"
         rows = self._placed(articles, F.lit(batch_id), pos, writer).withColumn("source_key", self._folder(F.col("source")))
         if append:
-            self._save(rows, f"{self.root}/log/part={part}", "source_key")
+            self._save(self._texts(rows), f"{self.root}/log/part={part}", "source_key")
             keys = self._keyed(self._read("log", ARTICLE_LOG, part)).drop("part")
-            self._save(keys, f"{self.root}/keys/part={part}", "bucket")
+            self._save(self._gathered(keys, "bucket"), f"{self.root}/keys/part={part}", "bucket")
         else:
-            self._save(rows.withColumn("part", F.lit(part)), f"{self.root}/log", "part", "source_key")
-            self._save(self._keyed(self.rows()), f"{self.root}/keys", "part", "bucket")
+            self._save(self._texts(rows.withColumn("part", F.lit(part))), f"{self.root}/log", "part", "source_key")
+            self._save(self._gathered(self._keyed(self.rows()), "part", "bucket"), f"{self.root}/keys", "part", "bucket")
 
     def write_batches(self, articles: DataFrame, batch_id: Column, pos: Column, writer: str) -> None:
         """Write several batches at once, whose ids are a column; each of them replaces the one with its id and writer.
@@ -140,8 +153,9 @@ class ArticleStore:
         rows = self._placed(articles, batch_id, pos, writer).withColumns({
             "source_key": self._folder(F.col("source")), "part": F.concat(F.col("batch_id"), F.lit("-"), F.col("writer")),
         })
-        self._save(rows, f"{self.root}/log", "part", "source_key", partition_mode="dynamic")
-        self._save(self._keyed(rows), f"{self.root}/keys", "part", "bucket", partition_mode="dynamic")
+        keys = self._gathered(self._keyed(rows), "part", "bucket")
+        self._save(self._gathered(rows, "part", "source_key"), f"{self.root}/log", "part", "source_key", partition_mode="dynamic")
+        self._save(keys, f"{self.root}/keys", "part", "bucket", partition_mode="dynamic")
 
     def compact(self, root: str) -> "ArticleStore":
         """The current table as a store of its own, in few files; the rows keep their places in the order.
@@ -150,8 +164,8 @@ class ArticleStore:
         """
         new = ArticleStore(self.spark, root, self.folders, self.buckets)
         rows = self.articles().withColumns({"source_key": self._folder(F.col("source")), "part": F.lit("compact")})
-        self._save(rows, f"{new.root}/log", "part", "source_key")
-        self._save(new._keyed(new.rows()), f"{new.root}/keys", "part", "bucket")
+        self._save(new._texts(rows), f"{new.root}/log", "part", "source_key")
+        self._save(self._gathered(new._keyed(new.rows()), "part", "bucket"), f"{new.root}/keys", "part", "bucket")
         return new
 
     # --- reading -----------------------------------------------------------------------------

@@ -24,6 +24,14 @@ def work_dir(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
+def scanned_bytes(df: DataFrame) -> int:
+    """Size of all tables that a plan reads, as the planner knows it; no job runs.  0 if one of them is unknown."""
+    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+    sizes = [int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size())]
+    unknown = int(df.sparkSession._jsparkSession.sessionState().conf().defaultSizeInBytes())
+    return 0 if max(sizes, default=0) >= unknown else sum(sizes)
+
+
 def checkpointed(df: DataFrame) -> DataFrame:
     """Materialise reliably and cut the lineage."""
     spark = df.sparkSession
