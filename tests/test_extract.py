@@ -382,3 +382,23 @@ def test_bad_markup_fails_no_job(spark):
         "<html><html><body><body><head>x", "<svg><title>t</title></svg>y", "<a<b>c", "<p a=1 a=2 =3 '>x",
     ]
     assert E.main_content(page_nodes(pages(spark, *htmls))).count() == len(htmls)
+
+
+def test_pages_are_parsed_a_few_at_a_time():
+    """A worker holds the trees of a quarter of a million characters, however many pages a batch brings."""
+    import pyarrow as pa
+    from pyspark.sql import types as T
+    from pyspark.sql.pandas.types import to_arrow_schema
+
+    from webcorpus.schemas import BODIES, NODES
+    from webcorpus.sources.pages import _node_batches
+
+    schema = T.StructType([
+        T.StructField("page_id", T.LongType()), T.StructField("nodes", NODES), T.StructField("bodies", BODIES),
+        T.StructField("parse_error", T.StringType()),
+    ])
+    html = "<html><body><p>" + "x " * 500 + "</p></body></html>"
+    batch = pa.RecordBatch.from_arrays([pa.array(range(2000)), pa.array([html] * 2000)], ["page_id", "html"])
+    got = list(_node_batches(["page_id"], to_arrow_schema(schema), None)([batch]))
+    assert [i for b in got for i in b.column(0).to_pylist()] == list(range(2000))
+    assert max(b.num_rows for b in got) * len(html) < 250_000 + len(html)

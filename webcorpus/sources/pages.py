@@ -62,7 +62,7 @@ def page_nodes(pages: DataFrame, attributes=None) -> DataFrame:
     return pages.mapInArrow(parse, schema)
 
 
-def _node_batches(kept, arrow, names, chars_per_batch=4_000_000):
+def _node_batches(kept, arrow, names, chars_per_batch=250_000):
     def parse(batches):
         for batch in batches:
             pages = batch.column(batch.schema.get_field_index("html"))
