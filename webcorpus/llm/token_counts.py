@@ -31,6 +31,7 @@ from webcorpus.llm.hashing import BASES, Roll, mix, text_slices
 LIMIT = 2048
 CHUNK = 256            # characters of a chunk
 KNOWN = 1 << 20        # pieces whose counts a task remembers
+SLICE = 1 << 18        # bytes of text that are counted together
 LONG = 512             # bytes from which a piece is merged by itself, along a heap
 #: White space by Unicode's White_Space property.
 SPACES = (*range(9, 14), 0x20, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000)
@@ -316,7 +317,7 @@ def count_tokens(docs: DataFrame, path: str | None = None, text_col="text") -> D
         counter = None
         for batch in batches:
             counter = counter or Counter(path or default_vocabulary())
-            tokens = [counter.texts(data.tobytes(), offsets) for _, data, offsets in text_slices(batch.column(text_col))]
+            tokens = [counter.texts(data.tobytes(), offsets) for _, data, offsets in text_slices(batch.column(text_col), SLICE)]
             n = pa.array(np.concatenate(tokens) if tokens else np.zeros(0, np.int64))
             yield pa.RecordBatch.from_arrays([*batch.columns, n], [*batch.schema.names, "n_tokens"])
 
