@@ -258,6 +258,23 @@ def test_common_lines_of_a_large_host(spark):
     assert all(not got[i]["base_failed"] and got[i]["n_left_words"] == 15 for i in range(120))
 
 
+def test_common_lines_are_removed(spark):
+    """The text that is left has no common line, in whatever case and spacing, and every other line as it was."""
+    rng = random.Random(4)
+    prose = lambda n: " ".join(rng.choice(WORDS) for _ in range(n))
+    menu, own = prose(6), [f"{prose(30)}\n\n  {prose(5)} " for _ in range(60)]
+    data = [(i, f"{menu.upper() if i % 2 else menu}\n{own[i]}\n {menu}\t ", "host") for i in range(60)]
+    data += [data[0], (None, data[1][1], "host"), (100, f"{menu}\n{own[0]}", "other"), (101, None, "host"), (102, menu, "host")]
+    got = quality_rules(spark.createDataFrame(data, "doc_id long, text string, source string").withColumn("left_text", F.lit(1))).collect()
+    assert len(got) == len(data)
+    left = {(r["doc_id"], r["source"]): r["left_text"] for r in got}
+    assert left == {
+        **{(i, "host"): own[i] for i in range(60)}, (None, "host"): own[1],
+        (100, "other"): f"{menu}\n{own[0]}", (101, "host"): None, (102, "host"): "",
+    }
+    assert all(r["n_left_words"] == len((r["left_text"] or "").split()) for r in got)
+
+
 def test_license_scan(docs, rows):
     got = {r["text"]: r for r in license_scan(docs).collect()}
     mit = next(r for t, r in got.items() if t and t.startswith("Released"))
