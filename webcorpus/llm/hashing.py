@@ -11,8 +11,9 @@ import pyarrow as pa
 
 SEPARATORS = np.zeros(256, dtype=bool)
 SEPARATORS[[0x20, *range(0x09, 0x0E)]] = True
-#: Bytes of text that the vectorised code handles at once; a longer text is handled alone.
-SLICE_BYTES = 1 << 20
+#: Bytes of text that the vectorised code handles at once; a longer text is handled alone.  Each byte takes
+#: up to some 80 bytes of arrays and of the tables of powers, which a worker keeps.
+SLICE_BYTES = 1 << 18
 
 
 def mix(x: np.ndarray) -> np.ndarray:
