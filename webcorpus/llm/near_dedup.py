@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from webcorpus.llm.hashing import BASES, Roll, lower_ascii, mix, text_slices, word_names, words_of
 from webcorpus.llm.links import components
-from webcorpus.llm.packing_io import from_bytes, groups_of, ids_of, pack, split, to_bytes, unpack
+from webcorpus.llm.packing_io import from_bytes, gathered, groups_of, ids_of, pack, split, to_bytes, unpack
 from webcorpus.llm.repeats import first_of
 from webcorpus.sources.storage import stored
 
@@ -141,11 +141,10 @@ def band_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def send_texts(groups: int):
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if batch.num_rows:
-                group = groups_of(ids_of(batch.column("id")), batch.column("text"), groups)
-                rows = [(g, 0, to_bytes(batch.take(pa.array(r)))) for g, r in split(group)]
-                yield pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*rows)], ["grp", "kind", "body"])
+        for batch in gathered(batches):
+            group = groups_of(ids_of(batch.column("id")), batch.column("text"), groups)
+            rows = [(g, 0, to_bytes(batch.take(pa.array(r)))) for g, r in split(group)]
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*rows)], ["grp", "kind", "body"])
 
     return send
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -10,6 +10,7 @@ import pyarrow as pa
 from webcorpus.llm.hashing import byte_roll, mix, text_slices
 
 NO_ID = np.iinfo(np.int64).max
+SENT_AT_ONCE = 16 << 20   # bytes of texts that are dealt to groups at once
 
 
 def to_bytes(batch: pa.RecordBatch) -> bytes:
@@ -19,7 +20,7 @@ def to_bytes(batch: pa.RecordBatch) -> bytes:
     return sink.getvalue().to_pybytes()
 
 
-def from_bytes(body: bytes) -> pa.Table:
+def from_bytes(body: bytes | pa.Buffer) -> pa.Table:
     return pa.ipc.open_stream(body).read_all()
 
 
@@ -27,7 +28,7 @@ def pack(**columns: np.ndarray) -> bytes:
     return to_bytes(pa.RecordBatch.from_arrays([pa.array(c) for c in columns.values()], list(columns)))
 
 
-def unpack(bodies: Iterable[bytes]) -> dict[str, np.ndarray]:
+def unpack(bodies: Iterable[bytes | pa.Buffer]) -> dict[str, np.ndarray]:
     """The packed columns of all bodies, one after another; none at all if there is no body."""
     tables = [from_bytes(b) for b in bodies]
     if not tables:
@@ -35,6 +36,20 @@ def unpack(bodies: Iterable[bytes]) -> dict[str, np.ndarray]:
     return {name: np.concatenate([t[name].to_numpy() for t in tables]) for name in tables[0].column_names}
 
 
+def gathered(batches: Iterator[pa.RecordBatch], size: int = SENT_AT_ONCE) -> Iterator[pa.RecordBatch]:
+    """Small batches put together up to `size` bytes, so that records do not shrink with Arrow's batches."""
+    held, n = [], 0
+    for batch in batches:
+        if held and n + batch.nbytes > size:
+            yield pa.concat_batches(held)
+            held, n = [], 0
+        if batch.num_rows:
+            held.append(batch)
+            n += batch.nbytes
+    if held:
+        yield pa.concat_batches(held)
+
+
 def split(target: np.ndarray, n: int | None = None):
     """(target, rows) of each distinct target; rows keep their order."""
     order = np.argsort(target, kind="stable")
