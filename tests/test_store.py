@@ -1,3 +1,5 @@
+import os
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -6,6 +8,7 @@ from webcorpus.plans.crawl import crawl
 from webcorpus.schemas import ARTICLE, PAGES
 from webcorpus.sources import article_store as S
 from webcorpus.sources import dataset as D
+from webcorpus.sources import storage
 from webcorpus.sources.storage import numbered
 from webcorpus.streaming.ingest import Flushes, flush_rest, ingest_stream
 
@@ -206,6 +209,84 @@ def test_numbers_are_dense(spark):
     assert [r["number"] for r in got] == list(range(1000)) and [(r["a"], r["id"]) for r in got] == sorted((r["a"], r["id"]) for r in got)
 
 
+def test_numbers_move_no_other_column(spark, monkeypatch):
+    """However many rows are numbered, and where rows tie each has a number of its own, the same in each pass."""
+    df = spark.range(9000, numPartitions=3).select((F.col("id") % 7).alias("a"), F.col("id").cast("string").alias("text"))
+    found = numbered(df, "a")
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == plan.count("BroadcastExchange") == 1 and "text#" in plan
+    monkeypatch.setattr(storage, "MAX_BROADCAST_NUMBERS", 8999)
+    for rows in (found, numbered(df, "a")):
+        got = sorted(rows.select("number", "a", "text").collect())
+        assert [r["number"] for r in got] == list(range(9000)) == [r["number"] for r in sorted(rows.collect(), key=lambda r: r["number"])]
+        assert [r["a"] for r in got] == sorted(r["a"] for r in got) and len({r["text"] for r in got}) == 9000
+        assert sorted(rows.select("number", "a", "text").collect()) == got
+
+
+def many_articles(spark, n, text="t"):
+    """Articles 0, 1, 2, ... of 20 sources."""
+    made = articles(spark, *[(f"u{i}", text) for i in range(n)])
+    return made.withColumn("source", F.format_string("s%d.x", F.col("pos") % 20))
+
+
+def test_files_do_not_go_by_the_number_of_batches(spark, tmp_path):
+    """Batches that are written together share their files; each is there with its rows and keys."""
+    store = S.ArticleStore(spark, str(tmp_path))
+    store.write_batches(many_articles(spark, 600), F.floor(F.col("pos") / 3), F.col("pos"), "w")
+    files = {name: len(list((tmp_path / name / "part=0_199-w").rglob("*.parquet"))) for name in ("log", "keys")}
+    assert 0 < files["log"] <= 4 * 16 and 0 < files["keys"] <= 64
+    assert len(list(tmp_path.rglob("*.parquet"))) <= sum(files.values()) + 2
+    rows = {(r["batch_id"], r["pos"], r["url"]) for r in store.rows().collect()}
+    assert rows == {(i // 3, i, f"u{i}") for i in range(600)} and store.batches() == [(i, "w") for i in range(200)]
+    keys = {(r["source"], r["url"], r["batch_id"], r["writer"]) for r in store.stored_keys().collect()}
+    assert keys == {(f"s{i % 20}.x", f"u{i}", i // 3, "w") for i in range(600)}
+    assert [r["batch_id"] for r in store.stored_keys("s3.x").orderBy("batch_id").limit(1).collect()] == [1]
+
+
+def test_batches_written_together_are_replaced_one_by_one(spark, tmp_path):
+    """By one batch, by some of them, by others around them, and by all of them; other writers' batches stay."""
+    store = S.ArticleStore(spark, str(tmp_path))
+    held = {}
+
+    def write(writer, text, *ids):
+        ids = sorted(ids)
+        rows = spark.createDataFrame([(k, 10 * k + i) for k in ids for i in range(2)], "batch_id long, pos long")
+        rows = many_articles(spark, 200, text).join(rows, "pos")
+        if len(ids) == 1 and text.startswith("one"):
+            store.write_articles(rows, ids[0], F.col("pos"), writer)
+        else:
+            store.write_batches(rows, F.col("batch_id"), F.col("pos"), writer)
+        held.update({(k, writer, f"u{10 * k + i}"): text for k in ids for i in range(2)})
+        assert sorted((r["batch_id"], r["writer"], r["url"], r["text"]) for r in store.rows().collect()) == sorted((*k, v) for k, v in held.items())
+        assert sorted((r["batch_id"], r["writer"], r["url"]) for r in store.stored_keys().collect()) == sorted(held)
+
+    write("w", "a", *range(10))
+    write("x", "b", *range(10))
+    write("w", "one", 4)
+    write("w", "c", 3, 6)
+    write("w", "d", 2, 5)
+    write("w", "one again", 9)
+    write("w", "e", *range(8, 12))
+    write("w", "f", *range(12))
+    write("w", "g", *range(12))
+    write("w", "h", 0, 11)
+    write("w", "one more", 0)
+    write("w-2", "one other", 1)
+
+
+def test_a_stream_that_flushes_leaves_no_copies(spark, tmp_path):
+    """A micro-batch parses its pages once and removes its intermediate tables."""
+    landed_pages(spark, str(tmp_path / "landing"))
+    store = S.ArticleStore(spark, str(tmp_path / "store"))
+    shared = storage.shared_dir(spark).removeprefix("file:")
+    before = {name for name in os.listdir(shared) if not name.startswith("held")}
+    run(spark, tmp_path, store, "c1", flush_every=2)
+    flush_rest(spark, store, str(tmp_path / "c1"))
+    assert {name for name in os.listdir(shared) if not name.startswith("held")} == before
+    assert sorted(r["count"] for r in store.rows().groupBy("batch_id").count().collect()) == [1, 2, 2, 2, 2]
+    assert len(list((tmp_path / "store" / "log").glob("part=*"))) <= 4
+
+
 def test_crawl_then_frontier_is_empty(spark, tmp_path):
     pages = landed_pages(spark, str(tmp_path / "landing"))
     links = "".join(f"<url><loc>{r.url}</loc></url>" for r in pages.collect())

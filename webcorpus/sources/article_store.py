@@ -3,11 +3,12 @@
     root/log/part=<batch>-<writer>/source_key=<key>/*.parquet
     root/keys/part=<batch>-<writer>/bucket=<n>/*.parquet
 
-Both are read as a whole, by partition discovery.  The row of a (source, url) that counts is the last by
+Batches that are written together share a part, ``<first>_<last>-<writer>``.  Both are read as a whole, by partition discovery.  The row of a (source, url) that counts is the last by
 (batch_id, writer, pos), whenever it was written and whether or not the log was rewritten in between.  A
 batch shows up when its write commits; a batch that its writer writes again is replaced.
 """
 
+import re
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -15,7 +16,7 @@ from pyspark.sql import functions as F
 
 from webcorpus.functions.text import source_key
 from webcorpus.schemas import ARTICLE, ARTICLE_KEYS, ARTICLE_LOG
-from webcorpus.sources.storage import scanned_bytes, stored
+from webcorpus.sources.storage import remove, scanned_bytes, stored
 
 KEYS = ("source", "url")
 ORDER = ("batch_id", "writer", "pos")
@@ -59,6 +60,11 @@ def upsert_articles(old: DataFrame, new: DataFrame, keys=KEYS, order=ORDER) -> D
     return latest_articles(append_articles(old, new), keys, order)
 
 
+def _part(first, last, writer) -> str:
+    """Name of the part that has the batches from ``first`` to ``last``."""
+    return f"{first}-{writer}" if first == last else f"{first}_{last}-{writer}"
+
+
 class ArticleStore:
     """``folders``: hashed folders in a batch, 0 gives each source a folder; ``buckets``: parts of the keys."""
 
@@ -103,9 +109,9 @@ class ArticleStore:
     def _bucket(self, source) -> Column:
         return F.pmod(F.xxhash64(source), F.lit(self.buckets)).cast("int")
 
-    def _save(self, rows, path, *columns, mode="overwrite", partition_mode="static"):
-        """zstd parquet in folders."""
-        rows.write.mode(mode).option("compression", "zstd").option("partitionOverwriteMode", partition_mode).partitionBy(
+    def _save(self, rows, path, *columns):
+        """zstd parquet in folders, in place of what was there."""
+        rows.write.mode("overwrite").option("compression", "zstd").option("partitionOverwriteMode", "static").partitionBy(
             *columns
         ).parquet(path)
 
@@ -113,20 +119,50 @@ class ArticleStore:
         """Rows of a folder brought together: folders with most rows are split, small ones share a task."""
         return rows.hint("rebalance", *columns)
 
-    def _texts(self, rows) -> DataFrame:
+    def _texts(self, rows, splits=None) -> DataFrame:
         """Articles ready to be written to their folders.
 
         Those of a small table are gathered, so that it gives few files.  Where the scan is so large that
-        each task has a minimal split for each folder, texts stay in the task that reads them.
+        each task has so many minimal ``splits``, by default one for each folder, texts stay in the task that reads them.
         """
         conf = self.spark._jsparkSession.sessionState().conf()
-        filled = self.spark.sparkContext.defaultParallelism * self.folders * conf.filesOpenCostInBytes()
+        splits = self.folders if splits is None else splits
+        filled = self.spark.sparkContext.defaultParallelism * splits * conf.filesOpenCostInBytes()
         return rows if 0 < filled <= scanned_bytes(rows) else self._gathered(rows, "source_key")
 
     def _keyed(self, rows):
         keys = rows.where(F.col("url").isNotNull()).select(*KEYS, "batch_id", "writer", "part")
         return keys.withColumn("bucket", self._bucket(F.col("source")))
 
+    def _save_part(self, rows, part) -> None:
+        """Rows as one part, in place of what it had; the keys are taken from what was written."""
+        self._save(rows, f"{self.root}/log/part={part}", "source_key")
+        keys = self._keyed(self._read("log", ARTICLE_LOG, part)).drop("part")
+        self._save(self._gathered(keys, "bucket"), f"{self.root}/keys/part={part}", "bucket")
+
+    def _parts(self, writer, several) -> list:
+        """(part, first batch, last batch) of a writer, or only those parts that have ``several`` batches."""
+        names = "part=" + ("*_*-" if several else "*-") + re.sub(r"[^\w.-]", "?", writer)
+        pattern = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.root}/log/{names}")
+        files = pattern.getFileSystem(self.spark._jsparkSession.sessionState().newHadoopConf())
+        paths = self.spark._jvm.org.apache.hadoop.fs.FileUtil.stat2Paths(files.globStatus(pattern)) or ()
+        own = [re.fullmatch(rf"part=((-?\d+)(?:_(-?\d+))?-{re.escape(writer)})", path.getName()) for path in paths]
+        return [(m[1], int(m[2]), int(m[3] or m[2])) for m in own if m]
+
+    def _cut(self, part, ids, writer) -> None:
+        """Take batches out of a part.  Its other batches are written to new parts before it is deleted."""
+        rows = self._read("log", ARTICLE_LOG, part)
+        hit = rows.join(ids, "batch_id", "left_semi").agg(F.min("batch_id")).first()[0]
+        if hit is None:
+            return
+        rest = rows.join(ids, "batch_id", "left_anti").select(*[c for c in rows.columns if c != "part"])
+        for side in (rest.where(F.col("batch_id") < hit), rest.where(F.col("batch_id") > hit)):
+            first, last = side.agg(F.min("batch_id"), F.max("batch_id")).first()
+            if first is not None:
+                self._save_part(self._texts(side), _part(first, last, writer))
+        for name in ("keys", "log"):
+            remove(self.spark, f"{self.root}/{name}/part={part}")
+
     def write_articles(
         self, articles: DataFrame, batch_id: int, pos: Column = None, writer: str = "main", append: bool = True
     ) -> None:
@@ -135,12 +171,13 @@ class ArticleStore:
         ``pos`` orders repeats of a URL within the batch.  With ``append=False`` the table is only these
         rows afterwards.  The texts are written once; the keys are taken from what was written.
         """
-        part = f"{batch_id}-{writer}"
+        part = _part(batch_id, batch_id, writer)
         rows = self._placed(articles, F.lit(batch_id), pos, writer).withColumn("source_key", self._folder(F.col("source")))
         if append:
-            self._save(self._texts(rows), f"{self.root}/log/part={part}", "source_key")
-            keys = self._keyed(self._read("log", ARTICLE_LOG, part)).drop("part")
-            self._save(self._gathered(keys, "bucket"), f"{self.root}/keys/part={part}", "bucket")
+            for old, first, last in self._parts(writer, several=True):
+                if first <= batch_id <= last:
+                    self._cut(old, self.spark.range(batch_id, batch_id + 1).toDF("batch_id"), writer)
+            self._save_part(self._texts(rows), part)
         else:
             self._save(self._texts(rows.withColumn("part", F.lit(part))), f"{self.root}/log", "part", "source_key")
             self._save(self._gathered(self._keyed(self.rows()), "part", "bucket"), f"{self.root}/keys", "part", "bucket")
@@ -149,13 +186,18 @@ class ArticleStore:
         """Write several batches at once, whose ids are a column; each of them replaces the one with its id and writer.
 
         ``articles`` should be a stored table, so that a second run writes the same rows to the same places.
+        The batches share one part, so that the files go by the size of the table and not by the number of batches; with
+        a minimal split for each core texts stay in the task that reads them.
         """
-        rows = self._placed(articles, batch_id, pos, writer).withColumns({
-            "source_key": self._folder(F.col("source")), "part": F.concat(F.col("batch_id"), F.lit("-"), F.col("writer")),
-        })
-        keys = self._gathered(self._keyed(rows), "part", "bucket")
-        self._save(self._gathered(rows, "part", "source_key"), f"{self.root}/log", "part", "source_key", partition_mode="dynamic")
-        self._save(keys, f"{self.root}/keys", "part", "bucket", partition_mode="dynamic")
+        rows = self._placed(articles, batch_id, pos, writer).withColumn("source_key", self._folder(F.col("source")))
+        first, last = rows.agg(F.min("batch_id"), F.max("batch_id")).first()
+        if first is None:
+            return
+        part, ids = _part(first, last, writer), rows.select("batch_id").distinct()
+        for old, low, high in self._parts(writer, several=False):
+            if low <= last and first <= high and (old != part or low < high):
+                self._cut(old, ids, writer)
+        self._save_part(self._texts(rows, min(1, self.folders)), part)
 
     def compact(self, root: str) -> "ArticleStore":
         """The current table as a store of its own, in few files; the rows keep their places in the order.

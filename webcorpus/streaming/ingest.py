@@ -11,7 +11,7 @@ from webcorpus.operators.articles import build_articles
 from webcorpus.operators.frontier import pending_urls
 from webcorpus.schemas import ARTICLE, PAGES
 from webcorpus.sources.article_store import ArticleStore
-from webcorpus.sources.storage import numbered, stored
+from webcorpus.sources.storage import numbered, scratch, stored
 
 
 def ingest_stream(
@@ -69,13 +69,14 @@ def ingest_stream(
 
     def store_full(fresh: DataFrame, number: int, start: int) -> None:
         """Store as many whole batches as there are, and hold back the rest."""
-        rows = numbered(flushes.held(number).unionByName(fresh), "round", "pos", "url")
-        total = rows.count()
-        whole = total - total % flush_every
-        if whole:
-            batch_id = F.lit(first + start) + F.floor(F.col("number") / flush_every)
-            store.write_batches(rows.where(F.col("number") < whole), batch_id, F.col("pos"), writer)
-        flushes.hold(number + 1, rows.where(F.col("number") >= whole), start + whole // flush_every)
+        with scratch(spark, "flush") as folder:
+            rows = numbered(flushes.held(number).unionByName(fresh), "round", "pos", "url", under=folder)
+            total = rows.count()
+            whole = total - total % flush_every
+            if whole:
+                batch_id = F.lit(first + start) + F.floor(F.col("number") / flush_every)
+                store.write_batches(rows.where(F.col("number") < whole), batch_id, F.col("pos"), writer)
+            flushes.hold(number + 1, rows.where(F.col("number") >= whole), start + whole // flush_every)
 
     return (
         pages.writeStream.foreachBatch(save)
